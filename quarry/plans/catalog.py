@@ -13,8 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import filters as FL
 from quarry.operators import index as IX
+from quarry.operators import metrics as M
 from quarry.operators import search as S
+from quarry.plans import judgments as J
 from quarry.plans import oracle as O
 from quarry.sources import tables as TB
 
@@ -22,6 +25,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 DEPTH = 100  # run depth used by the registered keyword queries
+POOL = 20    # judgment pool depth (graded judgments)
 
 
 def register(name: str, sql: str | None):
@@ -155,3 +159,139 @@ def q_bm25_or(spark, sf):
 def q_bm25_and(spark, sf):
     post = IX.build_postings(TB.passages(spark, sf))
     return S.bm25_search(post, TB.keyword_queries(spark, sf), k=DEPTH, mode="and")
+
+
+# ---------------------------------------------------------------- shared inputs
+
+def _postings(spark, sf):
+    return IX.build_postings(TB.passages(spark, sf))
+
+
+def _run(spark, sf, k=DEPTH):
+    return S.bm25_search(_postings(spark, sf), TB.keyword_queries(spark, sf), k=k)
+
+
+def _contain(spark, sf):
+    return J.containment_qrels(TB.passages(spark, sf), TB.keyword_queries(spark, sf))
+
+
+def _graded(spark, sf, run=None):
+    run = run if run is not None else _run(spark, sf)
+    return J.graded_qrels(_contain(spark, sf), run, TB.labels(spark, sf), POOL)
+
+
+def _sql_base() -> list[str]:
+    return [O.postings_cte("post", "documents"), O.QUERIES_VIEW,
+            O.run_cte("run", "kq", "post", DEPTH), O.judgments_cte("run", POOL)]
+
+
+# ---------------------------------------------------------------- judgments and filters
+
+@register("qrels_contain", _with(O.judgments_cte("run", POOL).split("graded AS")[0].rstrip().rstrip(","))
+          + "SELECT qid, pid, rel FROM contain\n")
+def q_qrels_contain(spark, sf):
+    return _contain(spark, sf)
+
+
+@register("qrels_graded", _with(*_sql_base()) + "SELECT qid, pid, rel FROM graded\n")
+def q_qrels_graded(spark, sf):
+    return _graded(spark, sf)
+
+
+@register("qrels_relevant", _with(*_sql_base()) + "SELECT qid, pid, rel FROM graded WHERE rel > 0\n")
+def q_qrels_relevant(spark, sf):
+    return M.relevant(_graded(spark, sf))
+
+
+@register("judged_queries", _with(*_sql_base()) + "SELECT DISTINCT qid FROM graded\n")
+def q_judged_queries(spark, sf):
+    return FL.judged_queries(_graded(spark, sf))
+
+
+@register("subset_docs", """
+SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)
+""")
+def q_subset_docs(spark, sf):
+    return FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
+
+
+@register("subset_queries", """
+SELECT item_id AS qid, text FROM benchmark b
+WHERE EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))
+""")
+def q_subset_queries(spark, sf):
+    return FL.subset_by_ids(TB.keyword_queries(spark, sf), _contain(spark, sf), "qid")
+
+
+@register("subset_query_vectors", """
+SELECT vec_id AS id, label FROM embeddings e
+WHERE EXISTS (SELECT 1 FROM benchmark b JOIN documents d ON contains(d.text, b.text)
+              WHERE b.item_id = e.vec_id)
+""")
+def q_subset_query_vectors(spark, sf):
+    vecs = TB.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    return FL.subset_by_ids(vecs, _contain(spark, sf), "id", "qid")
+
+
+@register("run_truncated", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank, score FROM run WHERE rank <= 10\n")
+def q_run_truncated(spark, sf):
+    return M.truncate_run(_run(spark, sf), 10).select("qid", "pid", "rank", "score")
+
+
+@register("run_lists", _with(*_sql_base()[:3]) + """
+SELECT qid, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(pid AS VARCHAR), ',' ORDER BY rank) AS pids
+FROM run GROUP BY qid
+""")
+def q_run_lists(spark, sf):
+    lists = M.run_lists(_run(spark, sf))
+    return lists.select("qid", F.size("pids").cast("bigint").alias("n"),
+                        F.concat_ws(",", F.col("pids").cast("array<string>")).alias("pids"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+def _round_cols(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("per_query", _with(*_sql_base(), O.per_query_cte("pq", "run", "graded", DEPTH)) + """
+SELECT qid, n_rel, n_hits, round(rr, 6) AS rr, round(recall, 6) AS recall,
+       round(ap, 6) AS ap, round(ndcg, 6) AS ndcg FROM pq
+""")
+def q_per_query(spark, sf):
+    run = _run(spark, sf)
+    per = M.per_query_metrics(run, _graded(spark, sf, run), DEPTH)
+    return _round_cols(per, {"rr", "recall", "ap", "ndcg"})
+
+
+def _metric_sql(metric: str, k: int) -> str:
+    col = O.METRIC_COL[metric]
+    return _with(*_sql_base(), O.per_query_cte("pq", "run", "graded", k)) + f"""
+SELECT '{metric}' AS metric, CAST({k} AS BIGINT) AS k, round(coalesce(avg({col}), 0.0), 6) AS value FROM pq
+"""
+
+
+def _metric_builder(metric: str, k: int):
+    def build(spark, sf):
+        run = _run(spark, sf)
+        per = M.per_query_metrics(run, _graded(spark, sf, run), k)
+        return _round_cols(M.aggregate_metric(per, metric, k), {"value"})
+    return build
+
+
+for _name, _metric, _k in [("mrr", "mrr", 10), ("recall", "recall", 100),
+                           ("map", "map", 100), ("ndcg", "ndcg", 10)]:
+    register(_name, _metric_sql(_metric, _k))(_metric_builder(_metric, _k))
+
+
+@register("precision_at_hits", _with(*_sql_base()) + f"""
+, r AS (SELECT qid, pid, rank FROM run WHERE rank <= {DEPTH}),
+h AS (SELECT r.qid, r.pid, r.rank FROM r JOIN graded g ON g.qid = r.qid AND g.pid = r.pid WHERE g.rel > 0)
+SELECT h.qid, h.rank, h.pid,
+       round((SELECT count(*) FROM h h2 WHERE h2.qid = h.qid AND h2.rank <= h.rank) / h.rank::double, 6)
+       AS precision
+FROM h
+""")
+def q_precision_at_hits(spark, sf):
+    run = _run(spark, sf)
+    return _round_cols(M.precision_at_hits(run, _graded(spark, sf, run), DEPTH), {"precision"})

@@ -57,3 +57,56 @@ def run_cte(name: str, qsrc: str, post: str, k: int, mode: str = "or") -> str:
 
 
 QUERIES_VIEW = "kq AS (SELECT item_id AS qid, text FROM benchmark)"
+
+
+# Judgments: containment (grade 1) and pooled graded judgments; needs a run CTE named {run}.
+JUDG_CTE = """
+  contain AS (SELECT b.item_id AS qid, d.doc_id AS pid, 1 AS rel
+              FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
+  graded AS (
+    SELECT c.qid, c.pid, 2 + coalesce(l.quality, 0) AS rel
+    FROM contain c LEFT JOIN labels l ON l.doc_id = c.pid
+    UNION ALL
+    SELECT r.qid, r.pid, l.quality AS rel
+    FROM {run} r JOIN labels l ON l.doc_id = r.pid
+    WHERE r.rank <= {pool}
+      AND NOT EXISTS (SELECT 1 FROM contain c WHERE c.qid = r.qid AND c.pid = r.pid))"""
+
+
+def judgments_cte(run: str, pool: int) -> str:
+    return JUDG_CTE.format(run=run, pool=pool)
+
+
+# Per-query metric table over run CTE {run} truncated at {k}, judgments CTE {qrels}.
+PER_QUERY_CTE = """
+  {p}_r AS (SELECT qid, pid, rank FROM {run} WHERE rank <= {k}),
+  {p}_hits AS (SELECT r.qid, r.rank FROM {p}_r r JOIN {qrels} g
+               ON g.qid = r.qid AND g.pid = r.pid WHERE g.rel > 0),
+  {p}_hitagg AS (
+    SELECT h.qid, count(*) AS n_hits, min(h.rank) AS first_hit,
+           sum((SELECT count(*) FROM {p}_hits h2 WHERE h2.qid = h.qid AND h2.rank <= h.rank)
+               / h.rank::double) AS sum_prec
+    FROM {p}_hits h GROUP BY h.qid),
+  {p}_nrel AS (SELECT qid, count(*) AS n_rel FROM {qrels} WHERE rel > 0 GROUP BY qid),
+  {p}_gains AS (
+    SELECT r.qid, sum((pow(2.0::double, coalesce(g.rel, 0)) - 1.0::double) / log2(r.rank + 1.0::double)) AS dcg,
+           list_sort(list(coalesce(g.rel, 0)), 'DESC') AS srt
+    FROM {p}_r r LEFT JOIN {qrels} g ON g.qid = r.qid AND g.pid = r.pid GROUP BY r.qid),
+  {p}_ideal AS (
+    SELECT qid, dcg, list_sum(list_transform(generate_series(1, len(srt)),
+             lambda i: (pow(2.0::double, srt[i]) - 1.0::double) / log2(i + 1.0::double))) AS idcg
+    FROM {p}_gains),
+  {p} AS (
+    SELECT i.qid, n.n_rel, coalesce(h.n_hits, 0) AS n_hits,
+           1.0::double / h.first_hit AS rr,
+           CASE WHEN n.n_rel IS NOT NULL THEN coalesce(h.n_hits, 0) / n.n_rel::double END AS recall,
+           CASE WHEN n.n_rel IS NOT NULL THEN coalesce(h.sum_prec, 0.0::double) / n.n_rel END AS ap,
+           CASE WHEN i.idcg > 0 THEN i.dcg / i.idcg ELSE 0.0::double END AS ndcg
+    FROM {p}_ideal i LEFT JOIN {p}_hitagg h ON h.qid = i.qid LEFT JOIN {p}_nrel n ON n.qid = i.qid)"""
+
+
+def per_query_cte(p: str, run: str, qrels: str, k: int) -> str:
+    return PER_QUERY_CTE.format(p=p, run=run, qrels=qrels, k=k)
+
+
+METRIC_COL = {"mrr": "rr", "recall": "recall", "map": "ap", "ndcg": "ndcg"}
