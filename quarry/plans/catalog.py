@@ -19,7 +19,12 @@ from quarry.operators import metrics as M
 from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
+from quarry.session import scratch_path, table_path
+from quarry.sources import judgments as SJ
+from quarry.sources import runs as SR
 from quarry.sources import tables as TB
+from quarry.sources import tsv as ST
+from quarry.sources import vectors as SV
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -295,3 +300,78 @@ FROM h
 def q_precision_at_hits(spark, sf):
     run = _run(spark, sf)
     return _round_cols(M.precision_at_hits(run, _graded(spark, sf, run), DEPTH), {"precision"})
+
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+@register("tsv_docs", """
+SELECT doc_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text FROM documents
+""")
+def q_tsv_docs(spark, sf):
+    path = scratch_path(spark, "tsv-docs")
+    ST.write_id_text_tsv(TB.passages(spark, sf), path, "doc_id", "text")
+    return ST.read_id_text_tsv(spark, path, "doc_id", "text")
+
+
+@register("tsv_queries", """
+SELECT item_id AS qid, regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text FROM benchmark
+""")
+def q_tsv_queries(spark, sf):
+    path = scratch_path(spark, "tsv-queries")
+    ST.write_id_text_tsv(TB.keyword_queries(spark, sf), path, "qid", "text")
+    return ST.read_id_text_tsv(spark, path, "qid", "text")
+
+
+@register("qrels_triples", _with(*_sql_base()) + "SELECT qid, pid, rel FROM graded\n")
+def q_qrels_triples(spark, sf):
+    path = scratch_path(spark, "qrels-triples")
+    SJ.write_qrels(_graded(spark, sf), path, "triples")
+    return SJ.read_qrels(spark, path, "triples", validate=True)
+
+
+@register("qrels_trec", _with(*_sql_base()) + "SELECT qid, pid, rel FROM graded\n")
+def q_qrels_trec(spark, sf):
+    path = scratch_path(spark, "qrels-trec")
+    SJ.write_qrels(_graded(spark, sf), path, "trec")
+    return SJ.read_qrels(spark, path, "trec", validate=True)
+
+
+@register("vectors_loaded", """
+SELECT vec_id AS id, CAST(len(embedding) AS INTEGER) AS dim,
+       round(list_sum(list_transform(embedding, lambda x: x::double)), 6) AS total
+FROM embeddings
+""")
+def q_vectors_loaded(spark, sf):
+    v = SV.read_vectors(spark, table_path(sf, "embeddings"), "vec_id", "embedding", dim=64)
+    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    return v.select("id", F.size("embedding").alias("dim"), F.round(total, 6).alias("total"))
+
+
+@register("run_saved", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank FROM run\n")
+def q_run_saved(spark, sf):
+    path = scratch_path(spark, "run-tsv2")
+    SR.write_run(_run(spark, sf), path, "tsv2")
+    return SR.read_run(spark, path, "tsv2")
+
+
+@register("run_parquet", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank, score FROM run\n")
+def q_run_parquet(spark, sf):
+    path = scratch_path(spark, "run-parquet")
+    SR.write_run(_run(spark, sf), path, "parquet")
+    return SR.read_run(spark, path, "parquet")
+
+
+@register("run_cached", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank, score FROM run\n")
+def q_run_cached(spark, sf):
+    path = scratch_path(spark, "run-cached")
+    first = SR.load_or_build_run(spark, path, lambda: _run(spark, sf))
+    # second call must reuse the saved files rather than rebuild
+    return SR.load_or_build_run(spark, path, lambda: first.limit(0))
+
+
+@register("index_saved", _bm25_sql("or", DEPTH))
+def q_index_saved(spark, sf):
+    path = scratch_path(spark, "text-index")
+    IX.TextIndex.build(TB.passages(spark, sf)).save(path)
+    idx = IX.TextIndex.load(spark, path)
+    return S.bm25_search(idx.postings, TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
