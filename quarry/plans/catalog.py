@@ -13,9 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import ann as AN
 from quarry.operators import filters as FL
 from quarry.operators import index as IX
+from quarry.operators import knn as KN
 from quarry.operators import metrics as M
+from quarry.operators import rerank as RR
 from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
@@ -375,3 +378,105 @@ def q_index_saved(spark, sf):
     IX.TextIndex.build(TB.passages(spark, sf)).save(path)
     idx = IX.TextIndex.load(spark, path)
     return S.bm25_search(idx.postings, TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
+
+
+# ---------------------------------------------------------------- vector retrieval and rerank
+
+KNN_K = 10       # neighbours per query vector
+N_CELLS = 16     # inverted-file cells
+NPROBE = 4       # cells probed per query
+RERANK_K = 100   # depth of the keyword run that is re-ranked
+
+
+def _query_vectors(spark, sf):
+    """(qid, embedding): vectors of the keyword queries (benchmark items)."""
+    vecs = TB.vectors(spark, sf)
+    return FL.subset_by_ids(vecs, TB.keyword_queries(spark, sf), "id", "qid") \
+        .select(F.col("id").alias("qid"), "embedding")
+
+
+def _ivf(spark, sf):
+    return AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="pivots")
+
+
+def _knn(spark, sf, k=KNN_K):
+    return KN.knn_exact(TB.vectors(spark, sf), _query_vectors(spark, sf), k)
+
+
+def _subset_run(spark, sf, k=RERANK_K):
+    docs = FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
+    return S.bm25_search(IX.build_postings(docs), TB.keyword_queries(spark, sf), k=k)
+
+
+@register("knn_exact", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM knn\n")
+def q_knn_exact(spark, sf):
+    return _round_cols(_knn(spark, sf), {"score"})
+
+
+@register("ann_assign", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K).split("probe AS")[0]
+                              .rstrip().rstrip(","))
+          + "SELECT CAST(cell_id AS BIGINT) AS cell_id, id FROM cellof\n")
+def q_ann_assign(spark, sf):
+    return _ivf(spark, sf).assignment.select(F.col("cell_id").cast("bigint"), "id")
+
+
+@register("ann_search", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
+def q_ann_search(spark, sf):
+    return _round_cols(_ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
+
+
+@register("ann_recall", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K), O.ivf_cte(N_CELLS, NPROBE, KNN_K)) + f"""
+, per AS (SELECT a.qid, count(k.pid) / (SELECT count(*) FROM knn k2 WHERE k2.qid = a.qid)::double AS recall
+          FROM (SELECT DISTINCT qid FROM ann) a LEFT JOIN ann x ON x.qid = a.qid
+          LEFT JOIN knn k ON k.qid = x.qid AND k.pid = x.pid GROUP BY a.qid)
+SELECT 'recall' AS metric, CAST({KNN_K} AS BIGINT) AS k, round(coalesce(avg(recall), 0.0), 6) AS value FROM per
+""")
+def q_ann_recall(spark, sf):
+    approx = _ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE)
+    return _round_cols(AN.ann_recall(approx, _knn(spark, sf), KNN_K), {"value"})
+
+
+@register("ann_stats", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K).split("probe AS")[0]
+                             .rstrip().rstrip(",")) + f"""
+, occ AS (SELECT cell_id, count(*) AS n FROM cellof GROUP BY cell_id)
+SELECT (SELECT count(DISTINCT id) FROM cellof) AS n_vectors, (SELECT count(*) FROM cellof) AS n_entries,
+       (SELECT CAST(max(len(embedding)) AS BIGINT) FROM embeddings) AS dim,
+       CAST({N_CELLS} AS BIGINT) AS n_cells, (SELECT count(*) FROM occ) AS cells_used,
+       (SELECT min(n) FROM occ) AS min_cell, (SELECT max(n) FROM occ) AS max_cell
+""")
+def q_ann_stats(spark, sf):
+    return _ivf(spark, sf).stats()
+
+
+@register("ann_saved", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
+def q_ann_saved(spark, sf):
+    path = scratch_path(spark, "vector-index")
+    _ivf(spark, sf).save(path)
+    idx = AN.VectorIndex.load(spark, path)
+    return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
+
+
+@register("ann_kmeans", None)
+def q_ann_kmeans(spark, sf):
+    """k-means cells (not reproducible in SQL): rows-only check."""
+    idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="kmeans", iters=10)
+    return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
+
+
+@register("rerank", _with(O.SUBSET_VIEW, O.postings_cte("post", "sub"), O.QUERIES_VIEW,
+                          O.run_cte("run", "kq", "post", RERANK_K), O.QVEC_CTE,
+                          O.rerank_cte("rr", "run", RERANK_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score, orig_rank FROM rr\n")
+def q_rerank(spark, sf):
+    out = RR.rerank(_subset_run(spark, sf), _query_vectors(spark, sf), TB.vectors(spark, sf), RERANK_K)
+    return _round_cols(out, {"score"})
+
+
+@register("missing_vectors", _with(*_sql_base()[:3]) + """
+SELECT qid, pid, rank FROM run WHERE pid NOT IN (SELECT vec_id FROM embeddings)
+""")
+def q_missing_vectors(spark, sf):
+    return RR.missing_vectors(_run(spark, sf), TB.vectors(spark, sf)).select("qid", "pid", "rank")

@@ -110,3 +110,63 @@ def per_query_cte(p: str, run: str, qrels: str, k: int) -> str:
 
 
 METRIC_COL = {"mrr": "rr", "recall": "recall", "map": "ap", "ndcg": "ndcg"}
+
+
+# Vector side. Inner products on double[] (elements widened exactly from float).
+def ip(a: str, b: str) -> str:
+    return f"list_inner_product({a}::double[], {b}::double[])"
+
+
+def cos(a: str, b: str) -> str:
+    den = f"(sqrt({ip(a, a)}) * sqrt({ip(b, b)}))"
+    return f"(CASE WHEN {den} = 0 THEN 0.0::double ELSE {ip(a, b)} / {den} END)"
+
+
+QVEC_CTE = """
+  qv AS (SELECT vec_id AS qid, embedding FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark))"""
+
+KNN_CTE = """
+  {name}_s AS (SELECT q.qid, p.vec_id AS pid, {score} AS score FROM qv q, embeddings p),
+  {name} AS (SELECT qid, pid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) AS BIGINT) AS rank,
+                    score FROM {name}_s
+             QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) <= {k})"""
+
+
+def knn_cte(name: str, k: int) -> str:
+    return KNN_CTE.format(name=name, k=k, score=ip("q.embedding", "p.embedding"))
+
+
+IVF_CTE = """
+  piv AS (SELECT cell_id, c FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cell_id, embedding AS c
+                                  FROM embeddings) WHERE cell_id < {cells}),
+  cellof AS (SELECT id, cell_id FROM (
+               SELECT e.vec_id AS id, piv.cell_id, {pscore} AS s FROM embeddings e, piv)
+             QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, cell_id) = 1),
+  probe AS (SELECT qid, cell_id FROM (
+              SELECT q.qid, piv.cell_id, {qscore} AS s FROM qv q, piv)
+            QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, cell_id) <= {nprobe}),
+  ann_s AS (SELECT pr.qid, e.vec_id AS pid, {cscore} AS score
+            FROM probe pr JOIN cellof co ON co.cell_id = pr.cell_id
+            JOIN embeddings e ON e.vec_id = co.id JOIN qv q ON q.qid = pr.qid),
+  ann AS (SELECT qid, pid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) AS BIGINT) AS rank,
+                 score FROM ann_s
+          QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) <= {k})"""
+
+
+def ivf_cte(cells: int, nprobe: int, k: int) -> str:
+    return IVF_CTE.format(cells=cells, nprobe=nprobe, k=k, pscore=ip("e.embedding", "piv.c"),
+                          qscore=ip("q.embedding", "piv.c"), cscore=ip("q.embedding", "e.embedding"))
+
+
+SUBSET_VIEW = "sub AS (SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings))"
+
+RERANK_CTE = """
+  {name}_j AS (SELECT r.qid, r.pid, r.rank AS orig_rank, {score} AS score
+               FROM {run} r JOIN qv q ON q.qid = r.qid JOIN embeddings p ON p.vec_id = r.pid
+               WHERE r.rank <= {k}),
+  {name} AS (SELECT qid, pid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, orig_rank) AS BIGINT)
+                    AS rank, score, orig_rank FROM {name}_j)"""
+
+
+def rerank_cte(name: str, run: str, k: int) -> str:
+    return RERANK_CTE.format(name=name, run=run, k=k, score=cos("q.embedding", "p.embedding"))
