@@ -22,6 +22,7 @@ from quarry.operators import rerank as RR
 from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
+from quarry.plans import pipelines as PL
 from quarry.session import scratch_path, table_path
 from quarry.sources import judgments as SJ
 from quarry.sources import runs as SR
@@ -480,3 +481,67 @@ SELECT qid, pid, rank FROM run WHERE pid NOT IN (SELECT vec_id FROM embeddings)
 """)
 def q_missing_vectors(spark, sf):
     return RR.missing_vectors(_run(spark, sf), TB.vectors(spark, sf)).select("qid", "pid", "rank")
+
+
+# ---------------------------------------------------------------- pipelines and comparison
+
+def _matrix_sql(systems) -> str:
+    ctes, selects = O.evaluation_sql(systems, PL.SPEC, PL.DEPTH, PL.POOL, PL.N_CELLS, PL.NPROBE)
+    return (_with(*ctes) + ", matrix AS (\n" + "\nUNION ALL\n".join(selects) + ")\n"
+            + "SELECT system, eval_set, metric, k, round(value, 6) AS value FROM matrix\n")
+
+
+@register("judgment_sets", _with(*O.judgment_sets_ctes(PL.POOL)) + "SELECT eval_set, qid, pid, rel FROM qr\n")
+def q_judgment_sets(spark, sf):
+    return PL.judgment_sets(spark, sf)
+
+
+@register("bm25_sets", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", PL.DEPTH, 0, 0)[0])
+          + "SELECT s.eval_set, r.qid, r.pid, r.rank, r.score, r.score_q FROM qsets s JOIN runs r ON r.qid = s.qid\n")
+def q_bm25_sets(spark, sf):
+    return PL.bm25_run_sets(spark, sf, PL.judgment_sets(spark, sf))
+
+
+@register("pipeline_bm25", _matrix_sql(["bm25"]))
+def q_pipeline_bm25(spark, sf):
+    return _round_cols(PL.pipeline_bm25(spark, sf), {"value"})
+
+
+@register("pipeline_ann", _matrix_sql(["ann"]))
+def q_pipeline_ann(spark, sf):
+    return _round_cols(PL.pipeline_ann(spark, sf), {"value"})
+
+
+@register("pipeline_cascade", _matrix_sql(["cascade"]))
+def q_pipeline_cascade(spark, sf):
+    return _round_cols(PL.pipeline_cascade(spark, sf), {"value"})
+
+
+@register("eval_matrix", _matrix_sql(PL.SYSTEMS))
+def q_eval_matrix(spark, sf):
+    return _round_cols(PL.eval_matrix(spark, sf), {"value"})
+
+
+def _compare_sql() -> str:
+    ctes, selects = O.evaluation_sql(PL.SYSTEMS, PL.SPEC, PL.DEPTH, PL.POOL, PL.N_CELLS, PL.NPROBE)
+    cols = ", ".join(f"round(max(CASE WHEN system = '{s}' THEN value END), 6) AS {s}" for s in PL.SYSTEMS)
+    return (_with(*ctes) + ", matrix AS (\n" + "\nUNION ALL\n".join(selects) + ")\n"
+            + f"SELECT eval_set, metric, k, {cols} FROM matrix GROUP BY eval_set, metric, k\n")
+
+
+@register("compare", _compare_sql())
+def q_compare(spark, sf):
+    return _round_cols(PL.compare_systems(PL.eval_matrix(spark, sf)), set(PL.SYSTEMS))
+
+
+@register("row_counts", _with(*O.judgment_sets_ctes(PL.POOL), O.SUBSET_VIEW) + """
+SELECT 'documents' AS source, count(*) AS n_rows FROM documents
+UNION ALL SELECT 'passages_with_vector', count(*) FROM sub
+UNION ALL SELECT 'queries', count(*) FROM benchmark
+UNION ALL SELECT 'vectors', count(*) FROM embeddings
+UNION ALL SELECT 'query_vectors', count(*) FROM qv
+UNION ALL SELECT 'qrels_' || eval_set, count(*) FROM qr GROUP BY eval_set
+UNION ALL SELECT 'queries_' || eval_set, count(DISTINCT qid) FROM qr GROUP BY eval_set
+""")
+def q_row_counts(spark, sf):
+    return PL.row_counts(spark, sf)

@@ -170,3 +170,74 @@ RERANK_CTE = """
 
 def rerank_cte(name: str, run: str, k: int) -> str:
     return RERANK_CTE.format(name=name, run=run, k=k, score=cos("q.embedding", "p.embedding"))
+
+
+# ---------------------------------------------------------------- pipelines
+
+CONTAIN_CTE = """
+  contain AS (SELECT b.item_id AS qid, d.doc_id AS pid, 1 AS rel
+              FROM benchmark b JOIN documents d ON contains(d.text, b.text))"""
+
+GRADED_CTE = """
+  {name} AS (
+    SELECT c.qid, c.pid, 2 + coalesce(l.quality, 0) AS rel
+    FROM contain c LEFT JOIN labels l ON l.doc_id = c.pid
+    UNION ALL
+    SELECT r.qid, r.pid, l.quality AS rel
+    FROM {run} r JOIN labels l ON l.doc_id = r.pid
+    WHERE r.rank <= {pool}
+      AND NOT EXISTS (SELECT 1 FROM contain c WHERE c.qid = r.qid AND c.pid = r.pid))"""
+
+QRELS_SETS_CTE = """
+  qr AS (SELECT 'dev' AS eval_set, qid, pid, rel FROM contain
+         UNION ALL SELECT 'eval_one', qid, pid, rel FROM g1
+         UNION ALL SELECT 'eval_two', qid, pid, rel FROM g2),
+  qsets AS (SELECT DISTINCT eval_set, qid FROM qr)"""
+
+
+def judgment_sets_ctes(pool: int) -> list[str]:
+    return [postings_cte("postf", "documents"), QUERIES_VIEW, run_cte("runf", "kq", "postf", pool),
+            QVEC_CTE, knn_cte("knnp", pool), CONTAIN_CTE,
+            GRADED_CTE.format(name="g1", run="runf", pool=pool),
+            GRADED_CTE.format(name="g2", run="knnp", pool=pool), QRELS_SETS_CTE]
+
+
+def system_run_ctes(system: str, depth: int, cells: int, nprobe: int) -> tuple[list[str], str]:
+    """CTEs producing the system's run over all queries, and the CTE name."""
+    if system == "bm25":
+        return [SUBSET_VIEW, postings_cte("post", "sub"), run_cte("runs", "kq", "post", depth)], "runs"
+    if system == "ann":
+        return [ivf_cte(cells, nprobe, depth)], "ann"
+    if system == "cascade":
+        ctes, base = system_run_ctes("bm25", depth, cells, nprobe)
+        return ctes + [rerank_cte("casc", base, depth)], "casc"
+    raise ValueError(system)
+
+
+def evaluation_sql(systems: list[str], spec, depth: int, pool: int, cells: int, nprobe: int,
+                   select_matrix: bool = True) -> tuple[list[str], list[str]]:
+    """(ctes, per-cell SELECTs) computing (system, eval_set, metric, k, value)."""
+    ctes = judgment_sets_ctes(pool)
+    seen = set()
+    selects = []
+    for system in systems:
+        sctes, run = system_run_ctes(system, depth, cells, nprobe)
+        for c in sctes:
+            if c not in seen:
+                ctes.append(c)
+                seen.add(c)
+        for s in sorted({s for s, _, _ in spec}):
+            ctes.append(f"r_{system}_{s} AS (SELECT r.qid, r.pid, r.rank FROM {run} r "
+                        f"WHERE r.qid IN (SELECT qid FROM qsets WHERE eval_set = '{s}'))")
+            if f"qr_{s}" not in seen:
+                ctes.append(f"qr_{s} AS (SELECT qid, pid, rel FROM qr WHERE eval_set = '{s}')")
+                seen.add(f"qr_{s}")
+            for k in sorted({k for ss, _, k in spec if ss == s}):
+                ctes.append(per_query_cte(f"pq_{system}_{s}_{k}", f"r_{system}_{s}", f"qr_{s}", k))
+            for ss, m, k in spec:
+                if ss == s:
+                    selects.append(
+                        f"SELECT '{system}' AS system, '{s}' AS eval_set, '{m}' AS metric, "
+                        f"CAST({k} AS BIGINT) AS k, coalesce(avg({METRIC_COL[m]}), 0.0) AS value "
+                        f"FROM pq_{system}_{s}_{k}")
+    return ctes, selects

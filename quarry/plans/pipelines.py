@@ -1,0 +1,174 @@
+"""End-to-end retrieval systems and their side-by-side evaluation.
+
+Three systems answer the same judged query sets:
+
+* ``bm25``: keyword index over the passages that have a vector, OR search;
+* ``ann``: inverted-file search over the passage vectors;
+* ``cascade``: the ``bm25`` run with its first k results re-ranked by cosine.
+
+Three judgment sets play the roles of a development set and two evaluation
+campaigns: ``dev`` (containment, binary), ``eval_one`` and ``eval_two``
+(graded, pooled from the top of a keyword run and of an exact vector run).
+Each set's queries are the queries it judges. The evaluation spec follows
+the studied workload: MRR@10, Recall@100, MAP@100 on dev; MRR@10, NDCG@10,
+NDCG@100 on the evaluation sets.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.operators import ann as AN
+from quarry.operators import filters as FL
+from quarry.operators import index as IX
+from quarry.operators import knn as KN
+from quarry.operators import metrics as M
+from quarry.operators import rerank as RR
+from quarry.operators import search as S
+from quarry.plans import judgments as J
+from quarry.sources import tables as TB
+
+# Fixed evaluation spec of the studied workload: (set, metric, depth).
+SPEC = [
+    ("dev", "mrr", 10), ("dev", "recall", 100), ("dev", "map", 100),
+    ("eval_one", "mrr", 10), ("eval_one", "ndcg", 10), ("eval_one", "ndcg", 100),
+    ("eval_two", "mrr", 10), ("eval_two", "ndcg", 10), ("eval_two", "ndcg", 100),
+]
+SYSTEMS = ["bm25", "ann", "cascade"]
+SETS = ["dev", "eval_one", "eval_two"]
+DEPTH = 100      # run depth of every system
+POOL = 20        # judgment pool depth
+N_CELLS = 16
+NPROBE = 4
+
+
+def _union(dfs: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
+def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    vecs = TB.vectors(spark, sf)
+    return FL.subset_by_ids(vecs, TB.keyword_queries(spark, sf), "id", "qid") \
+        .select(F.col("id").alias("qid"), "embedding")
+
+
+def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """(eval_set, qid, pid, rel) for the three sets."""
+    docs, queries = TB.passages(spark, sf), TB.keyword_queries(spark, sf)
+    contain = J.containment_qrels(docs, queries)
+    kw_pool = S.bm25_search(IX.build_postings(docs), queries, k=POOL)
+    vec_pool = KN.knn_exact(TB.vectors(spark, sf), query_vectors(spark, sf), POOL)
+    labels = TB.labels(spark, sf)
+    return _union([
+        contain.select(F.lit("dev").alias("eval_set"), "qid", "pid", "rel"),
+        J.graded_qrels(contain, kw_pool, labels, POOL).select(F.lit("eval_one").alias("eval_set"), "*"),
+        J.graded_qrels(contain, vec_pool, labels, POOL).select(F.lit("eval_two").alias("eval_set"), "*"),
+    ])
+
+
+def query_sets(queries: DataFrame, qrels: DataFrame) -> DataFrame:
+    """(eval_set, qid, ...): every query of ``queries`` judged in a set, once per set."""
+    judged = qrels.select("eval_set", "qid").distinct()
+    return queries.join(judged, "qid")
+
+
+def evaluate(run: DataFrame, qrels: DataFrame, system: str, spec=SPEC) -> DataFrame:
+    """(system, eval_set, metric, k, value) for every spec entry.
+
+    One per-query table per depth; all metrics of a depth come from one
+    ``groupBy(eval_set)`` and are unpivoted, then the spec picks its cells.
+    """
+    keys = ["eval_set"]
+    out = []
+    for k in sorted({k for _, _, k in spec}):
+        per = M.per_query_metrics(run, qrels, k, keys)
+        agg = per.groupBy(*keys).agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(m)
+                                       for m, c in M._COLUMN.items()])
+        long = agg.unpivot(keys, list(M._COLUMN), "metric", "value")
+        wanted = [(s, m) for s, m, kk in spec if kk == k]
+        cond = reduce(lambda a, b: a | b, [(F.col("eval_set") == s) & (F.col("metric") == m)
+                                           for s, m in wanted])
+        out.append(long.where(cond).withColumn("k", F.lit(k).cast("bigint")))
+    return _union(out).select(F.lit(system).alias("system"), "eval_set", "metric", "k", "value")
+
+
+def subset_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages that have a vector (the collection all three systems share)."""
+    return FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
+
+
+def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
+    """One job: the keyword run of every set's queries, keyed by (eval_set, qid)."""
+    qs = query_sets(TB.keyword_queries(spark, sf), qrels)
+    post = IX.build_postings(subset_passages(spark, sf))
+    return S.bm25_search(post, qs, k=DEPTH, extra_keys=["eval_set"])
+
+
+def pipeline_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
+    return evaluate(bm25_run_sets(spark, sf, qrels), qrels, "bm25")
+
+
+def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
+    """Search each judged query vector once, then fan the run out to its sets."""
+    qv = FL.subset_by_ids(query_vectors(spark, sf), qrels, "qid")
+    idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="pivots")
+    run = idx.search(qv, DEPTH, NPROBE)
+    return run.join(qrels.select("eval_set", "qid").distinct(), "qid")
+
+
+def pipeline_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
+    return evaluate(ann_run_sets(spark, sf, qrels), qrels, "ann")
+
+
+def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int = DEPTH) -> DataFrame:
+    if not 1 <= top <= 1000:
+        raise ValueError("top must be in 1..1000")
+    base = bm25_run_sets(spark, sf, qrels)
+    # rerank per (eval_set, qid): fold the set into the query key and back
+    keyed = base.withColumn("qid", F.struct("eval_set", "qid")).drop("eval_set")
+    qv = (query_vectors(spark, sf).join(qrels.select("eval_set", "qid").distinct(), "qid")
+          .select(F.struct("eval_set", "qid").alias("qid"), "embedding"))
+    out = RR.rerank(keyed, qv, TB.vectors(spark, sf), top)
+    return out.select(F.col("qid.eval_set").alias("eval_set"), F.col("qid.qid").alias("qid"),
+                      "pid", "rank", "score")
+
+
+def pipeline_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
+    return evaluate(cascade_run_sets(spark, sf, qrels), qrels, "cascade")
+
+
+def eval_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    qrels = judgment_sets(spark, sf)
+    return _union([pipeline_bm25(spark, sf, qrels), pipeline_ann(spark, sf, qrels),
+                   pipeline_cascade(spark, sf, qrels)])
+
+
+def compare_systems(matrix: DataFrame, systems=SYSTEMS) -> DataFrame:
+    """(eval_set, metric, k, <one column per system>)."""
+    return matrix.groupBy("eval_set", "metric", "k").pivot("system", list(systems)).agg(F.first("value"))
+
+
+def row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """(source, n_rows) of every table the pipelines load or derive."""
+    qrels = judgment_sets(spark, sf)
+    named = [
+        ("documents", TB.passages(spark, sf)),
+        ("passages_with_vector", subset_passages(spark, sf)),
+        ("queries", TB.keyword_queries(spark, sf)),
+        ("vectors", TB.vectors(spark, sf)),
+        ("query_vectors", query_vectors(spark, sf)),
+    ]
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("source"), "n_rows")
+             for n, df in named]
+    per_set = qrels.groupBy("eval_set").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.countDistinct("qid").alias("n_q"))
+    parts.append(per_set.select(F.concat(F.lit("qrels_"), F.col("eval_set")).alias("source"), "n_rows"))
+    parts.append(per_set.select(F.concat(F.lit("queries_"), F.col("eval_set")).alias("source"),
+                                F.col("n_q").alias("n_rows")))
+    return _union(parts)
