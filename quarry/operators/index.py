@@ -4,8 +4,8 @@ Plan shape (what Catalyst gets):
 
 * tokens are exploded once per document row, carrying the document length
   along, so no length join is ever needed;
-* term frequency is a ``groupBy(term, doc_id)`` whose partial aggregate
-  collapses repeats inside a document before the shuffle;
+* term frequency is counted inside each document row (sorted token array,
+  run lengths), so building postings needs no shuffle of tokens at all;
 * document frequency is a ``groupBy(term)`` (partial + final, so a term that
   occurs in every document is still combined map-side) joined back on
   ``term``; a hot term is handled by AQE's skew-join split, never by a window
@@ -32,7 +32,8 @@ def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, pos, token): every token of every document, 1-based position."""
     return (doc_tokens(docs, id_col, text_col)
-            .select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+            .select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+            .where(F.col("token").isNotNull())
             .select("doc_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "token"))
 
 
@@ -42,19 +43,31 @@ def doc_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.size(T.tokens(text_col)).cast("bigint").alias("doc_len"))
 
 
-def _term_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    toks = T.tokens(text_col)
-    return (docs.select(F.col(id_col).alias("doc_id"), toks.alias("tokens"))
-            .select("doc_id", F.size("tokens").cast("bigint").alias("doc_len"),
-                    F.explode("tokens").alias("term")))
-
-
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               keep_len: bool = False) -> DataFrame:
-    """(term, doc_id, tf[, doc_len]) -- one row per distinct term of a document."""
-    keys = ["term", "doc_id", "doc_len"] if keep_len else ["term", "doc_id"]
-    return (_term_rows(docs, id_col, text_col).groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("tf")))
+    """(term, doc_id, tf[, doc_len]) -- one row per distinct term of a document.
+
+    Counted inside each document row, so no shuffle is needed whatever the
+    source layout: the token array is sorted (byte order), equal tokens form
+    runs, and each run start gives one (term, run length) pair. All steps are
+    built-in array functions.
+    """
+    srt = F.array_sort(T.tokens(text_col))
+    d = (docs.select(F.col(id_col).alias("doc_id"), srt.alias("__s"))
+         .withColumn("__n", F.size("__s")))
+    n = F.col("__n")
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (n > 0) & ((i == 1) | (F.element_at("__s", i)
+                                                       != F.element_at("__s", i - 1))))
+    # run starts become a column first: referenced inside the lambda as an
+    # expression they would be recomputed per element
+    d = d.withColumn("__st", starts)
+    runs = F.transform("__st", lambda st, j: F.struct(
+        F.element_at("__s", st).alias("term"),
+        (F.coalesce(F.try_element_at("__st", j + 2), n + 1) - st).cast("bigint").alias("tf")))
+    out = (d.select("doc_id", n.cast("bigint").alias("doc_len"), F.explode(runs).alias("__r"))
+           .select(F.col("__r.term").alias("term"), "doc_id", "doc_len", F.col("__r.tf").alias("tf")))
+    return out if keep_len else out.drop("doc_len")
 
 
 def doc_freq(tf: DataFrame) -> DataFrame:
@@ -90,9 +103,17 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    avg_mode: str = "floor") -> DataFrame:
     """(term, doc_id, tf, df, doc_len, impact, impact_q) for every posting."""
     tf = term_freq(docs, id_col, text_col, keep_len=True)
-    stats = collection_stats(doc_lengths(docs, id_col, text_col), avg_mode)
-    n_docs = stats.select("n_docs").scalar()
-    avg_len = stats.select("avg_len").scalar()
+    # N counts every document (also token-less ones) from the id column alone;
+    # the token total comes from the tf aggregate, whose shuffle the subquery
+    # shares with the main plan, so the text is tokenized once.
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    total = tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
+    if avg_mode == "floor":
+        avg_len = F.floor(total / n_docs).cast("double")
+    elif avg_mode == "exact":
+        avg_len = (total / n_docs).cast("double")
+    else:
+        raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
     impact = T.bm25_impact("tf", "df", "doc_len", n_docs, avg_len, k1, b)
     return (tf.join(doc_freq(tf), "term")
             .withColumn("impact", impact)

@@ -12,6 +12,12 @@ campaigns: ``dev`` (containment, binary), ``eval_one`` and ``eval_two``
 Each set's queries are the queries it judges. The evaluation spec follows
 the studied workload: MRR@10, Recall@100, MAP@100 on dev; MRR@10, NDCG@10,
 NDCG@100 on the evaluation sets.
+
+Like the studied workload, which writes every run to a file before scoring
+it, the pipelines write the judgment sets and each run once to the shared
+checkpoint folder and evaluate the written copies: every later step reads
+them instead of recomputing an index, and the lineage is cut (a lost
+executor does not replay the search).
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from quarry.operators import metrics as M
 from quarry.operators import rerank as RR
 from quarry.operators import search as S
 from quarry.plans import judgments as J
+from quarry.session import materialize
 from quarry.sources import tables as TB
 
 # Fixed evaluation spec of the studied workload: (set, metric, depth).
@@ -107,9 +114,14 @@ def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
     return S.bm25_search(post, qs, k=DEPTH, extra_keys=["eval_set"])
 
 
+def saved_judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(judgment_sets(spark, sf), "judgment-sets")
+
+
 def pipeline_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
-    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
-    return evaluate(bm25_run_sets(spark, sf, qrels), qrels, "bm25")
+    qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
+    run = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
+    return evaluate(run, qrels, "bm25")
 
 
 def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
@@ -121,14 +133,17 @@ def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
 
 
 def pipeline_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
-    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
-    return evaluate(ann_run_sets(spark, sf, qrels), qrels, "ann")
+    qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
+    run = materialize(ann_run_sets(spark, sf, qrels), "run-ann")
+    return evaluate(run, qrels, "ann")
 
 
-def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int = DEPTH) -> DataFrame:
+def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int = DEPTH,
+                     base: DataFrame | None = None) -> DataFrame:
+    """Re-rank the first ``top`` results of the keyword run (given, or built here)."""
     if not 1 <= top <= 1000:
         raise ValueError("top must be in 1..1000")
-    base = bm25_run_sets(spark, sf, qrels)
+    base = base if base is not None else bm25_run_sets(spark, sf, qrels)
     # rerank per (eval_set, qid): fold the set into the query key and back
     keyed = base.withColumn("qid", F.struct("eval_set", "qid")).drop("eval_set")
     qv = (query_vectors(spark, sf).join(qrels.select("eval_set", "qid").distinct(), "qid")
@@ -138,15 +153,20 @@ def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int =
                       "pid", "rank", "score")
 
 
-def pipeline_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
-    qrels = qrels if qrels is not None else judgment_sets(spark, sf)
-    return evaluate(cascade_run_sets(spark, sf, qrels), qrels, "cascade")
+def pipeline_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
+                     base: DataFrame | None = None) -> DataFrame:
+    qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
+    base = base if base is not None else materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
+    run = materialize(cascade_run_sets(spark, sf, qrels, base=base), "run-cascade")
+    return evaluate(run, qrels, "cascade")
 
 
 def eval_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    qrels = judgment_sets(spark, sf)
-    return _union([pipeline_bm25(spark, sf, qrels), pipeline_ann(spark, sf, qrels),
-                   pipeline_cascade(spark, sf, qrels)])
+    """All three systems on all sets; the keyword run is built once and reused."""
+    qrels = saved_judgment_sets(spark, sf)
+    bm25 = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
+    return _union([evaluate(bm25, qrels, "bm25"), pipeline_ann(spark, sf, qrels),
+                   pipeline_cascade(spark, sf, qrels, base=bm25)])
 
 
 def compare_systems(matrix: DataFrame, systems=SYSTEMS) -> DataFrame:
