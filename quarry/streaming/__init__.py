@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The studied workload is batch only -- every program reads whole files and
+exits; it has no stream source, watermark, window or stateful operator.
+Nothing here is needed to cover its operators. Batch query sets are
+searched in one plan (``quarry.operators.search.bm25_search``).
+"""
