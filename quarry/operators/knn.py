@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.search import topk
+from quarry.session import ship_package
 
 PAIR_SCHEMA = "qid BIGINT, pid BIGINT, score DOUBLE"
 SUB_BATCH = 2048  # passages per matrix product inside a cell (bounds the score matrix)
@@ -78,6 +79,7 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
     n_q = n_queries if n_queries is not None else queries.count()
     n_pb = max(1, math.ceil(n_p / p_block_rows))
     n_qb = max(1, math.ceil(n_q / q_block_rows))
+    ship_package()
     p = passages.select("id", "embedding",
                         F.pmod(F.xxhash64("id"), F.lit(n_pb)).alias("pb"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("qb"))

@@ -11,9 +11,10 @@ an equi-join on an *anchor* token: any token strictly inside the query (not
 its first or last) is bounded by separators inside the query text, so it is
 a whole token of every passage containing the query. The longest interior
 token is used (long tokens are rare). Queries with fewer than three tokens
-have no interior token; they are tested against every passage with a
-non-equi join, which Spark plans as a broadcast nested loop when that
-residue is small.
+have no interior token; only if such queries exist (a count over the query
+table, which is small) are they tested against the passages with a
+non-equi join, which Spark plans as a broadcast nested loop over that
+residue. Otherwise the plan has equi-joins only.
 """
 
 from __future__ import annotations
@@ -34,14 +35,19 @@ def containment_qrels(docs: DataFrame, queries: DataFrame) -> DataFrame:
     anchored = q.where(n >= 3).select("qid", "qtext", by_len[0]["t"].alias("term"))
     short = q.where(n < 3).select("qid", "qtext")
 
-    doc_terms = docs.select("doc_id", F.explode(F.array_distinct(T.tokens("text"))).alias("term"))
+    # explode_outer + filter: a plain explode would make Catalyst re-run the regex
+    doc_terms = (docs.select("doc_id", F.explode_outer(F.array_distinct(T.tokens("text"))).alias("term"))
+                 .where(F.col("term").isNotNull()))
     cand = doc_terms.join(anchored, "term").select("qid", "qtext", "doc_id")
     hit_long = (cand.join(docs.select("doc_id", "text"), "doc_id")
                 .where(F.col("text").contains(F.col("qtext"))))
-    hit_short = (docs.select("doc_id", "text")
-                 .join(short, F.col("text").contains(F.col("qtext"))))
     cols = [F.col("qid"), F.col("doc_id").alias("pid"), F.lit(1).alias("rel")]
-    return hit_long.select(*cols).unionByName(hit_short.select(*cols))
+    out = hit_long.select(*cols)
+    if short.limit(1).count() > 0:
+        hit_short = (docs.select("doc_id", "text")
+                     .join(short, F.col("text").contains(F.col("qtext"))))
+        out = out.unionByName(hit_short.select(*cols))
+    return out
 
 
 def graded_qrels(contain: DataFrame, pool_run: DataFrame, labels: DataFrame,

@@ -85,5 +85,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def ship_package() -> None:
+    """Make the library's Python kernels importable on every worker.
+
+    Functions of this package are pickled by value, so Python workers need
+    no copy of the package on their path (the same effect as ``--py-files``,
+    without a separate deployment step). Idempotent.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["quarry"])
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

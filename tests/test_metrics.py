@@ -96,3 +96,13 @@ def test_precision_at_hits(spark):
 def test_run_lists_order(spark):
     run = run_df(spark, {1: [9, 3, 5]})
     assert M.run_lists(run).first()["pids"] == [9, 3, 5]
+
+
+def test_containment_short_and_long_queries(spark):
+    from quarry.plans.judgments import containment_qrels
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "a quickbrown fox"),
+                                  (3, "xx brown fox jumps yy")], "doc_id bigint, text string")
+    q = spark.createDataFrame([(10, "quick brown fox"), (11, "brown fox jumps"), (12, "uick"),
+                               (13, "fox")], "qid bigint, text string")
+    got = sorted((r["qid"], r["pid"]) for r in containment_qrels(docs, q).collect())
+    assert got == [(10, 1), (11, 1), (11, 3), (12, 1), (12, 2), (13, 1), (13, 2), (13, 3)]
