@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.ordering import global_prefix_sum, position_in_group
+from quarry.session import materialize
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,9 +101,14 @@ def vocabulary(tf: DataFrame) -> DataFrame:
 
 def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    k1: float = T.BM25_K1, b: float = T.BM25_B,
-                   avg_mode: str = "floor") -> DataFrame:
-    """(term, doc_id, tf, df, doc_len, impact, impact_q) for every posting."""
-    tf = term_freq(docs, id_col, text_col, keep_len=True)
+                   avg_mode: str = "floor", tf: DataFrame | None = None) -> DataFrame:
+    """(term, doc_id, tf, df, doc_len, impact, impact_q) for every posting.
+
+    ``tf`` (term, doc_id, doc_len, tf) may be given pre-computed -- e.g. a
+    written copy, so the three consumers (the postings themselves, document
+    frequency, token total) read it instead of re-tokenizing.
+    """
+    tf = tf if tf is not None else term_freq(docs, id_col, text_col, keep_len=True)
     # N counts every document (also token-less ones) from the id column alone;
     # the token total comes from the tf aggregate, whose shuffle the subquery
     # shares with the main plan, so the text is tokenized once.
@@ -169,9 +175,16 @@ class TextIndex:
 
     @classmethod
     def build(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              k1: float = T.BM25_K1, b: float = T.BM25_B, avg_mode: str = "floor") -> "TextIndex":
+              k1: float = T.BM25_K1, b: float = T.BM25_B, avg_mode: str = "floor",
+              persist_tf: bool = True) -> "TextIndex":
+        """Index ``docs``. With ``persist_tf`` the per-document term counts are
+        written once to the shared checkpoint folder (one tokenizing pass;
+        the lineage of the index starts there)."""
+        tf = term_freq(docs, id_col, text_col, keep_len=True)
+        if persist_tf:
+            tf = materialize(tf, "index-tf")
         lengths = doc_lengths(docs, id_col, text_col)
-        return cls(build_postings(docs, id_col, text_col, k1, b, avg_mode), lengths,
+        return cls(build_postings(docs, id_col, text_col, k1, b, avg_mode, tf=tf), lengths,
                    collection_stats(lengths, avg_mode),
                    {"k1": k1, "b": b, "avg_mode": avg_mode})
 
