@@ -191,34 +191,60 @@ class TextIndex:
     def lexicon(self, chunk_size: int = T.CHUNK_SIZE) -> DataFrame:
         return lexicon(self.postings, chunk_size)
 
-    def save(self, path: str, n_files: int | None = None) -> None:
-        """Write postings range-partitioned and sorted by (term, doc_id).
-
-        Sorted files give Parquet min/max statistics per row group, so a
-        ``term IN (...)`` lookup skips most of the index (the role the chunk
-        ranges of the lexicon play in a hand-made layout).
+    def save(self, path: str, n_buckets: int | None = None) -> None:
+        """Write a document-partitioned index: postings bucketed by ``doc_id``.
+
+        Every bucket holds all postings of its documents, sorted by term (so
+        Parquet row-group statistics on ``term`` still prune a term lookup).
+        A search over the reloaded index therefore sums a document's score
+        inside the bucket's task and keeps a per-bucket top-k there: the
+        only shuffle is k rows per query per bucket, on ``qid``. Rows are
+        hash-partitioned on the bucket key first, so each bucket is one file.
         """
         spark = self.postings.sparkSession
-        n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (self.postings.repartitionByRange(n, "term", "doc_id")
-         .sortWithinPartitions("term", "doc_id")
-         .write.mode("overwrite").parquet(f"{path}/postings"))
-        post = spark.read.parquet(f"{path}/postings")
+        n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = _table_name(path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (self.postings.repartition(n, "doc_id")
+         .write.bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
+         .option("path", f"{path}/postings").saveAsTable(name))
+        post = _bucketed_table(spark, path, n)
         lexicon(post).write.mode("overwrite").parquet(f"{path}/lexicon")
         self.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
         self.stats.write.mode("overwrite").parquet(f"{path}/stats")
-        spark.createDataFrame([(k, str(v)) for k, v in self.params.items()],
+        params = {**self.params, "n_buckets": n}
+        spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/params")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TextIndex":
+        """Reload a saved index; postings come back as a bucketed table."""
         params = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/params").collect()}
         typed = {"k1": float(params.get("k1", T.BM25_K1)), "b": float(params.get("b", T.BM25_B)),
-                 "avg_mode": params.get("avg_mode", "floor")}
-        return cls(spark.read.parquet(f"{path}/postings"),
+                 "avg_mode": params.get("avg_mode", "floor"),
+                 "n_buckets": int(params["n_buckets"])}
+        return cls(_bucketed_table(spark, path, typed["n_buckets"]),
                    spark.read.parquet(f"{path}/doc_lengths"),
                    spark.read.parquet(f"{path}/stats"), typed)
 
     def saved_lexicon(self, path: str) -> DataFrame:
         return self.postings.sparkSession.read.parquet(f"{path}/lexicon")
+
+
+_POSTINGS_COLUMNS = ("term STRING, doc_id BIGINT, tf BIGINT, df BIGINT, doc_len BIGINT, "
+                     "impact DOUBLE, impact_q INT")
+
+
+def _table_name(path: str) -> str:
+    import hashlib
+    return "quarry_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def _bucketed_table(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
+    """Register the saved postings as a bucketed external table (session catalog)."""
+    name = _table_name(path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_POSTINGS_COLUMNS}) USING parquet "
+              f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {n_buckets} BUCKETS "
+              f"LOCATION '{path}/postings'")
+    return spark.table(name)

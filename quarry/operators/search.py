@@ -53,13 +53,21 @@ def score(postings: DataFrame, qterms: DataFrame) -> DataFrame:
 
 def bm25_search(postings: DataFrame, queries: DataFrame, k: int | None = 1000,
                 mode: str = "or", id_col: str = "qid", text_col: str = "text",
-                extra_keys: list[str] | None = None) -> DataFrame:
+                extra_keys: list[str] | None = None,
+                broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Run (qid, pid, rank, score, score_q) for a batch of queries.
 
     ``mode='or'``: any matched term makes a candidate. ``mode='and'``: every
     distinct query term (including ones absent from the index) must match.
     Ties go to the smaller ``doc_id``. ``extra_keys`` (e.g. an evaluation-set
     column) are carried through and become part of the query key.
+
+    The (qid, term) table is broadcast when a count shows at most
+    ``broadcast_rows`` rows: the postings then stay where they are (with a
+    document-bucketed index the per-document sum and a per-bucket top-k run
+    without any shuffle). Beyond the bound, or with ``broadcast_rows=None``,
+    the planner's own choice applies (a shuffle join on ``term``, hot terms
+    split by AQE's skew join).
     """
     if mode not in ("or", "and"):
         raise ValueError(f"mode must be 'or' or 'and', got {mode!r}")
@@ -71,6 +79,8 @@ def bm25_search(postings: DataFrame, queries: DataFrame, k: int | None = 1000,
         qt = query_terms(q, "__qkey", text_col)
     else:
         qt = query_terms(q, id_col, text_col)
+    if broadcast_rows is not None and qt.count() <= broadcast_rows:
+        qt = F.broadcast(qt)
     scored = score(postings, qt)
     if mode == "and":
         scored = scored.where(F.col("n_matched") == F.col("n_terms"))
