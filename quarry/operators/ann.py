@@ -8,9 +8,10 @@ are scored exactly; the top k per query is kept. More cells probed (or more
 cells per vector) means better recall and more work -- the same trade-off
 as the graph index's search/connectivity knobs.
 
-The centroid table is bounded by ``n_cells`` (a parameter), so it reaches
-every row as a scalar subquery holding one array; cell choice is a
-per-row array computation -- no join, no shuffle, no driver loop. A cell that
+The centroid table is bounded by ``n_cells`` (a parameter): it is collected
+once and shipped to every executor as one broadcast variable, and cell
+choice is a matrix product per Arrow batch (``mapInPandas``) -- no join, no
+shuffle, no pair rows. Candidate scores are computed on the JVM. A cell that
 holds a third of all vectors makes a skewed join key, which AQE's skew join
 splits.
 """
@@ -19,12 +20,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from quarry.functions.vector import dot
 from quarry.operators import metrics as M
 from quarry.operators.search import topk
+from quarry.session import ship_package
 
 
 def pivot_centroids(vectors: DataFrame, n_cells: int) -> DataFrame:
@@ -53,20 +57,48 @@ def kmeans_centroids(vectors: DataFrame, n_cells: int, iters: int = 20, seed: in
     return spark.createDataFrame(rows, "cell_id BIGINT, centroid ARRAY<FLOAT>")
 
 
+def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(cell ids, n_cells x d float64 matrix), ordered by cell id.
+
+    Collected to the driver on purpose: the table has ``n_cells`` rows, a
+    build parameter, never a data-dependent size.
+    """
+    rows = centroids.select("cell_id", "centroid").orderBy("cell_id").collect()
+    ids = np.array([r["cell_id"] for r in rows], dtype=np.int64)
+    mat = np.array([np.asarray(r["centroid"], dtype=np.float64) for r in rows])
+    return ids, mat
+
+
 def with_nearest_cells(df: DataFrame, vec_col: str, centroids: DataFrame, n: int,
                        out_col: str = "cells") -> DataFrame:
     """Add ``out_col``: the ``n`` best cell ids by inner product (ties: smaller cell id).
 
-    The centroid list arrives as a scalar subquery column (computed once,
-    bounded by ``n_cells``); the lambda then scores it row by row.
+    The centroid matrix travels once per executor as a broadcast variable;
+    each Arrow batch of rows is scored against it with one matrix product.
     """
-    table = centroids.agg(F.collect_list(F.struct("cell_id", "centroid")).alias("c")).scalar()
-    scored = F.transform(F.col("__cents"), lambda c: F.struct(
-        (-dot(c["centroid"], F.col(vec_col))).alias("neg"), c["cell_id"].alias("cell_id")))
-    return (df.withColumn("__cents", table)
-            .withColumn(out_col, F.transform(F.slice(F.sort_array(scored), 1, n),
-                                             lambda x: x["cell_id"]))
-            .drop("__cents"))
+    spark = df.sparkSession
+    ship_package()
+    ids, mat = centroid_matrix(centroids)
+    bc = spark.sparkContext.broadcast((ids, mat))
+    schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(LongType()))])
+    return df.mapInPandas(_cells_kernel(bc, vec_col, out_col, n), schema)
+
+
+def _cells_kernel(bc, vec_col: str, out_col: str, n: int):
+    def run(batches):
+        ids, mat = bc.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                pdf[out_col] = []
+                yield pdf
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
+            s = x @ mat.T
+            # order by (score desc, cell id asc); take the first n
+            order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :n]
+            pdf[out_col] = list(ids[order])
+            yield pdf
+    return run
 
 
 def assign(vectors: DataFrame, centroids: DataFrame, assign_k: int = 1) -> DataFrame:
