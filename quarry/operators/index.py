@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.ordering import global_prefix_sum, position_in_group
-from quarry.session import materialize
+from quarry.session import materialize_bucketed
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,11 +178,13 @@ class TextIndex:
               k1: float = T.BM25_K1, b: float = T.BM25_B, avg_mode: str = "floor",
               persist_tf: bool = True) -> "TextIndex":
         """Index ``docs``. With ``persist_tf`` the per-document term counts are
-        written once to the shared checkpoint folder (one tokenizing pass;
-        the lineage of the index starts there)."""
+        written once to the shared checkpoint folder, bucketed on ``doc_id``
+        (one tokenizing pass; the lineage of the index starts there)."""
         tf = term_freq(docs, id_col, text_col, keep_len=True)
         if persist_tf:
-            tf = materialize(tf, "index-tf")
+            # bucketed on doc_id: postings derived from it keep the document
+            # partitioning, so a search needs no exchange before its top-k
+            tf = materialize_bucketed(tf, "index-tf", "doc_id")
         lengths = doc_lengths(docs, id_col, text_col)
         return cls(build_postings(docs, id_col, text_col, k1, b, avg_mode, tf=tf), lengths,
                    collection_stats(lengths, avg_mode),
@@ -211,7 +213,9 @@ class TextIndex:
         post = _bucketed_table(spark, path, n)
         lexicon(post).write.mode("overwrite").parquet(f"{path}/lexicon")
         self.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
-        self.stats.write.mode("overwrite").parquet(f"{path}/stats")
+        # stats from the written lengths: no second tokenizing pass
+        collection_stats(spark.read.parquet(f"{path}/doc_lengths"), self.params["avg_mode"]) \
+            .write.mode("overwrite").parquet(f"{path}/stats")
         params = {**self.params, "n_buckets": n}
         spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \

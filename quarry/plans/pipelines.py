@@ -65,8 +65,9 @@ def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     """(eval_set, qid, pid, rel) for the three sets."""
     docs, queries = TB.passages(spark, sf), TB.keyword_queries(spark, sf)
-    contain = J.containment_qrels(docs, queries)
-    kw_pool = S.bm25_search(IX.build_postings(docs), queries, k=POOL)
+    # written once: every set refers to the containment pairs (five times)
+    contain = materialize(J.containment_qrels(docs, queries), "containment")
+    kw_pool = S.bm25_search(IX.TextIndex.build(docs).postings, queries, k=POOL)
     vec_pool = KN.knn_exact(TB.vectors(spark, sf), query_vectors(spark, sf), POOL)
     labels = TB.labels(spark, sf)
     return _union([
@@ -110,7 +111,7 @@ def subset_passages(spark: SparkSession, sf: str) -> DataFrame:
 def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
     """One job: the keyword run of every set's queries, keyed by (eval_set, qid)."""
     qs = query_sets(TB.keyword_queries(spark, sf), qrels)
-    post = IX.build_postings(subset_passages(spark, sf))
+    post = IX.TextIndex.build(subset_passages(spark, sf)).postings
     return S.bm25_search(post, qs, k=DEPTH, extra_keys=["eval_set"])
 
 

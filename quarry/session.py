@@ -85,6 +85,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, n_buckets: int | None = None,
+                         sort_by: str | None = None) -> DataFrame:
+    """Like ``materialize``, but written as a table bucketed on ``key``.
+
+    Readers then know the rows are hash-partitioned on ``key``: an aggregate
+    or join on that key (or on a superset of it) needs no exchange. The table
+    lives in the session catalog, its files below the shared folder.
+    """
+    spark = df.sparkSession
+    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = "quarry_tmp_" + path.rsplit("-", 1)[-1]
+    writer = df.repartition(n, key).write.bucketBy(n, key)
+    if sort_by:
+        writer = writer.sortBy(sort_by)
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def ship_package() -> None:
     """Make the library's Python kernels importable on every worker.
 
