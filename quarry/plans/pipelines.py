@@ -162,9 +162,9 @@ def pipeline_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = Non
     return evaluate(run, qrels, "cascade")
 
 
-def eval_matrix(spark: SparkSession, sf: str) -> DataFrame:
+def eval_matrix(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
     """All three systems on all sets; the keyword run is built once and reused."""
-    qrels = saved_judgment_sets(spark, sf)
+    qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
     bm25 = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
     return _union([evaluate(bm25, qrels, "bm25"), pipeline_ann(spark, sf, qrels),
                    pipeline_cascade(spark, sf, qrels, base=bm25)])
