@@ -1,15 +1,21 @@
 """Exact k-nearest-neighbour search by inner product, as blocked matrix products.
 
-The pair space queries x passages is cut into a grid of cells: passages are
-hashed into ``n_pb`` blocks and queries into ``n_qb`` blocks, each passage
-row is replicated to every query block and each query row to every passage
-block (the replication scheme of distributed block matrix multiplication),
-and one ``cogroup`` task per cell multiplies its two blocks with NumPy and
-keeps the k best passages per query. Block counts follow the table sizes, so
-a cell holds at most ``p_block_rows`` passages and ``q_block_rows`` queries
-whatever the scale; nothing is collected to the driver and no pair is ever
-a row. A final ``row_number`` keeps the global top k from at most
-k x ``n_pb`` partial rows per query.
+Small query sets (the usual batch) take a broadcast path: the query block,
+bounded by ``q_block_rows``, is one broadcast variable and each passage
+partition streams through a running top-k -- passages are not shuffled.
+
+For larger query sets the pair space queries x passages is cut into a grid
+of cells: passages are hashed into ``n_pb`` blocks and queries into ``n_qb``
+blocks, each passage row is replicated to every query block and each query
+row to every passage block (the replication scheme of distributed block
+matrix multiplication), and one ``cogroup`` task per cell multiplies its two
+blocks with NumPy and keeps the k best passages per query. Block counts
+follow the table sizes, so a cell holds at most ``p_block_rows`` passages
+and ``q_block_rows`` queries whatever the scale, and nothing goes through
+the driver.
+
+Either way no pair is ever a row, and a final ``row_number`` keeps the
+global top k from at most k partial rows per query per task.
 """
 
 from __future__ import annotations
@@ -32,29 +38,44 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
 
 
+class RunningTopK:
+    """Best k passages per query over a stream of passage batches.
+
+    Order: score descending, then passage id ascending (ties to the smaller id).
+    """
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, k: int):
+        self.q_ids, self.q, self.k = q_ids, q, k
+        self.best_s = np.full((len(q_ids), 0), -np.inf)
+        self.best_p = np.zeros((len(q_ids), 0), dtype=np.int64)
+
+    def add(self, p_ids: np.ndarray, p: np.ndarray) -> None:
+        for lo in range(0, len(p_ids), SUB_BATCH):
+            s = self.q @ p[lo:lo + SUB_BATCH].T
+            ids = np.broadcast_to(p_ids[lo:lo + SUB_BATCH], s.shape)
+            s = np.concatenate([self.best_s, s], axis=1)
+            ids = np.concatenate([self.best_p, ids], axis=1)
+            if s.shape[1] > self.k:
+                keep = np.lexsort((ids, -s), axis=1)[:, :self.k]
+                s = np.take_along_axis(s, keep, axis=1)
+                ids = np.take_along_axis(ids, keep, axis=1)
+            self.best_s, self.best_p = s, ids
+
+    def frame(self) -> pd.DataFrame:
+        m = self.best_s.shape[1]
+        return pd.DataFrame({"qid": np.repeat(self.q_ids, m).astype(np.int64),
+                             "pid": self.best_p.ravel().astype(np.int64),
+                             "score": self.best_s.ravel().astype(np.float64)})
+
+
 def block_topk(q_ids: np.ndarray, q: np.ndarray, p_ids: np.ndarray, p: np.ndarray,
                k: int) -> pd.DataFrame:
     """Top k passages per query of one block pair; ties to the smaller passage id."""
     if len(q_ids) == 0 or len(p_ids) == 0:
         return pd.DataFrame({"qid": [], "pid": [], "score": []})
-    order = np.argsort(p_ids, kind="stable")
-    p_ids, p = p_ids[order], p[order]
-    best_s = np.full((len(q_ids), 0), -np.inf)
-    best_i = np.zeros((len(q_ids), 0), dtype=np.int64)
-    for lo in range(0, len(p_ids), SUB_BATCH):
-        s = q @ p[lo:lo + SUB_BATCH].T
-        idx = np.broadcast_to(np.arange(lo, lo + s.shape[1]), s.shape)
-        s = np.concatenate([best_s, s], axis=1)
-        idx = np.concatenate([best_i, idx], axis=1)
-        if s.shape[1] > k:
-            # order by (score desc, passage position asc); positions follow ids
-            keep = np.lexsort((idx, -s), axis=1)[:, :k]
-            s = np.take_along_axis(s, keep, axis=1)
-            idx = np.take_along_axis(idx, keep, axis=1)
-        best_s, best_i = s, idx
-    m = best_s.shape[1]
-    return pd.DataFrame({"qid": np.repeat(q_ids, m), "pid": p_ids[best_i.ravel()],
-                         "score": best_s.ravel()})
+    acc = RunningTopK(q_ids, q, k)
+    acc.add(p_ids, p)
+    return acc.frame()
 
 
 def _kernel(k: int):
@@ -65,6 +86,18 @@ def _kernel(k: int):
     return run
 
 
+def _stream_kernel(bc, k: int):
+    def run(batches):
+        q_ids, q = bc.value
+        acc = RunningTopK(q_ids, q, k)
+        for pdf in batches:
+            if len(pdf):
+                acc.add(pdf["id"].to_numpy(np.int64), _stack(pdf["embedding"]))
+        if len(q_ids):
+            yield acc.frame()
+    return run
+
+
 def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
               p_block_rows: int = 65536, q_block_rows: int = 4096,
               n_passages: int | None = None, n_queries: int | None = None) -> DataFrame:
@@ -72,14 +105,27 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
 
     ``passages(id, embedding)``, ``queries(qid, embedding)``. Fewer than k
     passages give fewer rows (never padding). Ties go to the smaller id.
-    The two counts size the grid; pass them when known to skip two scans of
-    footer metadata.
+
+    If the queries fit in one block (at most ``q_block_rows``, a size bound
+    checked by a count), they travel as one broadcast variable and every
+    passage partition streams its Arrow batches through a running top-k:
+    passages are never shuffled. Larger query sets use the cogroup grid.
+    The counts may be passed when known.
     """
-    n_p = n_passages if n_passages is not None else passages.count()
+    ship_package()
     n_q = n_queries if n_queries is not None else queries.count()
+    if n_q <= q_block_rows:
+        rows = queries.select("qid", "embedding").collect()  # <= q_block_rows rows
+        q_ids = np.array([r["qid"] for r in rows], dtype=np.int64)
+        q = (np.stack([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
+             if rows else np.zeros((0, 0)))
+        bc = passages.sparkSession.sparkContext.broadcast((q_ids, q))
+        pairs = passages.select("id", "embedding").mapInPandas(_stream_kernel(bc, k), PAIR_SCHEMA)
+        return topk(pairs, k, "qid", [F.col("score").desc(), F.col("pid").asc()]) \
+            .select("qid", "pid", "rank", "score")
+    n_p = n_passages if n_passages is not None else passages.count()
     n_pb = max(1, math.ceil(n_p / p_block_rows))
     n_qb = max(1, math.ceil(n_q / q_block_rows))
-    ship_package()
     p = passages.select("id", "embedding",
                         F.pmod(F.xxhash64("id"), F.lit(n_pb)).alias("pb"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("qb"))

@@ -103,3 +103,11 @@ def test_vector_dim_check(spark, tmp_path):
     write_vectors(vec_df(spark, [(1, [1.0, 2.0]), (2, [1.0])]), path)
     with pytest.raises(Exception, match="dimension"):
         read_vectors(spark, path, dim=2).collect()
+
+
+def test_knn_broadcast_and_grid_paths_agree(spark, sf_small):
+    vecs = TB.vectors(spark, sf_small)
+    queries = vecs.where("id % 40 = 3").select(F.col("id").alias("qid"), "embedding")
+    a = KN.knn_exact(vecs, queries, 10).select("qid", "pid", "rank")            # broadcast path
+    b = KN.knn_exact(vecs, queries, 10, p_block_rows=50, q_block_rows=4).select("qid", "pid", "rank")  # grid
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
