@@ -4,8 +4,9 @@ Only the first k ranks of every query are looked at (the rest is dropped).
 Both vector lookups are equi-joins on the id; the query vectors join on
 ``qid`` (one row per query) and the passage vectors on ``pid``. The new
 order is cosine descending, ties keeping the original rank order. A run
-passage without a vector fails the job (``on_missing='error'``) or is
-dropped (``'drop'``).
+passage without a vector raises ``ValueError`` (``on_missing='error'``,
+checked over the id columns before the re-ranking job) or is dropped
+(``'drop'``).
 """
 
 from __future__ import annotations
@@ -23,25 +24,43 @@ def missing_vectors(run: DataFrame, vectors: DataFrame) -> DataFrame:
     return run.join(vectors.select(F.col("id").alias("pid")), "pid", "left_anti")
 
 
+def _missing_pids(head: DataFrame, p_vectors: DataFrame) -> DataFrame:
+    """Head passage ids without a vector; reads only the id column of the vectors."""
+    wanted = head.select("pid").distinct()
+    found = p_vectors.select(F.col("id").alias("pid")).join(F.broadcast(wanted), "pid")
+    return wanted.join(found, "pid", "left_anti")
+
+
 def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
-           on_missing: str = "error") -> DataFrame:
+           on_missing: str = "error", broadcast_rows: int | None = 5_000_000) -> DataFrame:
     """Run (qid, pid, rank, score, orig_rank): the first k of ``run`` by cosine.
 
     ``q_vectors(qid, embedding)``, ``p_vectors(id, embedding)``.
+
+    When a count shows the run head (queries x k rows) within
+    ``broadcast_rows``, the head is broadcast and the passage-vector table is
+    streamed past it, never shuffled; beyond the bound the planner's shuffle
+    join applies. ``on_missing='error'`` first checks that every head passage
+    (and query) has a vector -- a query over the id columns only -- and
+    raises ``ValueError`` naming one that does not.
     """
     if on_missing not in ("error", "drop"):
         raise ValueError(f"on_missing must be 'error' or 'drop', got {on_missing!r}")
     head = truncate_run(run, k).select("qid", "pid", F.col("rank").alias("orig_rank"))
+    small = broadcast_rows is not None and head.count() <= broadcast_rows
+    if on_missing == "error":
+        gone = (_missing_pids(F.broadcast(head) if small else head, p_vectors)).limit(1).collect()
+        if gone:
+            raise ValueError(f"no vector for passage {gone[0]['pid']}")
+        gone_q = (head.select("qid").distinct()
+                  .join(q_vectors.select("qid"), "qid", "left_anti").limit(1).collect())
+        if gone_q:
+            raise ValueError(f"no vector for query {gone_q[0]['qid']}")
+    if small:
+        head = F.broadcast(head)
     qv = q_vectors.select("qid", F.col("embedding").alias("qv"))
     pv = p_vectors.select(F.col("id").alias("pid"), F.col("embedding").alias("pv"))
-    if on_missing == "drop":
-        j = head.join(qv, "qid").join(pv, "pid")
-    else:
-        j = (head.join(qv, "qid", "left").join(pv, "pid", "left")
-             .withColumn("qv", F.when(F.col("qv").isNull(), F.raise_error(F.concat(
-                 F.lit("no vector for query "), F.col("qid").cast("string")))).otherwise(F.col("qv")))
-             .withColumn("pv", F.when(F.col("pv").isNull(), F.raise_error(F.concat(
-                 F.lit("no vector for passage "), F.col("pid").cast("string")))).otherwise(F.col("pv"))))
+    j = pv.join(head, "pid").join(qv, "qid")
     scored = j.select("qid", "pid", "orig_rank", cosine("qv", "pv").alias("score"))
     return topk(scored, None, "qid", [F.col("score").desc(), F.col("orig_rank").asc()]) \
         .select("qid", "pid", "rank", "score", "orig_rank")

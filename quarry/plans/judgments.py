@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.session import materialize
 
 
-def containment_qrels(docs: DataFrame, queries: DataFrame) -> DataFrame:
+def containment_qrels(docs: DataFrame, queries: DataFrame,
+                      broadcast_rows: int = 2_000_000) -> DataFrame:
     """(qid, pid, rel=1) for every passage containing the query text verbatim."""
     q = queries.select("qid", F.col("text").alias("qtext"), T.tokens("text").alias("qt"))
     n = F.size("qt")
@@ -38,8 +40,13 @@ def containment_qrels(docs: DataFrame, queries: DataFrame) -> DataFrame:
     # explode_outer + filter: a plain explode would make Catalyst re-run the regex
     doc_terms = (docs.select("doc_id", F.explode_outer(F.array_distinct(T.tokens("text"))).alias("term"))
                  .where(F.col("term").isNotNull()))
-    cand = doc_terms.join(anchored, "term").select("qid", "qtext", "doc_id")
-    hit_long = (cand.join(docs.select("doc_id", "text"), "doc_id")
+    # candidates are written once and counted: broadcast when small, so the
+    # documents' text is streamed past them instead of being shuffled
+    cand = materialize(doc_terms.join(anchored, "term").select("qid", "qtext", "doc_id"),
+                       "containment-candidates")
+    if cand.count() <= broadcast_rows:
+        cand = F.broadcast(cand)
+    hit_long = (docs.select("doc_id", "text").join(cand, "doc_id")
                 .where(F.col("text").contains(F.col("qtext"))))
     cols = [F.col("qid"), F.col("doc_id").alias("pid"), F.lit(1).alias("rel")]
     out = hit_long.select(*cols)
