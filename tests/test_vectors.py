@@ -111,3 +111,16 @@ def test_knn_broadcast_and_grid_paths_agree(spark, sf_small):
     a = KN.knn_exact(vecs, queries, 10).select("qid", "pid", "rank")            # broadcast path
     b = KN.knn_exact(vecs, queries, 10, p_block_rows=50, q_block_rows=4).select("qid", "pid", "rank")  # grid
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_saved_ann_index_reads_only_probed_cells(spark, sf_small, tmp_path):
+    path = str(tmp_path / "vidx")
+    vecs = TB.vectors(spark, sf_small)
+    AN.VectorIndex.build(vecs, 8).save(path)
+    idx = AN.VectorIndex.load(spark, path)
+    q = vecs.where("id < 3").select(F.col("id").alias("qid"), "embedding")
+    run = idx.search(q, 5, nprobe=2)
+    run.write.format("noop").mode("overwrite").save()
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+    assert run.count() == 15
