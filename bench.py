@@ -21,7 +21,7 @@ from quarry.operators import index as IX  # noqa: E402
 from quarry.operators import knn as KN  # noqa: E402
 from quarry.operators import rerank as RR  # noqa: E402
 from quarry.operators import search as S  # noqa: E402
-from quarry.plans import pipelines as PL  # noqa: E402
+from quarry.plans import systems as PL  # noqa: E402
 from quarry.session import get_session, scratch_path  # noqa: E402
 from quarry.sources import tables as TB  # noqa: E402
 

@@ -4,6 +4,6 @@ Layout:
   functions/  column expressions (tokenizer, BM25, quantiser, vector math)
   sources/    readers and writers (tables, TSV, judgments, runs, vectors)
   operators/  index build, keyword search, kNN, ANN, rerank, metrics, filters
-  plans/      end-to-end pipelines, derived judgments, the query catalog
+  plans/      retrieval systems end to end, derived judgments, the query catalog
   streaming/  (empty: the workload is batch only)
 """

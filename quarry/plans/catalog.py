@@ -22,7 +22,7 @@ from quarry.operators import rerank as RR
 from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
-from quarry.plans import pipelines as PL
+from quarry.plans import systems as PL
 from quarry.session import scratch_path, table_path
 from quarry.sources import judgments as SJ
 from quarry.sources import runs as SR
@@ -483,7 +483,7 @@ def q_missing_vectors(spark, sf):
     return RR.missing_vectors(_run(spark, sf), TB.vectors(spark, sf)).select("qid", "pid", "rank")
 
 
-# ---------------------------------------------------------------- pipelines and comparison
+# ---------------------------------------------------------------- systems, evaluation and comparison
 
 def _matrix_sql(systems) -> str:
     ctes, selects = O.evaluation_sql(systems, PL.SPEC, PL.DEPTH, PL.POOL, PL.N_CELLS, PL.NPROBE)
@@ -502,19 +502,19 @@ def q_bm25_sets(spark, sf):
     return PL.bm25_run_sets(spark, sf, PL.judgment_sets(spark, sf))
 
 
-@register("pipeline_bm25", _matrix_sql(["bm25"]))
-def q_pipeline_bm25(spark, sf):
-    return _round_cols(PL.pipeline_bm25(spark, sf), {"value"})
+@register("eval_bm25", _matrix_sql(["bm25"]))
+def q_eval_bm25(spark, sf):
+    return _round_cols(PL.evaluate_bm25(spark, sf), {"value"})
 
 
-@register("pipeline_ann", _matrix_sql(["ann"]))
-def q_pipeline_ann(spark, sf):
-    return _round_cols(PL.pipeline_ann(spark, sf), {"value"})
+@register("eval_ann", _matrix_sql(["ann"]))
+def q_eval_ann(spark, sf):
+    return _round_cols(PL.evaluate_ann(spark, sf), {"value"})
 
 
-@register("pipeline_cascade", _matrix_sql(["cascade"]))
-def q_pipeline_cascade(spark, sf):
-    return _round_cols(PL.pipeline_cascade(spark, sf), {"value"})
+@register("eval_cascade", _matrix_sql(["cascade"]))
+def q_eval_cascade(spark, sf):
+    return _round_cols(PL.evaluate_cascade(spark, sf), {"value"})
 
 
 @register("eval_matrix", _matrix_sql(PL.SYSTEMS))

@@ -172,7 +172,7 @@ def rerank_cte(name: str, run: str, k: int) -> str:
     return RERANK_CTE.format(name=name, run=run, k=k, score=cos("q.embedding", "p.embedding"))
 
 
-# ---------------------------------------------------------------- pipelines
+# ---------------------------------------------------------------- systems and their evaluation
 
 CONTAIN_CTE = """
   contain AS (SELECT b.item_id AS qid, d.doc_id AS pid, 1 AS rel

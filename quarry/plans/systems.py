@@ -14,7 +14,7 @@ the studied workload: MRR@10, Recall@100, MAP@100 on dev; MRR@10, NDCG@10,
 NDCG@100 on the evaluation sets.
 
 Like the studied workload, which writes every run to a file before scoring
-it, the pipelines write the judgment sets and each run once to the shared
+it, the system runners write the judgment sets and each run once to the shared
 checkpoint folder and evaluate the written copies: every later step reads
 them instead of recomputing an index, and the lineage is cut (a lost
 executor does not replay the search).
@@ -119,7 +119,7 @@ def saved_judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(judgment_sets(spark, sf), "judgment-sets")
 
 
-def pipeline_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+def evaluate_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
     run = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
     return evaluate(run, qrels, "bm25")
@@ -133,7 +133,7 @@ def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
     return run.join(qrels.select("eval_set", "qid").distinct(), "qid")
 
 
-def pipeline_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+def evaluate_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
     run = materialize(ann_run_sets(spark, sf, qrels), "run-ann")
     return evaluate(run, qrels, "ann")
@@ -154,7 +154,7 @@ def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int =
                       "pid", "rank", "score")
 
 
-def pipeline_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
+def evaluate_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
                      base: DataFrame | None = None) -> DataFrame:
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
     base = base if base is not None else materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
@@ -166,8 +166,8 @@ def eval_matrix(spark: SparkSession, sf: str, qrels: DataFrame | None = None) ->
     """All three systems on all sets; the keyword run is built once and reused."""
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
     bm25 = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
-    return _union([evaluate(bm25, qrels, "bm25"), pipeline_ann(spark, sf, qrels),
-                   pipeline_cascade(spark, sf, qrels, base=bm25)])
+    return _union([evaluate(bm25, qrels, "bm25"), evaluate_ann(spark, sf, qrels),
+                   evaluate_cascade(spark, sf, qrels, base=bm25)])
 
 
 def compare_systems(matrix: DataFrame, systems=SYSTEMS) -> DataFrame:
@@ -176,7 +176,7 @@ def compare_systems(matrix: DataFrame, systems=SYSTEMS) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """(source, n_rows) of every table the pipelines load or derive."""
+    """(source, n_rows) of every table the systems load or derive."""
     qrels = judgment_sets(spark, sf)
     named = [
         ("documents", TB.passages(spark, sf)),
