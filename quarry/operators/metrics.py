@@ -92,14 +92,14 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, k: int | None,
         F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(0.0)).alias("ndcg"))
 
 
-_COLUMN = {"mrr": "rr", "recall": "recall", "map": "ap", "ndcg": "ndcg"}
+METRIC_COLUMNS = {"mrr": "rr", "recall": "recall", "map": "ap", "ndcg": "ndcg"}
 
 
 def aggregate_metric(per_query: DataFrame, metric: str, k: int | None,
                      keys: list[str] | None = None) -> DataFrame:
     """(keys..., metric, k, value): mean over the queries the metric counts."""
     keys = list(keys or [])
-    value = F.coalesce(F.avg(_COLUMN[metric]), F.lit(0.0)).alias("value")
+    value = F.coalesce(F.avg(METRIC_COLUMNS[metric]), F.lit(0.0)).alias("value")
     head = [F.lit(metric).alias("metric"), F.lit(k).cast("bigint").alias("k")]
     if keys:
         return per_query.groupBy(*keys).agg(value).select(*keys, *head, "value")

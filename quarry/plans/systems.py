@@ -94,8 +94,8 @@ def evaluate(run: DataFrame, qrels: DataFrame, system: str, spec=SPEC) -> DataFr
     for k in sorted({k for _, _, k in spec}):
         per = M.per_query_metrics(run, qrels, k, keys)
         agg = per.groupBy(*keys).agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(m)
-                                       for m, c in M._COLUMN.items()])
-        long = agg.unpivot(keys, list(M._COLUMN), "metric", "value")
+                                       for m, c in M.METRIC_COLUMNS.items()])
+        long = agg.unpivot(keys, list(M.METRIC_COLUMNS), "metric", "value")
         wanted = [(s, m) for s, m, kk in spec if kk == k]
         cond = reduce(lambda a, b: a | b, [(F.col("eval_set") == s) & (F.col("metric") == m)
                                            for s, m in wanted])
