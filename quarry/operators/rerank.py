@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vector import cosine
 from quarry.operators.metrics import truncate_run
 from quarry.operators.search import topk
+from quarry.session import materialize
 
 
 def missing_vectors(run: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -46,7 +47,10 @@ def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
     """
     if on_missing not in ("error", "drop"):
         raise ValueError(f"on_missing must be 'error' or 'drop', got {on_missing!r}")
-    head = truncate_run(run, k).select("qid", "pid", F.col("rank").alias("orig_rank"))
+    # the head (queries x k rows) is written once: counting it, checking it
+    # and joining it then read the copy instead of re-running the search
+    head = materialize(truncate_run(run, k).select("qid", "pid", F.col("rank").alias("orig_rank")),
+                       "rerank-head")
     small = broadcast_rows is not None and head.count() <= broadcast_rows
     if on_missing == "error":
         gone = (_missing_pids(F.broadcast(head) if small else head, p_vectors)).limit(1).collect()
