@@ -51,7 +51,7 @@ def score(postings: DataFrame, qterms: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("n_matched")))
 
 
-def bm25_search(postings: DataFrame, queries: DataFrame, k: int | None = 1000,
+def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
                 mode: str = "or", id_col: str = "qid", text_col: str = "text",
                 extra_keys: list[str] | None = None,
                 broadcast_rows: int | None = 2_000_000) -> DataFrame:
@@ -71,6 +71,10 @@ def bm25_search(postings: DataFrame, queries: DataFrame, k: int | None = 1000,
     """
     if mode not in ("or", "and"):
         raise ValueError(f"mode must be 'or' or 'and', got {mode!r}")
+    if k is None or k <= 0:
+        # a run is always cut at a depth: an uncut ranking would put every
+        # candidate of a query (possibly the whole collection) in one group
+        raise ValueError("k must be a positive depth")
     keys = list(extra_keys or [])
     q = queries
     if keys:

@@ -47,8 +47,9 @@ def test_and_subset_of_or_with_equal_scores(spark, sf_small):
     from quarry.sources import tables as TB
     p = IX.build_postings(TB.passages(spark, sf_small))
     q = TB.keyword_queries(spark, sf_small)
-    a = S.bm25_search(p, q, k=None, mode="and").select("qid", "pid", "score_q")
-    o = S.bm25_search(p, q, k=None, mode="or").select("qid", "pid", "score_q")
+    depth = TB.passages(spark, sf_small).count()  # deep enough to keep every candidate
+    a = S.bm25_search(p, q, k=depth, mode="and").select("qid", "pid", "score_q")
+    o = S.bm25_search(p, q, k=depth, mode="or").select("qid", "pid", "score_q")
     assert a.exceptAll(o).count() == 0
 
 
