@@ -20,7 +20,6 @@ from quarry.operators import ann as AN  # noqa: E402
 from quarry.operators import index as IX  # noqa: E402
 from quarry.operators import knn as KN  # noqa: E402
 from quarry.operators import rerank as RR  # noqa: E402
-from quarry.operators import search as S  # noqa: E402
 from quarry.plans import systems as PL  # noqa: E402
 from quarry.session import get_session, scratch_path  # noqa: E402
 from quarry.sources import tables as TB  # noqa: E402
@@ -53,14 +52,14 @@ def main() -> None:
     index_path = scratch_path(spark, "bench-index")
     timed("index_build", lambda: IX.TextIndex.build(docs).save(index_path))
     idx = IX.TextIndex.load(spark, index_path)
-    timed("bm25_or_top1000", lambda: run(S.bm25_search(idx.postings, queries, k=1000, mode="or")))
-    timed("bm25_and_top1000", lambda: run(S.bm25_search(idx.postings, queries, k=1000, mode="and")))
+    timed("bm25_or_top1000", lambda: run(idx.search(queries, k=1000, mode="or")))
+    timed("bm25_and_top1000", lambda: run(idx.search(queries, k=1000, mode="and")))
     timed("knn_exact_k100", lambda: run(KN.knn_exact(vecs, qvecs, 100)))
     vpath = scratch_path(spark, "bench-ann")
     timed("ann_build", lambda: AN.VectorIndex.build(vecs, PL.N_CELLS, train="pivots").save(vpath))
     vidx = AN.VectorIndex.load(spark, vpath)
     timed("ann_search_k100", lambda: run(vidx.search(qvecs, 100, PL.NPROBE)))
-    bm25_run = S.bm25_search(idx.postings, queries, k=1000)
+    bm25_run = idx.search(queries, k=1000)
     timed("rerank_top100", lambda: run(RR.rerank(bm25_run, qvecs, vecs, 100, on_missing="drop")))
     # judgments are the evaluation's input (stand-ins for given qrels files):
     # built and saved once, timed on their own

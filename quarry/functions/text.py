@@ -73,3 +73,8 @@ def varint_len(n) -> Column:
             .when(v < F.lit(1 << 21), F.lit(3))
             .when(v < F.lit(1 << 28), F.lit(4))
             .otherwise(F.lit(5)))
+
+
+def term_bucket(term, n_buckets: int) -> Column:
+    """Directory bucket of a term in a saved index: pmod(xxhash64(term), n)."""
+    return F.pmod(F.xxhash64(_col(term)), F.lit(n_buckets)).cast("int")

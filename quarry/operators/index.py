@@ -193,7 +193,7 @@ class TextIndex:
     def lexicon(self, chunk_size: int = T.CHUNK_SIZE) -> DataFrame:
         return lexicon(self.postings, chunk_size)
 
-    def save(self, path: str, n_buckets: int | None = None) -> None:
+    def save(self, path: str, n_buckets: int | None = None, term_buckets: int = 16) -> None:
         """Write a document-partitioned index: postings bucketed by ``doc_id``.
 
         Every bucket holds all postings of its documents, sorted by term (so
@@ -201,14 +201,20 @@ class TextIndex:
         A search over the reloaded index therefore sums a document's score
         inside the bucket's task and keeps a per-bucket top-k there: the
         only shuffle is k rows per query per bucket, on ``qid``. Rows are
-        hash-partitioned on the bucket key first, so each bucket is one file.
+        hash-partitioned on the bucket key first, so each bucket is one file
+        per directory.
+
+        The postings are also split into ``term_buckets`` directories by a
+        hash of the term: a search joins on (term_bucket, term), and dynamic
+        partition pruning skips every directory no query term falls in.
         """
         spark = self.postings.sparkSession
         n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         name = _table_name(path)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (self.postings.repartition(n, "doc_id")
-         .write.bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
+        (self.postings.withColumn("term_bucket", T.term_bucket("term", term_buckets))
+         .repartition(n, "doc_id")
+         .write.partitionBy("term_bucket").bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
          .option("path", f"{path}/postings").saveAsTable(name))
         post = _bucketed_table(spark, path, n)
         lexicon(post).write.mode("overwrite").parquet(f"{path}/lexicon")
@@ -216,22 +222,28 @@ class TextIndex:
         # stats from the written lengths: no second tokenizing pass
         collection_stats(spark.read.parquet(f"{path}/doc_lengths"), self.params["avg_mode"]) \
             .write.mode("overwrite").parquet(f"{path}/stats")
-        params = {**self.params, "n_buckets": n}
+        params = {**self.params, "n_buckets": n, "term_buckets": term_buckets}
         spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/params")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TextIndex":
-        """Reload a saved index; postings come back as a bucketed table."""
+        """Reload a saved index; postings come back as a bucketed, partitioned table."""
         params = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/params").collect()}
         typed = {"k1": float(params.get("k1", T.BM25_K1)), "b": float(params.get("b", T.BM25_B)),
                  "avg_mode": params.get("avg_mode", "floor"),
-                 "n_buckets": int(params["n_buckets"])}
+                 "n_buckets": int(params["n_buckets"]), "term_buckets": int(params["term_buckets"])}
         return cls(_bucketed_table(spark, path, typed["n_buckets"]),
                    spark.read.parquet(f"{path}/doc_lengths"),
                    spark.read.parquet(f"{path}/stats"), typed)
 
+    def search(self, queries: DataFrame, k: int = 1000, mode: str = "or", **kw) -> DataFrame:
+        """``bm25_search`` over this index (uses the term-bucket pruning of a saved one)."""
+        from quarry.operators.search import bm25_search
+        return bm25_search(self.postings, queries, k=k, mode=mode,
+                           term_buckets=self.params.get("term_buckets"), **kw)
+
     def saved_lexicon(self, path: str) -> DataFrame:
         return self.postings.sparkSession.read.parquet(f"{path}/lexicon")
 
@@ -248,7 +260,8 @@ def _table_name(path: str) -> str:
 def _bucketed_table(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
     """Register the saved postings as a bucketed external table (session catalog)."""
     name = _table_name(path)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_POSTINGS_COLUMNS}) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_POSTINGS_COLUMNS}, term_bucket INT) "
+              f"USING parquet PARTITIONED BY (term_bucket) "
               f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {n_buckets} BUCKETS "
               f"LOCATION '{path}/postings'")
     return spark.table(name)

@@ -38,14 +38,16 @@ def topk(scored: DataFrame, k: int | None, group_col: str, order: list[Column],
     return out.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
-def score(postings: DataFrame, qterms: DataFrame) -> DataFrame:
+def score(postings: DataFrame, qterms: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """(qid, doc_id, n_terms, n_matched, score_q): summed quantised impacts.
 
     A posting with impact 0 still makes its document a candidate.
-    Out-of-lexicon terms fall out of the inner join.
+    Out-of-lexicon terms fall out of the inner join. ``keys`` are the join
+    columns (``term``, plus ``term_bucket`` for a saved index).
     """
-    return (postings.select("term", "doc_id", "impact_q")
-            .join(qterms, "term")
+    keys = keys or ["term"]
+    return (postings.select(*keys, "doc_id", "impact_q")
+            .join(qterms, keys)
             .groupBy("qid", "doc_id", "n_terms")
             .agg(F.sum("impact_q").cast("bigint").alias("score_q"),
                  F.count(F.lit(1)).cast("bigint").alias("n_matched")))
@@ -54,7 +56,8 @@ def score(postings: DataFrame, qterms: DataFrame) -> DataFrame:
 def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
                 mode: str = "or", id_col: str = "qid", text_col: str = "text",
                 extra_keys: list[str] | None = None,
-                broadcast_rows: int | None = 2_000_000) -> DataFrame:
+                broadcast_rows: int | None = 2_000_000,
+                term_buckets: int | None = None) -> DataFrame:
     """Run (qid, pid, rank, score, score_q) for a batch of queries.
 
     ``mode='or'``: any matched term makes a candidate. ``mode='and'``: every
@@ -68,6 +71,10 @@ def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
     without any shuffle). Beyond the bound, or with ``broadcast_rows=None``,
     the planner's own choice applies (a shuffle join on ``term``, hot terms
     split by AQE's skew join).
+
+    ``term_buckets``: the postings carry a ``term_bucket`` partition column
+    (a saved index); the join then also matches on it, so Spark's dynamic
+    partition pruning reads only the buckets of the batch's terms.
     """
     if mode not in ("or", "and"):
         raise ValueError(f"mode must be 'or' or 'and', got {mode!r}")
@@ -83,9 +90,13 @@ def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
         qt = query_terms(q, "__qkey", text_col)
     else:
         qt = query_terms(q, id_col, text_col)
+    join_keys = ["term"]
+    if term_buckets:
+        qt = qt.withColumn("term_bucket", T.term_bucket("term", term_buckets))
+        join_keys = ["term_bucket", "term"]
     if broadcast_rows is not None and qt.count() <= broadcast_rows:
         qt = F.broadcast(qt)
-    scored = score(postings, qt)
+    scored = score(postings, qt, join_keys)
     if mode == "and":
         scored = scored.where(F.col("n_matched") == F.col("n_terms"))
     run = topk(scored, k, "qid", [F.col("score_q").desc(), F.col("doc_id").asc()])

@@ -378,7 +378,7 @@ def q_index_saved(spark, sf):
     path = scratch_path(spark, "text-index")
     IX.TextIndex.build(TB.passages(spark, sf)).save(path)
     idx = IX.TextIndex.load(spark, path)
-    return S.bm25_search(idx.postings, TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
+    return idx.search(TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
 
 
 # ---------------------------------------------------------------- vector retrieval and rerank

@@ -120,6 +120,9 @@ def test_index_save_load_roundtrip(spark, sf_small, tmp_path):
     assert back.postings.count() == idx.postings.count()
     assert back.params["avg_mode"] == "floor"
     assert back.saved_lexicon(path).count() == idx.postings.select("term").distinct().count()
+    q = TB.keyword_queries(spark, sf_small)
+    cols = ["qid", "pid", "rank", "score_q"]
+    assert back.search(q, k=20).select(cols).exceptAll(S.bm25_search(idx.postings, q, k=20).select(cols)).count() == 0
 
 
 def test_bucketed_index_search_shuffles_only_topk(spark, sf_small, tmp_path):
@@ -127,10 +130,11 @@ def test_bucketed_index_search_shuffles_only_topk(spark, sf_small, tmp_path):
     path = str(tmp_path / "bidx")
     IX.TextIndex.build(TB.passages(spark, sf_small)).save(path, n_buckets=4)
     idx = IX.TextIndex.load(spark, path)
-    run = S.bm25_search(idx.postings, TB.keyword_queries(spark, sf_small), k=10)
+    run = idx.search(TB.keyword_queries(spark, sf_small), k=10)
     run.write.format("noop").mode("overwrite").save()
     plan = run._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
+    assert "dynamicpruningexpression" in plan  # only the batch's term buckets are read
     # the only hash exchange is the one on qid, after the partial top-k
     assert plan.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in plan and "Partial" in plan
