@@ -10,7 +10,9 @@ Plan shape (what Catalyst gets):
   occurs in every document is still combined map-side) joined back on
   ``term``; a hot term is handled by AQE's skew-join split, never by a window
   over the whole term;
-* collection size and mean length are scalar subqueries, not cross joins.
+* collection size and mean length are scalar subqueries, not cross joins;
+* a saved index stores per-document term counts, partitioned by document,
+  and weights postings at query time (see ``TextIndex``).
 """
 
 from __future__ import annotations
@@ -99,32 +101,43 @@ def vocabulary(tf: DataFrame) -> DataFrame:
     return tf.select("term").distinct()
 
 
+def _mean_len(total, n_docs, avg_mode: str):
+    if avg_mode == "floor":
+        return F.floor(total / n_docs).cast("double")
+    if avg_mode == "exact":
+        return (total / n_docs).cast("double")
+    raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
+
+
+def with_impacts(tf: DataFrame, dfreq: DataFrame, n_docs, avg_len,
+                 k1: float = T.BM25_K1, b: float = T.BM25_B) -> DataFrame:
+    """(term, doc_id, tf, df, doc_len, impact, impact_q): weights of (term, doc) rows.
+
+    ``tf`` (term, doc_id, doc_len, tf), ``dfreq`` (term, df); ``n_docs`` and
+    ``avg_len`` are scalar columns. The one place BM25 weights are computed,
+    at index time (``build_postings``) or at query time (``TextIndex.search``).
+    """
+    impact = T.bm25_impact("tf", "df", "doc_len", n_docs, avg_len, k1, b)
+    return (tf.join(dfreq.select("term", "df"), "term")
+            .withColumn("impact", impact)
+            .withColumn("impact_q", T.quantize("impact"))
+            .select("term", "doc_id", "tf", "df", "doc_len", "impact", "impact_q"))
+
+
 def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    k1: float = T.BM25_K1, b: float = T.BM25_B,
                    avg_mode: str = "floor", tf: DataFrame | None = None) -> DataFrame:
     """(term, doc_id, tf, df, doc_len, impact, impact_q) for every posting.
 
     ``tf`` (term, doc_id, doc_len, tf) may be given pre-computed -- e.g. a
-    written copy, so the three consumers (the postings themselves, document
+    written copy, so its consumers (the postings themselves, document
     frequency, token total) read it instead of re-tokenizing.
     """
     tf = tf if tf is not None else term_freq(docs, id_col, text_col, keep_len=True)
-    # N counts every document (also token-less ones) from the id column alone;
-    # the token total comes from the tf aggregate, whose shuffle the subquery
-    # shares with the main plan, so the text is tokenized once.
+    # N counts every document (also token-less ones) from the id column alone
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     total = tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
-    if avg_mode == "floor":
-        avg_len = F.floor(total / n_docs).cast("double")
-    elif avg_mode == "exact":
-        avg_len = (total / n_docs).cast("double")
-    else:
-        raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
-    impact = T.bm25_impact("tf", "df", "doc_len", n_docs, avg_len, k1, b)
-    return (tf.join(doc_freq(tf), "term")
-            .withColumn("impact", impact)
-            .withColumn("impact_q", T.quantize("impact"))
-            .select("term", "doc_id", "tf", "df", "doc_len", "impact", "impact_q"))
+    return with_impacts(tf, doc_freq(tf), n_docs, _mean_len(total, n_docs, avg_mode), k1, b)
 
 
 def lexicon(postings: DataFrame, chunk_size: int = T.CHUNK_SIZE,
@@ -166,9 +179,20 @@ def posting_profile(postings: DataFrame, chunk_size: int = T.CHUNK_SIZE,
 
 @dataclass
 class TextIndex:
-    """Materialisable keyword index: postings, lexicon, lengths and stats."""
+    """Keyword index: per-document term counts, document frequencies, lengths, stats.
+
+    The stored unit is (term, doc_id, doc_len, tf), partitioned by document.
+    BM25 weights depend on the term only through ``df``, so a search joins
+    the batch's query terms with their ``df`` (a small table) and weights the
+    matched rows there and then -- the same expression ``build_postings``
+    uses, hence the same quantised impacts. Building the index therefore
+    never moves the postings to their terms: no postings-sized shuffle on
+    ``term``, which at a large vocabulary could not be avoided by a
+    broadcast. ``postings`` still gives the fully weighted table.
+    """
 
-    postings: DataFrame      # (term, doc_id, tf, df, doc_len, impact, impact_q)
+    tf: DataFrame            # (term, doc_id, doc_len, tf[, term_bucket]), by document
+    dfreq: DataFrame         # (term, df[, n_chunks, start_chunk, end_chunk])
     doc_lengths: DataFrame   # (doc_id, doc_len)
     stats: DataFrame         # (n_docs, total_len, avg_len)
     params: dict
@@ -182,42 +206,53 @@ class TextIndex:
         (one tokenizing pass; the lineage of the index starts there)."""
         tf = term_freq(docs, id_col, text_col, keep_len=True)
         if persist_tf:
-            # bucketed on doc_id: postings derived from it keep the document
-            # partitioning, so a search needs no exchange before its top-k
+            # bucketed on doc_id: a search over it keeps the document
+            # partitioning, so it needs no exchange before its top-k
             tf = materialize_bucketed(tf, "index-tf", "doc_id")
         lengths = doc_lengths(docs, id_col, text_col)
-        return cls(build_postings(docs, id_col, text_col, k1, b, avg_mode, tf=tf), lengths,
-                   collection_stats(lengths, avg_mode),
+        return cls(tf, doc_freq(tf), lengths, collection_stats(lengths, avg_mode),
                    {"k1": k1, "b": b, "avg_mode": avg_mode})
 
+    @property
+    def postings(self) -> DataFrame:
+        """(term, doc_id, tf, df, doc_len, impact, impact_q) for every posting."""
+        both = self.stats.select(F.struct("n_docs", "avg_len").alias("s")).scalar()
+        return with_impacts(self.tf, self.dfreq, both["n_docs"], both["avg_len"],
+                            self.params["k1"], self.params["b"])
+
     def lexicon(self, chunk_size: int = T.CHUNK_SIZE) -> DataFrame:
-        return lexicon(self.postings, chunk_size)
+        return lexicon(self.tf, chunk_size)
+
+    def search(self, queries: DataFrame, k: int = 1000, mode: str = "or", **kw) -> DataFrame:
+        """BM25 run over this index; weights only the postings of the batch's terms."""
+        from quarry.operators.search import bm25_search_counts
+        return bm25_search_counts(self.tf, self.dfreq, self.stats, queries, k=k, mode=mode,
+                                  k1=self.params["k1"], b=self.params["b"],
+                                  term_buckets=self.params.get("term_buckets"), **kw)
 
     def save(self, path: str, n_buckets: int | None = None, term_buckets: int = 16) -> None:
-        """Write a document-partitioned index: postings bucketed by ``doc_id``.
-
-        Every bucket holds all postings of its documents, sorted by term (so
-        Parquet row-group statistics on ``term`` still prune a term lookup).
-        A search over the reloaded index therefore sums a document's score
-        inside the bucket's task and keeps a per-bucket top-k there: the
-        only shuffle is k rows per query per bucket, on ``qid``. Rows are
-        hash-partitioned on the bucket key first, so each bucket is one file
-        per directory.
-
-        The postings are also split into ``term_buckets`` directories by a
-        hash of the term: a search joins on (term_bucket, term), and dynamic
-        partition pruning skips every directory no query term falls in.
+        """Write a document-partitioned index.
+
+        Term counts are bucketed by ``doc_id`` (all rows of a document in one
+        bucket, sorted by term, so Parquet row-group statistics on ``term``
+        still prune a term lookup) and split into ``term_buckets``
+        directories by a hash of the term. A search over the reloaded index
+        sums a document's score inside its bucket's task and keeps a
+        per-bucket top-k there: the only shuffle is k rows per query per
+        bucket, on ``qid``; dynamic partition pruning skips every directory
+        no query term falls in. The lexicon carries ``df`` and chunk ranges.
         """
-        spark = self.postings.sparkSession
+        spark = self.tf.sparkSession
         n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         name = _table_name(path)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (self.postings.withColumn("term_bucket", T.term_bucket("term", term_buckets))
+        (self.tf.select("term", "doc_id", "doc_len", "tf")
+         .withColumn("term_bucket", T.term_bucket("term", term_buckets))
          .repartition(n, "doc_id")
          .write.partitionBy("term_bucket").bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
          .option("path", f"{path}/postings").saveAsTable(name))
-        post = _bucketed_table(spark, path, n)
-        lexicon(post).write.mode("overwrite").parquet(f"{path}/lexicon")
+        saved = _bucketed_table(spark, path, n)
+        lexicon(saved).write.mode("overwrite").parquet(f"{path}/lexicon")
         self.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
         # stats from the written lengths: no second tokenizing pass
         collection_stats(spark.read.parquet(f"{path}/doc_lengths"), self.params["avg_mode"]) \
@@ -229,27 +264,21 @@ class TextIndex:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TextIndex":
-        """Reload a saved index; postings come back as a bucketed, partitioned table."""
+        """Reload a saved index; term counts come back as a bucketed, partitioned table."""
         params = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/params").collect()}
         typed = {"k1": float(params.get("k1", T.BM25_K1)), "b": float(params.get("b", T.BM25_B)),
                  "avg_mode": params.get("avg_mode", "floor"),
                  "n_buckets": int(params["n_buckets"]), "term_buckets": int(params["term_buckets"])}
         return cls(_bucketed_table(spark, path, typed["n_buckets"]),
+                   spark.read.parquet(f"{path}/lexicon"),
                    spark.read.parquet(f"{path}/doc_lengths"),
                    spark.read.parquet(f"{path}/stats"), typed)
 
-    def search(self, queries: DataFrame, k: int = 1000, mode: str = "or", **kw) -> DataFrame:
-        """``bm25_search`` over this index (uses the term-bucket pruning of a saved one)."""
-        from quarry.operators.search import bm25_search
-        return bm25_search(self.postings, queries, k=k, mode=mode,
-                           term_buckets=self.params.get("term_buckets"), **kw)
-
     def saved_lexicon(self, path: str) -> DataFrame:
-        return self.postings.sparkSession.read.parquet(f"{path}/lexicon")
+        return self.tf.sparkSession.read.parquet(f"{path}/lexicon")
 
 
-_POSTINGS_COLUMNS = ("term STRING, doc_id BIGINT, tf BIGINT, df BIGINT, doc_len BIGINT, "
-                     "impact DOUBLE, impact_q INT")
+_POSTINGS_COLUMNS = "term STRING, doc_id BIGINT, doc_len BIGINT, tf BIGINT"
 
 
 def _table_name(path: str) -> str:

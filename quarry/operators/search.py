@@ -53,56 +53,108 @@ def score(postings: DataFrame, qterms: DataFrame, keys: list[str] | None = None)
                  F.count(F.lit(1)).cast("bigint").alias("n_matched")))
 
 
-def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
-                mode: str = "or", id_col: str = "qid", text_col: str = "text",
-                extra_keys: list[str] | None = None,
-                broadcast_rows: int | None = 2_000_000,
-                term_buckets: int | None = None) -> DataFrame:
-    """Run (qid, pid, rank, score, score_q) for a batch of queries.
+def _batch_terms(queries: DataFrame, id_col: str, text_col: str, keys: list[str]) -> DataFrame:
+    """(qid, term, n_terms); with extra keys, qid is a struct of (keys..., id)."""
+    if keys:
+        # fold the extra keys into one query key so one plan serves all sets
+        q = queries.withColumn("__qkey", F.struct(*[F.col(c) for c in keys], F.col(id_col)))
+        return query_terms(q, "__qkey", text_col)
+    return query_terms(queries, id_col, text_col)
 
-    ``mode='or'``: any matched term makes a candidate. ``mode='and'``: every
-    distinct query term (including ones absent from the index) must match.
-    Ties go to the smaller ``doc_id``. ``extra_keys`` (e.g. an evaluation-set
-    column) are carried through and become part of the query key.
 
-    The (qid, term) table is broadcast when a count shows at most
-    ``broadcast_rows`` rows: the postings then stay where they are (with a
-    document-bucketed index the per-document sum and a per-bucket top-k run
-    without any shuffle). Beyond the bound, or with ``broadcast_rows=None``,
-    the planner's own choice applies (a shuffle join on ``term``, hot terms
-    split by AQE's skew join).
-
-    ``term_buckets``: the postings carry a ``term_bucket`` partition column
-    (a saved index); the join then also matches on it, so Spark's dynamic
-    partition pruning reads only the buckets of the batch's terms.
-    """
+def _bounded_broadcast(df: DataFrame, broadcast_rows: int | None) -> DataFrame:
+    """Broadcast ``df`` only when a count shows it within ``broadcast_rows``."""
+    if broadcast_rows is not None and df.count() <= broadcast_rows:
+        return F.broadcast(df)
+    return df
+
+
+def _ranked(scored: DataFrame, k: int, mode: str, keys: list[str], id_col: str) -> DataFrame:
+    if mode == "and":
+        scored = scored.where(F.col("n_matched") == F.col("n_terms"))
+    run = topk(scored, k, "qid", [F.col("score_q").desc(), F.col("doc_id").asc()])
+    run = run.select("qid", F.col("doc_id").alias("pid"), "rank",
+                     F.round(T.dequantize("score_q"), 6).alias("score"), "score_q")
+    if keys:
+        run = run.select(*[F.col(f"qid.{c}").alias(c) for c in keys],
+                         F.col(f"qid.{id_col}").alias("qid"), "pid", "rank", "score", "score_q")
+    return run
+
+
+def _check(mode: str, k) -> None:
     if mode not in ("or", "and"):
         raise ValueError(f"mode must be 'or' or 'and', got {mode!r}")
     if k is None or k <= 0:
         # a run is always cut at a depth: an uncut ranking would put every
         # candidate of a query (possibly the whole collection) in one group
         raise ValueError("k must be a positive depth")
+
+
+def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
+                mode: str = "or", id_col: str = "qid", text_col: str = "text",
+                extra_keys: list[str] | None = None,
+                broadcast_rows: int | None = 2_000_000) -> DataFrame:
+    """Run (qid, pid, rank, score, score_q) for a batch of queries over weighted postings.
+
+    ``postings`` carry ``impact_q`` (``build_postings``). ``mode='or'``: any
+    matched term makes a candidate. ``mode='and'``: every distinct query
+    term (including ones absent from the index) must match. Ties go to the
+    smaller ``doc_id``. ``extra_keys`` (e.g. an evaluation-set column) are
+    carried through and become part of the query key.
+
+    The (qid, term) table is broadcast when a count shows at most
+    ``broadcast_rows`` rows: the postings then stay where they are. Beyond
+    the bound, or with ``broadcast_rows=None``, the planner's own choice
+    applies (a shuffle join on ``term``, hot terms split by AQE's skew join).
+    """
+    _check(mode, k)
     keys = list(extra_keys or [])
-    q = queries
-    if keys:
-        # fold the extra keys into one query key so one plan serves all sets
-        q = q.withColumn("__qkey", F.struct(*[F.col(c) for c in keys], F.col(id_col)))
-        qt = query_terms(q, "__qkey", text_col)
-    else:
-        qt = query_terms(q, id_col, text_col)
+    qt = _bounded_broadcast(_batch_terms(queries, id_col, text_col, keys), broadcast_rows)
+    return _ranked(score(postings, qt), k, mode, keys, id_col)
+
+
+def bm25_search_counts(tf: DataFrame, dfreq: DataFrame, stats: DataFrame, queries: DataFrame,
+                       k: int = 1000, mode: str = "or", id_col: str = "qid",
+                       text_col: str = "text", extra_keys: list[str] | None = None,
+                       broadcast_rows: int | None = 2_000_000,
+                       k1: float = T.BM25_K1, b: float = T.BM25_B,
+                       term_buckets: int | None = None) -> DataFrame:
+    """Same run as ``bm25_search``, over per-document term counts.
+
+    ``tf`` (term, doc_id, doc_len, tf[, term_bucket]), ``dfreq`` (term, df),
+    ``stats`` (n_docs, avg_len). The batch's terms pick up their ``df`` (a
+    lookup of the query terms only), and only the matched rows are weighted,
+    with the expression the index build uses (identical impacts).
+
+    With a document-bucketed ``tf`` the per-document sum and a per-bucket
+    top-k run without any shuffle. ``term_buckets``: ``tf`` carries a
+    ``term_bucket`` partition column; the join also matches on it, so
+    dynamic partition pruning reads only the buckets of the batch's terms.
+    """
+    _check(mode, k)
+    keys = list(extra_keys or [])
+    qt = _batch_terms(queries, id_col, text_col, keys)
+    # one count decides both broadcasts: the df lookup can only drop rows
+    small = broadcast_rows is not None and qt.count() <= broadcast_rows
+    # df of the batch's terms only; out-of-lexicon terms drop out here
+    qt = dfreq.select("term", "df").join(F.broadcast(qt) if small else qt, "term")
     join_keys = ["term"]
     if term_buckets:
         qt = qt.withColumn("term_bucket", T.term_bucket("term", term_buckets))
         join_keys = ["term_bucket", "term"]
-    if broadcast_rows is not None and qt.count() <= broadcast_rows:
+    if small:
         qt = F.broadcast(qt)
-    scored = score(postings, qt, join_keys)
-    if mode == "and":
-        scored = scored.where(F.col("n_matched") == F.col("n_terms"))
-    run = topk(scored, k, "qid", [F.col("score_q").desc(), F.col("doc_id").asc()])
-    run = run.select("qid", F.col("doc_id").alias("pid"), "rank",
-                     F.round(T.dequantize("score_q"), 6).alias("score"), "score_q")
-    if keys:
-        run = run.select(*[F.col(f"qid.{c}").alias(c) for c in keys],
-                         F.col(f"qid.{id_col}").alias("qid"), "pid", "rank", "score", "score_q")
-    return run
+    matched = tf.select(*join_keys, "doc_id", "doc_len", "tf").join(qt, join_keys)
+    weighted = _weigh(matched, stats, k1, b)
+    scored = (weighted.groupBy("qid", "doc_id", "n_terms")
+              .agg(F.sum("impact_q").cast("bigint").alias("score_q"),
+                   F.count(F.lit(1)).cast("bigint").alias("n_matched")))
+    return _ranked(scored, k, mode, keys, id_col)
+
+
+def _weigh(matched: DataFrame, stats: DataFrame, k1: float, b: float) -> DataFrame:
+    """Add impact_q to matched (.., tf, df, doc_len) rows: the BM25 weight and
+    quantiser of ``index.with_impacts``, from the same column expressions."""
+    both = stats.select(F.struct("n_docs", "avg_len").alias("s")).scalar()  # one subquery
+    impact = T.bm25_impact("tf", "df", "doc_len", both["n_docs"], both["avg_len"], k1, b)
+    return matched.withColumn("impact_q", T.quantize(impact))

@@ -33,7 +33,6 @@ from quarry.operators import index as IX
 from quarry.operators import knn as KN
 from quarry.operators import metrics as M
 from quarry.operators import rerank as RR
-from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.session import materialize
 from quarry.sources import tables as TB
@@ -67,7 +66,7 @@ def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     docs, queries = TB.passages(spark, sf), TB.keyword_queries(spark, sf)
     # written once: every set refers to the containment pairs (five times)
     contain = materialize(J.containment_qrels(docs, queries), "containment")
-    kw_pool = S.bm25_search(IX.TextIndex.build(docs).postings, queries, k=POOL)
+    kw_pool = IX.TextIndex.build(docs).search(queries, k=POOL)
     vec_pool = KN.knn_exact(TB.vectors(spark, sf), query_vectors(spark, sf), POOL)
     labels = TB.labels(spark, sf)
     return _union([
@@ -111,8 +110,7 @@ def subset_passages(spark: SparkSession, sf: str) -> DataFrame:
 def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
     """One job: the keyword run of every set's queries, keyed by (eval_set, qid)."""
     qs = query_sets(TB.keyword_queries(spark, sf), qrels)
-    post = IX.TextIndex.build(subset_passages(spark, sf)).postings
-    return S.bm25_search(post, qs, k=DEPTH, extra_keys=["eval_set"])
+    return IX.TextIndex.build(subset_passages(spark, sf)).search(qs, k=DEPTH, extra_keys=["eval_set"])
 
 
 def saved_judgment_sets(spark: SparkSession, sf: str) -> DataFrame:

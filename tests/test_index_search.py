@@ -138,3 +138,13 @@ def test_bucketed_index_search_shuffles_only_topk(spark, sf_small, tmp_path):
     # the only hash exchange is the one on qid, after the partial top-k
     assert plan.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_query_time_weights_equal_index_time_weights(spark, sf_small):
+    from quarry.sources import tables as TB
+    docs, q = TB.passages(spark, sf_small), TB.keyword_queries(spark, sf_small)
+    cols = ["qid", "pid", "rank", "score_q"]
+    for mode in ("or", "and"):
+        a = IX.TextIndex.build(docs).search(q, k=50, mode=mode).select(cols)
+        b = S.bm25_search(IX.build_postings(docs), q, k=50, mode=mode).select(cols)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
