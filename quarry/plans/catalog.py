@@ -164,6 +164,15 @@ def q_bm25_or(spark, sf):
     return S.bm25_search(post, TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
 
 
+@register("bm25_pages", _with(O.postings_cte("post", "pg"), O.QUERIES_VIEW,
+                              O.run_cte("run", "kq", "post", DEPTH)).replace(
+    "WITH ", "WITH pg AS (SELECT page_id AS doc_id, html AS text FROM pages),\n", 1)
+          + "SELECT qid, pid, rank, score, score_q FROM run\n")
+def q_bm25_pages(spark, sf):
+    """The keyword batch against every raw HTML page (tokenizer stress)."""
+    return IX.TextIndex.build(TB.pages(spark, sf)).search(TB.keyword_queries(spark, sf), k=DEPTH)
+
+
 @register("bm25_and", _bm25_sql("and", DEPTH))
 def q_bm25_and(spark, sf):
     post = IX.build_postings(TB.passages(spark, sf))

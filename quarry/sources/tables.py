@@ -34,6 +34,12 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text) from ``pages``: raw HTML indexed as passages (tags are tokens too)."""
+    return spread(table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"),
+                                                       F.col("html").alias("text")), "doc_id")
+
+
 def keyword_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(qid, text) from ``benchmark``: each item is one keyword query."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
