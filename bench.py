@@ -32,8 +32,13 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage/task times without the UI: Spark's event log in a scratch folder
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = get_session(f"local[{cpus}]", app="quarry-bench", shuffle_partitions=2 * cpus,
-                        extra={"spark.driver.memory": "16g"})
+                        extra=extra)
     times: dict[str, float] = {}
 
     def timed(name, fn):

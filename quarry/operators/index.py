@@ -46,6 +46,20 @@ def doc_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.size(T.tokens(text_col)).cast("bigint").alias("doc_len"))
 
 
+def lengths_from_counts(tf: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, doc_len) from per-document term counts -- no second tokenizing pass.
+
+    Documents with tokens carry their length on every count row; documents
+    without any token (absent from ``tf``) get length 0 from an id-only
+    anti join.
+    """
+    have = tf.select("doc_id", "doc_len").dropDuplicates(["doc_id"])
+    ids = docs.select(F.col(id_col).alias("doc_id"))
+    empty = ids.join(have.select("doc_id"), "doc_id", "left_anti") \
+        .select("doc_id", F.lit(0).cast("bigint").alias("doc_len"))
+    return have.unionByName(empty)
+
+
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               keep_len: bool = False) -> DataFrame:
     """(term, doc_id, tf[, doc_len]) -- one row per distinct term of a document.
@@ -209,7 +223,7 @@ class TextIndex:
             # bucketed on doc_id: a search over it keeps the document
             # partitioning, so it needs no exchange before its top-k
             tf = materialize_bucketed(tf, "index-tf", "doc_id")
-        lengths = doc_lengths(docs, id_col, text_col)
+        lengths = lengths_from_counts(tf, docs, id_col)
         return cls(tf, doc_freq(tf), lengths, collection_stats(lengths, avg_mode),
                    {"k1": k1, "b": b, "avg_mode": avg_mode})
 

@@ -148,3 +148,12 @@ def test_query_time_weights_equal_index_time_weights(spark, sf_small):
         a = IX.TextIndex.build(docs).search(q, k=50, mode=mode).select(cols)
         b = S.bm25_search(IX.build_postings(docs), q, k=50, mode=mode).select(cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_lengths_from_counts_keep_token_less_documents(spark):
+    docs = docs_df(spark, [(1, "a b a"), (2, "... !!!"), (3, "c")])
+    idx = IX.TextIndex.build(docs)
+    got = sorted(map(tuple, idx.doc_lengths.collect()))
+    assert got == [(1, 3), (2, 0), (3, 1)]
+    st = idx.stats.first()
+    assert (st["n_docs"], st["total_len"], st["avg_len"]) == (3, 4, 1.0)
