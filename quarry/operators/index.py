@@ -224,8 +224,14 @@ class TextIndex:
             # partitioning, so it needs no exchange before its top-k
             tf = materialize_bucketed(tf, "index-tf", "doc_id")
         lengths = lengths_from_counts(tf, docs, id_col)
-        return cls(tf, doc_freq(tf), lengths, collection_stats(lengths, avg_mode),
-                   {"k1": k1, "b": b, "avg_mode": avg_mode})
+        if persist_tf:
+            # one row, computed once while the counts are written: every
+            # search then reads a local relation instead of re-deriving it
+            stats = _stats_row(docs.sparkSession, docs.count(),
+                               tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0], avg_mode)
+        else:
+            stats = collection_stats(lengths, avg_mode)
+        return cls(tf, doc_freq(tf), lengths, stats, {"k1": k1, "b": b, "avg_mode": avg_mode})
 
     @property
     def postings(self) -> DataFrame:
@@ -292,6 +298,18 @@ class TextIndex:
         return self.tf.sparkSession.read.parquet(f"{path}/lexicon")
 
 
+def _stats_row(spark: SparkSession, n_docs: int, total: int, avg_mode: str) -> DataFrame:
+    """The (n_docs, total_len, avg_len) row; same arithmetic as ``collection_stats``."""
+    if avg_mode == "floor":
+        avg = float(total // n_docs) if n_docs else None
+    elif avg_mode == "exact":
+        avg = total / n_docs if n_docs else None
+    else:
+        raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
+    return spark.createDataFrame([(n_docs, total, avg)],
+                                 "n_docs BIGINT, total_len BIGINT, avg_len DOUBLE")
+
+
 _POSTINGS_COLUMNS = "term STRING, doc_id BIGINT, doc_len BIGINT, tf BIGINT"
 
 
