@@ -38,6 +38,23 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
 
 
+def _keep_best(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row, the k entries of largest score, ties to the smaller id.
+
+    ``argpartition`` picks k best in linear time; only a row whose k-th
+    score is tied with an entry left out is re-selected exactly.
+    """
+    part = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    sel_s = np.take_along_axis(s, part, axis=1)
+    sel_i = np.take_along_axis(ids, part, axis=1)
+    kth = sel_s.min(axis=1, keepdims=True)
+    tied = (s == kth).sum(axis=1) > (sel_s == kth).sum(axis=1)
+    for r in np.nonzero(tied)[0]:
+        order = np.lexsort((ids[r], -s[r]))[:k]
+        sel_s[r], sel_i[r] = s[r, order], ids[r, order]
+    return sel_s, sel_i
+
+
 class RunningTopK:
     """Best k passages per query over a stream of passage batches.
 
@@ -56,9 +73,7 @@ class RunningTopK:
             s = np.concatenate([self.best_s, s], axis=1)
             ids = np.concatenate([self.best_p, ids], axis=1)
             if s.shape[1] > self.k:
-                keep = np.lexsort((ids, -s), axis=1)[:, :self.k]
-                s = np.take_along_axis(s, keep, axis=1)
-                ids = np.take_along_axis(ids, keep, axis=1)
+                s, ids = _keep_best(s, ids, self.k)
             self.best_s, self.best_p = s, ids
 
     def frame(self) -> pd.DataFrame:
@@ -112,6 +127,8 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
     passages are never shuffled. Larger query sets use the cogroup grid.
     The counts may be passed when known.
     """
+    if k <= 0 or p_block_rows <= 0 or q_block_rows <= 0:
+        raise ValueError("k and the block sizes must be positive")
     ship_package()
     n_q = n_queries if n_queries is not None else queries.count()
     if n_q <= q_block_rows:

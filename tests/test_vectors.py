@@ -124,3 +124,15 @@ def test_saved_ann_index_reads_only_probed_cells(spark, sf_small, tmp_path):
     plan = run._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan
     assert run.count() == 15
+
+
+def test_knn_ties_go_to_smaller_ids(spark):
+    # 30 identical passages tie for every rank; the 5 smallest ids must win
+    rows = [(i, [1.0, 0.0]) for i in range(100, 130)] + [(7, [0.0, 1.0])]
+    p = vec_df(spark, rows)
+    q = vec_df(spark, [(1, [1.0, 0.0]), (2, [2.0, 0.0])], "qid")
+    for kw in ({}, {"p_block_rows": 8, "q_block_rows": 1}):   # broadcast path, grid path
+        for qid in (1, 2):
+            got = sorted((r["rank"], r["pid"]) for r in
+                         KN.knn_exact(p, q, 5, **kw).where(f"qid = {qid}").collect())
+            assert got == [(1, 100), (2, 101), (3, 102), (4, 103), (5, 104)]
