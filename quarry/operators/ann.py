@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from quarry.functions.vector import dot
 from quarry.operators import metrics as M
+from quarry.operators.knn import keep_best
 from quarry.operators.search import topk
 from quarry.session import ship_package
 
@@ -84,19 +85,28 @@ def with_nearest_cells(df: DataFrame, vec_col: str, centroids: DataFrame, n: int
     return df.mapInPandas(_cells_kernel(bc, vec_col, out_col, n), schema)
 
 
+CELL_SCORES = 1 << 22  # score-matrix entries per chunk of rows (32 MB of doubles)
+
+
 def _cells_kernel(bc, vec_col: str, out_col: str, n: int):
     def run(batches):
         ids, mat = bc.value
+        step = max(1, CELL_SCORES // max(1, len(ids)))
         for pdf in batches:
             if len(pdf) == 0:
                 pdf[out_col] = []
                 yield pdf
                 continue
             x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            s = x @ mat.T
-            # order by (score desc, cell id asc); take the first n
-            order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :n]
-            pdf[out_col] = list(ids[order])
+            chosen = []
+            for lo in range(0, len(x), step):
+                s = x[lo:lo + step] @ mat.T
+                cells = np.broadcast_to(ids, s.shape)
+                if s.shape[1] > n:
+                    # n best cells (score desc, ties to the smaller cell id)
+                    s, cells = keep_best(s, cells, n)
+                chosen.extend(list(cells))
+            pdf[out_col] = chosen
             yield pdf
     return run
 

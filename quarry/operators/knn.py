@@ -38,7 +38,7 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
 
 
-def _keep_best(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def keep_best(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row, the k entries of largest score, ties to the smaller id.
 
     ``argpartition`` picks k best in linear time; only a row whose k-th
@@ -73,7 +73,7 @@ class RunningTopK:
             s = np.concatenate([self.best_s, s], axis=1)
             ids = np.concatenate([self.best_p, ids], axis=1)
             if s.shape[1] > self.k:
-                s, ids = _keep_best(s, ids, self.k)
+                s, ids = keep_best(s, ids, self.k)
             self.best_s, self.best_p = s, ids
 
     def frame(self) -> pd.DataFrame:

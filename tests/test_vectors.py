@@ -136,3 +136,13 @@ def test_knn_ties_go_to_smaller_ids(spark):
             got = sorted((r["rank"], r["pid"]) for r in
                          KN.knn_exact(p, q, 5, **kw).where(f"qid = {qid}").collect())
             assert got == [(1, 100), (2, 101), (3, 102), (4, 103), (5, 104)]
+
+
+def test_cell_choice_ties_and_chunking(spark, monkeypatch):
+    from quarry.operators import ann
+    monkeypatch.setattr(ann, "CELL_SCORES", 3)  # one row per chunk
+    cents = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])],
+                                  "cell_id bigint, centroid array<float>")
+    v = vec_df(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0])])
+    out = {r["id"]: list(r["cells"]) for r in ann.with_nearest_cells(v, "embedding", cents, 2).collect()}
+    assert sorted(out[1]) == [0, 1] and 2 in out[2]
