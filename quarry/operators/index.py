@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.ordering import global_prefix_sum, position_in_group
-from quarry.session import materialize_bucketed
+from quarry.session import default_buckets, materialize_bucketed
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,7 +263,7 @@ class TextIndex:
         no query term falls in. The lexicon carries ``df`` and chunk ranges.
         """
         spark = self.tf.sparkSession
-        n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = n_buckets or default_buckets(spark)
         name = _table_name(path)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         (self.tf.select("term", "doc_id", "doc_len", "tf")

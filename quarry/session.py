@@ -85,6 +85,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """Bucket count of a written table: two per core of the cluster.
+
+    The bucket count is the parallelism of every later bucketed scan, so it
+    follows the cluster (``defaultParallelism`` = total executor cores), not
+    a shuffle setting; capped at Spark's bucket limit.
+    """
+    cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return max(1, min(cap, 2 * spark.sparkContext.defaultParallelism))
+
+
 def materialize_bucketed(df: DataFrame, name: str, key: str, n_buckets: int | None = None,
                          sort_by: str | None = None) -> DataFrame:
     """Like ``materialize``, but written as a table bucketed on ``key``.
@@ -94,7 +105,7 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, n_buckets: int | No
     lives in the session catalog, its files below the shared folder.
     """
     spark = df.sparkSession
-    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_buckets or default_buckets(spark)
     path = scratch_path(spark, name)
     table = "quarry_tmp_" + path.rsplit("-", 1)[-1]
     writer = df.repartition(n, key).write.bucketBy(n, key)
