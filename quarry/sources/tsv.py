@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 def read_id_text_tsv(spark: SparkSession, path: str, id_name: str = "id",
                      text_name: str = "text") -> DataFrame:
+    """(id, text) records. A line is a record only if it has a tab after a
+    numeric id; other lines (blank, header-like, no tab) are not records."""
     parts = F.split(F.col("value"), "\t", 2)
     return (spark.read.text(path)
-            .where(F.length("value") > 0)
-            .select(parts[0].cast("bigint").alias(id_name), parts[1].alias(text_name)))
+            .select(parts[0].try_cast("bigint").alias(id_name),
+                    F.when(F.size(parts) == 2, parts[1]).alias(text_name))
+            .where(F.col(id_name).isNotNull() & F.col(text_name).isNotNull()))
 
 
 def tsv_safe(text) -> F.Column:

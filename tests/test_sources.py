@@ -52,3 +52,10 @@ def test_load_or_build_reuses(spark, tmp_path):
     SR.load_or_build_run(spark, path, build)
     again = SR.load_or_build_run(spark, path, build)
     assert len(calls) == 1 and again.count() == 1
+
+
+def test_tsv_lines_without_tab_or_id_are_not_records(spark, tmp_path):
+    p = tmp_path / "raw.tsv"
+    p.write_text("1\tfirst\nno tab here\nx\tbad id\n\n2\t\n3\tthird\twith tab\n")
+    got = sorted(map(tuple, ST.read_id_text_tsv(spark, str(p)).collect()))
+    assert got == [(1, "first"), (2, ""), (3, "third\twith tab")]
