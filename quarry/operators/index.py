@@ -272,7 +272,11 @@ class TextIndex:
          .write.partitionBy("term_bucket").bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
          .option("path", f"{path}/postings").saveAsTable(name))
         saved = _bucketed_table(spark, path, n)
-        lexicon(saved).write.mode("overwrite").parquet(f"{path}/lexicon")
+        # the lexicon is split by the same term bucket: a search's df lookup
+        # is pruned to the batch's buckets like the postings scan
+        (lexicon(saved).withColumn("term_bucket", T.term_bucket("term", term_buckets))
+         .repartition("term_bucket").sortWithinPartitions("term")
+         .write.partitionBy("term_bucket").mode("overwrite").parquet(f"{path}/lexicon"))
         self.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
         # stats from the written lengths: no second tokenizing pass
         collection_stats(spark.read.parquet(f"{path}/doc_lengths"), self.params["avg_mode"]) \

@@ -136,12 +136,14 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame, stats: DataFrame, querie
     qt = _batch_terms(queries, id_col, text_col, keys)
     # one count decides both broadcasts: the df lookup can only drop rows
     small = broadcast_rows is not None and qt.count() <= broadcast_rows
-    # df of the batch's terms only; out-of-lexicon terms drop out here
-    qt = dfreq.select("term", "df").join(F.broadcast(qt) if small else qt, "term")
     join_keys = ["term"]
     if term_buckets:
         qt = qt.withColumn("term_bucket", T.term_bucket("term", term_buckets))
         join_keys = ["term_bucket", "term"]
+    # df of the batch's terms only; out-of-lexicon terms drop out here (a
+    # lexicon partitioned by term bucket is pruned to the batch's buckets)
+    lex_keys = join_keys if "term_bucket" in dfreq.columns else ["term"]
+    qt = dfreq.select(*lex_keys, "df").join(F.broadcast(qt) if small else qt, lex_keys)
     if small:
         qt = F.broadcast(qt)
     matched = tf.select(*join_keys, "doc_id", "doc_len", "tf").join(qt, join_keys)

@@ -157,3 +157,18 @@ def test_lengths_from_counts_keep_token_less_documents(spark):
     assert got == [(1, 3), (2, 0), (3, 1)]
     st = idx.stats.first()
     assert (st["n_docs"], st["total_len"], st["avg_len"]) == (3, 4, 1.0)
+
+
+def test_saved_lexicon_lookup_is_pruned(spark, sf_small, tmp_path):
+    from quarry.sources import tables as TB
+    path = str(tmp_path / "lidx")
+    IX.TextIndex.build(TB.passages(spark, sf_small)).save(path, term_buckets=8)
+    idx = IX.TextIndex.load(spark, path)
+    run = idx.search(TB.keyword_queries(spark, sf_small).limit(1), k=5)
+    run.write.format("noop").mode("overwrite").save()
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    counts = [x for x in scans if "quarry_postings_" in x]
+    lexicon = [x for x in scans if "ReadSchema: struct<term:string,df:bigint>" in x]
+    assert counts and all("dynamicpruning" in x for x in counts)
+    assert lexicon and all("dynamicpruning" in x for x in lexicon)
