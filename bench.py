@@ -37,7 +37,8 @@ def main() -> None:
         # stage/task times without the UI: Spark's event log in a scratch folder
         extra.update({"spark.eventLog.enabled": "true",
                       "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
-    spark = get_session(f"local[{cpus}]", app="quarry-bench", shuffle_partitions=2 * cpus,
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    spark = get_session(f"local[{cpus}]", app="quarry-bench", shuffle_partitions=shuffle,
                         extra=extra)
     times: dict[str, float] = {}
 
