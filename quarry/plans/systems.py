@@ -99,7 +99,12 @@ def evaluate(run: DataFrame, qrels: DataFrame, system: str, spec=SPEC) -> DataFr
         cond = reduce(lambda a, b: a | b, [(F.col("eval_set") == s) & (F.col("metric") == m)
                                            for s, m in wanted])
         out.append(long.where(cond).withColumn("k", F.lit(k).cast("bigint")))
-    return _union(out).select(F.lit(system).alias("system"), "eval_set", "metric", "k", "value")
+    # every spec cell is reported; a set the run has no query for scores 0.0
+    cells = run.sparkSession.createDataFrame(spec, "eval_set string, metric string, k bigint")
+    got = _union(out)
+    return (cells.join(got, ["eval_set", "metric", "k"], "left")
+            .select(F.lit(system).alias("system"), "eval_set", "metric", "k",
+                    F.coalesce(F.col("value"), F.lit(0.0)).alias("value")))
 
 
 def subset_passages(spark: SparkSession, sf: str) -> DataFrame:

@@ -106,3 +106,13 @@ def test_containment_short_and_long_queries(spark):
                                (13, "fox")], "qid bigint, text string")
     got = sorted((r["qid"], r["pid"]) for r in containment_qrels(docs, q).collect())
     assert got == [(10, 1), (11, 1), (11, 3), (12, 1), (12, 2), (13, 1), (13, 2), (13, 3)]
+
+
+def test_evaluate_reports_every_spec_cell(spark):
+    from quarry.plans.systems import evaluate
+    run = spark.createDataFrame([("dev", 1, 5, 1)], "eval_set string, qid bigint, pid bigint, rank bigint")
+    q = spark.createDataFrame([("dev", 1, 5, 1), ("eval_one", 2, 7, 2)],
+                              "eval_set string, qid bigint, pid bigint, rel int")
+    spec = [("dev", "mrr", 10), ("eval_one", "ndcg", 10)]
+    got = {(r["eval_set"], r["metric"]): r["value"] for r in evaluate(run, q, "x", spec).collect()}
+    assert got == {("dev", "mrr"): 1.0, ("eval_one", "ndcg"): 0.0}
