@@ -92,6 +92,55 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, k: int | None,
         F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(0.0)).alias("ndcg"))
 
 
+def per_query_metrics_at(run: DataFrame, qrels: DataFrame, ks: list[int],
+                         keys: list[str] | None = None) -> DataFrame:
+    """(keys..., qid, k, n_rel, n_hits, rr, recall, ap, ndcg) for several depths in one pass.
+
+    Same values as ``per_query_metrics`` at each k. The running hit count
+    does not depend on k; the ideal order of the top k does, so there is one
+    window per depth, partitioned by (qid, rank <= k) -- a sort, no extra
+    shuffle. Every metric is then a conditional sum over rank <= k.
+    """
+    keys = list(keys or [])
+    qkeys = [c for c in keys if c in qrels.columns]
+    part = [*keys, "qid"]
+    ks = sorted(set(ks))
+    j = judged_run(run, qrels, max(ks), keys).withColumn("hit", (F.col("rel") > 0).cast("int"))
+    by_rank = Window.partitionBy(*part).orderBy("rank").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    j = j.withColumn("hits", F.sum("hit").over(by_rank))
+    gain = F.pow(F.lit(2.0), F.col("rel").cast("double")) - F.lit(1.0)
+    aggs = []
+    for k in ks:
+        top = F.col("rank") <= F.lit(k)
+        ideal = Window.partitionBy(*part, top).orderBy(F.col("rel").desc(), F.col("rank"))
+        j = j.withColumn(f"ideal_{k}", F.row_number().over(ideal))
+        hit = top & (F.col("hit") == 1)
+        aggs += [
+            F.min(F.when(hit, F.col("rank"))).alias(f"first_{k}"),
+            F.sum(F.when(top, F.col("hit")).otherwise(0)).cast("bigint").alias(f"nh_{k}"),
+            F.sum(F.when(hit, F.col("hits") / F.col("rank"))).alias(f"sp_{k}"),
+            F.sum(F.when(top, gain / F.log2(F.col("rank") + F.lit(1)))).alias(f"dcg_{k}"),
+            F.sum(F.when(top, gain / F.log2(F.col(f"ideal_{k}") + F.lit(1)))).alias(f"idcg_{k}"),
+        ]
+    per = j.groupBy(*part).agg(*aggs)
+    per = per.select(*part, F.explode(F.array(*[F.struct(
+        F.lit(k).cast("bigint").alias("k"), F.col(f"first_{k}").alias("first_hit"),
+        F.col(f"nh_{k}").alias("n_hits"), F.col(f"sp_{k}").alias("sum_prec"),
+        F.col(f"dcg_{k}").alias("dcg"), F.col(f"idcg_{k}").alias("idcg")) for k in ks])).alias("m"))
+    per = per.select(*part, "m.*")
+    n_rel = (relevant(qrels).groupBy(*qkeys, "qid")
+             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rel")))
+    per = per.join(n_rel, [*qkeys, "qid"], "left")
+    has_rel = F.col("n_rel").isNotNull()
+    return per.select(
+        *part, "k", "n_rel", "n_hits",
+        (F.lit(1.0) / F.col("first_hit")).alias("rr"),
+        F.when(has_rel, F.col("n_hits") / F.col("n_rel")).alias("recall"),
+        F.when(has_rel, F.coalesce(F.col("sum_prec"), F.lit(0.0)) / F.col("n_rel")).alias("ap"),
+        F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(0.0)).alias("ndcg"))
+
+
 METRIC_COLUMNS = {"mrr": "rr", "recall": "recall", "map": "ap", "ndcg": "ndcg"}
 
 

@@ -85,24 +85,17 @@ def query_sets(queries: DataFrame, qrels: DataFrame) -> DataFrame:
 def evaluate(run: DataFrame, qrels: DataFrame, system: str, spec=SPEC) -> DataFrame:
     """(system, eval_set, metric, k, value) for every spec entry.
 
-    One per-query table per depth; all metrics of a depth come from one
-    ``groupBy(eval_set)`` and are unpivoted, then the spec picks its cells.
+    One per-query pass covers all depths of the spec; one
+    ``groupBy(eval_set, k)`` gives every metric, unpivoted; the spec picks
+    its cells, and a cell whose set has no query in the run scores 0.0.
     """
-    keys = ["eval_set"]
-    out = []
-    for k in sorted({k for _, _, k in spec}):
-        per = M.per_query_metrics(run, qrels, k, keys)
-        agg = per.groupBy(*keys).agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(m)
-                                       for m, c in M.METRIC_COLUMNS.items()])
-        long = agg.unpivot(keys, list(M.METRIC_COLUMNS), "metric", "value")
-        wanted = [(s, m) for s, m, kk in spec if kk == k]
-        cond = reduce(lambda a, b: a | b, [(F.col("eval_set") == s) & (F.col("metric") == m)
-                                           for s, m in wanted])
-        out.append(long.where(cond).withColumn("k", F.lit(k).cast("bigint")))
-    # every spec cell is reported; a set the run has no query for scores 0.0
+    ks = sorted({k for _, _, k in spec})
+    per = M.per_query_metrics_at(run, qrels, ks, ["eval_set"])
+    agg = per.groupBy("eval_set", "k").agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(m)
+                                             for m, c in M.METRIC_COLUMNS.items()])
+    long = agg.unpivot(["eval_set", "k"], list(M.METRIC_COLUMNS), "metric", "value")
     cells = run.sparkSession.createDataFrame(spec, "eval_set string, metric string, k bigint")
-    got = _union(out)
-    return (cells.join(got, ["eval_set", "metric", "k"], "left")
+    return (cells.join(long, ["eval_set", "metric", "k"], "left")
             .select(F.lit(system).alias("system"), "eval_set", "metric", "k",
                     F.coalesce(F.col("value"), F.lit(0.0)).alias("value")))
 

@@ -116,3 +116,18 @@ def test_evaluate_reports_every_spec_cell(spark):
     spec = [("dev", "mrr", 10), ("eval_one", "ndcg", 10)]
     got = {(r["eval_set"], r["metric"]): r["value"] for r in evaluate(run, q, "x", spec).collect()}
     assert got == {("dev", "mrr"): 1.0, ("eval_one", "ndcg"): 0.0}
+
+
+def test_multi_depth_pass_equals_single_depth(spark, sf_small):
+    from quarry.plans import catalog as C
+    run = C._run(spark, sf_small)
+    q = C._graded(spark, sf_small, run)
+    multi = M.per_query_metrics_at(run, q, [3, 10, 100]).collect()
+    cols = ["n_rel", "n_hits", "rr", "recall", "ap", "ndcg"]
+    for k in (3, 10, 100):
+        want = {r["qid"]: tuple(r[c] for c in cols) for r in M.per_query_metrics(run, q, k).collect()}
+        got = {r["qid"]: tuple(r[c] for c in cols) for r in multi if r["k"] == k}
+        assert set(got) == set(want)
+        for qid in want:
+            for a, b in zip(got[qid], want[qid]):
+                assert (a is None and b is None) or abs(a - b) < 1e-12
