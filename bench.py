@@ -56,7 +56,7 @@ def main() -> None:
 
     timed("parse_term_freq", lambda: run(IX.term_freq(docs)))
     index_path = scratch_path(spark, "bench-index")
-    timed("index_build", lambda: IX.TextIndex.build(docs).save(index_path))
+    timed("index_build", lambda: IX.TextIndex.build(docs, path=index_path).save(index_path))
     idx = IX.TextIndex.load(spark, index_path)
     timed("bm25_or_top1000", lambda: run(idx.search(queries, k=1000, mode="or")))
     timed("bm25_and_top1000", lambda: run(idx.search(queries, k=1000, mode="and")))

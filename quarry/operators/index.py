@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators.ordering import global_prefix_sum, position_in_group
-from quarry.session import default_buckets, materialize_bucketed
+from quarry.session import default_buckets, scratch_path
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,24 +214,35 @@ class TextIndex:
     @classmethod
     def build(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               k1: float = T.BM25_K1, b: float = T.BM25_B, avg_mode: str = "floor",
-              persist_tf: bool = True) -> "TextIndex":
-        """Index ``docs``. With ``persist_tf`` the per-document term counts are
-        written once to the shared checkpoint folder, bucketed on ``doc_id``
-        (one tokenizing pass; the lineage of the index starts there)."""
+              persist_tf: bool = True, path: str | None = None,
+              n_buckets: int | None = None, term_buckets: int | None = None) -> "TextIndex":
+        """Index ``docs``.
+
+        With ``persist_tf`` the per-document term counts are written once, in
+        the saved-index layout (bucketed on ``doc_id``, split by term
+        bucket; 16 term buckets by default at ``path``, 1 in scratch): at
+        ``path`` if given -- a later ``save(path)`` then keeps them instead
+        of writing them again -- else below the shared checkpoint folder.
+        One tokenizing pass; the lineage starts there.
+        """
+        spark = docs.sparkSession
         tf = term_freq(docs, id_col, text_col, keep_len=True)
-        if persist_tf:
-            # bucketed on doc_id: a search over it keeps the document
-            # partitioning, so it needs no exchange before its top-k
-            tf = materialize_bucketed(tf, "index-tf", "doc_id")
-        lengths = lengths_from_counts(tf, docs, id_col)
-        if persist_tf:
-            # one row, computed once while the counts are written: every
-            # search then reads a local relation instead of re-deriving it
-            stats = _stats_row(docs.sparkSession, docs.count(),
-                               tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0], avg_mode)
-        else:
-            stats = collection_stats(lengths, avg_mode)
-        return cls(tf, doc_freq(tf), lengths, stats, {"k1": k1, "b": b, "avg_mode": avg_mode})
+        params = {"k1": k1, "b": b, "avg_mode": avg_mode}
+        if not persist_tf:
+            lengths = lengths_from_counts(tf, docs, id_col)
+            return cls(tf, doc_freq(tf), lengths, collection_stats(lengths, avg_mode), params)
+        n = n_buckets or default_buckets(spark)
+        # term-bucket directories pay off for a saved index serving small
+        # batches; a scratch copy for one batch job keeps a single one
+        term_buckets = term_buckets or (16 if path else 1)
+        where = path or scratch_path(spark, "index")
+        tf = _write_counts(tf, where, n, term_buckets)
+        params.update({"n_buckets": n, "term_buckets": term_buckets, "path": where})
+        # one row, computed once while the counts are written: every search
+        # then reads a local relation instead of re-deriving it
+        stats = _stats_row(spark, docs.count(),
+                           tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0], avg_mode)
+        return cls(tf, doc_freq(tf), lengths_from_counts(tf, docs, id_col), stats, params)
 
     @property
     def postings(self) -> DataFrame:
@@ -263,14 +274,13 @@ class TextIndex:
         no query term falls in. The lexicon carries ``df`` and chunk ranges.
         """
         spark = self.tf.sparkSession
-        n = n_buckets or default_buckets(spark)
-        name = _table_name(path)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (self.tf.select("term", "doc_id", "doc_len", "tf")
-         .withColumn("term_bucket", T.term_bucket("term", term_buckets))
-         .repartition(n, "doc_id")
-         .write.partitionBy("term_bucket").bucketBy(n, "doc_id").sortBy("term").mode("overwrite")
-         .option("path", f"{path}/postings").saveAsTable(name))
+        if self.params.get("saved") == path:     # loaded from, or saved to, this path
+            return
+        if self.params.get("path") == path:      # counts already written here by build()
+            n, term_buckets = self.params["n_buckets"], self.params["term_buckets"]
+        else:
+            n = n_buckets or default_buckets(spark)
+            _write_counts(self.tf, path, n, term_buckets)
         saved = _bucketed_table(spark, path, n)
         # the lexicon is split by the same term bucket: a search's df lookup
         # is pruned to the batch's buckets like the postings scan
@@ -281,10 +291,11 @@ class TextIndex:
         # stats from the written lengths: no second tokenizing pass
         collection_stats(spark.read.parquet(f"{path}/doc_lengths"), self.params["avg_mode"]) \
             .write.mode("overwrite").parquet(f"{path}/stats")
-        params = {**self.params, "n_buckets": n, "term_buckets": term_buckets}
+        params = {**self.params, "n_buckets": n, "term_buckets": term_buckets, "path": path}
         spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/params")
+        self.params["saved"] = path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TextIndex":
@@ -292,7 +303,8 @@ class TextIndex:
         params = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/params").collect()}
         typed = {"k1": float(params.get("k1", T.BM25_K1)), "b": float(params.get("b", T.BM25_B)),
                  "avg_mode": params.get("avg_mode", "floor"),
-                 "n_buckets": int(params["n_buckets"]), "term_buckets": int(params["term_buckets"])}
+                 "n_buckets": int(params["n_buckets"]), "term_buckets": int(params["term_buckets"]),
+                 "path": path, "saved": path}
         return cls(_bucketed_table(spark, path, typed["n_buckets"]),
                    spark.read.parquet(f"{path}/lexicon"),
                    spark.read.parquet(f"{path}/doc_lengths"),
@@ -322,6 +334,23 @@ def _table_name(path: str) -> str:
     return "quarry_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
+def _write_counts(tf: DataFrame, path: str, n_buckets: int, term_buckets: int) -> DataFrame:
+    """Write (term, doc_id, doc_len, tf) in the index layout and return the table.
+
+    Bucketed on ``doc_id`` (one file per bucket per directory: rows are
+    hash-partitioned on the bucket key first), sorted by term inside a
+    bucket, split into ``term_buckets`` directories by a hash of the term.
+    """
+    spark = tf.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    (tf.select("term", "doc_id", "doc_len", "tf")
+     .withColumn("term_bucket", T.term_bucket("term", term_buckets))
+     .repartition(n_buckets, "doc_id")
+     .write.partitionBy("term_bucket").bucketBy(n_buckets, "doc_id").sortBy("term")
+     .mode("overwrite").option("path", f"{path}/postings").saveAsTable(_table_name(path)))
+    return _bucketed_table(spark, path, n_buckets)
+
+
 def _bucketed_table(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
     """Register the saved postings as a bucketed external table (session catalog)."""
     name = _table_name(path)

@@ -172,3 +172,18 @@ def test_saved_lexicon_lookup_is_pruned(spark, sf_small, tmp_path):
     lexicon = [x for x in scans if "ReadSchema: struct<term:string,df:bigint>" in x]
     assert counts and all("dynamicpruning" in x for x in counts)
     assert lexicon and all("dynamicpruning" in x for x in lexicon)
+
+
+def test_build_in_place_then_save_and_resave(spark, sf_small, tmp_path):
+    from quarry.sources import tables as TB
+    docs, q = TB.passages(spark, sf_small), TB.keyword_queries(spark, sf_small)
+    path = str(tmp_path / "inplace")
+    idx = IX.TextIndex.build(docs, path=path)
+    idx.save(path)            # counts were written by build: kept, not rewritten
+    idx.save(path)            # already saved: a no-op
+    back = IX.TextIndex.load(spark, path)
+    back.save(path)           # a loaded index is not rewritten over itself
+    cols = ["qid", "pid", "rank", "score_q"]
+    a = back.search(q, k=20).select(cols)
+    b = S.bm25_search(IX.build_postings(docs), q, k=20).select(cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
