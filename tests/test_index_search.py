@@ -187,3 +187,40 @@ def test_build_in_place_then_save_and_resave(spark, sf_small, tmp_path):
     a = back.search(q, k=20).select(cols)
     b = S.bm25_search(IX.build_postings(docs), q, k=20).select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_term_through_skew_split_join(spark):
+    """A term in every document, with the df join forced onto the shuffle
+    path and AQE's skew split forced on: weights equal the brute force."""
+    import math
+    rows = [(i, f"hot w{i % 7} w{i % 3} hot") for i in range(400)]
+    docs = docs_df(spark, rows)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {(r["term"], r["doc_id"]): r["impact_q"] for r in IX.build_postings(docs).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    n, avg = 400, 4
+    df = {"hot": 400}
+    for i in range(7):
+        df[f"w{i}"] = sum(1 for j in range(400) if j % 7 == i)
+    for i in range(3):
+        df[f"w{i}"] = df.get(f"w{i}", 0) + sum(1 for j in range(400) if j % 3 == i and j % 7 != i)
+
+    def q(s):
+        return 0 if s <= 0 else 255 if s >= 30 else int(s / 30.0 * 255)
+
+    for (term, d), iq in got.items():
+        tf = 2 if term == "hot" else (2 if d % 7 == d % 3 and term == f"w{d % 7}" else 1)
+        idf = math.log((n - df[term] + 0.5) / (df[term] + 0.5))
+        want = q(idf * (2.2 * tf) / (1.2 * (0.25 + 0.75 * (4 / avg)) + tf))
+        assert iq == want, (term, d)
+    assert sum(1 for t, _ in got if t == "hot") == 400
