@@ -10,7 +10,9 @@ Containment is an exact substring test on whole texts. Candidates come from
 an equi-join on an *anchor* token: any token strictly inside the query (not
 its first or last) is bounded by separators inside the query text, so it is
 a whole token of every passage containing the query. The longest interior
-token is used (long tokens are rare). Queries with fewer than three tokens
+token is used (long tokens are rare). The candidate pairs are written once
+and counted; under a bound they are broadcast and the passages' text is
+streamed past them, never shuffled. Queries with fewer than three tokens
 have no interior token; only if such queries exist (a count over the query
 table, which is small) are they tested against the passages with a
 non-equi join, which Spark plans as a broadcast nested loop over that
