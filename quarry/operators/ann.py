@@ -29,7 +29,7 @@ from quarry.functions.vector import dot
 from quarry.operators import metrics as M
 from quarry.operators.knn import keep_best
 from quarry.operators.search import topk
-from quarry.session import ship_package
+from quarry.session import scratch_path, ship_package
 
 
 def pivot_centroids(vectors: DataFrame, n_cells: int) -> DataFrame:
@@ -125,7 +125,12 @@ class VectorIndex:
 
     @classmethod
     def build(cls, vectors: DataFrame, n_cells: int, train: str = "pivots", iters: int = 20,
-              assign_k: int = 1, seed: int = 7, sample_fraction: float | None = None) -> "VectorIndex":
+              assign_k: int = 1, seed: int = 7, sample_fraction: float | None = None,
+              path: str | None = None) -> "VectorIndex":
+        """Train the cells and write centroids and assignment once, in the saved
+        layout (cells partitioned by ``cell_id``): at ``path`` if given -- a
+        later ``save(path)`` then only adds the parameters -- else below the
+        shared checkpoint folder. Searches and statistics read that copy."""
         if n_cells <= 0 or assign_k <= 0 or assign_k > n_cells:
             raise ValueError("need n_cells > 0 and 0 < assign_k <= n_cells")
         if train == "pivots":
@@ -134,9 +139,15 @@ class VectorIndex:
             cents = kmeans_centroids(vectors, n_cells, iters, seed, sample_fraction)
         else:
             raise ValueError(f"train must be 'pivots' or 'kmeans', got {train!r}")
-        return cls(cents, assign(vectors, cents, assign_k),
+        spark = vectors.sparkSession
+        where = path or scratch_path(spark, "vector-index")
+        cents.write.mode("overwrite").parquet(f"{where}/centroids")
+        cents = spark.read.parquet(f"{where}/centroids")
+        assign(vectors, cents, assign_k).write.mode("overwrite").partitionBy("cell_id") \
+            .parquet(f"{where}/cells")
+        return cls(cents, _cells(spark, where),
                    {"n_cells": n_cells, "train": train, "iters": iters, "assign_k": assign_k,
-                    "seed": seed})
+                    "seed": seed, "path": where})
 
     def search(self, queries: DataFrame, k: int, nprobe: int = 1) -> DataFrame:
         """Run (qid, pid, rank, score) for queries (qid, embedding)."""
@@ -155,30 +166,38 @@ class VectorIndex:
     def stats(self) -> DataFrame:
         """One row: vectors, stored entries, dimension, cells used, cell occupancy."""
         occ = self.assignment.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
+        cells = occ.agg(F.struct(F.count(F.lit(1)).alias("used"), F.min("n").alias("lo"),
+                                 F.max("n").alias("hi")).alias("s")).scalar()   # one subquery
         return self.assignment.agg(
             F.countDistinct("id").alias("n_vectors"),
             F.count(F.lit(1)).alias("n_entries"),
             F.max(F.size("embedding")).cast("bigint").alias("dim"),
             F.lit(int(self.params.get("n_cells", 0))).cast("bigint").alias("n_cells"),
-            F.first(occ.agg(F.count(F.lit(1))).scalar()).alias("cells_used"),
-            F.first(occ.agg(F.min("n")).scalar()).alias("min_cell"),
-            F.first(occ.agg(F.max("n")).scalar()).alias("max_cell"))
+            F.first(cells["used"]).alias("cells_used"),
+            F.first(cells["lo"]).alias("min_cell"),
+            F.first(cells["hi"]).alias("max_cell"))
 
     def save(self, path: str) -> None:
         spark = self.centroids.sparkSession
-        self.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-        self.assignment.write.mode("overwrite").partitionBy("cell_id").parquet(f"{path}/cells")
-        spark.createDataFrame([(k, str(v)) for k, v in self.params.items()],
+        if self.params.get("path") != path:
+            self.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+            self.assignment.write.mode("overwrite").partitionBy("cell_id").parquet(f"{path}/cells")
+        params = {**self.params, "path": path}
+        spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/params")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "VectorIndex":
         raw = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/params").collect()}
-        params = {k: (v if k == "train" else int(v)) for k, v in raw.items()}
-        cells = spark.read.parquet(f"{path}/cells").select(
-            F.col("cell_id").cast("bigint"), "id", "embedding")
-        return cls(spark.read.parquet(f"{path}/centroids"), cells, params)
+        params = {k: (v if k in ("train", "path") else int(v)) for k, v in raw.items()}
+        params["path"] = path
+        return cls(spark.read.parquet(f"{path}/centroids"), _cells(spark, path), params)
+
+
+def _cells(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/cells").select(
+        F.col("cell_id").cast("bigint"), "id", "embedding")
 
 
 def ann_recall(approx: DataFrame, exact: DataFrame, k: int) -> DataFrame:
