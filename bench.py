@@ -62,7 +62,8 @@ def main() -> None:
     timed("bm25_and_top1000", lambda: run(idx.search(queries, k=1000, mode="and")))
     timed("knn_exact_k100", lambda: run(KN.knn_exact(vecs, qvecs, 100)))
     vpath = scratch_path(spark, "bench-ann")
-    timed("ann_build", lambda: AN.VectorIndex.build(vecs, PL.N_CELLS, train="pivots").save(vpath))
+    timed("ann_build", lambda: AN.VectorIndex.build(vecs, PL.N_CELLS, train="pivots",
+                                                    path=vpath).save(vpath))
     vidx = AN.VectorIndex.load(spark, vpath)
     timed("ann_search_k100", lambda: run(vidx.search(qvecs, 100, PL.NPROBE)))
     bm25_run = idx.search(queries, k=1000)
