@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,10 +66,6 @@ def read_bytes(path: str) -> bytes:
         return f.read()
 
 
-def fresh(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 class Memo:
     """A bounded dictionary: two generations, of which the older is forgotten when the younger is full."""
 
@@ -93,21 +90,19 @@ class Memo:
 
 
 class PerWorker:
-    """Broadcast holder of an object that each Python worker builds once and keeps for its later tasks."""
+    """Handle of an object that each Python worker builds once and keeps for its later tasks.
 
-    def __init__(self, build: Callable, *args):
-        self.build, self.args, self.made = build, args, None
+    The recipe is broadcast in a dictionary; a worker process holds one copy of
+    a broadcast value, so what a task puts there is found by the next task.
+    """
 
-    def __reduce__(self):
-        return PerWorker, (self.build, *self.args)
+    def __init__(self, spark: SparkSession, build: Callable, *args):
+        ship_package()
+        self.shared = spark.sparkContext.broadcast({"recipe": cloudpickle.dumps((build, args))})
 
     def get(self):
-        if self.made is None:
-            self.made = self.build(*self.args)
-        return self.made
-
-
-def per_worker(spark: SparkSession, build: Callable, *args):
-    """Broadcast of a ``PerWorker``: ``per_worker(...).value.get()`` inside tasks."""
-    ship_package()
-    return spark.sparkContext.broadcast(PerWorker(build, *args))
+        held = self.shared.value
+        if "made" not in held:
+            build, args = cloudpickle.loads(held["recipe"])
+            held["made"] = build(*args)
+        return held["made"]

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_arrow, per_worker, read_bytes, slices
+from quarry.llm.common import PerWorker, map_arrow, read_bytes, slices
 
 GROUP = 16_384            # pieces packed together
 LONG = 200_000            # characters; longer texts are tokenized in parts
@@ -213,12 +213,12 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int = 2,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: where it starts in its document, its sequence and its place there."""
-    shared = per_worker(docs.sparkSession, ByteBpe, read_bytes(tokenizer_path))
+    shared = PerWorker(docs.sparkSession, ByteBpe, read_bytes(tokenizer_path))
     end = np.array([end_id], "<u4")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def run(batches):
-        tokenizer = shared.value.get()
+        tokenizer = shared.get()
         kind = None
         next_id = TaskContext.get().partitionId() << 33
         cols = defaultdict(list)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Memo, map_arrow, per_worker, read_bytes, slices
+from quarry.llm.common import Memo, PerWorker, map_arrow, read_bytes, slices
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6   # piece types of the model file
@@ -229,10 +229,10 @@ class Encoder:
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
            check: bool = True) -> DataFrame:
     """(id, ids array<int>, decoded) of every text. Ids have no begin or end marks; ``decoded`` is decode(ids)."""
-    shared = per_worker(docs.sparkSession, Encoder, read_bytes(model_path), check)
+    shared = PerWorker(docs.sparkSession, Encoder, read_bytes(model_path), check)
 
     def run(batches):
-        encoder = shared.value.get()
+        encoder = shared.get()
         decoder = encoder.decoder
         for b in slices(batches):
             packed = encoder([t or "" for t in b.column(1).to_pylist()])
