@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import packing, quality, sentencepiece_bpe
+from quarry.llm import (
+    embedding_dedup,
+    language_id,
+    packing,
+    quality,
+    secret_scan,
+    sentencepiece_bpe,
+    setsketch,
+    toxicity,
+)
 from quarry.session import table_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +40,36 @@ def op1_sentencepiece(spark, sf_dir):
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@register("op3_embedding_near_dedup")
+def op3_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@register("op4_secret_scan")
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 @register("op5_quality_rules")
 def op5_quality_rules(spark, sf_dir):
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+@register("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@register("op8_minhash_near_dedup")
+def op8_minhash_near_dedup(spark, sf_dir):
+    return setsketch.groups(_table(spark, sf_dir, "documents"))
+
+
 @register("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -31,18 +31,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 
 
 def bounded_sample(df: DataFrame, key: str, bound: int, n_rows: int | None = None, seed: int = 7) -> DataFrame:
-    """About ``bound`` rows at most, chosen by a hash of ``key`` (the same rows on every run).
+    """About ``bound`` rows at most, chosen by a hash of ``key`` and the row's place in the scan.
 
-    Only classifiers are fitted on such samples. Rows that share a key are
-    taken or left together; with one row a key the size is ``bound`` up to
-    sampling noise.
+    Only classifiers are fitted on such samples. The place keeps a key that
+    very many rows share from being taken whole.
     """
     n = df.count() if n_rows is None else n_rows
     if n <= bound:
         return df
-    buckets = 1 << 20
+    buckets = 1 << 30
     keep = max(1, int(buckets * bound / n))
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)) < keep)
+    place = F.xxhash64(F.col(key), F.monotonically_increasing_id(), F.lit(seed))
+    return df.filter(F.pmod(place, F.lit(buckets)) < keep)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
