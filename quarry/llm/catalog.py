@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
     embedding_dedup,
+    html_wrapper,
     language_id,
+    license_scan,
     packing,
     quality,
     secret_scan,
@@ -73,3 +75,13 @@ def op8_minhash_near_dedup(spark, sf_dir):
 @register("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op2_html_extraction")
+def op2_html_extraction(spark, sf_dir):
+    return html_wrapper.extract(_table(spark, sf_dir, "pages"))
+
+
+@register("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
