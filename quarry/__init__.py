@@ -5,5 +5,4 @@ Layout:
   sources/    readers and writers (tables, TSV, judgments, runs, vectors)
   operators/  index build, keyword search, kNN, ANN, rerank, metrics, filters
   plans/      retrieval systems end to end, derived judgments, the query catalog
-  streaming/  (empty: the workload is batch only)
 """

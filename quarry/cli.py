@@ -72,6 +72,12 @@ def write_runs(run: DataFrame, out: str, system: str, sets: list[dict]) -> DataF
         .select(F.lit(s["name"]).alias("eval_set"), "qid", "pid", "rank") for s in sets])
 
 
+def loaded(**tables: DataFrame) -> None:
+    """Print the row count of each table."""
+    for name, df in tables.items():
+        print(json.dumps({"loaded": name, "rows": df.count()}))
+
+
 def report(run: DataFrame, qrels: DataFrame, spec: list, system: str) -> list[dict]:
     rows = SY.evaluate(run, qrels, system, spec).orderBy("eval_set", "metric", "k").collect()
     out = [r.asDict() for r in rows]   # one row per spec cell: a handful
@@ -86,7 +92,11 @@ def cmd_bm25(spark, a) -> list[dict]:
     if a.passages:  # keep passages that have a vector, as the vector systems see them
         docs = FL.subset_by_ids(docs, SV.read_vectors(spark, a.passages), "doc_id", "id")
     queries = load_queries(spark, a.set, qrels)
-    if a.generated and SR.path_exists(spark, f"{a.out}/runs/bm25/{a.set[0]['name']}/_SUCCESS"):
+    loaded(passages=docs, queries=queries, judgments=qrels)
+    missing = [s["name"] for s in a.set if not SR.path_exists(spark, f"{a.out}/runs/bm25/{s['name']}/_SUCCESS")]
+    if a.generated and missing:
+        raise SystemExit(f"--generated: no run under --out for {', '.join(missing)}")
+    if a.generated:
         run = reduce(lambda x, y: x.unionByName(y), [
             SR.read_run(spark, f"{a.out}/runs/bm25/{s['name']}")
             .select(F.lit(s["name"]).alias("eval_set"), "qid", "pid", "rank") for s in a.set])
@@ -102,16 +112,25 @@ def _query_vectors(spark, a, qrels) -> DataFrame:
 
 
 def cmd_ann(spark, a) -> list[dict]:
+    given = {n: v for n in ("cells", "train", "iters", "assign_k") if (v := getattr(a, n)) is not None}
+    exists = bool(a.index) and SR.path_exists(spark, f"{a.index}/params/_SUCCESS")
+    if exists and given:
+        raise SystemExit(f"--index holds an index already; it can't be built anew with --{', --'.join(sorted(given))}")
+    if any(isinstance(v, int) and v <= 0 for v in [*given.values(), a.nprobe, a.depth]):
+        raise SystemExit("--cells, --iters, --assign-k, --nprobe and --depth must be positive")
     qrels, spec = load_sets(spark, a.set)
-    if a.index and SR.path_exists(spark, f"{a.index}/params/_SUCCESS"):
+    queries = _query_vectors(spark, a, qrels)
+    if exists:
         idx = AN.VectorIndex.load(spark, a.index)
     else:
-        idx = AN.VectorIndex.build(SV.read_vectors(spark, a.passages), a.cells, train=a.train,
-                                   iters=a.iters, assign_k=a.assign_k)
+        passages = SV.read_vectors(spark, a.passages)
+        loaded(vectors=passages)
+        idx = AN.VectorIndex.build(passages, given.get("cells"), train=given.get("train", "kmeans"),
+                                   iters=given.get("iters", 20), assign_k=given.get("assign_k", 1), path=a.index)
         if a.index:
             idx.save(a.index)
-            idx = AN.VectorIndex.load(spark, a.index)
-    run = idx.search(_query_vectors(spark, a, qrels), a.depth, a.nprobe)
+    loaded(query_vectors=queries, judgments=qrels)
+    run = idx.search(queries, a.depth, a.nprobe)
     run = run.join(qrels.select("eval_set", "qid").distinct(), "qid")
     return report(write_runs(run, a.out, "ann", a.set), qrels, spec, "ann")
 
@@ -124,6 +143,7 @@ def cmd_rerank(spark, a) -> list[dict]:
         SR.read_run(spark, f"{a.runs}/{s['name']}").select(
             F.struct(F.lit(s["name"]).alias("eval_set"), F.col("qid")).alias("qid"), "pid", "rank")
         for s in a.set])
+    loaded(results=base, judgments=qrels)
     qv = (_query_vectors(spark, a, qrels).join(qrels.select("eval_set", "qid").distinct(), "qid")
           .select(F.struct("eval_set", "qid").alias("qid"), "embedding"))
     out = RR.rerank(base, qv, SV.read_vectors(spark, a.passages), a.top)
@@ -152,12 +172,12 @@ def build_parser() -> argparse.ArgumentParser:
     common(n)
     n.add_argument("--passages", required=True)
     n.add_argument("--query-vectors", required=True)
-    n.add_argument("--cells", type=int, default=16)
+    n.add_argument("--cells", type=int, help="default: about the square root of the number of passages")
     n.add_argument("--nprobe", type=int, default=4)
-    n.add_argument("--assign-k", type=int, default=1)
-    n.add_argument("--train", choices=["pivots", "kmeans"], default="pivots")
-    n.add_argument("--iters", type=int, default=20)
-    n.add_argument("--index", help="save the index here, or reuse it if present")
+    n.add_argument("--assign-k", type=int, help="cells that hold a passage; default 1")
+    n.add_argument("--train", choices=["pivots", "kmeans"], help="default kmeans")
+    n.add_argument("--iters", type=int, help="k-means iterations; default 20")
+    n.add_argument("--index", help="save the index here, or reuse it if present (then without build parameters)")
 
     r = sub.add_parser("rerank")
     common(r)

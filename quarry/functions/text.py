@@ -16,7 +16,6 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 IMPACT_MAX = 30.0      # scores are clamped to [0, 30] before quantising
 IMPACT_LEVELS = 255    # ... and mapped linearly onto 0..255
-CHUNK_SIZE = 128       # postings per chunk in the posting-list layout
 
 
 def _col(c) -> Column:
@@ -40,10 +39,11 @@ def idf(n_docs, df) -> Column:
 
 
 def bm25_tf(tf, doc_len, avg_len, k1: float = BM25_K1, b: float = BM25_B) -> Column:
+    """Saturated term frequency; 0 where the mean length is 0 (the length ratio is then infinite)."""
     t = _col(tf).cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * (_col(doc_len).cast("double")
-                                                     / _col(avg_len).cast("double")))
-    return (F.lit(k1 + 1.0) * t) / (norm + t)
+    ratio = F.try_divide(_col(doc_len).cast("double"), _col(avg_len).cast("double"))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * ratio)
+    return F.coalesce((F.lit(k1 + 1.0) * t) / (norm + t), F.lit(0.0))
 
 
 def bm25_impact(tf, df, doc_len, n_docs, avg_len,
@@ -65,14 +65,14 @@ def dequantize(q, hi: float = IMPACT_MAX, levels: int = IMPACT_LEVELS) -> Column
     return _col(q).cast("double") * F.lit(hi) / F.lit(float(levels))
 
 
-def varint_len(n) -> Column:
-    """Bytes of a 7-bit variable-length integer (one byte per started 7 bits)."""
-    v = _col(n)
-    return (F.when(v < F.lit(1 << 7), F.lit(1))
-            .when(v < F.lit(1 << 14), F.lit(2))
-            .when(v < F.lit(1 << 21), F.lit(3))
-            .when(v < F.lit(1 << 28), F.lit(4))
-            .otherwise(F.lit(5)))
+def mean_length(total, n_docs, avg_mode: str = "floor") -> Column:
+    """Mean document length: truncated to an integer (``'floor'``) or real (``'exact'``); NULL without documents."""
+    t, n = _col(total), F.nullif(_col(n_docs), F.lit(0))
+    if avg_mode == "floor":
+        return F.call_function("div", t, n).cast("double")
+    if avg_mode == "exact":
+        return t.cast("double") / n
+    raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
 
 
 def term_bucket(term, n_buckets: int) -> Column:

@@ -31,7 +31,3 @@ def cosine(a, b) -> Column:
     """dot / (|a| |b|); a zero norm gives 0.0, never NULL or NaN."""
     den = norm(a) * norm(b)
     return F.when(den == F.lit(0.0), F.lit(0.0)).otherwise(dot(a, b) / den)
-
-
-def dims(a) -> Column:
-    return F.size(_col(a))

@@ -1,35 +1,40 @@
 """Approximate nearest-neighbour search with an inverted file of cells.
 
-Build: pick ``n_cells`` centroids (``train='pivots'``: the vectors with the
-smallest ids, deterministic; ``train='kmeans'``: MLlib k-means), then store
-every vector in its ``assign_k`` best cells. Search: every query probes its
-``nprobe`` best cells, candidates come from an equi-join on ``cell_id`` and
-are scored exactly; the top k per query is kept. More cells probed (or more
-cells per vector) means better recall and more work -- the same trade-off
-as the graph index's search/connectivity knobs.
-
-The centroid table is bounded by ``n_cells`` (a parameter): it is collected
-once and shipped to every executor as one broadcast variable, and cell
-choice is a matrix product per Arrow batch (``mapInPandas``) -- no join, no
-shuffle, no pair rows. Candidate scores are computed on the JVM. A cell that
-holds a third of all vectors makes a skewed join key, which AQE's skew join
-splits.
+Build: pick ``n_cells`` centroids (``train='kmeans'``: MLlib k-means, the
+default; ``train='pivots'``: the vectors with the smallest ids, a reproducible
+mode for tests), then store every vector in its ``assign_k`` best cells.
+Without ``n_cells`` there are about sqrt(rows) of them. Search: every query
+probes its ``nprobe`` best cells; more cells probed (or more cells per vector)
+means better recall and more work -- the same trade-off as the graph index's
+search/connectivity knobs.
+
+The centroid table is bounded by ``n_cells``: it is collected once and shipped
+to every executor as one broadcast variable, and cell choice is a matrix
+product per Arrow batch that returns cell numbers only. A search is one
+cogroup per cell and block: a cell's vectors, in blocks of ``CELL_BLOCK`` rows,
+meet the queries that probe it, in blocks of ``QUERY_BLOCK`` rows, in one
+matrix product that keeps k rows per query. No pair is ever a row, and a cell
+that holds a third of all vectors is many blocks.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from quarry.functions.vector import dot
 from quarry.operators import metrics as M
-from quarry.operators.knn import keep_best
-from quarry.operators.search import topk
-from quarry.session import scratch_path, ship_package
+from quarry.operators.knn import PAIR_SCHEMA, keep_best, merged_topk, pair_kernel
+from quarry.session import bounded_broadcast, materialize, scratch_path, ship_package
+
+CELL_BLOCK = 65536    # vectors of a cell in one matrix product
+QUERY_BLOCK = 4096    # queries in one matrix product
+MAX_CELLS = 1 << 16   # centroids, at most, where their number follows the rows
 
 
 def pivot_centroids(vectors: DataFrame, n_cells: int) -> DataFrame:
@@ -72,7 +77,7 @@ def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def with_nearest_cells(df: DataFrame, vec_col: str, centroids: DataFrame, n: int,
                        out_col: str = "cells") -> DataFrame:
-    """Add ``out_col``: the ``n`` best cell ids by inner product (ties: smaller cell id).
+    """Add ``out_col``: the ``n`` best cell ids by inner product (ties: smaller cell id; none for a null vector).
 
     The centroid matrix travels once per executor as a broadcast variable;
     each Arrow batch of rows is scored against it with one matrix product.
@@ -82,32 +87,33 @@ def with_nearest_cells(df: DataFrame, vec_col: str, centroids: DataFrame, n: int
     ids, mat = centroid_matrix(centroids)
     bc = spark.sparkContext.broadcast((ids, mat))
     schema = StructType(df.schema.fields + [StructField(out_col, ArrayType(LongType()))])
-    return df.mapInPandas(_cells_kernel(bc, vec_col, out_col, n), schema)
+    return df.mapInArrow(_cells_kernel(bc, df.columns.index(vec_col), out_col, n), schema)
 
 
 CELL_SCORES = 1 << 22  # score-matrix entries per chunk of rows (32 MB of doubles)
 
 
-def _cells_kernel(bc, vec_col: str, out_col: str, n: int):
+def _cells_kernel(bc, at: int, out_col: str, n: int):
     def run(batches):
         ids, mat = bc.value
         step = max(1, CELL_SCORES // max(1, len(ids)))
-        for pdf in batches:
-            if len(pdf) == 0:
-                pdf[out_col] = []
-                yield pdf
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            chosen = []
+        for batch in batches:
+            vectors = batch.column(at)
+            full = np.asarray(vectors.is_valid())
+            x = vectors.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            x = x.reshape(int(full.sum()), mat.shape[1])
+            chosen = [np.zeros((0, min(n, len(ids))), np.int64)]
             for lo in range(0, len(x), step):
                 s = x[lo:lo + step] @ mat.T
                 cells = np.broadcast_to(ids, s.shape)
                 if s.shape[1] > n:
                     # n best cells (score desc, ties to the smaller cell id)
                     s, cells = keep_best(s, cells, n)
-                chosen.extend(list(cells))
-            pdf[out_col] = chosen
-            yield pdf
+                chosen.append(cells)
+            cells = np.concatenate(chosen)
+            offsets = np.concatenate([[0], np.cumsum(full * cells.shape[1])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out_col])
     return run
 
 
@@ -124,13 +130,15 @@ class VectorIndex:
     params: dict = field(default_factory=dict)
 
     @classmethod
-    def build(cls, vectors: DataFrame, n_cells: int, train: str = "pivots", iters: int = 20,
+    def build(cls, vectors: DataFrame, n_cells: int | None = None, train: str = "kmeans", iters: int = 20,
               assign_k: int = 1, seed: int = 7, sample_fraction: float | None = None,
               path: str | None = None) -> "VectorIndex":
         """Train the cells and write centroids and assignment once, in the saved
         layout (cells partitioned by ``cell_id``): at ``path`` if given -- a
         later ``save(path)`` then only adds the parameters -- else below the
         shared checkpoint folder. Searches and statistics read that copy."""
+        if n_cells is None:
+            n_cells = min(MAX_CELLS, max(1, math.isqrt(vectors.count())))
         if n_cells <= 0 or assign_k <= 0 or assign_k > n_cells:
             raise ValueError("need n_cells > 0 and 0 < assign_k <= n_cells")
         if train == "pivots":
@@ -143,8 +151,7 @@ class VectorIndex:
         where = path or scratch_path(spark, "vector-index")
         cents.write.mode("overwrite").parquet(f"{where}/centroids")
         cents = spark.read.parquet(f"{where}/centroids")
-        assign(vectors, cents, assign_k).write.mode("overwrite").partitionBy("cell_id") \
-            .parquet(f"{where}/cells")
+        _write_cells(assign(vectors, cents, assign_k), where)
         return cls(cents, _cells(spark, where),
                    {"n_cells": n_cells, "train": train, "iters": iters, "assign_k": assign_k,
                     "seed": seed, "path": where})
@@ -153,15 +160,30 @@ class VectorIndex:
         """Run (qid, pid, rank, score) for queries (qid, embedding)."""
         if k <= 0 or nprobe <= 0:
             raise ValueError("k and nprobe must be positive")
+        # (qid, cell) rows are few numbers each; the query vectors are joined to them by id
         probes = (with_nearest_cells(queries.select("qid", F.col("embedding").alias("q")), "q",
                                      self.centroids, nprobe)
                   .select("qid", "q", F.explode("cells").alias("cell_id")))
-        cand = probes.join(self.assignment, "cell_id").select(
-            "qid", F.col("id").alias("pid"), dot("q", "embedding").alias("score"))
+        probed = materialize(probes, "probes")
+        # at most n_cells numbers; as a filter they prune the scan to the probed cells
+        cells = [r["cell_id"] for r in probed.select("cell_id").distinct().collect()]
+        stored = self.assignment.where(F.col("cell_id").isin(cells))
+        n_q = probed.groupBy("cell_id").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("qbs"))
+        n_v = stored.groupBy("cell_id").agg(F.ceil(F.count(F.lit(1)) / CELL_BLOCK).cast("int").alias("vbs"))
+        blocks = materialize(n_q.join(n_v, "cell_id"), "cell-blocks")        # at most one row per cell
+        blocks = bounded_broadcast(blocks)
+        own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        q = probed.join(blocks, "cell_id").select("cell_id", "qid", F.col("q").alias("query"),
+                                                  own("qid", "qbs").alias("qb"), every("vbs").alias("vb"))
+        p = stored.join(blocks, "cell_id").select("cell_id", "id", "embedding",
+                                                           own("id", "vbs").alias("vb"), every("qbs").alias("qb"))
+        keys = ["cell_id", "vb", "qb"]
+        pairs = p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(pair_kernel(k), PAIR_SCHEMA)
         if int(self.params.get("assign_k", 1)) > 1:
-            cand = cand.dropDuplicates(["qid", "pid"])
-        return topk(cand, k, "qid", [F.col("score").desc(), F.col("pid").asc()]) \
-            .select("qid", "pid", "rank", "score")
+            # a passage found in several of its cells: at most assign_k rows of each are in some block's best k
+            pairs = pairs.groupBy("qid", "pid").agg(F.max("score").alias("score"))
+        return merged_topk(pairs, k)
 
     def stats(self) -> DataFrame:
         """One row: vectors, stored entries, dimension, cells used, cell occupancy."""
@@ -181,7 +203,7 @@ class VectorIndex:
         spark = self.centroids.sparkSession
         if self.params.get("path") != path:
             self.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-            self.assignment.write.mode("overwrite").partitionBy("cell_id").parquet(f"{path}/cells")
+            _write_cells(self.assignment, path)
         params = {**self.params, "path": path}
         spark.createDataFrame([(k, str(v)) for k, v in params.items()],
                               "key string, value string").coalesce(1) \
@@ -195,6 +217,13 @@ class VectorIndex:
         return cls(spark.read.parquet(f"{path}/centroids"), _cells(spark, path), params)
 
 
+def _write_cells(assignment: DataFrame, path: str) -> None:
+    """Cells partitioned by ``cell_id``; rows are gathered by cell first, a large cell over many files."""
+    parts = int(assignment.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (assignment.repartitionByRange(parts, "cell_id", F.xxhash64("id"))
+     .write.mode("overwrite").partitionBy("cell_id").parquet(f"{path}/cells"))
+
+
 def _cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/cells").select(
         F.col("cell_id").cast("bigint"), "id", "embedding")

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.operators.ordering import global_prefix_sum, position_in_group
 from quarry.session import default_buckets, scratch_path
 
 
@@ -41,9 +40,9 @@ def token_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def doc_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc_len): token count with repeats."""
+    """(doc_id, doc_len): token count with repeats; 0 for a null text."""
     return docs.select(F.col(id_col).alias("doc_id"),
-                       F.size(T.tokens(text_col)).cast("bigint").alias("doc_len"))
+                       F.coalesce(F.size(T.tokens(text_col)), F.lit(0)).cast("bigint").alias("doc_len"))
 
 
 def lengths_from_counts(tf: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -98,29 +97,14 @@ def collection_stats(lengths: DataFrame, avg_mode: str = "floor") -> DataFrame:
     ``avg_mode='floor'`` truncates the mean to an integer (the studied
     system's rule); ``'exact'`` keeps the real mean.
     """
-    n = F.count(F.lit(1))
-    total = F.coalesce(F.sum("doc_len"), F.lit(0)).cast("bigint")
-    if avg_mode == "floor":
-        avg = F.floor(total / n).cast("double")
-    elif avg_mode == "exact":
-        avg = (total / n).cast("double")
-    else:
-        raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
-    return lengths.agg(n.cast("bigint").alias("n_docs"), total.alias("total_len"),
-                       avg.alias("avg_len"))
+    totals = lengths.agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"),
+                         F.coalesce(F.sum("doc_len"), F.lit(0)).cast("bigint").alias("total_len"))
+    return totals.withColumn("avg_len", T.mean_length("total_len", "n_docs", avg_mode))
 
 
 def vocabulary(tf: DataFrame) -> DataFrame:
-    """Distinct terms (byte order; sort only where a sink needs it)."""
-    return tf.select("term").distinct()
-
-
-def _mean_len(total, n_docs, avg_mode: str):
-    if avg_mode == "floor":
-        return F.floor(total / n_docs).cast("double")
-    if avg_mode == "exact":
-        return (total / n_docs).cast("double")
-    raise ValueError(f"avg_mode must be 'floor' or 'exact', got {avg_mode!r}")
+    """Distinct terms in byte order: a global sort by ranges, so a written copy is sorted across its files."""
+    return tf.select("term").distinct().orderBy("term")
 
 
 def with_impacts(tf: DataFrame, dfreq: DataFrame, n_docs, avg_len,
@@ -151,44 +135,18 @@ def build_postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # N counts every document (also token-less ones) from the id column alone
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     total = tf.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
-    return with_impacts(tf, doc_freq(tf), n_docs, _mean_len(total, n_docs, avg_mode), k1, b)
+    return with_impacts(tf, doc_freq(tf), n_docs, T.mean_length(total, n_docs, avg_mode), k1, b)
 
 
-def lexicon(postings: DataFrame, chunk_size: int = T.CHUNK_SIZE,
-            n_slices: int | None = None) -> DataFrame:
-    """(term, df, n_chunks, start_chunk, end_chunk).
+def lexicon(postings: DataFrame) -> DataFrame:
+    """(term, df, cf): documents that hold the term, and its occurrences in all."""
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
 
-    Every term starts a new chunk of at most ``chunk_size`` postings; chunk
-    numbers are 1-based and run over the whole index in term byte order.
-    """
-    per_term = (postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-                .withColumn("n_chunks", F.ceil(F.col("df") / F.lit(chunk_size)).cast("bigint")))
-    cum = global_prefix_sum(per_term, "term", "n_chunks", "end_chunk", n_slices)
-    return cum.select("term", "df", "n_chunks",
-                      (F.col("end_chunk") - F.col("n_chunks") + 1).alias("start_chunk"),
-                      "end_chunk")
-
-
-def posting_profile(postings: DataFrame, chunk_size: int = T.CHUNK_SIZE,
-                    n_slices: int | None = None) -> DataFrame:
-    """Per-chunk layout profile: (term, chunk, n_postings, first_doc, last_doc, n_bytes).
 
-    Postings of a term are in ``doc_id`` order; ``chunk`` is 0-based within the
-    term. The first id of a chunk is stored whole, later ids as gaps; each id
-    costs its variable-length byte width and each impact one byte.
-    """
-    pos = position_in_group(postings.select("term", "doc_id"), "term", "doc_id", "pos",
-                            prev_col="prev_doc", n_slices=n_slices)
-    chunk = F.floor((F.col("pos") - 1) / F.lit(chunk_size)).cast("bigint")
-    first_in_chunk = ((F.col("pos") - 1) % F.lit(chunk_size)) == 0
-    stored = F.when(first_in_chunk, F.col("doc_id")).otherwise(F.col("doc_id") - F.col("prev_doc"))
-    return (pos.withColumn("chunk", chunk)
-            .withColumn("width", T.varint_len(stored) + F.lit(1))
-            .groupBy("term", "chunk")
-            .agg(F.count(F.lit(1)).alias("n_postings"),
-                 F.min("doc_id").alias("first_doc"),
-                 F.max("doc_id").alias("last_doc"),
-                 F.sum("width").cast("bigint").alias("n_bytes")))
+def posting_profile(postings: DataFrame) -> DataFrame:
+    """(term, n_postings, first_doc, last_doc, max_tf): extent of each term's posting list."""
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("n_postings"), F.min("doc_id").alias("first_doc"),
+                                        F.max("doc_id").alias("last_doc"), F.max("tf").cast("bigint").alias("max_tf"))
 
 
 @dataclass
@@ -206,7 +164,7 @@ class TextIndex:
     """
 
     tf: DataFrame            # (term, doc_id, doc_len, tf[, term_bucket]), by document
-    dfreq: DataFrame         # (term, df[, n_chunks, start_chunk, end_chunk])
+    dfreq: DataFrame         # (term, df[, cf])
     doc_lengths: DataFrame   # (doc_id, doc_len)
     stats: DataFrame         # (n_docs, total_len, avg_len)
     params: dict
@@ -226,17 +184,21 @@ class TextIndex:
         One tokenizing pass; the lineage starts there.
         """
         spark = docs.sparkSession
-        tf = term_freq(docs, id_col, text_col, keep_len=True)
         params = {"k1": k1, "b": b, "avg_mode": avg_mode}
         if not persist_tf:
+            tf = term_freq(docs, id_col, text_col, keep_len=True)
             lengths = lengths_from_counts(tf, docs, id_col)
             return cls(tf, doc_freq(tf), lengths, collection_stats(lengths, avg_mode), params)
-        n = n_buckets or default_buckets(spark)
+        n = n_buckets or default_buckets(docs)
+        # the exchange carries whole documents, not their many more terms: counted after
+        # it, the rows already lie in the buckets they are written to
+        placed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartition(n, "doc_id")
+        tf = term_freq(placed, keep_len=True)
         # term-bucket directories pay off for a saved index serving small
         # batches; a scratch copy for one batch job keeps a single one
         term_buckets = term_buckets or (16 if path else 1)
         where = path or scratch_path(spark, "index")
-        tf = _write_counts(tf, where, n, term_buckets)
+        tf = _write_counts(tf, where, n, term_buckets, placed=True)
         params.update({"n_buckets": n, "term_buckets": term_buckets, "path": where})
         # one row, computed once while the counts are written: every search
         # then reads a local relation instead of re-deriving it
@@ -251,8 +213,8 @@ class TextIndex:
         return with_impacts(self.tf, self.dfreq, both["n_docs"], both["avg_len"],
                             self.params["k1"], self.params["b"])
 
-    def lexicon(self, chunk_size: int = T.CHUNK_SIZE) -> DataFrame:
-        return lexicon(self.tf, chunk_size)
+    def lexicon(self) -> DataFrame:
+        return lexicon(self.tf)
 
     def search(self, queries: DataFrame, k: int = 1000, mode: str = "or", **kw) -> DataFrame:
         """BM25 run over this index; weights only the postings of the batch's terms."""
@@ -271,7 +233,7 @@ class TextIndex:
         sums a document's score inside its bucket's task and keeps a
         per-bucket top-k there: the only shuffle is k rows per query per
         bucket, on ``qid``; dynamic partition pruning skips every directory
-        no query term falls in. The lexicon carries ``df`` and chunk ranges.
+        no query term falls in. The lexicon carries ``df``, by ranges of terms.
         """
         spark = self.tf.sparkSession
         if self.params.get("saved") == path:     # loaded from, or saved to, this path
@@ -279,13 +241,13 @@ class TextIndex:
         if self.params.get("path") == path:      # counts already written here by build()
             n, term_buckets = self.params["n_buckets"], self.params["term_buckets"]
         else:
-            n = n_buckets or default_buckets(spark)
+            n = n_buckets or self.params.get("n_buckets") or default_buckets(self.tf)
             _write_counts(self.tf, path, n, term_buckets)
         saved = _bucketed_table(spark, path, n)
         # the lexicon is split by the same term bucket: a search's df lookup
         # is pruned to the batch's buckets like the postings scan
         (lexicon(saved).withColumn("term_bucket", T.term_bucket("term", term_buckets))
-         .repartition("term_bucket").sortWithinPartitions("term")
+         .repartitionByRange(max(n, term_buckets), "term_bucket", "term").sortWithinPartitions("term_bucket", "term")
          .write.partitionBy("term_bucket").mode("overwrite").parquet(f"{path}/lexicon"))
         self.doc_lengths.write.mode("overwrite").parquet(f"{path}/doc_lengths")
         # stats from the written lengths: no second tokenizing pass
@@ -334,28 +296,36 @@ def _table_name(path: str) -> str:
     return "quarry_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
-def _write_counts(tf: DataFrame, path: str, n_buckets: int, term_buckets: int) -> DataFrame:
+def _write_counts(tf: DataFrame, path: str, n_buckets: int, term_buckets: int,
+                  placed: bool = False) -> DataFrame:
     """Write (term, doc_id, doc_len, tf) in the index layout and return the table.
 
     Bucketed on ``doc_id`` (one file per bucket per directory: rows are
-    hash-partitioned on the bucket key first), sorted by term inside a
-    bucket, split into ``term_buckets`` directories by a hash of the term.
+    hash-partitioned on the bucket key first, unless they are ``placed`` so
+    already), sorted by term inside a bucket, split into ``term_buckets``
+    directories by a hash of the term.
     """
     spark = tf.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
-    (tf.select("term", "doc_id", "doc_len", "tf")
-     .withColumn("term_bucket", T.term_bucket("term", term_buckets))
-     .repartition(n_buckets, "doc_id")
-     .write.partitionBy("term_bucket").bucketBy(n_buckets, "doc_id").sortBy("term")
+    rows = (tf.select("term", "doc_id", "doc_len", "tf")
+            .withColumn("term_bucket", T.term_bucket("term", term_buckets)))
+    rows = rows if placed else rows.repartition(n_buckets, "doc_id")
+    (rows.write.partitionBy("term_bucket").bucketBy(n_buckets, "doc_id").sortBy("term")
      .mode("overwrite").option("path", f"{path}/postings").saveAsTable(_table_name(path)))
     return _bucketed_table(spark, path, n_buckets)
 
 
 def _bucketed_table(spark: SparkSession, path: str, n_buckets: int) -> DataFrame:
-    """Register the saved postings as a bucketed external table (session catalog)."""
+    """Register the saved postings as a bucketed external table of the session's catalog.
+
+    A definition left from another layout is replaced. The catalog starts an
+    external table without partitions, so it is told of those in the folder.
+    """
     name = _table_name(path)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_POSTINGS_COLUMNS}, term_bucket INT) "
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({_POSTINGS_COLUMNS}, term_bucket INT) "
               f"USING parquet PARTITIONED BY (term_bucket) "
               f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {n_buckets} BUCKETS "
               f"LOCATION '{path}/postings'")
+    spark.catalog.recoverPartitions(name)
     return spark.table(name)

@@ -14,8 +14,9 @@ follow the table sizes, so a cell holds at most ``p_block_rows`` passages
 and ``q_block_rows`` queries whatever the scale, and nothing goes through
 the driver.
 
-Either way no pair is ever a row, and a final ``row_number`` keeps the
-global top k from at most k partial rows per query per task.
+Either way no pair is ever a row. Every task leaves at most k rows per query;
+these are merged in two steps (groups of ``MERGE`` tasks first, then all), so
+the last task of a query reads k rows from each group, not from each split.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.search import topk
 from quarry.session import ship_package
 
 PAIR_SCHEMA = "qid BIGINT, pid BIGINT, score DOUBLE"
+MERGE = 256       # partial results of a query merged by one task in the first step
 SUB_BATCH = 2048  # passages per matrix product inside a cell (bounds the score matrix)
 
 
@@ -93,9 +95,11 @@ def block_topk(q_ids: np.ndarray, q: np.ndarray, p_ids: np.ndarray, p: np.ndarra
     return acc.frame()
 
 
-def _kernel(k: int):
+def pair_kernel(k: int):
     def run(pblock: pd.DataFrame, qblock: pd.DataFrame) -> pd.DataFrame:
-        out = block_topk(qblock["qid"].to_numpy(np.int64), _stack(qblock["embedding"]),
+        if not len(pblock) or not len(qblock):     # a side without rows may come without columns
+            return pd.DataFrame({"qid": np.zeros(0, np.int64), "pid": np.zeros(0, np.int64), "score": np.zeros(0)})
+        out = block_topk(qblock["qid"].to_numpy(np.int64), _stack(qblock["query"]),
                          pblock["id"].to_numpy(np.int64), _stack(pblock["embedding"]), k)
         return out.astype({"qid": "int64", "pid": "int64", "score": "float64"})
     return run
@@ -113,6 +117,15 @@ def _stream_kernel(bc, k: int):
     return run
 
 
+def merged_topk(pairs: DataFrame, k: int) -> DataFrame:
+    """Run (qid, pid, rank, score) from the partial results of many tasks, merged in two steps."""
+    order = [F.col("score").desc(), F.col("pid").asc()]
+    tasks = pairs.withColumn("part", F.floor(F.spark_partition_id() / MERGE))
+    first = Window.partitionBy("qid", "part").orderBy(*order)
+    some = tasks.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k).drop("part", "rn")
+    return topk(some, k, "qid", order).select("qid", "pid", "rank", "score")
+
+
 def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
               p_block_rows: int = 65536, q_block_rows: int = 4096,
               n_passages: int | None = None, n_queries: int | None = None) -> DataFrame:
@@ -130,28 +143,32 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
     if k <= 0 or p_block_rows <= 0 or q_block_rows <= 0:
         raise ValueError("k and the block sizes must be positive")
     ship_package()
-    n_q = n_queries if n_queries is not None else queries.count()
+    rows = []
+    if n_queries is None or n_queries <= q_block_rows:
+        rows = queries.select("qid", "embedding").limit(q_block_rows + 1).collect()   # whatever n_queries says
+    if rows or n_queries is None:
+        n_q = len(rows) if len(rows) <= q_block_rows else queries.count()
+    else:
+        n_q = n_queries
     if n_q <= q_block_rows:
-        rows = queries.select("qid", "embedding").collect()  # <= q_block_rows rows
         q_ids = np.array([r["qid"] for r in rows], dtype=np.int64)
         q = (np.stack([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
              if rows else np.zeros((0, 0)))
         bc = passages.sparkSession.sparkContext.broadcast((q_ids, q))
         pairs = passages.select("id", "embedding").mapInPandas(_stream_kernel(bc, k), PAIR_SCHEMA)
-        return topk(pairs, k, "qid", [F.col("score").desc(), F.col("pid").asc()]) \
-            .select("qid", "pid", "rank", "score")
+        return merged_topk(pairs, k)
     n_p = n_passages if n_passages is not None else passages.count()
     n_pb = max(1, math.ceil(n_p / p_block_rows))
     n_qb = max(1, math.ceil(n_q / q_block_rows))
     p = passages.select("id", "embedding",
                         F.pmod(F.xxhash64("id"), F.lit(n_pb)).alias("pb"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("qb"))
-    q = queries.select("qid", "embedding",
+    # a name of its own: passages and queries may come from one table
+    q = queries.select("qid", F.col("embedding").alias("query"),
                        F.pmod(F.xxhash64("qid"), F.lit(n_qb)).alias("qb"),
                        F.explode(F.sequence(F.lit(0), F.lit(n_pb - 1))).alias("pb"))
     p = p.withColumn("qb", F.col("qb").cast("bigint"))
     q = q.withColumn("pb", F.col("pb").cast("bigint"))
     pairs = (p.groupBy("pb", "qb").cogroup(q.groupBy("pb", "qb"))
-             .applyInPandas(_kernel(k), PAIR_SCHEMA))
-    return topk(pairs, k, "qid", [F.col("score").desc(), F.col("pid").asc()]) \
-        .select("qid", "pid", "rank", "score")
+             .applyInPandas(pair_kernel(k), PAIR_SCHEMA))
+    return merged_topk(pairs, k)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vector import cosine
 from quarry.operators.metrics import truncate_run
 from quarry.operators.search import topk
-from quarry.session import materialize
+from quarry.session import BROADCAST_BYTES, bounded_broadcast, materialize
 
 
 def missing_vectors(run: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -28,18 +28,18 @@ def missing_vectors(run: DataFrame, vectors: DataFrame) -> DataFrame:
 def _missing_pids(head: DataFrame, p_vectors: DataFrame) -> DataFrame:
     """Head passage ids without a vector; reads only the id column of the vectors."""
     wanted = head.select("pid").distinct()
-    found = p_vectors.select(F.col("id").alias("pid")).join(F.broadcast(wanted), "pid")
+    found = p_vectors.select(F.col("id").alias("pid")).join(wanted, "pid", "left_semi")
     return wanted.join(found, "pid", "left_anti")
 
 
 def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
-           on_missing: str = "error", broadcast_rows: int | None = 5_000_000) -> DataFrame:
+           on_missing: str = "error", broadcast_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
     """Run (qid, pid, rank, score, orig_rank): the first k of ``run`` by cosine.
 
     ``q_vectors(qid, embedding)``, ``p_vectors(id, embedding)``.
 
-    When a count shows the run head (queries x k rows) within
-    ``broadcast_rows``, the head is broadcast and the passage-vector table is
+    When the counted bytes of the run head (queries x k rows) are within
+    ``broadcast_bytes``, the head is broadcast and the passage-vector table is
     streamed past it, never shuffled; beyond the bound the planner's shuffle
     join applies. ``on_missing='error'`` first checks that every head passage
     (and query) has a vector -- a query over the id columns only -- and
@@ -51,17 +51,15 @@ def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
     # and joining it then read the copy instead of re-running the search
     head = materialize(truncate_run(run, k).select("qid", "pid", F.col("rank").alias("orig_rank")),
                        "rerank-head")
-    small = broadcast_rows is not None and head.count() <= broadcast_rows
     if on_missing == "error":
-        gone = (_missing_pids(F.broadcast(head) if small else head, p_vectors)).limit(1).collect()
+        gone = _missing_pids(head, p_vectors).limit(1).collect()
         if gone:
             raise ValueError(f"no vector for passage {gone[0]['pid']}")
         gone_q = (head.select("qid").distinct()
                   .join(q_vectors.select("qid"), "qid", "left_anti").limit(1).collect())
         if gone_q:
             raise ValueError(f"no vector for query {gone_q[0]['qid']}")
-    if small:
-        head = F.broadcast(head)
+    head = bounded_broadcast(head, broadcast_bytes)
     qv = q_vectors.select("qid", F.col("embedding").alias("qv"))
     pv = p_vectors.select(F.col("id").alias("pid"), F.col("embedding").alias("pv"))
     j = pv.join(head, "pid").join(qv, "qid")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.session import BROADCAST_BYTES, bounded_broadcast
 
 
 def query_terms(queries: DataFrame, id_col: str = "qid", text_col: str = "text") -> DataFrame:
@@ -62,13 +63,6 @@ def _batch_terms(queries: DataFrame, id_col: str, text_col: str, keys: list[str]
     return query_terms(queries, id_col, text_col)
 
 
-def _bounded_broadcast(df: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only when a count shows it within ``broadcast_rows``."""
-    if broadcast_rows is not None and df.count() <= broadcast_rows:
-        return F.broadcast(df)
-    return df
-
-
 def _ranked(scored: DataFrame, k: int, mode: str, keys: list[str], id_col: str) -> DataFrame:
     if mode == "and":
         scored = scored.where(F.col("n_matched") == F.col("n_terms"))
@@ -93,7 +87,7 @@ def _check(mode: str, k) -> None:
 def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
                 mode: str = "or", id_col: str = "qid", text_col: str = "text",
                 extra_keys: list[str] | None = None,
-                broadcast_rows: int | None = 2_000_000) -> DataFrame:
+                broadcast_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
     """Run (qid, pid, rank, score, score_q) for a batch of queries over weighted postings.
 
     ``postings`` carry ``impact_q`` (``build_postings``). ``mode='or'``: any
@@ -102,21 +96,21 @@ def bm25_search(postings: DataFrame, queries: DataFrame, k: int = 1000,
     smaller ``doc_id``. ``extra_keys`` (e.g. an evaluation-set column) are
     carried through and become part of the query key.
 
-    The (qid, term) table is broadcast when a count shows at most
-    ``broadcast_rows`` rows: the postings then stay where they are. Beyond
-    the bound, or with ``broadcast_rows=None``, the planner's own choice
+    The (qid, term) table is broadcast when its counted bytes are at most
+    ``broadcast_bytes``: the postings then stay where they are. Beyond
+    the bound, or with ``broadcast_bytes=None``, the planner's own choice
     applies (a shuffle join on ``term``, hot terms split by AQE's skew join).
     """
     _check(mode, k)
     keys = list(extra_keys or [])
-    qt = _bounded_broadcast(_batch_terms(queries, id_col, text_col, keys), broadcast_rows)
+    qt = bounded_broadcast(_batch_terms(queries, id_col, text_col, keys), broadcast_bytes)
     return _ranked(score(postings, qt), k, mode, keys, id_col)
 
 
 def bm25_search_counts(tf: DataFrame, dfreq: DataFrame, stats: DataFrame, queries: DataFrame,
                        k: int = 1000, mode: str = "or", id_col: str = "qid",
                        text_col: str = "text", extra_keys: list[str] | None = None,
-                       broadcast_rows: int | None = 2_000_000,
+                       broadcast_bytes: int | None = BROADCAST_BYTES,
                        k1: float = T.BM25_K1, b: float = T.BM25_B,
                        term_buckets: int | None = None) -> DataFrame:
     """Same run as ``bm25_search``, over per-document term counts.
@@ -134,8 +128,6 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame, stats: DataFrame, querie
     _check(mode, k)
     keys = list(extra_keys or [])
     qt = _batch_terms(queries, id_col, text_col, keys)
-    # one count decides both broadcasts: the df lookup can only drop rows
-    small = broadcast_rows is not None and qt.count() <= broadcast_rows
     join_keys = ["term"]
     if term_buckets:
         qt = qt.withColumn("term_bucket", T.term_bucket("term", term_buckets))
@@ -143,7 +135,10 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame, stats: DataFrame, querie
     # df of the batch's terms only; out-of-lexicon terms drop out here (a
     # lexicon partitioned by term bucket is pruned to the batch's buckets)
     lex_keys = join_keys if "term_bucket" in dfreq.columns else ["term"]
-    qt = dfreq.select(*lex_keys, "df").join(F.broadcast(qt) if small else qt, lex_keys)
+    # one count of bytes decides both broadcasts: the df lookup drops rows and adds a number
+    hinted = bounded_broadcast(qt, broadcast_bytes)
+    small = hinted is not qt
+    qt = dfreq.select(*lex_keys, "df").join(hinted, lex_keys)
     if small:
         qt = F.broadcast(qt)
     matched = tf.select(*join_keys, "doc_id", "doc_len", "tf").join(qt, join_keys)

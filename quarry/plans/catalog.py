@@ -23,7 +23,7 @@ from quarry.operators import search as S
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
 from quarry.plans import systems as PL
-from quarry.session import scratch_path, table_path
+from quarry.session import materialize, scratch_path, table_path
 from quarry.sources import judgments as SJ
 from quarry.sources import runs as SR
 from quarry.sources import tables as TB
@@ -33,7 +33,8 @@ from quarry.sources import vectors as SV
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
-DEPTH = 100  # run depth used by the registered keyword queries
+DEPTH = 1000       # run depth of the registered keyword queries
+METRIC_DEPTH = 100  # depth of the per-query metrics
 POOL = 20    # judgment pool depth (graded judgments)
 
 
@@ -116,35 +117,20 @@ def q_postings(spark, sf):
 
 
 @register("lexicon", f"""
-WITH per_term AS (
-  SELECT term, count(DISTINCT doc_id) AS df
-  FROM (SELECT doc_id, unnest(regexp_extract_all(text, {O.TOK})) AS term FROM documents)
-  GROUP BY term),
-chunks AS (SELECT term, df, CAST(ceil(df / 128.0) AS BIGINT) AS n_chunks FROM per_term)
-SELECT term, df, n_chunks,
-       CAST(sum(n_chunks) OVER (ORDER BY term ROWS UNBOUNDED PRECEDING) - n_chunks + 1 AS BIGINT) AS start_chunk,
-       CAST(sum(n_chunks) OVER (ORDER BY term ROWS UNBOUNDED PRECEDING) AS BIGINT) AS end_chunk
-FROM chunks
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf
+FROM (SELECT term, doc_id, count(*) AS tf
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, {O.TOK})) AS term FROM documents) GROUP BY term, doc_id)
+GROUP BY term
 """)
 def q_lexicon(spark, sf):
     return IX.lexicon(IX.term_freq(TB.passages(spark, sf)))
 
 
 @register("posting_profile", f"""
-WITH p AS (
-  SELECT DISTINCT term, doc_id
-  FROM (SELECT doc_id, unnest(regexp_extract_all(text, {O.TOK})) AS term FROM documents)),
-n AS (SELECT term, doc_id,
-             row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1 AS i,
-             lag(doc_id) OVER (PARTITION BY term ORDER BY doc_id) AS prev FROM p),
-g AS (SELECT term, i // 128 AS chunk, doc_id,
-             CASE WHEN i % 128 = 0 THEN doc_id ELSE doc_id - prev END AS stored FROM n)
-SELECT term, CAST(chunk AS BIGINT) AS chunk, count(*) AS n_postings,
-       min(doc_id) AS first_doc, max(doc_id) AS last_doc,
-       CAST(sum(CASE WHEN stored < 128 THEN 1 WHEN stored < 16384 THEN 2
-                     WHEN stored < 2097152 THEN 3 WHEN stored < 268435456 THEN 4 ELSE 5 END + 1)
-            AS BIGINT) AS n_bytes
-FROM g GROUP BY term, chunk
+SELECT term, count(*) AS n_postings, min(doc_id) AS first_doc, max(doc_id) AS last_doc, max(tf) AS max_tf
+FROM (SELECT term, doc_id, count(*) AS tf
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, {O.TOK})) AS term FROM documents) GROUP BY term, doc_id)
+GROUP BY term
 """)
 def q_posting_profile(spark, sf):
     return IX.posting_profile(IX.term_freq(TB.passages(spark, sf)))
@@ -160,8 +146,7 @@ def _bm25_sql(mode: str, k: int) -> str:
 
 @register("bm25_or", _bm25_sql("or", DEPTH))
 def q_bm25_or(spark, sf):
-    post = IX.build_postings(TB.passages(spark, sf))
-    return S.bm25_search(post, TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
+    return IX.TextIndex.build(TB.passages(spark, sf)).search(TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
 
 
 @register("bm25_pages", _with(O.postings_cte("post", "pg"), O.QUERIES_VIEW,
@@ -175,18 +160,14 @@ def q_bm25_pages(spark, sf):
 
 @register("bm25_and", _bm25_sql("and", DEPTH))
 def q_bm25_and(spark, sf):
-    post = IX.build_postings(TB.passages(spark, sf))
-    return S.bm25_search(post, TB.keyword_queries(spark, sf), k=DEPTH, mode="and")
+    return IX.TextIndex.build(TB.passages(spark, sf)).search(TB.keyword_queries(spark, sf), k=DEPTH, mode="and")
 
 
 # ---------------------------------------------------------------- shared inputs
 
-def _postings(spark, sf):
-    return IX.build_postings(TB.passages(spark, sf))
-
-
 def _run(spark, sf, k=DEPTH):
-    return S.bm25_search(_postings(spark, sf), TB.keyword_queries(spark, sf), k=k)
+    """The keyword run, searched once and written: every reader of it reads the copy."""
+    return materialize(IX.TextIndex.build(TB.passages(spark, sf)).search(TB.keyword_queries(spark, sf), k=k), "run")
 
 
 def _contain(spark, sf):
@@ -195,7 +176,8 @@ def _contain(spark, sf):
 
 def _graded(spark, sf, run=None):
     run = run if run is not None else _run(spark, sf)
-    return J.graded_qrels(_contain(spark, sf), run, TB.labels(spark, sf), POOL)
+    contain = materialize(_contain(spark, sf), "containment")
+    return materialize(J.graded_qrels(contain, run, TB.labels(spark, sf), POOL), "judgments")
 
 
 def _sql_base() -> list[str]:
@@ -272,13 +254,13 @@ def _round_cols(df, cols):
     return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-@register("per_query", _with(*_sql_base(), O.per_query_cte("pq", "run", "graded", DEPTH)) + """
+@register("per_query", _with(*_sql_base(), O.per_query_cte("pq", "run", "graded", METRIC_DEPTH)) + """
 SELECT qid, n_rel, n_hits, round(rr, 6) AS rr, round(recall, 6) AS recall,
        round(ap, 6) AS ap, round(ndcg, 6) AS ndcg FROM pq
 """)
 def q_per_query(spark, sf):
     run = _run(spark, sf)
-    per = M.per_query_metrics(run, _graded(spark, sf, run), DEPTH)
+    per = M.per_query_metrics(run, _graded(spark, sf, run), METRIC_DEPTH)
     return _round_cols(per, {"rr", "recall", "ap", "ndcg"})
 
 
@@ -303,7 +285,7 @@ for _name, _metric, _k in [("mrr", "mrr", 10), ("recall", "recall", 100),
 
 
 @register("precision_at_hits", _with(*_sql_base()) + f"""
-, r AS (SELECT qid, pid, rank FROM run WHERE rank <= {DEPTH}),
+, r AS (SELECT qid, pid, rank FROM run WHERE rank <= {METRIC_DEPTH}),
 h AS (SELECT r.qid, r.pid, r.rank FROM r JOIN graded g ON g.qid = r.qid AND g.pid = r.pid WHERE g.rel > 0)
 SELECT h.qid, h.rank, h.pid,
        round((SELECT count(*) FROM h h2 WHERE h2.qid = h.qid AND h2.rank <= h.rank) / h.rank::double, 6)
@@ -312,7 +294,7 @@ FROM h
 """)
 def q_precision_at_hits(spark, sf):
     run = _run(spark, sf)
-    return _round_cols(M.precision_at_hits(run, _graded(spark, sf, run), DEPTH), {"precision"})
+    return _round_cols(M.precision_at_hits(run, _graded(spark, sf, run), METRIC_DEPTH), {"precision"})
 
 
 # ---------------------------------------------------------------- sources and sinks (round trips)
@@ -395,7 +377,7 @@ def q_index_saved(spark, sf):
 KNN_K = 10       # neighbours per query vector
 N_CELLS = 16     # inverted-file cells
 NPROBE = 4       # cells probed per query
-RERANK_K = 100   # depth of the keyword run that is re-ranked
+RERANK_K = 1000  # depth of the keyword run that is re-ranked
 
 
 def _query_vectors(spark, sf):
@@ -415,7 +397,7 @@ def _knn(spark, sf, k=KNN_K):
 
 def _subset_run(spark, sf, k=RERANK_K):
     docs = FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
-    return S.bm25_search(IX.build_postings(docs), TB.keyword_queries(spark, sf), k=k)
+    return IX.TextIndex.build(docs).search(TB.keyword_queries(spark, sf), k=k)
 
 
 @register("knn_exact", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K))
@@ -469,13 +451,50 @@ def q_ann_saved(spark, sf):
     return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
 
 
-@register("ann_kmeans", None)
+@register("ann_kmeans", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM knn\n")
 def q_ann_kmeans(spark, sf):
-    """k-means cells (not reproducible in SQL): rows-only check."""
+    """k-means cells, all of them probed: equals exact search whatever the centroids."""
     idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="kmeans", iters=10)
+    return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, N_CELLS), {"score"})
+
+
+@register("knn_grid", _with(O.QVEC_CTE, O.knn_cte("knn", 100))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM knn\n")
+def q_knn_grid(spark, sf):
+    """Exact search at k = 100 through the grid of blocks (block sizes far below the default)."""
+    out = KN.knn_exact(TB.vectors(spark, sf), _query_vectors(spark, sf), 100, p_block_rows=128, q_block_rows=16)
+    return _round_cols(out, {"score"})
+
+
+@register("ann_search_deep", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, 100))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
+def q_ann_search_deep(spark, sf):
+    return _round_cols(_ivf(spark, sf).search(_query_vectors(spark, sf), 100, NPROBE), {"score"})
+
+
+@register("ann_two_cells", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K, assign_k=2))
+          + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
+def q_ann_two_cells(spark, sf):
+    """Every vector stored in its two best cells."""
+    idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="pivots", assign_k=2)
     return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
 
 
+@register("cascade_top100", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 100, 0, 0)[0],
+                                  O.rerank_cte("rr", "runs", 100))
+          + "SELECT s.eval_set, r.qid, r.pid, r.rank, round(r.score, 6) AS score FROM qsets s JOIN rr r ON r.qid = s.qid\n")
+def q_cascade_top100(spark, sf):
+    return _round_cols(PL.cascade_run_sets(spark, sf, PL.saved_judgment_sets(spark, sf), top=100), {"score"})
+
+
+@register("cascade_top1000", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 1000, 0, 0)[0],
+                                   O.rerank_cte("rr", "runs", 1000))
+          + "SELECT s.eval_set, r.qid, r.pid, r.rank, round(r.score, 6) AS score FROM qsets s JOIN rr r ON r.qid = s.qid\n")
+def q_cascade_top1000(spark, sf):
+    return _round_cols(PL.cascade_run_sets(spark, sf, PL.saved_judgment_sets(spark, sf), top=1000), {"score"})
+
+
 @register("rerank", _with(O.SUBSET_VIEW, O.postings_cte("post", "sub"), O.QUERIES_VIEW,
                           O.run_cte("run", "kq", "post", RERANK_K), O.QVEC_CTE,
                           O.rerank_cte("rr", "run", RERANK_K))
@@ -508,7 +527,7 @@ def q_judgment_sets(spark, sf):
 @register("bm25_sets", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", PL.DEPTH, 0, 0)[0])
           + "SELECT s.eval_set, r.qid, r.pid, r.rank, r.score, r.score_q FROM qsets s JOIN runs r ON r.qid = s.qid\n")
 def q_bm25_sets(spark, sf):
-    return PL.bm25_run_sets(spark, sf, PL.judgment_sets(spark, sf))
+    return PL.bm25_run_sets(spark, sf, PL.saved_judgment_sets(spark, sf))
 
 
 @register("eval_bm25", _matrix_sql(["bm25"]))

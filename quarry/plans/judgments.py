@@ -7,16 +7,14 @@
   evaluation campaigns) get their quality (0 or 1) as grade.
 
 Containment is an exact substring test on whole texts. Candidates come from
-an equi-join on an *anchor* token: any token strictly inside the query (not
-its first or last) is bounded by separators inside the query text, so it is
-a whole token of every passage containing the query. The longest interior
-token is used (long tokens are rare). The candidate pairs are written once
-and counted; under a bound they are broadcast and the passages' text is
-streamed past them, never shuffled. Queries with fewer than three tokens
-have no interior token; only if such queries exist (a count over the query
-table, which is small) are they tested against the passages with a
-non-equi join, which Spark plans as a broadcast nested loop over that
-residue. Otherwise the plan has equi-joins only.
+an equi-join on an *anchor*. A token strictly inside the query (not its first
+or last) is bounded by separators inside the query text, so it is a whole
+token of every passage containing the query; of these, the one in the fewest
+passages is taken. A query without such a token is anchored on the character
+n-gram it begins with (``GRAM`` characters, or all of a shorter query): every
+passage containing the query holds that n-gram. The candidate pairs, ids
+only, are written once; their text is fetched by a join that broadcasts them
+if their bytes allow. The plan has equi-joins only.
 """
 
 from __future__ import annotations
@@ -25,38 +23,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.session import materialize
+from quarry.session import BROADCAST_BYTES, bounded_broadcast, materialize
 
 
-def containment_qrels(docs: DataFrame, queries: DataFrame,
-                      broadcast_rows: int = 2_000_000) -> DataFrame:
-    """(qid, pid, rel=1) for every passage containing the query text verbatim."""
-    q = queries.select("qid", F.col("text").alias("qtext"), T.tokens("text").alias("qt"))
-    n = F.size("qt")
-    interior = F.slice("qt", 2, n - 2)
-    by_len = F.sort_array(F.transform(interior, lambda t: F.struct(F.length(t).alias("l"),
-                                                                    t.alias("t"))), asc=False)
-    anchored = q.where(n >= 3).select("qid", "qtext", by_len[0]["t"].alias("term"))
-    short = q.where(n < 3).select("qid", "qtext")
+GRAM = 8   # characters of the n-gram that anchors a query without inner tokens
+
 
+def _token_candidates(docs: DataFrame, q: DataFrame) -> DataFrame:
+    """(qid, doc_id) of passages with the rarest inner token of the query; ``q(qid, inner)``."""
+    inner = q.select("qid", F.explode("inner").alias("term"))
     # explode_outer + filter: a plain explode would make Catalyst re-run the regex
     doc_terms = (docs.select("doc_id", F.explode_outer(F.array_distinct(T.tokens("text"))).alias("term"))
                  .where(F.col("term").isNotNull()))
-    # candidates are written once and counted: broadcast when small, so the
-    # documents' text is streamed past them instead of being shuffled
-    cand = materialize(doc_terms.join(anchored, "term").select("qid", "qtext", "doc_id"),
-                       "containment-candidates")
-    if cand.count() <= broadcast_rows:
-        cand = F.broadcast(cand)
-    hit_long = (docs.select("doc_id", "text").join(cand, "doc_id")
-                .where(F.col("text").contains(F.col("qtext"))))
-    cols = [F.col("qid"), F.col("doc_id").alias("pid"), F.lit(1).alias("rel")]
-    out = hit_long.select(*cols)
-    if short.limit(1).count() > 0:
-        hit_short = (docs.select("doc_id", "text")
-                     .join(short, F.col("text").contains(F.col("qtext"))))
-        out = out.unionByName(hit_short.select(*cols))
-    return out
+    wanted = inner.select("term").distinct()
+    found = materialize(doc_terms.join(bounded_broadcast(wanted), "term"), "anchor-tokens")
+    df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # a token that no passage has rules its query out
+    rarest = inner.join(df, "term", "left").groupBy("qid").agg(
+        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("term"))).alias("a")) \
+        .select("qid", F.col("a.term").alias("term"))
+    return found.join(rarest, "term").select("qid", "doc_id")
+
+
+def _gram_candidates(docs: DataFrame, q: DataFrame) -> DataFrame:
+    """(qid, doc_id) of passages with the query's first n-gram; ``q(qid, qtext)``, no query empty."""
+    q = q.select("qid", F.substring("qtext", 1, GRAM).alias("gram")).withColumn("n", F.length("gram"))
+    sizes = sorted(r["n"] for r in q.select("n").distinct().collect())     # at most GRAM numbers
+    grams = None
+    for n in sizes:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("text") - n + 1, F.lit(1)))
+        at = docs.where(F.length("text") >= n).select("doc_id", F.explode(F.array_distinct(
+            F.transform(starts, lambda i: F.substring("text", i, n)))).alias("gram"))  # noqa: B023
+        grams = at if grams is None else grams.unionByName(at)
+    return grams.join(q, "gram").select("qid", "doc_id").distinct()
+
+
+def containment_qrels(docs: DataFrame, queries: DataFrame,
+                      broadcast_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
+    """(qid, pid, rel=1) for every passage containing the query text verbatim.
+
+    An empty query is contained in every passage that has a text; a null query in none.
+    """
+    q = materialize(queries.select("qid", F.col("text").alias("qtext"), T.tokens("text").alias("qt")).where("qtext is not null")
+                    .select("qid", "qtext", F.slice("qt", 2, F.greatest(F.size("qt") - 2, F.lit(0))).alias("inner")),
+                    "containment-queries")
+    kinds = {(r["inner"], r["empty"]) for r in q.select((F.size("inner") > 0).alias("inner"), (F.col("qtext") == "")
+                                                        .alias("empty")).distinct().collect()}
+    cand = _token_candidates(docs, q.where(F.size("inner") > 0))
+    if (False, False) in kinds:
+        cand = cand.unionByName(_gram_candidates(docs, q.where((F.size("inner") == 0) & (F.col("qtext") != ""))))
+    cand = bounded_broadcast(materialize(cand, "containment-candidates"), broadcast_bytes)
+    qtext = bounded_broadcast(q.select("qid", "qtext"), broadcast_bytes)
+    hits = (docs.select("doc_id", "text").join(cand, "doc_id").join(qtext, "qid")
+            .where(F.col("text").contains(F.col("qtext")))
+            .select("qid", F.col("doc_id").alias("pid"), F.lit(1).alias("rel")))
+    if (False, True) in kinds:
+        empty = [r["qid"] for r in q.where("qtext = ''").select("qid").collect()]   # whole passages for each: few
+        hits = hits.unionByName(docs.where("text is not null").select(
+            F.explode(F.array(*map(F.lit, empty))).alias("qid"), F.col("doc_id").alias("pid"), F.lit(1).alias("rel")))
+    return hits
 
 
 def graded_qrels(contain: DataFrame, pool_run: DataFrame, labels: DataFrame,

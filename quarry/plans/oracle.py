@@ -141,11 +141,11 @@ IVF_CTE = """
                                   FROM embeddings) WHERE cell_id < {cells}),
   cellof AS (SELECT id, cell_id FROM (
                SELECT e.vec_id AS id, piv.cell_id, {pscore} AS s FROM embeddings e, piv)
-             QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, cell_id) = 1),
+             QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, cell_id) <= {assign_k}),
   probe AS (SELECT qid, cell_id FROM (
               SELECT q.qid, piv.cell_id, {qscore} AS s FROM qv q, piv)
             QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, cell_id) <= {nprobe}),
-  ann_s AS (SELECT pr.qid, e.vec_id AS pid, {cscore} AS score
+  ann_s AS (SELECT DISTINCT pr.qid, e.vec_id AS pid, {cscore} AS score
             FROM probe pr JOIN cellof co ON co.cell_id = pr.cell_id
             JOIN embeddings e ON e.vec_id = co.id JOIN qv q ON q.qid = pr.qid),
   ann AS (SELECT qid, pid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) AS BIGINT) AS rank,
@@ -153,8 +153,8 @@ IVF_CTE = """
           QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, pid) <= {k})"""
 
 
-def ivf_cte(cells: int, nprobe: int, k: int) -> str:
-    return IVF_CTE.format(cells=cells, nprobe=nprobe, k=k, pscore=ip("e.embedding", "piv.c"),
+def ivf_cte(cells: int, nprobe: int, k: int, assign_k: int = 1) -> str:
+    return IVF_CTE.format(cells=cells, nprobe=nprobe, k=k, assign_k=assign_k, pscore=ip("e.embedding", "piv.c"),
                           qscore=ip("q.embedding", "piv.c"), cscore=ip("q.embedding", "e.embedding"))
 
 

@@ -45,7 +45,8 @@ SPEC = [
 ]
 SYSTEMS = ["bm25", "ann", "cascade"]
 SETS = ["dev", "eval_one", "eval_two"]
-DEPTH = 100      # run depth of every system
+DEPTH = 1000     # run depth of every system
+TOP = 1000       # results of the keyword run that the cascade re-ranks
 POOL = 20        # judgment pool depth
 N_CELLS = 16
 NPROBE = 4
@@ -76,12 +77,6 @@ def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
-def query_sets(queries: DataFrame, qrels: DataFrame) -> DataFrame:
-    """(eval_set, qid, ...): every query of ``queries`` judged in a set, once per set."""
-    judged = qrels.select("eval_set", "qid").distinct()
-    return queries.join(judged, "qid")
-
-
 def evaluate(run: DataFrame, qrels: DataFrame, system: str, spec=SPEC) -> DataFrame:
     """(system, eval_set, metric, k, value) for every spec entry.
 
@@ -105,28 +100,42 @@ def subset_passages(spark: SparkSession, sf: str) -> DataFrame:
     return FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
 
 
-def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
-    """One job: the keyword run of every set's queries, keyed by (eval_set, qid)."""
-    qs = query_sets(TB.keyword_queries(spark, sf), qrels)
-    return IX.TextIndex.build(subset_passages(spark, sf)).search(qs, k=DEPTH, extra_keys=["eval_set"])
+def to_sets(run: DataFrame, qrels: DataFrame) -> DataFrame:
+    """A run of the judged queries, once for every set that judges the query."""
+    return run.join(qrels.select("eval_set", "qid").distinct(), "qid")
+
+
+def bm25_run(spark: SparkSession, sf: str, qrels: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The keyword run of every judged query, each searched once."""
+    queries = FL.subset_by_ids(TB.keyword_queries(spark, sf), qrels, "qid")
+    return IX.TextIndex.build(subset_passages(spark, sf)).search(queries, k=depth)
+
+
+def bm25_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The keyword run of every set's queries, keyed by (eval_set, qid)."""
+    return to_sets(bm25_run(spark, sf, qrels, depth), qrels)
 
 
 def saved_judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(judgment_sets(spark, sf), "judgment-sets")
 
 
-def evaluate_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
+def saved_bm25_run(spark: SparkSession, sf: str, qrels: DataFrame, depth: int = DEPTH) -> DataFrame:
+    return materialize(bm25_run(spark, sf, qrels, depth), "run-bm25")
+
+
+def evaluate_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
+                  run: DataFrame | None = None) -> DataFrame:
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
-    run = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
-    return evaluate(run, qrels, "bm25")
+    run = run if run is not None else saved_bm25_run(spark, sf, qrels)
+    return evaluate(to_sets(run, qrels), qrels, "bm25")
 
 
 def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
     """Search each judged query vector once, then fan the run out to its sets."""
     qv = FL.subset_by_ids(query_vectors(spark, sf), qrels, "qid")
     idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="pivots")
-    run = idx.search(qv, DEPTH, NPROBE)
-    return run.join(qrels.select("eval_set", "qid").distinct(), "qid")
+    return to_sets(idx.search(qv, DEPTH, NPROBE), qrels)
 
 
 def evaluate_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
@@ -135,34 +144,34 @@ def evaluate_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -
     return evaluate(run, qrels, "ann")
 
 
-def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int = DEPTH,
+def cascade_run(spark: SparkSession, sf: str, qrels: DataFrame, top: int = TOP,
+                base: DataFrame | None = None) -> DataFrame:
+    """The first ``top`` results of the keyword run (given, or built to that depth), re-ranked, each query once."""
+    if not 100 <= top <= 1000:
+        raise ValueError("top must be in 100..1000")
+    base = base if base is not None else saved_bm25_run(spark, sf, qrels, depth=top)
+    return RR.rerank(base, query_vectors(spark, sf), TB.vectors(spark, sf), top) \
+        .select("qid", "pid", "rank", "score")
+
+
+def cascade_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, top: int = TOP,
                      base: DataFrame | None = None) -> DataFrame:
-    """Re-rank the first ``top`` results of the keyword run (given, or built here)."""
-    if not 1 <= top <= 1000:
-        raise ValueError("top must be in 1..1000")
-    base = base if base is not None else bm25_run_sets(spark, sf, qrels)
-    # rerank per (eval_set, qid): fold the set into the query key and back
-    keyed = base.withColumn("qid", F.struct("eval_set", "qid")).drop("eval_set")
-    qv = (query_vectors(spark, sf).join(qrels.select("eval_set", "qid").distinct(), "qid")
-          .select(F.struct("eval_set", "qid").alias("qid"), "embedding"))
-    out = RR.rerank(keyed, qv, TB.vectors(spark, sf), top)
-    return out.select(F.col("qid.eval_set").alias("eval_set"), F.col("qid.qid").alias("qid"),
-                      "pid", "rank", "score")
+    """The cascade run of every set's queries, keyed by (eval_set, qid)."""
+    return to_sets(cascade_run(spark, sf, qrels, top, base), qrels)
 
 
 def evaluate_cascade(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
                      base: DataFrame | None = None) -> DataFrame:
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
-    base = base if base is not None else materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
-    run = materialize(cascade_run_sets(spark, sf, qrels, base=base), "run-cascade")
-    return evaluate(run, qrels, "cascade")
+    run = materialize(cascade_run(spark, sf, qrels, base=base), "run-cascade")
+    return evaluate(to_sets(run, qrels), qrels, "cascade")
 
 
 def eval_matrix(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:
     """All three systems on all sets; the keyword run is built once and reused."""
     qrels = qrels if qrels is not None else saved_judgment_sets(spark, sf)
-    bm25 = materialize(bm25_run_sets(spark, sf, qrels), "run-bm25")
-    return _union([evaluate(bm25, qrels, "bm25"), evaluate_ann(spark, sf, qrels),
+    bm25 = saved_bm25_run(spark, sf, qrels)
+    return _union([evaluate_bm25(spark, sf, qrels, bm25), evaluate_ann(spark, sf, qrels),
                    evaluate_cascade(spark, sf, qrels, base=bm25)])
 
 
@@ -173,7 +182,7 @@ def compare_systems(matrix: DataFrame, systems=SYSTEMS) -> DataFrame:
 
 def row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """(source, n_rows) of every table the systems load or derive."""
-    qrels = judgment_sets(spark, sf)
+    qrels = saved_judgment_sets(spark, sf)
     named = [
         ("documents", TB.passages(spark, sf)),
         ("passages_with_vector", subset_passages(spark, sf)),

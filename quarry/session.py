@@ -9,11 +9,13 @@ executor sees them. A private default is set only when the session has none
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -56,21 +58,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared checkpoint folder; deleted when the driver ends."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-scratch-{spark.sparkContext.applicationId}"
+    if base not in _SCRATCH:
+        _SCRATCH.add(base)
+        atexit.register(_delete, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+_SCRATCH: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this session, through Spark's file systems."""
+    sc = spark.sparkContext
+    if sc._jsc is None:      # already stopped
+        return
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -85,34 +98,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """Bucket count of a written table: two per core of the cluster.
+def default_buckets(source: DataFrame) -> int:
+    """Bucket count of a table written from ``source``: one per split of it, two per core at least.
 
-    The bucket count is the parallelism of every later bucketed scan, so it
-    follows the cluster (``defaultParallelism`` = total executor cores), not
-    a shuffle setting; capped at Spark's bucket limit.
+    A bucketed scan has one task per bucket, so the count follows the data,
+    and the cluster where the data are small; capped at Spark's bucket limit.
     """
+    spark = source.sparkSession
     cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return max(1, min(cap, 2 * spark.sparkContext.defaultParallelism))
+    return max(1, min(cap, max(2 * spark.sparkContext.defaultParallelism, source.rdd.getNumPartitions())))
+
+
+BROADCAST_BYTES = 64 << 20   # largest table that is broadcast; beyond, joins shuffle
+ROW_BYTES = 32               # counted for each row besides its values
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, n_buckets: int | None = None,
-                         sort_by: str | None = None) -> DataFrame:
-    """Like ``materialize``, but written as a table bucketed on ``key``.
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if a count of its bytes shows at most ``max_bytes``.
 
-    Readers then know the rows are hash-partitioned on ``key``: an aggregate
-    or join on that key (or on a superset of it) needs no exchange. The table
-    lives in the session catalog, its files below the shared folder.
+    Computes ``df`` once more, so it should be small or written. ``None`` or a
+    table beyond the bound leave the join to the planner.
     """
-    spark = df.sparkSession
-    n = n_buckets or default_buckets(spark)
-    path = scratch_path(spark, name)
-    table = "quarry_tmp_" + path.rsplit("-", 1)[-1]
-    writer = df.repartition(n, key).write.bucketBy(n, key)
-    if sort_by:
-        writer = writer.sortBy(sort_by)
-    writer.mode("overwrite").option("path", path).saveAsTable(table)
-    return spark.table(table)
+    if max_bytes is None:
+        return df
+    width = F.lit(ROW_BYTES)
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def ship_package() -> None:

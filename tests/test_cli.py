@@ -1,5 +1,6 @@
 """The command line reproduces the library's evaluation on files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry import cli
@@ -33,15 +34,23 @@ def test_cli_matches_library(spark, sf_small, tmp_path):
         ("cascade", SY.evaluate_cascade(spark, sf_small, qrels))]}
 
     got = cli.main(["bm25", "--collection", f"{d}/collection", "--passages", f"{d}/vectors",
-                    "--depth", "100", "--out", f"{d}/out", *sets], spark=spark)
+                    "--depth", "1000", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(got) == want["bm25"]
     again = cli.main(["bm25", "--collection", f"{d}/collection", "--generated",
-                      "--depth", "100", "--out", f"{d}/out", *sets], spark=spark)
+                      "--depth", "1000", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(again) == want["bm25"]
     got = cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors",
-                    "--depth", "100", "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
+                    "--depth", "1000", "--cells", "16", "--train", "pivots", "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(got) == want["ann"]
+    again = cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors", "--depth", "1000",
+                      "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
+    assert as_map(again) == want["ann"]
+    with pytest.raises(SystemExit):
+        cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors", "--cells", "4",
+                  "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
+    with pytest.raises(SystemExit):
+        cli.main(["bm25", "--collection", f"{d}/collection", "--generated", "--out", f"{d}/none", *sets], spark=spark)
     got = cli.main(["rerank", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors",
-                    "--runs", f"{d}/out/runs/bm25", "--top", "100", "--depth", "100",
+                    "--runs", f"{d}/out/runs/bm25", "--top", "1000",
                     "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(got) == want["cascade"]

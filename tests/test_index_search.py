@@ -85,27 +85,31 @@ def test_avg_len_is_truncated(spark):
     assert st["avg_len"] == 2.5
 
 
-def test_chunking_129_postings(spark):
-    docs = docs_df(spark, [(i, "hot") for i in range(129)] + [(1000, "cold")])
+def test_lexicon_and_posting_extents(spark):
+    docs = docs_df(spark, [(i, "hot hot" if i == 5 else "hot") for i in range(129)] + [(1000, "cold")])
     tf = IX.term_freq(docs)
-    lex = {r["term"]: r for r in IX.lexicon(tf).collect()}
-    assert lex["cold"]["n_chunks"] == 1 and lex["cold"]["start_chunk"] == 1
-    assert lex["hot"]["n_chunks"] == 2 and (lex["hot"]["start_chunk"], lex["hot"]["end_chunk"]) == (2, 3)
-    prof = {r["chunk"]: r for r in IX.posting_profile(tf).where("term = 'hot'").collect()}
-    assert prof[0]["n_postings"] == 128 and prof[1]["n_postings"] == 1
-    assert prof[1]["first_doc"] == 128
-    # gaps of 1 cost 1 byte + 1 impact byte; the chunk-leading id is stored whole
-    assert prof[0]["n_bytes"] == 128 * 2 and prof[1]["n_bytes"] == 3
-
-
-def test_position_in_group_across_slices(spark):
-    from quarry.operators.ordering import position_in_group
-    df = spark.createDataFrame([("k", i) for i in range(500)] + [("j", i) for i in range(3)],
-                               "term string, doc_id bigint")
-    out = position_in_group(df, "term", "doc_id", "pos", prev_col="prev", n_slices=7)
-    rows = {(r["term"], r["doc_id"]): (r["pos"], r["prev"]) for r in out.collect()}
-    assert all(rows[("k", i)] == (i + 1, i - 1 if i else None) for i in range(500))
-    assert rows[("j", 2)] == (3, 1)
+    assert sorted(map(tuple, IX.lexicon(tf).collect())) == [("cold", 1, 1), ("hot", 129, 130)]
+    assert sorted(map(tuple, IX.posting_profile(tf).collect())) == [("cold", 1, 1000, 1000, 1), ("hot", 129, 0, 128, 2)]
+    assert [r["term"] for r in IX.vocabulary(tf).collect()] == ["cold", "hot"]
+
+
+def test_mean_length_zero_and_empty_table(spark):
+    """A mean length that truncates to 0 makes every weight 0; an empty table has no mean."""
+    docs = docs_df(spark, [(1, "only"), (2, ""), (3, None), (4, "")])
+    for post in (IX.build_postings(docs), IX.TextIndex.build(docs).postings):
+        assert [(r["impact"], r["impact_q"]) for r in post.collect()] == [(0.0, 0)]
+    assert {r["doc_len"] for r in IX.doc_lengths(docs).collect()} == {0, 1}
+    empty = IX.collection_stats(IX.doc_lengths(docs.limit(0))).first()
+    assert (empty["n_docs"], empty["total_len"], empty["avg_len"]) == (0, 0, None)
+    assert IX.build_postings(docs.limit(0)).count() == 0
+
+
+def test_counts_are_placed_before_they_are_written(spark, sf_small):
+    from quarry.sources import tables as TB
+    idx = IX.TextIndex.build(TB.passages(spark, sf_small), n_buckets=5)
+    plan = idx.tf.groupBy("doc_id").count()._jdf.queryExecution().toString()
+    assert "Exchange hashpartitioning(doc_id" not in plan
+    assert idx.tf.groupBy("doc_id").agg({"tf": "sum"}).count() > 0
 
 
 def test_index_save_load_roundtrip(spark, sf_small, tmp_path):

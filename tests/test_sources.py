@@ -54,8 +54,22 @@ def test_load_or_build_reuses(spark, tmp_path):
     assert len(calls) == 1 and again.count() == 1
 
 
-def test_tsv_lines_without_tab_or_id_are_not_records(spark, tmp_path):
+def test_tsv_bad_lines_raise_or_are_counted(spark, tmp_path):
     p = tmp_path / "raw.tsv"
     p.write_text("1\tfirst\nno tab here\nx\tbad id\n\n2\t\n3\tthird\twith tab\n")
-    got = sorted(map(tuple, ST.read_id_text_tsv(spark, str(p)).collect()))
+    with pytest.raises(Exception, match="no tab here|bad id|not an id"):
+        ST.read_id_text_tsv(spark, str(p)).collect()
+    got = sorted(map(tuple, ST.read_id_text_tsv(spark, str(p), on_bad="drop").collect()))
     assert got == [(1, "first"), (2, ""), (3, "third\twith tab")]
+    assert ST.count_bad_lines(spark, str(p)) == 3
+    with pytest.raises(ValueError):
+        ST.read_id_text_tsv(spark, str(p), on_bad="guess")
+
+
+def test_tsv_carriage_returns_and_null_text(spark, tmp_path):
+    p = tmp_path / "cr.tsv"
+    p.write_bytes(b"1\talpha\rbeta gamma\r\n2\tx\n")
+    assert sorted(map(tuple, ST.read_id_text_tsv(spark, str(p)).collect())) == [(1, "alpha\rbeta gamma"), (2, "x")]
+    df = spark.createDataFrame([(1, None), (2, "t")], "id bigint, text string")
+    ST.write_id_text_tsv(df, str(tmp_path / "w"))
+    assert sorted(map(tuple, ST.read_id_text_tsv(spark, str(tmp_path / "w")).collect())) == [(1, ""), (2, "t")]

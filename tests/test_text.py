@@ -27,12 +27,6 @@ def test_dequantize(spark):
     assert got == [30.0, 0.0]
 
 
-def test_varint_width(spark):
-    vals = [1, 127, 128, 130, 16383, 16384]
-    df = spark.createDataFrame([(v,) for v in vals], "n bigint")
-    assert [r[0] for r in df.select(T.varint_len("n")).collect()] == [1, 1, 2, 2, 2, 3]
-
-
 def test_idf_negative_for_common_terms(spark):
     df = spark.createDataFrame([(10, 9), (10, 1)], "n bigint, d bigint")
     a, b = [r[0] for r in df.select(T.idf("n", "d")).collect()]
