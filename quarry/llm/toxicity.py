@@ -43,10 +43,10 @@ from quarry.session import materialize
 GAP = 0.6
 MAX_SPAN = 6
 OFFSETS = [(j, k, GAP ** (k - 2)) for k in range(2, MAX_SPAN) for j in range(1, k)]
-BITS = 22
+BITS = 21
 UNIT_CHARS = 24           # longer units are cut into overlapping parts of this many characters
-SAMPLE_DOCS = 20_000      # labelled documents, at most, of the training sample
-SAMPLE_WORDS = 400_000    # most frequent units of the sample that training looks at
+SAMPLE_DOCS = 12_000      # labelled documents, at most, of the training sample
+SAMPLE_WORDS = 150_000    # most frequent units of the sample that training looks at
 POSITIVES, NEGATIVES, LANDMARKS = 2_000, 8_000, 400
 HARD_ROUNDS, HARD = 3, 3_000
 PENALTY = 1e-5
@@ -126,19 +126,18 @@ def kernel(words: list[str], landmarks: list[str]) -> tuple[np.ndarray, np.ndarr
     column = np.concatenate([np.broadcast_to(owner, h.shape)[ok] for h, ok, _ in found])
     value = np.concatenate([np.full(int(ok.sum()), w) for _, ok, w in found]) / norm[column]
     used, row = np.unique(bucket, return_inverse=True)
-    feature = np.zeros((len(used) + 1, len(landmarks)))       # the last row is for triples of no landmark
+    feature = np.zeros((len(used) + 1, len(landmarks)), np.float32)   # the last row is for triples of no landmark
     np.add.at(feature, (row, column), value)
     place = np.full(1 << BITS, len(used), np.int32)
     place[used] = np.arange(len(used))
     out = np.zeros((len(words), len(landmarks)))
-    feature = feature.astype(np.float32)
-    for block in by_length(words, 512):
+    for block in by_length(words, 256):
         some, size = triples([words[i] for i in block])
         total = np.zeros((len(block), len(landmarks)))
         for h, ok, w in some:
             total += w * np.einsum("ij,ijk->ik", ok.astype(np.float32), feature[place[h]])
         out[block] = total / size[:, None]
-    return out, used, feature[:-1].astype(np.float64)
+    return out, used, feature[:-1]
 
 
 def svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
@@ -292,10 +291,10 @@ def _counts(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
                                                   pa.array([label] * len(found), pa.int32())], names=["unit", "toxic"])
 
     per = map_arrow(sample.select("text", "toxic"), run, "unit string, toxic int")
-    rows = per.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")) \
-        .orderBy(F.desc(F.col("t") + F.col("c")), F.xxhash64("unit"), "unit").limit(SAMPLE_WORDS).collect()
+    table = per.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")) \
+        .orderBy(F.desc(F.col("t") + F.col("c")), F.xxhash64("unit"), "unit").limit(SAMPLE_WORDS).toPandas()
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    return [(r["unit"], r["t"], r["c"]) for r in rows], n.get(1, 0), n.get(0, 0)
+    return list(zip(table["unit"], table["t"].tolist(), table["c"].tolist())), n.get(1, 0), n.get(0, 0)
 
 
 def curve(value: np.ndarray, label: np.ndarray) -> np.ndarray:
