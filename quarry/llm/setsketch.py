@@ -8,16 +8,16 @@
 3. Band keys of ``ROWS`` registers form buckets. A pair with similarity 0.85
    meets in none of the 24 bands with probability (1 - 0.85 ** 6) ** 24,
    about 1e-5.
-4. In rounds, each bucket compares its members with a few pivots. Only members
-   in other components than the pivot are compared, and buckets whose
-   remaining members are all connected are done, so a bucket costs its size
-   times its number of pivots, not its square, unless it holds sets that do
-   not link. Compared pivots leave; rounds go on until no bucket has an
-   undecided pair, so no link between buckets' members is lost.
-5. A pair is first estimated from both sketches jointly: with known set sizes,
+4. Each bucket's members are first compared with its smallest one. Links make
+   components; a bucket that lies in one component needs no more.
+5. The other buckets are compared in full, in pairs of bounded blocks: all
+   estimates of a block pair are made in numpy, and pairs not connected yet
+   are verified best first. Only links that connect leave the task, never
+   pairs, so no link between members of a bucket is lost.
+6. A pair is estimated from both sketches jointly: with known set sizes,
    maximum likelihood over the counts of larger, smaller and equal registers.
-   Pairs five standard deviations below the threshold go; the others are
-   verified on full shingle sets, and links become components.
+   Pairs ``SIGMAS`` standard deviations below the threshold go; the others are
+   verified on full shingle sets.
 
 Defined results: null, empty and blank texts have an empty set and link with
 nothing; texts below five words are one shingle; repeated rows link to each
@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from quarry.llm.common import PerWorker, map_arrow, odd_multipliers, slices, splitmix
 from quarry.llm.graph import components
 from quarry.llm.shingles import WordHashes, shingle_set
-from quarry.session import materialize
+from quarry.session import materialize, ship_package
 
 BANDS, ROWS = 24, 6
 REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 65534      # b, a and q of the sketch
-SIGMAS = 5.0                                # distance below the threshold at which an estimate rejects a pair
-PIVOT_GROWTH = 4                            # pivots per bucket grow by this from round to round
+SIGMAS = 4.0                                # distance below the threshold at which an estimate rejects a pair
+BLOCK, BLOCK_SHINGLES = 1024, 4_000_000     # members of a bucket, and their shingles, in one block
 
 
 def sketch_sets(sets: list[np.ndarray]) -> np.ndarray:
@@ -78,6 +78,11 @@ def estimate(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.n
     return j[np.arange(len(j)), score.argmax(axis=1)]
 
 
+def cutoff(percent: int) -> float:
+    """Estimate below which a pair is ruled out."""
+    return percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
     """(id, n, print, sketch): size, 128-bit fingerprint and registers of every document's set."""
     shared = PerWorker(docs.sparkSession, WordHashes)
@@ -120,7 +125,7 @@ def _buckets(vertices: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Pairs that the sketches do not rule out."""
-    least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+    least = cutoff(percent)
 
     def run(batches):
         for b in slices(batches, 2048):
@@ -169,42 +174,100 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         .dropDuplicates(["v"]).select("v", "set")
 
 
+def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members(key, v, ...)`` with the smallest vertex that links reach from v."""
+    roots = components(links).withColumnRenamed("node", "v")
+    return members.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+
+
+def _undecided(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, v, root) of buckets that links leave in several components."""
+    rooted = materialize(_roots(members, links), "rooted")
+    keys = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("key")
+    return materialize(rooted.join(keys, "key"), "undecided")
+
+
+def _decide(members: DataFrame, vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect, in every bucket of ``members(key, v, root)``, what any of its pairs links.
+
+    A bucket is cut into blocks, and each pair of blocks is one task's work:
+    estimates of all pairs in numpy, then, best first, full sets of pairs that
+    are not connected yet. Only connecting links leave the task.
+    """
+    floor = cutoff(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        v = np.asarray(table["v"])
+        v, first = np.unique(v, return_index=True)
+        table = table.take(pa.array(first))
+        own, n = np.asarray(table["own"]), np.asarray(table["n"])
+        mine = np.asarray(table["i"])[0]
+        within = mine == np.asarray(table["j"])[0]
+        registers = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(len(v), REGISTERS)
+        full = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
+        roots = np.asarray(table["root"])
+        parent = {int(r): int(r) for r in roots}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        for x in range(len(v)):
+            if not within and own[x] != mine:
+                continue
+            other = np.arange(x + 1, len(v)) if within else np.flatnonzero(own != mine)
+            other = other[(roots[other] != roots[x])
+                          & (100 * np.minimum(n[other], n[x]) >= percent * np.maximum(n[other], n[x]))]
+            same = (registers[other] == registers[x]).mean(axis=1)
+            other = other[same >= floor - 0.05]
+            if len(other):
+                up = (registers[x] > registers[other]).sum(axis=1)
+                down = (registers[x] < registers[other]).sum(axis=1)
+                j = estimate(up, down, np.full(len(other), n[x]), n[other])
+                found += [(-e, x, y) for e, y in zip(j.tolist(), other.tolist()) if e >= floor]
+        links = []
+        for _, x, y in sorted(found):
+            r, q = find(int(roots[x])), find(int(roots[y]))
+            if r != q:
+                common = len(np.intersect1d(full[x], full[y], assume_unique=True))
+                if 100 * common >= percent * (len(full[x]) + len(full[y]) - common):
+                    parent[max(r, q)] = min(r, q)
+                    links.append((v[x], v[y]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    data = vertices.select("v", "n", "sketch").join(sets, "v")
+    size = members.join(vertices.select("v", "n"), "v").groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("s")) \
+        .select("key", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = members.join(size, "key").withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    work = cut.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "root") \
+        .join(data, "v")
+    ship_package()
+    return work.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint")
+
+
 def _links(docs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame | None:
     """(u, v) links that connect what the buckets' pairs connect; None if no bucket has two members."""
     buckets = _buckets(vertices)
-    shared_keys = buckets.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    members = materialize(buckets.join(shared_keys, "key").withColumn("root", F.col("v")), "buckets")
+    shared_keys = buckets.groupBy("key").agg(
+        F.count("*").alias("c"), F.min("v").alias("p"), F.max("v").alias("q"),
+        F.sum(F.xxhash64("v").cast("decimal(20,0)")).alias("h")).filter("c > 1") \
+        .groupBy("c", "p", "q", "h").agg(F.min("key").alias("key")).select("key", "p")   # equal buckets once
+    members = materialize(buckets.join(shared_keys, "key"), "buckets")
     if members.isEmpty():
         return None
     wanted = members.select("v").distinct().join(vertices.select("v", "id", "print"), "v")
     sets = materialize(_full_sets(docs, wanted), "sets")
-    links = decided = None
-    pivots_per_bucket = 1
-    while True:
-        salt = F.pmod(F.xxhash64("v"), F.lit(pivots_per_bucket))
-        pivots = members.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("v", "root")).alias("p")) \
-            .select("key", F.col("p.v").alias("p"), F.col("p.root").alias("p_root"))
-        pairs = members.join(pivots, "key").filter("v != p and root != p_root") \
-            .select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct()
-        if decided is not None:
-            pairs = pairs.join(decided, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        decided = pairs if decided is None else decided.unionByName(pairs)
-        found = _verified(materialize(_likely(pairs, vertices, percent), "likely"), sets, percent) \
-            .select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = materialize(found if links is None else links.unionByName(found), "links")
-        roots = components(links)
-        # compared pivots leave; what is left of a bucket matters only if it is not connected yet
-        rest = members.join(pivots.select("key", F.col("p").alias("v")), ["key", "v"], "left_anti").select("key", "v") \
-            .join(roots.withColumnRenamed("node", "v"), "v", "left") \
-            .select("key", "v", F.coalesce("root", "v").alias("root"))
-        rest = materialize(rest, "buckets")
-        open_keys = rest.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")) \
-            .filter("x != y").select("key")
-        members = materialize(rest.join(open_keys, "key"), "buckets")
-        if members.isEmpty():
-            return links
-        pivots_per_bucket *= PIVOT_GROWTH
+    pairs = members.filter("v != p").select(F.col("p").alias("a"), F.col("v").alias("b")).distinct()
+    star = materialize(_verified(_likely(pairs, vertices, percent), sets, percent), "links")
+    rename = lambda links: links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    open_members = _undecided(members.select("key", "v"), rename(star))
+    if open_members.isEmpty():
+        return rename(star)
+    return rename(star.unionByName(materialize(_decide(open_members, vertices, sets, percent), "links")))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
