@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from quarry.session import ship_package
 
 SLICE_ROWS = 256        # rows turned into Python objects at a time inside a task
-MASK64 = (1 << 64) - 1
+BATCH_BYTES = 8 << 20    # of an Arrow batch, so that long texts do not fill a worker
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` with this package's functions shipped to the workers."""
+    """``mapInArrow`` with this package's functions shipped to the workers, in batches of bounded bytes."""
     ship_package()
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(fn, schema)
 
 

@@ -214,7 +214,7 @@ def _decide(members: DataFrame, vertices: DataFrame, sets: DataFrame, percent: i
                 x = parent[x]
             return x
 
-        found = []
+        found = [(np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32))]
         for x in range(len(v)):
             if not within and own[x] != mine:
                 continue
@@ -227,9 +227,12 @@ def _decide(members: DataFrame, vertices: DataFrame, sets: DataFrame, percent: i
                 up = (registers[x] > registers[other]).sum(axis=1)
                 down = (registers[x] < registers[other]).sum(axis=1)
                 j = estimate(up, down, np.full(len(other), n[x]), n[other])
-                found += [(-e, x, y) for e, y in zip(j.tolist(), other.tolist()) if e >= floor]
+                other, j = other[j >= floor], j[j >= floor]
+                found.append((j, np.full(len(other), x, np.int32), other.astype(np.int32)))
+        score, left, right = (np.concatenate(c) for c in zip(*found))
         links = []
-        for _, x, y in sorted(found):
+        for k in np.argsort(-score, kind="stable"):
+            x, y = int(left[k]), int(right[k])
             r, q = find(int(roots[x])), find(int(roots[y]))
             if r != q:
                 common = len(np.intersect1d(full[x], full[y], assume_unique=True))

@@ -10,7 +10,7 @@ import numpy as np
 
 from quarry.llm.common import odd_multipliers, splitmix
 
-WORDS_KEPT = 500_000     # hashed words a worker remembers before it starts afresh
+WORDS_KEPT = 150_000     # hashed words a worker remembers before it starts afresh
 
 
 class WordHashes(dict):
