@@ -101,6 +101,15 @@ def q_coll_stats(spark, sf):
     return IX.collection_stats(IX.doc_lengths(TB.passages(spark, sf)))
 
 
+@register("coll_stats_exact", f"""
+SELECT count(*) AS n_docs, CAST(sum(l) AS BIGINT) AS total_len,
+       round(sum(l)::double / count(*)::double, 6) AS avg_len
+FROM (SELECT len(regexp_extract_all(text, {O.TOK})) AS l FROM documents)
+""")
+def q_coll_stats_exact(spark, sf):
+    return _round_cols(IX.collection_stats(IX.doc_lengths(TB.passages(spark, sf)), "exact"), {"avg_len"})
+
+
 @register("vocabulary", f"""
 SELECT DISTINCT unnest(regexp_extract_all(text, {O.TOK})) AS term FROM documents
 """)
@@ -356,6 +365,13 @@ def q_run_parquet(spark, sf):
     return SR.read_run(spark, path, "parquet")
 
 
+@register("run_tsv", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank, score FROM run\n")
+def q_run_tsv(spark, sf):
+    path = scratch_path(spark, "run-tsv")
+    SR.write_run(_run(spark, sf), path, "tsv")
+    return SR.read_run(spark, path, "tsv")
+
+
 @register("run_cached", _with(*_sql_base()[:3]) + "SELECT qid, pid, rank, score FROM run\n")
 def q_run_cached(spark, sf):
     path = scratch_path(spark, "run-cached")

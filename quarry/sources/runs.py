@@ -45,11 +45,12 @@ def read_run(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     parts = F.split(F.col("value"), "\t")
     lines = (spark.read.text(path)
              .select(parts[0].cast("bigint").alias("qid"), parts[1].cast("bigint").alias("pid"),
+                     F.regexp_extract("_metadata.file_path", "part-(\\d+)", 1).try_cast("bigint").alias("__part"),
                      F.col("_metadata.file_path").alias("__file"),
                      F.col("_metadata.file_block_start").alias("__block"),
                      F.monotonically_increasing_id().alias("__seq")))
     # a query's lines are at most the run depth: a bounded window group
-    w = Window.partitionBy("qid").orderBy("__file", "__block", "__seq")
+    w = Window.partitionBy("qid").orderBy("__part", "__file", "__block", "__seq")
     return lines.select("qid", "pid", F.row_number().over(w).cast("bigint").alias("rank"))
 
 

@@ -73,3 +73,10 @@ def test_tsv_carriage_returns_and_null_text(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "t")], "id bigint, text string")
     ST.write_id_text_tsv(df, str(tmp_path / "w"))
     assert sorted(map(tuple, ST.read_id_text_tsv(spark, str(tmp_path / "w")).collect())) == [(1, ""), (2, "t")]
+
+
+def test_rankless_run_orders_files_by_part_number(spark, tmp_path):
+    for part, pid in ((99999, 1), (100000, 2), (100001, 3)):
+        (tmp_path / f"part-{part}-x.txt").write_text(f"7\t{pid}\n")
+    got = sorted(map(tuple, SR.read_run(spark, str(tmp_path), "tsv2").collect()))
+    assert got == [(7, 1, 1), (7, 2, 2), (7, 3, 3)]
