@@ -96,6 +96,22 @@ def test_chain_of_near_copies_without_a_common_centre(spark):
     assert len({r.component_id for r in got}) < 20
 
 
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    """Near copies of one text with edits of every size: many members of a bucket do not link to its smallest."""
+    monkeypatch.setattr(setsketch, "BLOCK", 6)
+    rng = random.Random(10)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(70):
+        text = list(base)
+        for _ in range(i % 14):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10 ** 9)}"
+        rows.append((i, " ".join(text)))
+    got = setsketch.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_groups(rows, got)
+    assert 2 < len({r.component_id for r in got}) < 70
+
+
 def test_keep_one(spark):
     rows = varied(2, 60)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, id string, n int")
