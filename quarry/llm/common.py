@@ -31,8 +31,10 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
-def bounded_sample(df: DataFrame, key: str, bound: int, n_rows: int | None = None, seed: int = 7) -> DataFrame:
-    """About ``bound`` rows at most, chosen by a hash of ``key`` and the row's place in the scan.
+def bounded_sample(df: DataFrame, key: str, bound: int, n_rows: int | None = None, seed: int = 7,
+                   unique: bool = False) -> DataFrame:
+    """About ``bound`` rows at most, chosen by a hash of ``key`` and, unless keys are ``unique``, of the row's
+    place in the scan.
 
     Only classifiers are fitted on such samples. The place keeps a key that
     very many rows share from being taken whole.
@@ -42,7 +44,7 @@ def bounded_sample(df: DataFrame, key: str, bound: int, n_rows: int | None = Non
         return df
     buckets = 1 << 30
     keep = max(1, int(buckets * bound / n))
-    place = F.xxhash64(F.col(key), F.monotonically_increasing_id(), F.lit(seed))
+    place = F.xxhash64(F.col(key), F.lit(0) if unique else F.monotonically_increasing_id(), F.lit(seed))
     return df.filter(F.pmod(place, F.lit(buckets)) < keep)
 
 

@@ -46,9 +46,9 @@ OFFSETS = [(j, k, GAP ** (k - 2)) for k in range(2, MAX_SPAN) for j in range(1,
 BITS = 21
 UNIT_CHARS = 24           # longer units are cut into overlapping parts of this many characters
 SAMPLE_DOCS = 12_000      # labelled documents, at most, of the training sample
-SAMPLE_WORDS = 150_000    # most frequent units of the sample that training looks at
-POSITIVES, NEGATIVES, LANDMARKS = 2_000, 8_000, 400
-HARD_ROUNDS, HARD = 3, 3_000
+SAMPLE_WORDS = 120_000    # most frequent units of the sample that training looks at
+POSITIVES, NEGATIVES, LANDMARKS = 1_500, 6_000, 320
+HARD_ROUNDS, HARD = 3, 2_000
 PENALTY = 1e-5
 THRESHOLD = 0.7           # contract: predicted toxic from this score on
 NO_UNIT = -3.0            # decision value in place of a missing unit
@@ -211,6 +211,7 @@ def fit_words(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) ->
     clean = np.array([table[w][1] for w in words], float)
     if not n_toxic or not n_clean or not words:
         return None
+    table.clear()
     bad, typical = suspects(words, toxic, clean, n_toxic, n_clean)
     if not typical:
         return None
@@ -319,10 +320,10 @@ def probability(value: np.ndarray, line: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(value @ line[:-1] + line[-1], -30, 30)))
 
 
-def _valued(docs: DataFrame, keep: list[str], scorer: PerWorker, line: np.ndarray | None) -> DataFrame:
-    """``keep`` columns, then the score, or without ``line`` the TOP values as columns v0, v1, ..."""
-    names = ["score"] if line is not None else [f"v{i}" for i in range(TOP)]
-    names = [f"tox_{n}" for n in names]
+def _valued(docs: DataFrame, keep: list[str], scorer: PerWorker, line: np.ndarray | None,
+            name: str = "tox_score") -> DataFrame:
+    """``keep`` columns, then the score as ``name``, or without ``line`` the TOP values as columns name0, name1, ..."""
+    names = [name] if line is not None else [f"{name}{i}" for i in range(TOP)]
 
     def run(batches):
         score = scorer.get()
@@ -335,28 +336,25 @@ def _valued(docs: DataFrame, keep: list[str], scorer: PerWorker, line: np.ndarra
     schema = StructType([docs.schema[c] for c in keep])
     for n in names:
         schema = schema.add(n, DoubleType())
-    return map_arrow(docs.select(*keep, F.col("text").cast("string").alias("tox_text")), run, schema)
+    return map_arrow(docs.select(*keep, F.col("text").cast("string").alias(name)), run, schema)
 
 
-def train(labelled: DataFrame, bound: int = SAMPLE_DOCS) -> tuple[PerWorker, np.ndarray] | None:
-    """Scorer and curve from (doc_id, text, toxic); None if nothing tells toxic texts apart."""
-    known = labelled.filter("toxic in (0, 1)")
-    sample = bounded_sample(known, "doc_id", bound, known.select("doc_id", "toxic").count()) \
-        .select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    sample = materialize(_without_copies(sample), "toxic-sample")
+def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> tuple[PerWorker, np.ndarray] | None:
+    """Scorer and curve from texts and labels of learnable rows; None if nothing tells toxic texts apart."""
+    sample = materialize(_without_copies(labelled(docs, labels, bound)), "toxic-sample")
     model = fit_words(*_counts(sample))
     if model is None:
         return None
-    scorer = PerWorker(labelled.sparkSession, Scorer, *model)
+    scorer = PerWorker(docs.sparkSession, Scorer, *model)
     seen = _valued(sample, ["toxic"], scorer, None).toPandas()         # a few numbers for each sampled document
     return scorer, curve(seen.iloc[:, 1:].to_numpy(), seen["toxic"].to_numpy(float))
 
 
-def scores(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``tox_score``."""
+def scores(docs: DataFrame, model, keep: list[str], name: str = "tox_score") -> DataFrame:
+    """``keep`` columns and the score as ``name``, which is none of them."""
     if model is None:
-        return docs.select(*keep).withColumn("tox_score", F.lit(0.0))
-    return _valued(docs, keep, *model)
+        return docs.select(*keep).withColumn(name, F.lit(0.0))
+    return _valued(docs, keep, *model, name)
 
 
 MINIMA = 4                # smallest shingle hashes by which near copies are known in the sample
@@ -394,15 +392,24 @@ def learnable() -> Column:
     return ~F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of learnable rows."""
-    known = labels.select("doc_id", "toxic").filter(learnable()).dropDuplicates(["doc_id", "toxic"])
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def labelled(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
+    """(text, toxic) of at most ``bound`` learnable rows.
+
+    The labels are sampled first, so that they can be broadcast and no text
+    is shuffled; where a sampled id has very many documents, these are
+    sampled in turn.
+    """
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")) \
+        .filter(learnable() & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id", "toxic"])
+    some = F.broadcast(bounded_sample(known, "doc_id", bound, unique=True))      # two numbers for each of `bound` rows
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(some, "doc_id")
+    n = docs.select("doc_id").join(some, "doc_id").count()
+    return bounded_sample(rows, "doc_id", bound, n).select("text", "toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """op7: score and verdict of every document."""
-    model = train(labelled(docs, labels))
+    model = train(docs, labels)
     out = scores(docs.select("doc_id", "text"), model, ["doc_id"])
     return out.select("doc_id", (~learnable()).alias("held_out"), F.col("tox_score").alias("score"),
                       (F.col("tox_score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -410,5 +417,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with all columns of ``docs``."""
-    model = train(labelled(docs, labels))
-    return scores(docs, model, docs.columns).filter(F.col("tox_score") < THRESHOLD).select(*docs.columns)
+    model = train(docs, labels)
+    name = "_".join(["tox_score", *docs.columns])       # longer than any column's name
+    return scores(docs, model, docs.columns, name).filter(F.col(name) < THRESHOLD).select(*docs.columns)

@@ -52,8 +52,9 @@ def test_quality_verdict_follows_labels_and_runs_native(spark):
     n = {(x.quality, x.kept): x["count"] for x in r}
     assert n[1, True] >= 0.98 * (n[1, True] + n.get((1, False), 0))
     assert n[0, False] >= 0.9 * (n[0, False] + n.get((0, True), 0))
-    kept = quality.keep_good(docs.withColumn("extra", F.lit(1)))
-    assert kept.columns == [*docs.columns, "extra"]
+    kept = quality.keep_good(docs.withColumn("q_words", F.lit(1)).withColumn("row", F.lit("x")))
+    assert kept.columns == [*docs.columns, "q_words", "row"]
+    assert kept.filter("q_words != 1").isEmpty()
     assert kept.count() == out.filter("kept").count()
 
 
@@ -166,7 +167,7 @@ def test_toxicity_on_held_out_rows(insults):
 def test_toxicity_tolerates_inserted_characters(insults):
     docs, labels = insults
     spark = docs.sparkSession
-    model = toxicity.train(toxicity.labelled(docs, labels))
+    model = toxicity.train(docs, labels)
     odd = spark.createDataFrame([(1, "you grum-bly the ing"), (2, "the g r u m b l reand"), (3, "the z.w.a.c.k an"),
                                  (4, "the and reing ouer"), (5, None), (6, ""), (7, "the ing " * 20_000)],
                                 "doc_id long, text string")
@@ -181,6 +182,6 @@ def test_toxicity_edges(spark, insults):
     assert toxicity.toxicity(spark.createDataFrame([], DOCS), labels).count() == 0
     odd = toxicity.toxicity(odd_docs(spark), labels).collect()
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
-    clashing = docs.withColumn("score", F.lit("x")).withColumn("toxic", F.lit("y"))
+    clashing = docs.withColumn("tox_score", F.lit("x")).withColumn("toxic", F.lit("y"))
     kept = toxicity.keep_clean(clashing, labels)
     assert kept.columns == clashing.columns and 600 < kept.count() < 800
