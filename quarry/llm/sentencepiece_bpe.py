@@ -7,8 +7,9 @@ enter the agenda, and stale entries are skipped. Symbols that are no piece in
 the end become byte pieces (or the unknown id).
 
 A merge never crosses a place where no piece of the vocabulary has the two
-characters next to each other. Texts are cut there first, so each distinct
-segment is encoded when a worker first meets it and looked up afterwards. Every segment that
+characters next to each other. Texts are cut at such places (spaces, line ends,
+punctuation after letters), so each distinct segment is encoded when a worker
+first meets it and looked up afterwards. Every segment that
 a slice of rows adds is checked against the sentencepiece library in one call;
 should they ever differ, the library's ids are used.
 
@@ -33,6 +34,8 @@ from quarry.llm.common import Memo, PerWorker, map_arrow, read_bytes, slices
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6   # piece types of the model file
 MEMO_SEGMENTS = 400_000                       # segments kept per worker and generation
+NO_PIECE = 1 << 60                            # rank of a pair that is no piece
+SHORT = 48                                    # characters up to which the agenda is a list
 MEMO_CHARS = 64                               # longer segments are encoded each time they occur
 
 
@@ -93,8 +96,8 @@ class Vocabulary:
         self.bytes = {int(p[1:-1], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.bigrams = {p[k:k + 2] for p in self.ranks for k in range(len(p) - 1)}
 
-    def merge(self, text: str) -> list[int]:
-        """Ids of normalised text by the agenda of adjacent pairs."""
+    def _merge_long(self, text: str) -> list[str]:
+        """Symbols after all merges, with the agenda as a heap."""
         rank = self.ranks.get
         symbols: list[str | None] = list(text)
         n = len(symbols)
@@ -126,22 +129,38 @@ class Vocabulary:
                 new = now[h] = rank(symbols[h] + merged, -1)
                 if new >= 0:
                     heapq.heappush(agenda, new * n + h)
+        return [s for s in symbols if s is not None]
+
+    def _merge_short(self, text: str) -> list[str]:
+        """Symbols after all merges, with the agenda as a list by position, searched for its best entry."""
+        rank = self.ranks.get
+        symbols = list(text)
+        agenda = [rank(text[i:i + 2], NO_PIECE) for i in range(len(text) - 1)]
+        while agenda:
+            best = min(agenda)
+            if best == NO_PIECE:
+                break
+            i = agenda.index(best)
+            merged = symbols[i] = symbols[i] + symbols[i + 1]
+            del symbols[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(merged + symbols[i + 1], NO_PIECE)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + merged, NO_PIECE)
+        return symbols
+
+    def merge(self, text: str) -> list[int]:
+        """Ids of normalised text by the agenda of adjacent pairs."""
         out: list[int] = []
-        for s in symbols:
-            if s is not None:
-                if s in self.ids:
-                    out.append(self.ids[s])
-                elif self.bytes:
-                    out.extend(self.bytes[b] for b in s.encode("utf-8"))
-                else:
-                    out.append(self.unk)
+        for s in self._merge_short(text) if len(text) <= SHORT else self._merge_long(text):
+            if s in self.ids:
+                out.append(self.ids[s])
+            elif self.bytes:
+                out.extend(self.bytes[b] for b in s.encode("utf-8"))
+            else:
+                out.append(self.unk)
         return out
 
-    def atoms(self, text: str) -> list[str]:
-        """Parts of ``text`` that no merge can join."""
-        cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.bigrams]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
-
     def word_pattern(self) -> re.Pattern:
         """A coarse cut for whole texts, only at places that no piece spans.
 
@@ -205,8 +224,8 @@ class Encoder:
 
     def _learn(self, segments: list[str]) -> dict[str, bytes]:
         """Packed ids of new segments, checked in one library call."""
-        merge, atoms = self.vocab.merge, self.vocab.atoms
-        found = {s: [i for atom in atoms(s) for i in merge(atom)] for s in segments}
+        merge = self.vocab.merge
+        found = {s: merge(s) for s in segments}
         # the library puts one space in front of what it is given, so only segments with one can be checked as they are
         spaced = [s for s in segments if s[0] == SPACE and len(s) > 1] if self.library else []
         for s, ids in zip(spaced, self.library.encode([s[1:] for s in spaced], num_threads=1) if spaced else []):

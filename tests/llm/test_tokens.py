@@ -46,6 +46,13 @@ def test_agenda_and_decoder_equal_the_library():
         assert encoder.decoder(ids) == library.decode(ids)
 
 
+def test_both_forms_of_the_agenda_agree():
+    vocab = sentencepiece_bpe.Vocabulary(open(PIECES, "rb").read())
+    for text in random_texts(800, 6) + ["aaaaaaaaaa", "▁▁▁▁▁the", "x"]:
+        if text:
+            assert vocab._merge_short(text) == vocab._merge_long(text)
+
+
 def test_check_finds_no_difference():
     encoder = sentencepiece_bpe.Encoder(open(PIECES, "rb").read())
     encoder(random_texts(500, 3))
