@@ -1,18 +1,16 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-Equal vectors of a label are one class. Each pass gives every class a string
-of random hash values (quantised random projections of the unit vector, one
-after another) and sorts the classes by label and that string, so close
-vectors tend to lie close together. Classes are compared with the ``WINDOW``
-following ones of their label, in blocks of bounded size that overlap by the
-window. A block tells which of its members its links connect, one row a
-member; the passes' rows are united to components.
-
-Windows are bounded, so a crowded neighbourhood can hold more links than they
-meet. Each component is therefore compared with itself in full, in blocks,
-and only counts leave the tasks: ``n_links`` misses no link inside a
-component. Whether two parts of a component meet at all is left to the
-passes; recall against brute force is measured in the tests.
+"""Near-duplicate vectors by blocked comparison of each label with itself.
+
+Equal vectors of a label are one class. The classes of a label are dealt to
+blocks of bounded size by a hash, and every pair of blocks is one task: its
+vectors meet in slices of a matrix product, so no pair is ever a row and a
+large label is many tasks. A task returns one row for each class that it found
+links of: how many rows the class is linked to in this pair of blocks, and the
+first member of its component there. The counts are summed, the members united
+to components.
+
+No pair of a label is left out, however large or crowded the label is. The
+price is the square of a label's classes in multiplications, and one copy of a
+class for each block of its label.
 
 Defined results: vectors that are null, empty, all zero or hold null or
 non-finite components, and rows without a label, link with nothing; vectors of
@@ -27,33 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import map_arrow, slices
 from quarry.llm.graph import components
 from quarry.session import materialize, ship_package
 
 THRESHOLD = 0.93
-PASSES = 12
-HASHES = 16               # projections in a pass's string
-STEP = 0.5                # width of a projection's cells, in units of its spread over random unit vectors
-WINDOW = 32
-BLOCK = 1024              # sorted classes compared by one task at a time
-COMPONENT_BLOCK = 2048    # members of a component in one block
+COMPONENT_BLOCK = 8192    # classes of a label in one block
+BLOCK = 1024              # classes of a block compared with another block at a time
 
 
-def unit_rows(vectors: list) -> np.ndarray:
-    x = np.array(vectors, np.float64)
+def unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Unit vectors of rows of one length."""
+    x = np.asarray(vectors.combine_chunks().flatten(), np.float64).reshape(len(vectors), -1)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def strings(x: np.ndarray, pass_: int) -> list[bytes]:
-    """Sort strings of unit vectors: cells of random projections with random offsets, a byte each."""
-    rng = np.random.default_rng([x.shape[1], pass_])
-    directions = rng.standard_normal((x.shape[1], HASHES))
-    offsets = rng.uniform(0, STEP, HASHES)
-    cells = np.floor((x @ directions + offsets) / STEP)
-    return [c.tobytes() for c in np.clip(cells + 128, 0, 255).astype(np.uint8)]
-
-
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member of each node's component under the links a-b."""
     parent = np.arange(n)
@@ -68,14 +53,31 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         parent = new
 
 
-def linked(x: np.ndarray, group: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs at most ``window`` apart with equal group and cosine >= THRESHOLD."""
-    left, right = [], []
-    for d in range(1, min(window, len(x) - 1) + 1):
-        near = np.flatnonzero((group[:-d] == group[d:]) & (np.einsum("ij,ij->i", x[:-d], x[d:]) >= THRESHOLD))
-        left.append(near)
-        right.append(near + d)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
+def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows linked to each member, and the first member of its component, over the pairs of ``left`` and ``right``.
+
+    Equal sides are one block, of which each pair counts once.
+    """
+    n, root = np.zeros(len(x), np.int64), np.arange(len(x))
+    same = left is right
+    for at in range(0, len(left), BLOCK):
+        rows, cols = left[at:at + BLOCK], right[at:] if same else right
+        near = x[rows] @ x[cols].T >= THRESHOLD
+        if same:
+            near &= rows[:, None] < cols[None, :]
+        i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+        if not len(i):
+            continue
+        rows, cols, near = rows[i], cols[j], near[np.ix_(i, j)]
+        n[rows] += near @ copies[cols]
+        n[cols] += copies[rows] @ near
+        while len(rows):                     # each row with links out of its component joins one of them
+            near &= root[rows][:, None] != root[cols][None, :]
+            out = near.any(axis=1)
+            rows, near = rows[out], near[out]
+            root = _roots(len(x), np.concatenate([np.arange(len(x)), rows]),
+                          np.concatenate([root, cols[near.argmax(axis=1)]] if len(rows) else [root]))
+    return n, root
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
@@ -91,121 +93,42 @@ def _classes(vectors: DataFrame) -> DataFrame:
         .withColumn("c", F.monotonically_increasing_id())
 
 
-def _sorted_blocks(classes: DataFrame) -> DataFrame:
-    """(block, place, pass, label, c, embedding) of all passes; each block starts WINDOW rows early."""
-    dims = "dims int, "
-
-    def run(batches):
-        for b in slices(batches, 2048):
-            rows = b.column(2).to_pylist()
-            size = np.array([len(r) for r in rows], np.int32)
-            for d in np.unique(size):
-                at = np.flatnonzero(size == d)
-                x = unit_rows([rows[i] for i in at])
-                some = b.take(pa.array(at))
-                for p in range(PASSES):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), p, np.int32)), pa.array(np.full(len(at), d, np.int32)),
-                         *some.columns, pa.array(strings(x, p), pa.binary())],
-                        names=["pass", "dims", "label", "c", "embedding", "string"])
-
-    kind = classes.schema["label"].dataType.simpleString()
-    keyed = map_arrow(classes.select("label", "c", "embedding"), run,
-                      f"pass int, {dims}label {kind}, c bigint, embedding array<double>, string binary")
-    spark = classes.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = ["pass", "dims", "label", "string", "c"]
-    ranked = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order) \
-        .withColumn("at", F.monotonically_increasing_id()).drop("string")
-    ranked = materialize(ranked, "projections")
-    # places: a partition's rows follow those of the partitions before it
-    part = F.shiftright("at", 33)
-    counts = {r["part"]: r["n"] for r in ranked.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    start, total = {}, 0
-    for p in sorted(counts):               # as many entries as partitions
-        start[p] = total
-        total += counts[p]
-    if not start:
-        return None
-    first = F.create_map([F.lit(v) for pair in start.items() for v in pair])
-    place = first[part] + F.col("at").bitwiseAND((1 << 33) - 1)
-    ranked = ranked.withColumn("place", place).drop("at")
-    block = F.floor(F.col("place") / BLOCK)
-    also = F.when((F.col("place") % BLOCK < WINDOW) & (F.col("place") >= BLOCK), F.array(block, block - 1)) \
-        .otherwise(F.array(block))
-    return ranked.withColumn("block", F.explode(also))
-
-
-def _connect(blocks: DataFrame) -> DataFrame:
-    """(u, v): classes that a block's window links connect."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("place")
-        c = np.asarray(table["c"])
-        dims = np.asarray(table["dims"])
-        label = table["label"].combine_chunks().dictionary_encode()
-        label = (label.combine_chunks() if isinstance(label, pa.ChunkedArray) else label).indices.to_numpy()
-        group = np.unique(np.stack([np.asarray(table["pass"]), dims, label]), axis=1, return_inverse=True)[1].ravel()
-        rows = table["embedding"].to_pylist()
-        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for d in np.unique(dims):
-            at = np.flatnonzero(dims == d)
-            x = unit_rows([rows[i] for i in at])
-            a, b = linked(x, group[at], WINDOW)
-            root = _roots(len(at), a, b)
-            joined = np.flatnonzero(root != np.arange(len(at)))
-            us.append(c[at][joined])
-            vs.append(c[at][root[joined]])
-        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
-
-    ship_package()
-    return blocks.groupBy("block").applyInArrow(run, "u bigint, v bigint")
-
-
-def _links(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(c, n): rows of other classes linked to each class, over all members of its component."""
-    members = classes.join(roots.withColumnRenamed("node", "c"), "c").select("c", "root", "copies", "embedding")
-    size = members.groupBy("root").agg(F.count("*").alias("size"))
-    members = members.join(size, "root").withColumn("blocks", F.ceil(F.col("size") / COMPONENT_BLOCK).cast("int")) \
+def _compare(classes: DataFrame) -> DataFrame:
+    """(u, v, n): for each pair of blocks, its classes u with links, their first class v and rows n linked to u."""
+    members = classes.select("label", "c", "copies", "embedding", F.size("embedding").alias("dims"))
+    size = members.groupBy("label", "dims").agg(F.count("*").alias("size")).filter("size > 1")
+    members = members.join(size, ["label", "dims"]) \
+        .withColumn("blocks", F.ceil(F.col("size") / COMPONENT_BLOCK).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-    # every pair of blocks meets in one group; the rows of the first block are compared with those of the second
-    pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first = pairs.select("root", F.col("own").alias("i"), F.col("other").alias("j"), "c", "copies", "embedding",
-                         F.lit(0).alias("side"))
-    second = pairs.select("root", F.col("other").alias("i"), F.col("own").alias("j"), "c", "copies", "embedding",
-                          F.lit(1).alias("side"))
+    # every pair of blocks meets in one group, a block with itself too
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("label", "dims", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "c",
+                "copies", "embedding")
 
     def run(table: pa.Table) -> pa.Table:
-        side = np.asarray(table["side"])
-        c, copies = np.asarray(table["c"]), np.asarray(table["copies"])
-        x = unit_rows(table["embedding"].to_pylist())
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        n = np.zeros(len(a), np.int64)
-        for at in range(0, len(b), 1024):
-            part = b[at:at + 1024]
-            near = (x[a] @ x[part].T >= THRESHOLD) & (c[a][:, None] != c[part][None, :])
-            n += near @ copies[part]
-        return pa.table({"c": c[a], "n": n})
+        own, c, copies = (np.asarray(table[k]) for k in ("own", "c", "copies"))
+        first, second = table["i"][0].as_py(), table["j"][0].as_py()
+        left = np.flatnonzero(own == first)
+        n, root = linked(unit_rows(table["embedding"]), left, left if first == second else np.flatnonzero(own == second),
+                         copies)
+        some = np.flatnonzero(n)
+        return pa.table({"u": c[some], "v": c[root[some]], "n": n[some]})
 
     ship_package()
-    counted = first.unionByName(second).groupBy("root", "i", "j").applyInArrow(run, "c bigint, n bigint")
-    return counted.groupBy("c").agg(F.sum("n").alias("n"))
+    return dealt.groupBy("label", "dims", "i", "j").applyInArrow(run, "u bigint, v bigint, n bigint")
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """op3: (vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label)."""
     vectors = vectors.select("vec_id", "embedding", "label")
     classes = materialize(_classes(vectors), "classes")
-    blocks = _sorted_blocks(classes)
-    result = classes.select("label", "embedding", "copies", F.col("id").alias("component"), F.lit(0).cast("bigint").alias("n"))
-    if blocks is not None:
-        roots = materialize(components(_connect(blocks)), "roots")
-        n = _links(classes, roots)
-        least = roots.withColumnRenamed("node", "c").join(classes.select("c", "id"), "c") \
-            .groupBy("root").agg(F.min("id").alias("component"))
-        found = classes.join(n, "c", "left").join(roots.withColumnRenamed("node", "c"), "c", "left") \
-            .join(least, "root", "left")
-        result = found.select("label", "embedding", "copies", F.coalesce("component", "id").alias("component"),
-                              F.coalesce("n", F.lit(0)).alias("n"))
+    links = materialize(_compare(classes), "links")
+    n = links.groupBy(F.col("u").alias("c")).agg(F.sum("n").alias("n"))
+    roots = materialize(components(links.select("u", "v")).withColumnRenamed("node", "c"), "roots")
+    least = roots.join(classes.select("c", "id"), "c").groupBy("root").agg(F.min("id").alias("component"))
+    result = classes.join(n, "c", "left").join(roots, "c", "left").join(least, "root", "left") \
+        .select("label", "embedding", "copies", F.coalesce("component", "id").alias("component"),
+                F.coalesce("n", F.lit(0)).alias("n"))
     top = F.array_max(F.transform(F.col("embedding").cast("array<double>"), F.abs))
     scaled = vectors.withColumn("embedding", F.transform(F.col("embedding").cast("array<double>"),
                                                          lambda v: F.try_divide(v, top)))

@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from quarry.llm import embedding_dedup, graph, license_scan, setsketch
@@ -182,6 +184,24 @@ def test_vectors_recall_on_the_table(spark):
     assert sum((got & want).values()) >= 0.99 * sum(want.values())
 
 
+def test_vectors_of_a_large_label_lose_no_pair(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "COMPONENT_BLOCK", 3000)
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    # rows 2k and 2k + 1 for k < 300 are pairs at cosine 0.94
+    a, b = x[0:600:2], x[1:600:2]
+    b = b - (a * b).sum(axis=1, keepdims=True) * a
+    x[1:600:2] = 0.94 * a + math.sqrt(1 - 0.94 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x), "label": np.zeros(len(x), np.int32)}),
+                   tmp_path / "vectors.parquet")
+    near = x @ x.T >= 0.93
+    assert near.sum() == len(x) + 600
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept)
+           for r in embedding_dedup.near_duplicates(spark.read.parquet(str(tmp_path / "vectors.parquet"))).collect()}
+    assert got == {i: (int(i < 600), i - i % 2 if i < 600 else i, i >= 600 or i % 2 == 0) for i in range(len(x))}
+
+
 def brute_finds(text):
     """Templates with a window that holds enough of their shingles."""
     hashes = WordHashes()
