@@ -10,9 +10,12 @@ matches: it must be missed with a probability of at most ``MISS``. Values are
 computed only for windows that hold a shingle of some template; the others
 can't agree in a band.
 
-Overlapping matches of one template are one find: the window with the highest
-containment, the first of equals, cut to its matching words. A find inside a
-find of a longer template with no lower containment is dropped.
+Overlapping matches of one template are one stretch of text, which is cut into
+copies from left to right: a copy is a run of at most a window's shingles that
+holds enough of the template, and it ends where the template's order starts
+again and another copy follows. Of its runs the one with the highest
+containment counts, the shortest of equals. Copies do not overlap. A find
+inside a find of a longer template with no lower containment is dropped.
 
 Defined results: null and empty texts, and texts below five words, have no
 finds; repeated rows are scanned alike; other columns are ignored; an empty
@@ -21,8 +24,10 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +102,11 @@ def signature(values: np.ndarray) -> np.ndarray:
 class Template:
     def __init__(self, name: str, text: str, hashes: WordHashes):
         self.name = name
-        self.shingles = np.unique(shingles(text, hashes))
+        wording = shingles(text, hashes)
+        self.shingles = np.unique(wording)
+        self.places: dict[int, list[int]] = {}           # of each shingle in the template
+        for i, v in enumerate(wording.tolist()):
+            self.places.setdefault(v, []).append(i)
         self.size = len(self.shingles)
         if not self.size:
             raise ValueError(f"template {name!r} has fewer than {SHINGLE} words")
@@ -119,8 +128,8 @@ class Matcher:
         self.templates = [Template(n, t, self.hashes) for n, t in templates.items()]
         self.known = np.unique(np.concatenate([t.shingles for t in self.templates]))
 
-    def _windows(self, values: np.ndarray, hot: np.ndarray, t: Template) -> list[tuple[int, int, int]]:
-        """(start, end, shared shingles) of matching windows."""
+    def _windows(self, values: np.ndarray, hot: np.ndarray, t: Template) -> list[tuple[int, int]]:
+        """(start, end) of matching windows."""
         starts = set()
         for h in hot.tolist():
             low = max(0, h - t.window + 1)
@@ -128,12 +137,61 @@ class Matcher:
         found = []
         for s in sorted(starts):
             part = values[s:s + t.window]
-            if (signature(part) == t.bands).any():
-                shared = len(np.intersect1d(part, t.shingles))
-                if shared >= t.needed:
-                    found.append((s, s + len(part), shared))
+            if (signature(part) == t.bands).any() and len(np.intersect1d(part, t.shingles)) >= t.needed:
+                found.append((s, s + len(part)))
         return found
 
+    @staticmethod
+    def _copies(at: list[int], held: list[int], t: Template) -> list[tuple[int, int, int]]:
+        """(first place, last place, distinct shingles) of copies, from the places of a template's shingles."""
+        found = []
+        todo = [(0, len(at))]
+        while todo:
+            begin, end = todo.pop()
+            count: Counter = Counter()
+            best, low, last, stop = None, begin, -1, end
+            for high in range(begin, end):
+                v = held[high]
+                after = t.places[v]
+                k = bisect.bisect_right(after, last)
+                if k == len(after):              # the template's order starts again
+                    k = 0
+                    if best is not None:
+                        z = bisect.bisect_left(at, at[high] + t.window, high, end)
+                        if len(set(held[high:z])) >= t.needed:
+                            stop = high
+                            break
+                last = after[k]
+                count[v] += 1
+                while at[high] - at[low] >= t.window or count[held[low]] > 1:
+                    count[held[low]] -= 1
+                    if not count[held[low]]:
+                        del count[held[low]]
+                    low += 1
+                if len(count) >= t.needed:
+                    rank = len(count), at[low] - at[high]
+                    if best is None or rank > best[0]:
+                        best = rank, low, high
+                elif best is not None:
+                    stop = high
+                    break
+            if best is None:
+                continue
+            (distinct, _), low, high = best
+            # matching words beside it that the template repeats
+            count = Counter(held[low:high + 1])
+            while high + 1 < stop and count[held[high + 1]] < len(t.places[held[high + 1]]):
+                high += 1
+                count[held[high]] += 1
+            while low > begin and count[held[low - 1]] < len(t.places[held[low - 1]]):
+                low -= 1
+                count[held[low]] += 1
+            found.append((at[low], at[high], distinct))
+            # a word belongs to one copy
+            todo.append((bisect.bisect_left(at, at[high] + SHINGLE, high, end), end))
+            todo.append((begin, bisect.bisect_right(at, at[low] - SHINGLE, begin, low)))
+        return sorted(found)
+
     def __call__(self, text: str | None) -> list[tuple[int, int, str, float]]:
         """(first word, end word, template, containment) of each find, in order."""
         values = shingles(text, self.hashes)
@@ -146,18 +204,26 @@ class Matcher:
             own = hot[np.isin(values[hot], t.shingles)]
             if not len(own):
                 continue
-            runs: list[list] = []
-            for w in self._windows(values, own, t):
-                if runs and w[0] < runs[-1][-1][1]:
-                    runs[-1].append(w)
+            stretches: list[list[int]] = []
+            for a, z in self._windows(values, own, t):
+                if stretches and a < stretches[-1][1]:
+                    stretches[-1][1] = z
                 else:
-                    runs.append([w])
-            for run in runs:
-                s, e, shared = max(run, key=lambda w: (w[2], -w[0]))
-                inside = own[(own >= s) & (own < e)]
-                finds.append((int(inside[0]), int(inside[-1]) + SHINGLE, t.name, shared / t.size, t.size))
-        kept = [f for f in finds if not any(g[4] > f[4] and g[0] <= f[0] and f[1] <= g[1] and g[3] >= f[3]
-                                            for g in finds)]
+                    stretches.append([a, z])
+            finds.append([])
+            for a, z in stretches:
+                inside = own[np.searchsorted(own, a):np.searchsorted(own, z)]
+                finds[-1] += [(first, last + SHINGLE, t.name, distinct / t.size, t.size)
+                              for first, last, distinct in self._copies(inside.tolist(), values[inside].tolist(), t)]
+
+        def inside_longer(f: tuple) -> bool:
+            for others in finds:
+                k = bisect.bisect_right(others, f[0], key=lambda g: g[0]) - 1
+                if k >= 0 and others[k][4] > f[4] and f[1] <= others[k][1] and others[k][3] >= f[3]:
+                    return True
+            return False
+
+        kept = [f for found in finds for f in found if not inside_longer(f)]
         return sorted(f[:4] for f in kept)
 
 

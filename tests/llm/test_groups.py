@@ -255,3 +255,26 @@ def test_license_span_and_copies():
     assert [f[:3] for f in matcher(text)] == [(2 + 8 * i, 7 + 8 * i, "MIT line") for i in range(3)]
     with pytest.raises(ValueError):
         license_scan.Matcher({"short": "too few words"})
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0 notice", "MIT permission", "GPL notice", "BSD conditions"])
+@pytest.mark.parametrize("lead", [0, 1, 7, 33])
+def test_adjacent_copies_of_a_notice_are_finds_of_their_own(name, lead):
+    matcher = license_scan.Matcher(license_scan.TEMPLATES)
+    notice = " ".join(license_scan.TEMPLATES[name].split())
+    words = len(license_scan.WORD.findall(notice.lower().encode()))
+    for copies in (1, 2, 3, 12):
+        text = "word " * lead + " ".join([notice] * copies) + " and more" * 20
+        got = [f for f in matcher(text) if f[2] == name]
+        assert got == [(lead + i * words, lead + (i + 1) * words, name, 1.0) for i in range(copies)]
+    # changed and cut copies, and words between them
+    some, cut = notice.split(), notice.split()
+    some[len(some) // 2] = "changed"
+    del cut[:len(cut) // 8]
+    parts = [notice, " ".join(some), notice, "two words", " ".join(cut), notice, notice.upper()]
+    want, at = [], 0
+    for part in parts:
+        n = len(license_scan.WORD.findall(part.lower().encode()))
+        want += [(at, at + n)] if n > 2 else []
+        at += n
+    assert [f[:2] for f in matcher(" ".join(parts)) if f[2] == name] == want
