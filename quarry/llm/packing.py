@@ -4,17 +4,21 @@ A document is its token ids and an end id. One longer than the sequence
 length is cut into full pieces; the first piece takes the remainder. Full
 pieces fill a sequence each; the others are packed:
 
-* every task packs the pieces of its input rows in groups of ``GROUP`` pieces,
-  so memory is bounded, nothing is shuffled and hot sources or keys do not
-  matter;
+* pieces are dealt to groups of about ``GROUP`` by a hash, so that each group
+  has the corpus's mix of lengths wherever the pieces come from. Only places
+  and lengths move, no texts, and memory is bounded by the group;
 * within a group, best fit in decreasing length makes the first bins. Then
   the local search goes over the underfull bins, emptiest first, and raises
   the sum of squared fills by moving a piece to a fuller bin, by exchanging
   one piece for a longer one, or two pieces for one of greater length, until
-  bins become empty or nothing improves.
+  bins become empty or nothing improves;
+* bins of all groups that are emptier than the mean of the underfull ones are
+  dealt anew and packed again, until one group holds them or a round saves
+  nothing.
 
-A sequence id is the task's partition and a running number, so it is the same
-when a lost task is run again.
+A sequence id is the partition and a running number for a full piece, else the
+round, the group and a running number, with bit 62 set. Rounds are written
+down, so ids are the same when a lost task is run again.
 
 Defined results: null and empty texts are the end id alone; repeated rows are
 packed one by one; other columns are ignored; an empty table has no pieces.
@@ -35,8 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import PerWorker, map_arrow, read_bytes, slices
+from quarry.session import materialize, ship_package
 
-GROUP = 16_384            # pieces packed together
+GROUP = 16_384            # pieces packed together, about
+BATCH = 16_384            # pieces in one batch of the tokenizer's output
 LONG = 200_000            # characters; longer texts are tokenized in parts
 ROUNDS = 4                # passes of the local search over the underfull bins
 TRIES = 64                # fuller bins that a bin's pieces are tried against in a pass
@@ -46,6 +52,7 @@ PRE_TOKENS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 SCHEMA = ("doc_id {id}, piece int, start bigint, length bigint, ids_crc32 bigint, "
           "sequence_id bigint, offset bigint")
+NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
 class ByteBpe:
@@ -210,39 +217,27 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return [[i for _, i in items] for items in bins.items if items]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int = 2,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: where it starts in its document, its sequence and its place there."""
+def _pieces(docs: DataFrame, tokenizer_path: str, length: int, end_id: int) -> DataFrame:
+    """All pieces of (doc_id, text); full ones have their sequence, the others none yet. ``key`` is unique."""
     shared = PerWorker(docs.sparkSession, ByteBpe, read_bytes(tokenizer_path))
     end = np.array([end_id], "<u4")
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def run(batches):
         tokenizer = shared.get()
         kind = None
-        next_id = TaskContext.get().partitionId() << 33
+        next_key = TaskContext.get().partitionId() << 33
         cols = defaultdict(list)
 
         def emit():
-            nonlocal next_id
+            nonlocal next_key
             sizes = np.array(cols["length"], np.int64)
-            sequence = np.full(len(sizes), -1, np.int64)
-            offset = np.zeros(len(sizes), np.int64)
-            for i in np.flatnonzero(sizes == length):
-                sequence[i] = next_id
-                next_id += 1
-            short = np.flatnonzero(sizes < length)
-            for members in pack_lengths(sizes[short], length):
-                at = 0
-                for m in members:
-                    sequence[short[m]], offset[short[m]] = next_id, at
-                    at += int(sizes[short[m]])
-                next_id += 1
+            key = next_key + np.arange(len(sizes))
+            next_key += len(sizes)
             out = [pa.array(cols["doc_id"], kind), pa.array(cols["piece"], pa.int32()),
                    pa.array(cols["start"], pa.int64()), pa.array(sizes), pa.array(cols["crc"], pa.int64()),
-                   pa.array(sequence), pa.array(offset)]
+                   pa.array(key, mask=sizes < length), pa.array(np.zeros(len(sizes), np.int64)), pa.array(key)]
             cols.clear()
-            return pa.RecordBatch.from_arrays(out, names=names)
+            return pa.RecordBatch.from_arrays(out, names=[*NAMES, "key"])
 
         for b in slices(batches):
             kind = b.schema.field(0).type
@@ -257,11 +252,53 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int =
                     cols["start"].append(a)
                     cols["length"].append(z - a)
                     cols["crc"].append(zlib.crc32(ids[a:z]))
-                    if len(cols["doc_id"]) >= GROUP and z == total:
+                    if len(cols["doc_id"]) >= BATCH:
                         yield emit()
         if cols["doc_id"]:
             yield emit()
 
-    key = docs.schema[id_col].dataType.simpleString()
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")),
-                     run, SCHEMA.format(id=key))
+    schema = SCHEMA.format(id=docs.schema["doc_id"].dataType.simpleString())
+    return map_arrow(docs, run, f"{schema}, key bigint")
+
+
+def _packed(pieces: DataFrame, groups: int, round_: int, length: int) -> DataFrame:
+    """``pieces`` dealt to groups by a hash and packed there, with their sequence's ``fill``."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
+        sizes = np.asarray(table["length"])
+        sequence, offset, fill = (np.zeros(len(sizes), np.int64) for _ in range(3))
+        first = (1 << 62) + (round_ << 56) + (table["group"][0].as_py() << 20)
+        for n, members in enumerate(pack_lengths(sizes, length)):
+            ends = np.cumsum(sizes[members])
+            sequence[members], offset[members], fill[members] = first + n, ends - sizes[members], ends[-1]
+        table = table.drop_columns(["group", "sequence_id", "offset"])
+        return table.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)) \
+            .append_column("fill", pa.array(fill)).select([*NAMES, "key", "fill"])
+
+    ship_package()
+    dealt = pieces.select(*NAMES, "key").withColumn("group", F.pmod(F.xxhash64("key", F.lit(round_)), F.lit(groups)))
+    schema = SCHEMA.format(id=pieces.schema["doc_id"].dataType.simpleString())
+    return dealt.groupBy("group").applyInArrow(run, f"{schema}, key bigint, fill bigint")
+
+
+def pack(docs: DataFrame, tokenizer_path: str, length: int = 1024, end_id: int = 2,
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece: where it starts in its document, its sequence and its place there."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    pieces = materialize(_pieces(docs, tokenizer_path, length, end_id), "pieces")
+    out = pieces.filter("sequence_id is not null").select(*NAMES)
+    left, round_, used = pieces.filter("sequence_id is null"), 0, None
+    n = left.count()
+    while n:
+        groups = -(-n // GROUP)
+        packed = materialize(_packed(left, groups, round_, length), "packed")
+        bins = packed.filter("offset = 0")             # one row for each
+        now = bins.count()
+        if used is not None and now >= used:           # nothing saved: the bins stay as they were
+            break
+        under = bins.filter(F.col("fill") < length).agg(F.avg("fill")).first()[0]
+        emptier = F.col("fill") < F.lit(under if groups > 1 and under is not None else 0)
+        out = out.unionByName(packed.filter(~emptier).select(*NAMES))
+        left, round_ = packed.filter(emptier), round_ + 1
+        n, used = left.agg(F.count("*"), F.count(F.when(F.col("offset") == 0, 1))).first()
+    return out.unionByName(left.select(*NAMES)) if n else out

@@ -125,6 +125,17 @@ def test_packing_of_odd_and_real_texts(spark, sf_small):
     assert packing.pack(spark.createDataFrame([], DOCS), BYTES).count() == 0
 
 
+def test_packing_of_sources_clustered_by_length(spark, monkeypatch):
+    # 599 and 399 ids and the end id: one of each fills a sequence, two long ones need two
+    texts = {i: "a" + " a" * (598 if i < 200 else 398) for i in range(400)}
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(texts.items()), 4), "doc_id long, text string")
+    rows = packing.pack(docs, BYTES).collect()
+    assert {r.length for r in rows} == {600, 400}
+    assert check_packing(rows, texts)[0] == 200
+    monkeypatch.setattr(packing, "GROUP", 64)                # several groups and rounds
+    assert check_packing(packing.pack(docs, BYTES).collect(), texts)[0] <= 204
+
+
 def test_local_search_empties_bins():
     bins = packing.Bins(10)
     bins.items = [[(4, 0), (4, 1)], [(6, 2)], [(3, 3), (3, 4)]]      # 8, 6, 6 fit into 10 + 10
