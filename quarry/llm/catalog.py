@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
+    centroid_clusters,
     embedding_dedup,
     html_wrapper,
     language_id,
@@ -17,6 +18,8 @@ from quarry.llm import (
     secret_scan,
     sentencepiece_bpe,
     setsketch,
+    source_divergence,
+    substring_dedup,
     toxicity,
 )
 from quarry.session import table_path
@@ -85,3 +88,18 @@ def op2_html_extraction(spark, sf_dir):
 @register("op10_license_scan")
 def op10_license_scan(spark, sf_dir):
     return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+@register("op11_substring_dedup", substring_dedup.ORACLE_SQL)
+def op11_substring_dedup(spark, sf_dir):
+    return substring_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
+@register("op12_centroid_clustering", centroid_clusters.oracle_sql())
+def op12_centroid_clustering(spark, sf_dir):
+    return centroid_clusters.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_source_divergence", source_divergence.ORACLE_SQL)
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
