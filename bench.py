@@ -16,10 +16,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quarry.operators import ann as AN  # noqa: E402
 from quarry.operators import index as IX  # noqa: E402
 from quarry.operators import knn as KN  # noqa: E402
 from quarry.operators import rerank as RR  # noqa: E402
+from quarry.operators import vector_tree as VT  # noqa: E402
 from quarry.plans import systems as PL  # noqa: E402
 from quarry.session import get_session, scratch_path  # noqa: E402
 from quarry.sources import tables as TB  # noqa: E402
@@ -62,10 +62,10 @@ def main() -> None:
     timed("bm25_and_top1000", lambda: run(idx.search(queries, k=1000, mode="and")))
     timed("knn_exact_k100", lambda: run(KN.knn_exact(vecs, qvecs, 100)))
     vpath = scratch_path(spark, "bench-ann")
-    timed("ann_build", lambda: AN.VectorIndex.build(vecs, PL.N_CELLS, train="pivots",
-                                                    path=vpath).save(vpath))
-    vidx = AN.VectorIndex.load(spark, vpath)
-    timed("ann_search_k100", lambda: run(vidx.search(qvecs, 100, PL.NPROBE)))
+    # trained cells, and as many of them read as find 95 % of the neighbours
+    timed("ann_build", lambda: VT.VectorTree.build(vecs, vpath, calibrate=((100, 0.95),)))
+    vidx = VT.VectorTree.load(spark, vpath)
+    timed("ann_search_k100", lambda: run(vidx.search(qvecs, 100, recall=0.95)))
     bm25_run = idx.search(queries, k=1000)
     timed("rerank_top100", lambda: run(RR.rerank(bm25_run, qvecs, vecs, 100, on_missing="drop")))
     # judgments are the evaluation's input (stand-ins for given qrels files):

@@ -179,7 +179,7 @@ class VectorIndex:
         p = stored.join(blocks, "cell_id").select("cell_id", "id", "embedding",
                                                            own("id", "vbs").alias("vb"), every("qbs").alias("qb"))
         keys = ["cell_id", "vb", "qb"]
-        pairs = p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(pair_kernel(k), PAIR_SCHEMA)
+        pairs = p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(pair_kernel(k), PAIR_SCHEMA)
         if int(self.params.get("assign_k", 1)) > 1:
             # a passage found in several of its cells: at most assign_k rows of each are in some block's best k
             pairs = pairs.groupBy("qid", "pid").agg(F.max("score").alias("score"))

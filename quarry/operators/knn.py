@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +36,16 @@ MERGE = 256       # partial results of a query merged by one task in the first s
 SUB_BATCH = 2048  # passages per matrix product inside a cell (bounds the score matrix)
 
 
-def _stack(col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col]) if len(col) else np.zeros((0, 0))
+def matrix_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column of equal lengths as one matrix of doubles, straight from its Arrow buffer."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(whole):
+        return np.zeros((0, 0))
+    return whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(whole), -1)
+
+
+def pairs_table(qid, pid, score) -> pa.Table:
+    return pa.table({"qid": pa.array(qid, pa.int64()), "pid": pa.array(pid, pa.int64()), "score": pa.array(score, pa.float64())})
 
 
 def keep_best(s: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,9 +76,12 @@ class RunningTopK:
         self.best_s = np.full((len(q_ids), 0), -np.inf)
         self.best_p = np.zeros((len(q_ids), 0), dtype=np.int64)
 
-    def add(self, p_ids: np.ndarray, p: np.ndarray) -> None:
+    def add(self, p_ids: np.ndarray, p: np.ndarray, reads: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+        """Offer passages; ``reads`` = (mask of the cells each query reads, cell of each passage) leaves some out."""
         for lo in range(0, len(p_ids), SUB_BATCH):
             s = self.q @ p[lo:lo + SUB_BATCH].T
+            if reads is not None:
+                s[~reads[0][:, reads[1][lo:lo + SUB_BATCH]]] = -np.inf
             ids = np.broadcast_to(p_ids[lo:lo + SUB_BATCH], s.shape)
             s = np.concatenate([self.best_s, s], axis=1)
             ids = np.concatenate([self.best_p, ids], axis=1)
@@ -78,42 +89,33 @@ class RunningTopK:
                 s, ids = keep_best(s, ids, self.k)
             self.best_s, self.best_p = s, ids
 
-    def frame(self) -> pd.DataFrame:
+    def table(self) -> pa.Table:
         m = self.best_s.shape[1]
-        return pd.DataFrame({"qid": np.repeat(self.q_ids, m).astype(np.int64),
-                             "pid": self.best_p.ravel().astype(np.int64),
-                             "score": self.best_s.ravel().astype(np.float64)})
-
-
-def block_topk(q_ids: np.ndarray, q: np.ndarray, p_ids: np.ndarray, p: np.ndarray,
-               k: int) -> pd.DataFrame:
-    """Top k passages per query of one block pair; ties to the smaller passage id."""
-    if len(q_ids) == 0 or len(p_ids) == 0:
-        return pd.DataFrame({"qid": [], "pid": [], "score": []})
-    acc = RunningTopK(q_ids, q, k)
-    acc.add(p_ids, p)
-    return acc.frame()
+        score = self.best_s.ravel()
+        some = np.flatnonzero(score > -np.inf)
+        return pairs_table(np.repeat(self.q_ids, m)[some], self.best_p.ravel()[some], score[some])
 
 
 def pair_kernel(k: int):
-    def run(pblock: pd.DataFrame, qblock: pd.DataFrame) -> pd.DataFrame:
-        if not len(pblock) or not len(qblock):     # a side without rows may come without columns
-            return pd.DataFrame({"qid": np.zeros(0, np.int64), "pid": np.zeros(0, np.int64), "score": np.zeros(0)})
-        out = block_topk(qblock["qid"].to_numpy(np.int64), _stack(qblock["query"]),
-                         pblock["id"].to_numpy(np.int64), _stack(pblock["embedding"]), k)
-        return out.astype({"qid": "int64", "pid": "int64", "score": "float64"})
+    """Best k passages (id, embedding) of each query (qid, query) of a pair of blocks; ties to the smaller passage id."""
+    def run(p: pa.Table, q: pa.Table) -> pa.Table:
+        if not p.num_rows or not q.num_rows:     # a side without rows may come without columns
+            return pairs_table([], [], [])
+        best = RunningTopK(np.asarray(q["qid"], np.int64), matrix_of(q["query"]), k)
+        best.add(np.asarray(p["id"], np.int64), matrix_of(p["embedding"]))
+        return best.table()
     return run
 
 
 def _stream_kernel(bc, k: int):
     def run(batches):
         q_ids, q = bc.value
-        acc = RunningTopK(q_ids, q, k)
-        for pdf in batches:
-            if len(pdf):
-                acc.add(pdf["id"].to_numpy(np.int64), _stack(pdf["embedding"]))
+        best = RunningTopK(q_ids, q, k)
+        for b in batches:
+            if b.num_rows:
+                best.add(np.asarray(b.column(0), np.int64), matrix_of(b.column(1)))
         if len(q_ids):
-            yield acc.frame()
+            yield from best.table().to_batches()
     return run
 
 
@@ -155,7 +157,7 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
         q = (np.stack([np.asarray(r["embedding"], dtype=np.float64) for r in rows])
              if rows else np.zeros((0, 0)))
         bc = passages.sparkSession.sparkContext.broadcast((q_ids, q))
-        pairs = passages.select("id", "embedding").mapInPandas(_stream_kernel(bc, k), PAIR_SCHEMA)
+        pairs = passages.select("id", "embedding").mapInArrow(_stream_kernel(bc, k), PAIR_SCHEMA)
         return merged_topk(pairs, k)
     n_p = n_passages if n_passages is not None else passages.count()
     n_pb = max(1, math.ceil(n_p / p_block_rows))
@@ -170,5 +172,5 @@ def knn_exact(passages: DataFrame, queries: DataFrame, k: int,
     p = p.withColumn("qb", F.col("qb").cast("bigint"))
     q = q.withColumn("pb", F.col("pb").cast("bigint"))
     pairs = (p.groupBy("pb", "qb").cogroup(q.groupBy("pb", "qb"))
-             .applyInPandas(pair_kernel(k), PAIR_SCHEMA))
+             .applyInArrow(pair_kernel(k), PAIR_SCHEMA))
     return merged_topk(pairs, k)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vector import cosine
 from quarry.operators.metrics import truncate_run
 from quarry.operators.search import topk
+from quarry.operators.vector_table import VectorTable
 from quarry.session import BROADCAST_BYTES, bounded_broadcast, materialize
 
 
@@ -32,11 +33,12 @@ def _missing_pids(head: DataFrame, p_vectors: DataFrame) -> DataFrame:
     return wanted.join(found, "pid", "left_anti")
 
 
-def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
+def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame | VectorTable, k: int,
            on_missing: str = "error", broadcast_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
     """Run (qid, pid, rank, score, orig_rank): the first k of ``run`` by cosine.
 
-    ``q_vectors(qid, embedding)``, ``p_vectors(id, embedding)``.
+    ``q_vectors(qid, embedding)``, ``p_vectors(id, embedding)``; a ``VectorTable``
+    of passage vectors is read only where its directories hold ids of the head.
 
     When the counted bytes of the run head (queries x k rows) are within
     ``broadcast_bytes``, the head is broadcast and the passage-vector table is
@@ -51,18 +53,26 @@ def rerank(run: DataFrame, q_vectors: DataFrame, p_vectors: DataFrame, k: int,
     # and joining it then read the copy instead of re-running the search
     head = materialize(truncate_run(run, k).select("qid", "pid", F.col("rank").alias("orig_rank")),
                        "rerank-head")
+    placed = isinstance(p_vectors, VectorTable)
     if on_missing == "error":
-        gone = _missing_pids(head, p_vectors).limit(1).collect()
+        if placed:
+            wanted = head.select("pid").distinct()
+            gone = wanted.join(p_vectors.lookup(wanted, broadcast_bytes=broadcast_bytes).select("pid"), "pid",
+                               "left_anti").limit(1).collect()
+        else:
+            gone = _missing_pids(head, p_vectors).limit(1).collect()
         if gone:
             raise ValueError(f"no vector for passage {gone[0]['pid']}")
         gone_q = (head.select("qid").distinct()
                   .join(q_vectors.select("qid"), "qid", "left_anti").limit(1).collect())
         if gone_q:
             raise ValueError(f"no vector for query {gone_q[0]['qid']}")
-    head = bounded_broadcast(head, broadcast_bytes)
     qv = q_vectors.select("qid", F.col("embedding").alias("qv"))
-    pv = p_vectors.select(F.col("id").alias("pid"), F.col("embedding").alias("pv"))
-    j = pv.join(head, "pid").join(qv, "qid")
+    if placed:
+        j = p_vectors.lookup(head, out="pv", broadcast_bytes=broadcast_bytes).join(qv, "qid")
+    else:
+        pv = p_vectors.select(F.col("id").alias("pid"), F.col("embedding").alias("pv"))
+        j = pv.join(bounded_broadcast(head, broadcast_bytes), "pid").join(qv, "qid")
     scored = j.select("qid", "pid", "orig_rank", cosine("qv", "pv").alias("score"))
     return topk(scored, None, "qid", [F.col("score").desc(), F.col("orig_rank").asc()]) \
         .select("qid", "pid", "rank", "score", "orig_rank")

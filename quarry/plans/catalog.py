@@ -14,12 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import ann as AN
+from quarry.operators import bounded as BD
 from quarry.operators import filters as FL
 from quarry.operators import index as IX
 from quarry.operators import knn as KN
 from quarry.operators import metrics as M
+from quarry.operators import norm_blocks as NB
 from quarry.operators import rerank as RR
 from quarry.operators import search as S
+from quarry.operators import segments as SG
+from quarry.operators import term_ids as TI
+from quarry.operators import vector_table as VP
+from quarry.operators import vector_tree as VT
 from quarry.plans import judgments as J
 from quarry.plans import oracle as O
 from quarry.plans import systems as PL
@@ -388,6 +394,50 @@ def q_index_saved(spark, sf):
     return idx.search(TB.keyword_queries(spark, sf), k=DEPTH, mode="or")
 
 
+@register("bm25_or_bounded", _bm25_sql("or", DEPTH))
+def q_bm25_or_bounded(spark, sf):
+    """Postings of frequent terms read only where a document can still enter the result."""
+    idx = BD.BoundedIndex.build(IX.TextIndex.build(TB.passages(spark, sf)))
+    return idx.search(TB.keyword_queries(spark, sf), k=DEPTH)
+
+
+@register("bm25_or_bounded_top10", _bm25_sql("or", 10))
+def q_bm25_or_bounded_top10(spark, sf):
+    idx = BD.BoundedIndex.build(IX.TextIndex.build(TB.passages(spark, sf)))
+    return idx.search(TB.keyword_queries(spark, sf), k=10)
+
+
+@register("index_segments", _bm25_sql("or", DEPTH))
+def q_index_segments(spark, sf):
+    """Two segments, documents of other texts replaced and strangers deleted: as one fresh index of the table."""
+    docs = TB.passages(spark, sf)
+    idx = SG.SegmentedIndex(spark, scratch_path(spark, "segments"))
+    early = F.xxhash64("doc_id") > 0
+    strangers = docs.select((-1 - F.col("doc_id")).alias("doc_id"), "text")
+    idx.add(docs.where(early).unionByName(strangers))
+    idx.add(docs.where(~early).select("doc_id", F.reverse("text").alias("text")))
+    idx.delete(strangers.select("doc_id"))
+    idx.add(docs.where(~early))
+    return idx.search(TB.keyword_queries(spark, sf), k=DEPTH)
+
+
+@register("term_ids", _with(O.postings_cte("post", "documents")) + """
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id FROM (SELECT DISTINCT term FROM post)
+""")
+def q_term_ids(spark, sf):
+    return TI.term_ids(IX.term_freq(TB.passages(spark, sf)))
+
+
+@register("postings_by_id", _with(O.postings_cte("post", "documents")) + """
+, ids AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id
+          FROM (SELECT DISTINCT term FROM post))
+SELECT i.term_id, p.doc_id, CAST(p.tf AS BIGINT) AS tf FROM post p JOIN ids i USING (term)
+""")
+def q_postings_by_id(spark, sf):
+    tf = IX.term_freq(TB.passages(spark, sf))
+    return TI.with_term_ids(tf.select("term", "doc_id", "tf"), TI.term_ids(tf)).select("term_id", "doc_id", "tf")
+
+
 # ---------------------------------------------------------------- vector retrieval and rerank
 
 KNN_K = 10       # neighbours per query vector
@@ -429,19 +479,65 @@ def q_ann_assign(spark, sf):
     return _ivf(spark, sf).assignment.select(F.col("cell_id").cast("bigint"), "id")
 
 
-@register("ann_search", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
+def _knn_sql(k: int) -> str:
+    return _with(O.QVEC_CTE, O.knn_cte("knn", k)) + "SELECT qid, pid, rank, round(score, 6) AS score FROM knn\n"
+
+
+@register("ann_pivots", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
           + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
-def q_ann_search(spark, sf):
+def q_ann_pivots(spark, sf):
+    """The mode whose cells SQL can name: smallest ids as centroids, a fixed number of them probed, low recall."""
     return _round_cols(_ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
 
 
-@register("ann_recall", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K), O.ivf_cte(N_CELLS, NPROBE, KNN_K)) + f"""
+@register("ann_search", _knn_sql(KNN_K))
+def q_ann_search(spark, sf):
+    """Trained cells, read until the bounds say that no other cell can hold a nearer vector: exact."""
+    tree = VT.VectorTree.build(TB.vectors(spark, sf))
+    return _round_cols(tree.search(_query_vectors(spark, sf), KNN_K), {"score"})
+
+
+@register("ann_search_deep", _knn_sql(100))
+def q_ann_search_deep(spark, sf):
+    tree = VT.VectorTree.build(TB.vectors(spark, sf))
+    return _round_cols(tree.search(_query_vectors(spark, sf), 100), {"score"})
+
+
+@register("ann_saved", _knn_sql(KNN_K))
+def q_ann_saved(spark, sf):
+    path = scratch_path(spark, "vector-tree")
+    VT.VectorTree.build(TB.vectors(spark, sf), path)
+    tree = VT.VectorTree.load(spark, path)
+    return _round_cols(tree.search(_query_vectors(spark, sf), KNN_K), {"score"})
+
+
+@register("ann_tree", "SELECT 'recall' AS metric, CAST(k AS BIGINT) AS k, CAST(0.9 AS DOUBLE) AS floor, true AS reached "
+                      "FROM (VALUES (10), (100)) AS depths(k)\n")
+def q_ann_tree(spark, sf):
+    """Recall of trained cells read in calibrated numbers, against exact search: at least 0.9 at both depths."""
+    tree = VT.VectorTree.build(TB.vectors(spark, sf), calibrate=((10, 0.95), (100, 0.95)))
+    parts = []
+    for k in (10, 100):
+        run = tree.search(_query_vectors(spark, sf), k, recall=0.95)
+        parts.append(AN.ann_recall(run, _knn(spark, sf, k), k).select(
+            "metric", "k", F.lit(0.9).alias("floor"), (F.col("value") >= 0.9).alias("reached")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("knn_norm_blocks", _knn_sql(KNN_K))
+def q_knn_norm_blocks(spark, sf):
+    """Exact search over blocks of descending norm, small enough here for several blocks."""
+    blocks = NB.NormBlocks.build(TB.vectors(spark, sf), block_rows=256)
+    return _round_cols(blocks.search(_query_vectors(spark, sf), KNN_K), {"score"})
+
+
+@register("ann_pivots_recall", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K), O.ivf_cte(N_CELLS, NPROBE, KNN_K)) + f"""
 , per AS (SELECT a.qid, count(k.pid) / (SELECT count(*) FROM knn k2 WHERE k2.qid = a.qid)::double AS recall
           FROM (SELECT DISTINCT qid FROM ann) a LEFT JOIN ann x ON x.qid = a.qid
           LEFT JOIN knn k ON k.qid = x.qid AND k.pid = x.pid GROUP BY a.qid)
 SELECT 'recall' AS metric, CAST({KNN_K} AS BIGINT) AS k, round(coalesce(avg(recall), 0.0), 6) AS value FROM per
 """)
-def q_ann_recall(spark, sf):
+def q_ann_pivots_recall(spark, sf):
     approx = _ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE)
     return _round_cols(AN.ann_recall(approx, _knn(spark, sf), KNN_K), {"value"})
 
@@ -458,9 +554,9 @@ def q_ann_stats(spark, sf):
     return _ivf(spark, sf).stats()
 
 
-@register("ann_saved", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
+@register("ann_pivots_saved", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K))
           + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
-def q_ann_saved(spark, sf):
+def q_ann_pivots_saved(spark, sf):
     path = scratch_path(spark, "vector-index")
     _ivf(spark, sf).save(path)
     idx = AN.VectorIndex.load(spark, path)
@@ -483,9 +579,9 @@ def q_knn_grid(spark, sf):
     return _round_cols(out, {"score"})
 
 
-@register("ann_search_deep", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, 100))
+@register("ann_pivots_deep", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, 100))
           + "SELECT qid, pid, rank, round(score, 6) AS score FROM ann\n")
-def q_ann_search_deep(spark, sf):
+def q_ann_pivots_deep(spark, sf):
     return _round_cols(_ivf(spark, sf).search(_query_vectors(spark, sf), 100, NPROBE), {"score"})
 
 
@@ -497,14 +593,14 @@ def q_ann_two_cells(spark, sf):
     return _round_cols(idx.search(_query_vectors(spark, sf), KNN_K, NPROBE), {"score"})
 
 
-@register("cascade_top100", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 100, 0, 0)[0],
+@register("cascade_top100", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 100)[0],
                                   O.rerank_cte("rr", "runs", 100))
           + "SELECT s.eval_set, r.qid, r.pid, r.rank, round(r.score, 6) AS score FROM qsets s JOIN rr r ON r.qid = s.qid\n")
 def q_cascade_top100(spark, sf):
     return _round_cols(PL.cascade_run_sets(spark, sf, PL.saved_judgment_sets(spark, sf), top=100), {"score"})
 
 
-@register("cascade_top1000", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 1000, 0, 0)[0],
+@register("cascade_top1000", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", 1000)[0],
                                    O.rerank_cte("rr", "runs", 1000))
           + "SELECT s.eval_set, r.qid, r.pid, r.rank, round(r.score, 6) AS score FROM qsets s JOIN rr r ON r.qid = s.qid\n")
 def q_cascade_top1000(spark, sf):
@@ -520,6 +616,16 @@ def q_rerank(spark, sf):
     return _round_cols(out, {"score"})
 
 
+@register("rerank_placed", _with(O.SUBSET_VIEW, O.postings_cte("post", "sub"), O.QUERIES_VIEW,
+                                 O.run_cte("run", "kq", "post", RERANK_K), O.QVEC_CTE,
+                                 O.rerank_cte("rr", "run", RERANK_K))
+          + "SELECT qid, pid, rank, round(score, 6) AS score, orig_rank FROM rr\n")
+def q_rerank_placed(spark, sf):
+    """Passage vectors placed by id: no exchange of vectors, and only directories with ids of the run are read."""
+    placed = VP.VectorTable.write(TB.vectors(spark, sf))
+    return _round_cols(RR.rerank(_subset_run(spark, sf), _query_vectors(spark, sf), placed, RERANK_K), {"score"})
+
+
 @register("missing_vectors", _with(*_sql_base()[:3]) + """
 SELECT qid, pid, rank FROM run WHERE pid NOT IN (SELECT vec_id FROM embeddings)
 """)
@@ -530,7 +636,7 @@ def q_missing_vectors(spark, sf):
 # ---------------------------------------------------------------- systems, evaluation and comparison
 
 def _matrix_sql(systems) -> str:
-    ctes, selects = O.evaluation_sql(systems, PL.SPEC, PL.DEPTH, PL.POOL, PL.N_CELLS, PL.NPROBE)
+    ctes, selects = O.evaluation_sql(systems, PL.SPEC, PL.DEPTH, PL.POOL)
     return (_with(*ctes) + ", matrix AS (\n" + "\nUNION ALL\n".join(selects) + ")\n"
             + "SELECT system, eval_set, metric, k, round(value, 6) AS value FROM matrix\n")
 
@@ -540,7 +646,7 @@ def q_judgment_sets(spark, sf):
     return PL.judgment_sets(spark, sf)
 
 
-@register("bm25_sets", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", PL.DEPTH, 0, 0)[0])
+@register("bm25_sets", _with(*O.judgment_sets_ctes(PL.POOL), *O.system_run_ctes("bm25", PL.DEPTH)[0])
           + "SELECT s.eval_set, r.qid, r.pid, r.rank, r.score, r.score_q FROM qsets s JOIN runs r ON r.qid = s.qid\n")
 def q_bm25_sets(spark, sf):
     return PL.bm25_run_sets(spark, sf, PL.saved_judgment_sets(spark, sf))
@@ -567,7 +673,7 @@ def q_eval_matrix(spark, sf):
 
 
 def _compare_sql() -> str:
-    ctes, selects = O.evaluation_sql(PL.SYSTEMS, PL.SPEC, PL.DEPTH, PL.POOL, PL.N_CELLS, PL.NPROBE)
+    ctes, selects = O.evaluation_sql(PL.SYSTEMS, PL.SPEC, PL.DEPTH, PL.POOL)
     cols = ", ".join(f"round(max(CASE WHEN system = '{s}' THEN value END), 6) AS {s}" for s in PL.SYSTEMS)
     return (_with(*ctes) + ", matrix AS (\n" + "\nUNION ALL\n".join(selects) + ")\n"
             + f"SELECT eval_set, metric, k, {cols} FROM matrix GROUP BY eval_set, metric, k\n")

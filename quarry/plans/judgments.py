@@ -10,11 +10,13 @@ Containment is an exact substring test on whole texts. Candidates come from
 an equi-join on an *anchor*. A token strictly inside the query (not its first
 or last) is bounded by separators inside the query text, so it is a whole
 token of every passage containing the query; of these, the one in the fewest
-passages is taken. A query without such a token is anchored on the character
-n-gram it begins with (``GRAM`` characters, or all of a shorter query): every
-passage containing the query holds that n-gram. The candidate pairs, ids
-only, are written once; their text is fetched by a join that broadcasts them
-if their bytes allow. The plan has equi-joins only.
+passages is taken: document frequencies come first, and only the chosen
+tokens' passages are matched. Both come from a text index of the passages if
+there is one. The candidate pairs, ids only, are written once; their text is
+fetched by a join that broadcasts them if their bytes allow. A bounded list of
+queries without such a token is tested inside each passage's row; more of them
+are anchored on the character n-gram they begin with (``GRAM`` characters, or
+all of a shorter query). The plan has equi-joins only.
 """
 
 from __future__ import annotations
@@ -23,26 +25,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators.index import TextIndex
 from quarry.session import BROADCAST_BYTES, bounded_broadcast, materialize
 
 
 GRAM = 8   # characters of the n-gram that anchors a query without inner tokens
 
 
-def _token_candidates(docs: DataFrame, q: DataFrame) -> DataFrame:
+def _token_candidates(docs: DataFrame, q: DataFrame, index: TextIndex | None) -> DataFrame:
     """(qid, doc_id) of passages with the rarest inner token of the query; ``q(qid, inner)``."""
     inner = q.select("qid", F.explode("inner").alias("term"))
-    # explode_outer + filter: a plain explode would make Catalyst re-run the regex
-    doc_terms = (docs.select("doc_id", F.explode_outer(F.array_distinct(T.tokens("text"))).alias("term"))
-                 .where(F.col("term").isNotNull()))
-    wanted = inner.select("term").distinct()
-    found = materialize(doc_terms.join(bounded_broadcast(wanted), "term"), "anchor-tokens")
-    df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if index is not None:
+        doc_terms, df = index.tf.select("doc_id", "term"), index.dfreq.select("term", "df")
+    else:
+        # explode_outer + filter: a plain explode would make Catalyst re-run the regex
+        doc_terms = (docs.select("doc_id", F.explode_outer(F.array_distinct(T.tokens("text"))).alias("term"))
+                     .where(F.col("term").isNotNull()))
+        wanted = bounded_broadcast(inner.select("term").distinct())
+        df = doc_terms.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # a token that no passage has rules its query out
-    rarest = inner.join(df, "term", "left").groupBy("qid").agg(
-        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("term"))).alias("a")) \
-        .select("qid", F.col("a.term").alias("term"))
-    return found.join(rarest, "term").select("qid", "doc_id")
+    rarest = materialize(inner.join(df, "term", "left").groupBy("qid").agg(
+        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("term"))).alias("a")).where("a.df > 0")
+        .select("qid", F.col("a.term").alias("term")), "anchor-tokens")
+    return doc_terms.join(bounded_broadcast(rarest), "term").select("qid", "doc_id")
+
+
+SHORT_BYTES = 1 << 16      # of short queries that are tested inside each passage's row
+
+
+def _short_hits(docs: DataFrame, q: DataFrame) -> DataFrame | None:
+    """(qid, pid) of the short queries ``q(qid, qtext)`` that passages contain; None beyond the bound."""
+    size = q.agg(F.sum(F.octet_length("qtext") + 8)).first()[0] or 0
+    if size > SHORT_BYTES:
+        return None
+    rows = q.collect()
+    if not rows:
+        return docs.where(F.lit(False)).select(F.lit(None).cast(q.schema["qid"].dataType).alias("qid"),
+                                               F.col("doc_id").alias("pid"))
+    some = F.array(*[F.struct(F.lit(r["qid"]).alias("qid"), F.lit(r["qtext"]).alias("qtext")) for r in rows])
+    held = F.filter(some, lambda x: F.contains(F.col("text"), x["qtext"]))
+    return docs.where("text is not null").select(F.explode(F.transform(held, lambda x: x["qid"])).alias("qid"),
+                                                 F.col("doc_id").alias("pid"))
 
 
 def _gram_candidates(docs: DataFrame, q: DataFrame) -> DataFrame:
@@ -58,8 +81,8 @@ def _gram_candidates(docs: DataFrame, q: DataFrame) -> DataFrame:
     return grams.join(q, "gram").select("qid", "doc_id").distinct()
 
 
-def containment_qrels(docs: DataFrame, queries: DataFrame,
-                      broadcast_bytes: int | None = BROADCAST_BYTES) -> DataFrame:
+def containment_qrels(docs: DataFrame, queries: DataFrame, broadcast_bytes: int | None = BROADCAST_BYTES,
+                      index: TextIndex | None = None) -> DataFrame:
     """(qid, pid, rel=1) for every passage containing the query text verbatim.
 
     An empty query is contained in every passage that has a text; a null query in none.
@@ -67,21 +90,19 @@ def containment_qrels(docs: DataFrame, queries: DataFrame,
     q = materialize(queries.select("qid", F.col("text").alias("qtext"), T.tokens("text").alias("qt")).where("qtext is not null")
                     .select("qid", "qtext", F.slice("qt", 2, F.greatest(F.size("qt") - 2, F.lit(0))).alias("inner")),
                     "containment-queries")
-    kinds = {(r["inner"], r["empty"]) for r in q.select((F.size("inner") > 0).alias("inner"), (F.col("qtext") == "")
-                                                        .alias("empty")).distinct().collect()}
-    cand = _token_candidates(docs, q.where(F.size("inner") > 0))
-    if (False, False) in kinds:
-        cand = cand.unionByName(_gram_candidates(docs, q.where((F.size("inner") == 0) & (F.col("qtext") != ""))))
+    short = q.where(F.size("inner") == 0)
+    hits = _short_hits(docs, short.select("qid", "qtext"))
+    cand = _token_candidates(docs, q.where(F.size("inner") > 0), index)
+    if hits is None:
+        cand = cand.unionByName(_gram_candidates(docs, short.where("qtext <> ''")))
+        blank = short.where("qtext = ''").select("qid", F.lit(True).alias("all"))
+        hits = docs.where("text is not null").select(F.col("doc_id").alias("pid"), F.lit(True).alias("all")) \
+            .join(bounded_broadcast(blank, broadcast_bytes), "all").select("qid", "pid")
     cand = bounded_broadcast(materialize(cand, "containment-candidates"), broadcast_bytes)
     qtext = bounded_broadcast(q.select("qid", "qtext"), broadcast_bytes)
-    hits = (docs.select("doc_id", "text").join(cand, "doc_id").join(qtext, "qid")
-            .where(F.col("text").contains(F.col("qtext")))
-            .select("qid", F.col("doc_id").alias("pid"), F.lit(1).alias("rel")))
-    if (False, True) in kinds:
-        empty = [r["qid"] for r in q.where("qtext = ''").select("qid").collect()]   # whole passages for each: few
-        hits = hits.unionByName(docs.where("text is not null").select(
-            F.explode(F.array(*map(F.lit, empty))).alias("qid"), F.col("doc_id").alias("pid"), F.lit(1).alias("rel")))
-    return hits
+    inside = (docs.select("doc_id", "text").join(cand, "doc_id").join(qtext, "qid")
+              .where(F.col("text").contains(F.col("qtext"))).select("qid", F.col("doc_id").alias("pid")))
+    return inside.unionByName(hits).select("qid", "pid", F.lit(1).alias("rel"))
 
 
 def graded_qrels(contain: DataFrame, pool_run: DataFrame, labels: DataFrame,

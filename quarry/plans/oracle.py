@@ -202,26 +202,25 @@ def judgment_sets_ctes(pool: int) -> list[str]:
             GRADED_CTE.format(name="g2", run="knnp", pool=pool), QRELS_SETS_CTE]
 
 
-def system_run_ctes(system: str, depth: int, cells: int, nprobe: int) -> tuple[list[str], str]:
+def system_run_ctes(system: str, depth: int) -> tuple[list[str], str]:
     """CTEs producing the system's run over all queries, and the CTE name."""
     if system == "bm25":
         return [SUBSET_VIEW, postings_cte("post", "sub"), run_cte("runs", "kq", "post", depth)], "runs"
     if system == "ann":
-        return [ivf_cte(cells, nprobe, depth)], "ann"
+        return [knn_cte("ann", depth)], "ann"      # the index is read until its bounds make the run exact
     if system == "cascade":
-        ctes, base = system_run_ctes("bm25", depth, cells, nprobe)
+        ctes, base = system_run_ctes("bm25", depth)
         return ctes + [rerank_cte("casc", base, depth)], "casc"
     raise ValueError(system)
 
 
-def evaluation_sql(systems: list[str], spec, depth: int, pool: int, cells: int, nprobe: int,
-                   select_matrix: bool = True) -> tuple[list[str], list[str]]:
+def evaluation_sql(systems: list[str], spec, depth: int, pool: int) -> tuple[list[str], list[str]]:
     """(ctes, per-cell SELECTs) computing (system, eval_set, metric, k, value)."""
     ctes = judgment_sets_ctes(pool)
     seen = set()
     selects = []
     for system in systems:
-        sctes, run = system_run_ctes(system, depth, cells, nprobe)
+        sctes, run = system_run_ctes(system, depth)
         for c in sctes:
             if c not in seen:
                 ctes.append(c)

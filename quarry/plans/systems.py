@@ -3,7 +3,8 @@
 Three systems answer the same judged query sets:
 
 * ``bm25``: keyword index over the passages that have a vector, OR search;
-* ``ann``: inverted-file search over the passage vectors;
+* ``ann``: search of a trained two-level index over the passage vectors, by
+  default until its bounds make the run exact;
 * ``cascade``: the ``bm25`` run with its first k results re-ranked by cosine.
 
 Three judgment sets play the roles of a development set and two evaluation
@@ -27,12 +28,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import ann as AN
 from quarry.operators import filters as FL
 from quarry.operators import index as IX
 from quarry.operators import knn as KN
 from quarry.operators import metrics as M
 from quarry.operators import rerank as RR
+from quarry.operators import vector_tree as VT
 from quarry.plans import judgments as J
 from quarry.session import materialize
 from quarry.sources import tables as TB
@@ -48,8 +49,6 @@ SETS = ["dev", "eval_one", "eval_two"]
 DEPTH = 1000     # run depth of every system
 TOP = 1000       # results of the keyword run that the cascade re-ranks
 POOL = 20        # judgment pool depth
-N_CELLS = 16
-NPROBE = 4
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -65,9 +64,10 @@ def query_vectors(spark: SparkSession, sf: str) -> DataFrame:
 def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     """(eval_set, qid, pid, rel) for the three sets."""
     docs, queries = TB.passages(spark, sf), TB.keyword_queries(spark, sf)
+    index = IX.TextIndex.build(docs)
     # written once: every set refers to the containment pairs (five times)
-    contain = materialize(J.containment_qrels(docs, queries), "containment")
-    kw_pool = IX.TextIndex.build(docs).search(queries, k=POOL)
+    contain = materialize(J.containment_qrels(docs, queries, index=index), "containment")
+    kw_pool = index.search(queries, k=POOL)
     vec_pool = KN.knn_exact(TB.vectors(spark, sf), query_vectors(spark, sf), POOL)
     labels = TB.labels(spark, sf)
     return _union([
@@ -131,11 +131,11 @@ def evaluate_bm25(spark: SparkSession, sf: str, qrels: DataFrame | None = None,
     return evaluate(to_sets(run, qrels), qrels, "bm25")
 
 
-def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame) -> DataFrame:
+def ann_run_sets(spark: SparkSession, sf: str, qrels: DataFrame, recall: float = 1.0) -> DataFrame:
     """Search each judged query vector once, then fan the run out to its sets."""
     qv = FL.subset_by_ids(query_vectors(spark, sf), qrels, "qid")
-    idx = AN.VectorIndex.build(TB.vectors(spark, sf), N_CELLS, train="pivots")
-    return to_sets(idx.search(qv, DEPTH, NPROBE), qrels)
+    tree = VT.VectorTree.build(TB.vectors(spark, sf), calibrate=() if recall == 1 else ((DEPTH, recall),))
+    return to_sets(tree.search(qv, DEPTH, recall), qrels)
 
 
 def evaluate_ann(spark: SparkSession, sf: str, qrels: DataFrame | None = None) -> DataFrame:

@@ -95,7 +95,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)    # a known schema: no job to infer it
 
 
 def default_buckets(source: DataFrame) -> int:

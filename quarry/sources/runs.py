@@ -61,8 +61,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def load_or_build_run(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse a saved run if ``path`` holds one; otherwise build, save and return it."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+def table_print(df: DataFrame) -> str:
+    """Fingerprint of a table: of its files' names, sizes and times where it is read from files, else of its rows.
+
+    Names and times are read by a Spark job over the files' metadata; no file is opened. The rows' hashes are summed, so
+    their order does not matter.
+    """
+    files = df.inputFiles()
+    if files:
+        rows = df.sparkSession.read.format("binaryFile").load(list(files)).select("path", "length", "modificationTime")
+        what = "columns " + ",".join(df.columns)
+    else:
+        rows, what = df, "rows"
+    h = F.xxhash64(*rows.columns) if rows.columns else F.lit(0)
+    n, total = rows.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(20,0)"))).first()
+    return f"{what}:{n}:{total or 0}"
+
+
+def run_manifest(inputs: dict[str, DataFrame], params: dict) -> dict[str, str]:
+    """What a run was made from: a fingerprint of each input, and the parameters."""
+    return {**{f"input {n}": table_print(df) for n, df in inputs.items()},
+            **{f"parameter {n}": str(v) for n, v in params.items()}}
+
+
+def write_manifest(spark: SparkSession, path: str, manifest: dict[str, str]) -> None:
+    """Saved inside the run's folder, where readers of the run do not look; written after the run."""
+    spark.createDataFrame(sorted(manifest.items()), "key string, value string").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path}/_manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict[str, str] | None:
+    if not path_exists(spark, f"{path}/_manifest/_SUCCESS"):
+        return None
+    return {r.key: r.value for r in spark.read.parquet(f"{path}/_manifest").collect()}
+
+
+def load_or_build_run(spark: SparkSession, path: str, build: Callable[[], DataFrame],
+                      inputs: dict[str, DataFrame] | None = None, params: dict | None = None) -> DataFrame:
+    """Reuse the saved run at ``path``; build and save it if there is none.
+
+    With ``inputs`` or ``params`` a run is reused only if its manifest says that it was made from the same tables and
+    parameters; any other, and one without a manifest, is built anew.
+    """
+    manifest = run_manifest(inputs or {}, params or {}) if inputs is not None or params is not None else None
+    saved = path_exists(spark, f"{path}/_SUCCESS")
+    if not saved or (manifest is not None and read_manifest(spark, path) != manifest):
         write_run(build(), path, "parquet")
+        if manifest is not None:
+            write_manifest(spark, path, manifest)
     return read_run(spark, path, "parquet")

@@ -40,11 +40,17 @@ def test_cli_matches_library(spark, sf_small, tmp_path):
                       "--depth", "1000", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(again) == want["bm25"]
     got = cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors",
-                    "--depth", "1000", "--cells", "16", "--train", "pivots", "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
+                    "--depth", "1000", "--recall", "1", "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(got) == want["ann"]
     again = cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors", "--depth", "1000",
-                      "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
+                      "--recall", "1", "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
     assert as_map(again) == want["ann"]
+    flat = ["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors", "--depth", "1000", "--index", f"{d}/flat",
+            "--out", f"{d}/out", *sets, "--nprobe"]
+    got = cli.main([*flat, "16", "--cells", "16", "--train", "pivots"], spark=spark)     # all cells: exact
+    assert as_map(got) == want["ann"]
+    assert as_map(cli.main([*flat, "16"], spark=spark)) == want["ann"]
+    assert as_map(cli.main([*flat, "1"], spark=spark)) != want["ann"]
     with pytest.raises(SystemExit):
         cli.main(["ann", "--passages", f"{d}/vectors", "--query-vectors", f"{d}/vectors", "--cells", "4",
                   "--index", f"{d}/vidx", "--out", f"{d}/out", *sets], spark=spark)
