@@ -12,15 +12,17 @@ on the input.
   corpus come last in the order, so a common phrase is a minimiser only of
   windows that hold nothing rarer. What is frequent is counted over all
   documents in a table of fixed size.
-* A packed string holds 2 bytes for each of the 65,535 most frequent words,
-  and the others in full, so it stands for exactly its words.
+* A packed string holds 2 bytes for each of up to 65,535 frequent words and the
+  others in full, so it stands for exactly its words. What a task sends to one
+  bucket is compressed together.
 * Copies are combined before the shuffle: of equal super-k-mers that a task
-  holds, the one of the smallest id travels and the others are decided there,
-  as all their windows are in a smaller document. A hot passage sends one
-  string for each task and flush.
-* A bucket sorts its windows, by a hash first and by all words where hashes
-  are equal, and takes the smallest id of each. Buckets are read in blocks of
-  bounded size; the windows of one that is larger are grouped by Spark.
+  holds (by 128-bit hashes of their words), the one of the smallest id travels
+  and the others are decided there, as all their windows are in a smaller
+  document. A hot passage sends one string for each task and flush.
+* The number of buckets follows the number of windows. A bucket sorts its
+  windows, by a hash first and by all words where different windows have equal
+  hashes, and takes the smallest id of each. The windows of a bucket that is
+  too large for a task are grouped by Spark instead.
 * Removed word ranges go back to their document in one join.
 
 Defined results: null and empty texts have no words; the windows of a row
@@ -31,7 +33,6 @@ ignored; an empty table gives an empty result. Ids are integers.
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from collections import Counter
 from itertools import compress
@@ -47,17 +48,18 @@ from quarry.session import materialize
 
 WINDOW = 13              # words of a window
 RUN = 2                  # words of a minimiser
-BUCKETS = 1 << 16        # counters of the frequency table
+COUNTERS = 1 << 16       # of the frequency table
 HEAVY = 8                # a counter so many times above the mean marks frequent runs
-CODES = (1 << 16) - 1    # words with a code of their own; the last code marks the others
+CODES = (1 << 16) - 1    # words with a code of their own, at most; the last code marks the others
 LONGEST_CODED = 64       # bytes of a word that may have a code
+SEEN = 8                 # occurrences in a task's part that make a word a candidate for a code
 LONGEST = 100            # windows of a super-k-mer
-HELD = 150_000           # super-k-mers that a task combines before it sends them on
+HELD = 200_000           # super-k-mers that a task combines before it sends them on
 WORDS_HELD = 300_000     # words that a worker remembers
-BLOCK = 12 << 20         # bytes of packed strings that a bucket's task works on at a time
+PER_BUCKET = 500_000     # windows of a bucket, about
+LARGE = 300_000          # super-k-mers of a bucket above which Spark groups its windows
 TOP = np.uint64(1 << 63)
-HEAD = "<qIIB"           # document, text hash, number of places, words
-HEAD_BYTES = struct.calcsize(HEAD)
+HEAD = "<III"            # bytes before compression, super-k-mers, words
 
 
 def split(text: str | None) -> list[bytes]:
@@ -84,10 +86,10 @@ class Words(dict):
 def run_hashes(values: np.ndarray) -> np.ndarray:
     """Hash of each run of words, whatever their codes."""
     hashes = values & np.uint64(0xFFFFFFFFFFFF0000)
-    n = len(hashes) - RUN + 1
+    n = max(0, len(hashes) - RUN + 1)
     out = np.zeros(n, np.uint64)
     for j, m in enumerate(odd_multipliers(RUN, 29)):
-        out += splitmix(hashes[j:j + n] * m)
+        out += hashes[j:j + n] * m
     return splitmix(out)
 
 
@@ -101,313 +103,340 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def super_kmers(values: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First windows, ends and minimisers of the stretches of windows that share a minimiser."""
+def super_kmers(values: np.ndarray, text: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First windows, ends and minimisers of the stretches of windows that share a minimiser, over the words of several
+    texts; ``text`` tells them apart."""
+    n = len(values) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     hashes = run_hashes(values)
-    order = hashes >> np.uint64(1) | np.where(heavy[hashes % np.uint64(BUCKETS)], TOP, np.uint64(0))
+    order = hashes >> np.uint64(1) | np.where(heavy[hashes % np.uint64(COUNTERS)], TOP, np.uint64(0))
     least = sliding_min(order, WINDOW - RUN + 1)
-    starts = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
-    ends = np.append(starts[1:], len(least))
-    if (ends - starts).max() > LONGEST:
+    whole = text[:n] == text[WINDOW - 1:]
+    new = whole.copy()
+    new[1:] &= ~whole[:-1] | (least[1:] != least[:-1]) | (text[1:n] != text[:n - 1])
+    edges = np.append(np.flatnonzero(new | ~whole), n)
+    starts = np.flatnonzero(new)
+    ends = edges[np.searchsorted(edges, starts) + 1]
+    if len(starts) and (ends - starts).max() > LONGEST:
         parts = -(-(ends - starts) // LONGEST)
-        first = np.repeat(starts, parts)
-        within = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts = first + within * LONGEST
-        ends = np.minimum(starts + LONGEST, np.repeat(ends, parts))
+        first, ends = np.repeat(starts, parts), np.repeat(ends, parts)
+        starts = first + LONGEST * (np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts))
+        ends = np.minimum(starts + LONGEST, ends)
     return starts, ends, least[starts]
 
 
-def _frequencies(docs: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The words that get codes, and the mask of frequent runs, both of fixed size, over all documents."""
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes ``start, start + 1, ...`` of each stretch, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _powers(multiplier: int, n: int) -> np.ndarray:
+    out = np.full(n, multiplier, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of the words in each stretch: polynomials, from running sums."""
+    out = []
+    for m in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
+        mixed = splitmix(values ^ np.uint64(m)) * _powers(m, len(values))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        back = _powers(pow(m, -1, 1 << 64), len(values) + 1)
+        out.append(splitmix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)))
+    return out
+
+
+def _frequencies(docs: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
+    """The words that get codes, the mask of frequent runs, both of fixed size, and the number of windows."""
     def run(batches):
-        held, table, hashes = Counter(), np.zeros(BUCKETS, np.int64), Words([])
+        held, table, hashes, windows = Counter(), np.zeros(COUNTERS, np.int64), Words([]), 0
 
-        def emit(words, n, bucket):
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(bucket, pa.int32()),
-                                               pa.array(n, pa.int64())], names=["word", "bucket", "n"])
+        def emit(words, n, counter):
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counter, pa.int32()),
+                                               pa.array(n, pa.int64())], names=["word", "counter", "n"])
+
+        def words_seen():
+            some = [(w, n) for w, n in held.items() if n >= SEEN and len(w) <= LONGEST_CODED]
+            return emit([w for w, _ in some], [n for _, n in some], [None] * len(some))
 
         for b in slices(batches):
-            for text in b.column(0).to_pylist():
-                words = split(text)
+            texts = [w for w in map(split, b.column(0).to_pylist()) if len(w) >= WINDOW]
+            for words in texts:
                 held.update(words)
-                if len(words) >= WINDOW:
-                    table += np.bincount((run_hashes(hashes.of(words)) % np.uint64(BUCKETS)).astype(np.int64),
-                                         minlength=BUCKETS)
+                windows += len(words) - WINDOW + 1
+            if texts:                      # runs over the edge of two texts are counted too
+                runs = run_hashes(np.concatenate([hashes.of(w) for w in texts]))
+                table += np.bincount((runs % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
             if len(held) > WORDS_HELD:
-                some = [w for w in held if len(w) <= LONGEST_CODED]
-                yield emit(some, [held[w] for w in some], [None] * len(some))
+                yield words_seen()
                 held.clear()
-        some = [w for w in held if len(w) <= LONGEST_CODED]
-        yield emit(some, [held[w] for w in some], [None] * len(some))
+        yield words_seen()
         used = np.flatnonzero(table)
-        yield emit([None] * len(used), table[used], used)
+        yield emit([None] * (len(used) + 1), np.append(table[used], windows), np.append(used, -1))
 
-    counted = map_arrow(docs.select("text"), run, "word binary, bucket int, n bigint") \
-        .groupBy("word", "bucket").agg(F.sum("n").alias("n"))
+    counted = map_arrow(docs.select("text"), run, "word binary, counter int, n bigint") \
+        .groupBy("word", "counter").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "frequencies")
-    coded = counted.filter("word is not null and n > 1").orderBy(F.desc("n"), "word").limit(CODES)
+    coded = counted.filter("word is not null").orderBy(F.desc("n"), "word").limit(CODES)
     coded = sorted(bytes(r.word) for r in coded.select("word").collect())
-    table = np.zeros(BUCKETS, np.int64)
-    for r in counted.filter("bucket is not null").collect():       # one row for each counter
-        table[r.bucket] = r.n
-    return coded, table > HEAVY * max(1.0, table.mean())
+    table, windows = np.zeros(COUNTERS, np.int64), 0
+    for r in counted.filter("counter is not null").collect():       # one row for each counter
+        if r.counter < 0:
+            windows = r.n
+        else:
+            table[r.counter] = r.n
+    return coded, table > HEAVY * max(1.0, table.mean()), windows
 
 
-class Cutter:
-    """Makes the super-k-mers of texts."""
+ROWS = ["bucket", "strings", "doc", "digest", "first", "end"]
+ROWS_SCHEMA = "bucket int, strings binary, doc bigint, digest bigint, first int, end int"
 
-    def __init__(self, coded: list[bytes], heavy: np.ndarray):
-        self.words, self.heavy = Words(coded), heavy
 
-    def __call__(self, words: list[bytes]):
-        """(minimiser, packed string, first word) of each super-k-mer."""
-        values = self.words.of(words)
-        starts, ends, least = super_kmers(values, self.heavy)
-        codes = (values & np.uint64(CODES)).astype("<u2")
-        rare = np.flatnonzero(codes == CODES)
-        ends = ends + WINDOW - 1
-        low, high = np.searchsorted(rare, starts).tolist(), np.searchsorted(rare, ends).tolist()
-        rare, data = rare.tolist(), codes.tobytes()
-        for s, e, k, a, z in zip(starts.tolist(), ends.tolist(), least.tolist(), low, high):
-            packed = data[2 * s:2 * e]
-            if a < z:
-                packed += b" ".join([words[i] for i in rare[a:z]])
-            yield k, e - s, packed, s
-
-
-class Combiner:
-    """Super-k-mers of a task: of equal ones, that of the smallest document stays, the others are decided."""
-
-    def __init__(self, cutter: Cutter):
-        self.cutter = cutter
+def _rows(bucket, strings, doc=None, digest=None, first=None, end=None) -> pa.RecordBatch:
+    nothing = [None] * len(bucket)
+    cols = [(bucket, pa.int32()), (strings, pa.binary()), (doc, pa.int64()), (digest, pa.int64()), (first, pa.int32()),
+            (end, pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(nothing if x is None else x, t) for x, t in cols], names=ROWS)
+
+
+class Cutter:
+    """Cuts a task's texts into super-k-mers, combines equal ones and packs what goes to each bucket."""
+
+    def __init__(self, coded: list[bytes], heavy: np.ndarray, buckets: int):
+        self.words, self.heavy, self.buckets = Words(coded), heavy, buckets
         self.clear()
 
     def clear(self) -> None:
-        self.held: dict[tuple[int, bytes], list] = {}     # (words, packed): key, document, text hash, places...
-        self.rest: list[tuple] = []                       # equal super-k-mers of texts of one id
-        self.decided: dict[tuple[int, int], list] = {}
-        self.seen: set[tuple[int, int]] = set()
-
-    def _decide(self, n: int, entry: list) -> None:
-        spans = self.decided.setdefault((entry[1], entry[2]), [])
-        for at in entry[3:]:
-            spans += (at, at + n)
-
-    def add(self, doc: int, digest: int, text: str) -> None:
-        if (doc, digest) in self.seen:
+        self.parts, self.rare, self.seen = [], [], set()
+        self.n_words = self.n_strings = 0
+
+    def add(self, docs: list[tuple[int, int, list[bytes]]]) -> None:
+        """Texts (id, hash, words); a text that was added with its id before counts once."""
+        fresh = []
+        for doc, digest, words in docs:
+            if (doc, digest) not in self.seen:
+                self.seen.add((doc, digest))
+                fresh.append((doc, digest, words))
+        if not fresh:
             return
-        words = split(text)
-        if len(words) < WINDOW:
+        n = np.array([len(w) for _, _, w in fresh])
+        text = np.repeat(np.arange(len(fresh)), n)
+        values = np.concatenate([self.words.of(w) for _, _, w in fresh])
+        starts, ends, least = super_kmers(values, text, self.heavy)
+        ends = ends + WINDOW - 1                               # in words now
+        codes = (values & np.uint64(CODES)).astype("<u2")
+        at = np.flatnonzero(codes == CODES)
+        first = np.cumsum(n) - n
+        self.rare += [fresh[t][2][i] for t, i in zip(text[at].tolist(), (at - first[text[at]]).tolist())]
+        place = starts - first[text[starts]] if len(starts) else starts
+        doc, digest = (np.array([f[k] for f in fresh], np.int64)[text[starts]] for k in (0, 1))
+        self.parts.append((codes, at + self.n_words, starts + self.n_words, ends - starts, least, doc, digest, place,
+                           *stretch_hashes(values, starts, ends)))
+        self.n_words += len(values)
+        self.n_strings += len(starts)
+
+    def flush(self):
+        """Rows of packed strings by bucket, and of the ranges that are decided here."""
+        if not self.n_strings:
+            self.clear()
             return
-        self.seen.add((doc, digest))
-        held = self.held
-        for key, n, packed, at in self.cutter(words):
-            entry = held.get((n, packed))
-            if entry is None:
-                held[n, packed] = [key, doc, digest, at]
-            elif entry[1] < doc:
-                self._decide(n, [key, doc, digest, at])
-            elif entry[1] > doc:
-                self._decide(n, entry)
-                held[n, packed] = [key, doc, digest, at]
-            elif entry[2] == digest:
-                entry.append(at)
-            else:
-                self.rest.append((n, packed, [key, doc, digest, at]))
-
-    def rows(self):
-        """(bucket, payload) rows. A payload without words is the removed ranges of a document."""
-        for n, packed, entry in self.rest:
-            yield entry[0] & 0x7FFFFFFF, payload(n, packed, entry)
-        for (n, packed), entry in self.held.items():
-            yield entry[0] & 0x7FFFFFFF, payload(n, packed, entry)
-        for (doc, digest), spans in self.decided.items():
-            spans = merged(np.array(spans, np.int64).reshape(-1, 2))
-            yield digest & 0x7FFFFFFF, struct.pack(HEAD, doc, digest, 2 * len(spans), 0) + spans.astype("<i4").tobytes()
-
-
-def payload(n: int, packed: bytes, entry: list) -> bytes:
-    places = len(entry) - 3
-    return struct.pack(HEAD, entry[1], entry[2], places, n) + struct.pack(f"<{places}i", *entry[3:]) + packed
-
-
-def merged(spans: np.ndarray) -> np.ndarray:
-    """Ranges (first, end) in order, those that touch united."""
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(spans[:, 1])
-    new = np.concatenate([[True], spans[1:, 0] > ends[:-1]])
-    last = np.append(np.flatnonzero(new)[1:], len(spans)) - 1
-    return np.column_stack([spans[new, 0], ends[last]])
+        codes, rare_at, start, size, least, doc, digest, place, h1, h2 = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.lexsort((doc, h2, h1))
+        new = np.append(True, (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]]))
+        smallest = doc[order[new]][np.cumsum(new) - 1]
+        late = np.zeros(len(doc), bool)
+        late[order] = doc[order] > smallest
+        # ranges of the later copies: neighbours of one text overlap, so they are one range
+        i = np.flatnonzero(late)
+        if len(i):
+            i = i[np.lexsort((place[i], digest[i], doc[i]))]
+            a, z = place[i], place[i] + size[i]
+            new = np.append(True, (a[1:] > z[:-1]) | (doc[i[1:]] != doc[i[:-1]]) | (digest[i[1:]] != digest[i[:-1]]))
+            last = np.append(np.flatnonzero(new)[1:], len(i)) - 1
+            j = i[new]
+            yield _rows(digest[j] % self.buckets, None, doc[j], digest[j], a[new], z[last])
+        i = np.flatnonzero(~late)
+        bucket = (least[i] % np.uint64(self.buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        i, bucket = i[order], bucket[order]
+        cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(i)).tolist()
+        low, high = np.searchsorted(rare_at, start[i]), np.searchsorted(rare_at, start[i] + size[i])
+        strings = []
+        for a, z in zip(cuts, cuts[1:]):
+            r = i[a:z]
+            rare = b" ".join([self.rare[k] for k in ragged(low[a:z], high[a:z] - low[a:z]).tolist()])
+            some = codes[ragged(start[r], size[r])]
+            data = b"".join([doc[r].astype("<i8").tobytes(), digest[r].astype("<u4").tobytes(),
+                             place[r].astype("<i4").tobytes(), size[r].astype("u1").tobytes(), some.tobytes(), rare])
+            strings.append(struct.pack(HEAD, len(data), len(r), len(some)) + pa.compress(data, "zstd", asbytes=True))
+        bucket = bucket[cuts[:-1]]
+        for at in range(0, len(strings), 256):
+            yield _rows(bucket[at:at + 256], strings[at:at + 256])
+        self.clear()
+
+
+class Names(dict):
+    """Numbers, from CODES on, of the words without codes."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = CODES + len(self)
+        return value
 
 
 class Block:
-    """Payloads with super-k-mers, parsed into one array of words."""
-
-    def __init__(self, payloads: list[bytes]):
-        heads = [struct.unpack_from(HEAD, p) for p in payloads]
-        self.doc = np.array([h[0] for h in heads], np.int64)
-        self.digest = np.array([h[1] for h in heads], np.int64)
-        self.size = np.array([h[3] for h in heads], np.int64)
-        self.places = [np.frombuffer(p, "<i4", h[2], HEAD_BYTES) for p, h in zip(payloads, heads)]
-        starts = [HEAD_BYTES + 4 * h[2] for h in heads]
-        coded = b"".join([p[s:s + 2 * h[3]] for p, s, h in zip(payloads, starts, heads)])
-        self.ids = np.frombuffer(coded, "<u2").astype(np.int64)
-        self.first = np.cumsum(self.size) - self.size            # of each row's words
-        rare = [p[s + 2 * h[3]:] for p, s, h in zip(payloads, starts, heads)]
-        names: dict[bytes, int] = {}
+    """Packed strings of a bucket, unpacked into one array of words."""
+
+    def __init__(self, strings: list[bytes]):
+        parts, rare = [], []
+        for s in strings:
+            size, n, words = struct.unpack_from(HEAD, s)
+            data = pa.decompress(s[struct.calcsize(HEAD):], size, "zstd", asbytes=True)
+            at, part = 0, []
+            for kind, count in (("<i8", n), ("<u4", n), ("<i4", n), ("u1", n), ("<u2", words)):
+                part.append(np.frombuffer(data, kind, count, at))
+                at += part[-1].nbytes
+            parts.append(part)
+            if at < len(data):
+                rare.append(data[at:])
+        self.doc, self.digest, self.place, size, codes = (np.concatenate(c) for c in zip(*parts))
+        self.ids = codes.astype(np.int64)
+        names = Names()
         at = np.flatnonzero(self.ids == CODES)
-        if len(at):                                              # in order of rows and of places within
-            words = b" ".join([r for r in rare if r]).split(b" ")
-            self.ids[at] = [CODES + names.setdefault(w, len(names)) for w in words]
+        if len(at):                                              # in order of strings and of places within
+            self.ids[at] = np.fromiter(map(names.__getitem__, b" ".join(rare).split(b" ")), np.int64, len(at))
         self.names = list(names)
-        self.row = np.repeat(np.arange(len(self.size)), np.maximum(self.size - WINDOW + 1, 0))
-        within = np.arange(len(self.row)) - np.repeat(np.cumsum(self.size - WINDOW + 1) - (self.size - WINDOW + 1),
-                                                      self.size - WINDOW + 1)
-        self.window = within                                     # number of each window in its row
-        self.start = self.first[self.row] + within
+        windows = size.astype(np.int64) - WINDOW + 1
+        first = np.cumsum(size.astype(np.int64)) - size
+        self.row = np.repeat(np.arange(len(windows)), windows)
+        self.start = ragged(first, windows)                      # of each window, among the words
+        self.window = ragged(np.zeros(len(windows), np.int64), windows)
 
     def smaller(self) -> np.ndarray:
-        """Mask of the windows that also start in a smaller document of the block."""
+        """Mask of the windows that also start in a smaller document of the bucket."""
         n = max(0, len(self.ids) - WINDOW + 1)
-        mixed = np.zeros(n, np.uint64)
+        mixed, ids = np.zeros(n, np.uint64), self.ids.astype(np.uint64)
         for j, m in enumerate(odd_multipliers(WINDOW, 31)):
-            mixed += self.ids[j:j + n].astype(np.uint64) * m
+            mixed += ids[j:j + n] * m
         mixed = splitmix(mixed)[self.start]
         order = np.argsort(mixed, kind="stable")
         equal = mixed[order[1:]] == mixed[order[:-1]]
         here, before = self.start[order[1:][equal]], self.start[order[:-1][equal]]
         if any((self.ids[here + j] != self.ids[before + j]).any() for j in range(WINDOW)):
-            order = np.lexsort([self.ids[self.start + j] for j in range(WINDOW)])     # hashes of different windows meet
+            order = np.lexsort([self.ids[self.start + j] for j in range(WINDOW)])     # different windows, one hash
             here, before = self.start[order[1:]], self.start[order[:-1]]
             equal = np.logical_and.reduce([self.ids[here + j] == self.ids[before + j] for j in range(WINDOW)])
-        runs = np.concatenate([[0], np.flatnonzero(~equal) + 1]) if len(order) else np.zeros(0, np.int64)
-        doc = self.doc[self.row]
-        least = np.minimum.reduceat(doc[order], runs) if len(runs) else np.zeros(0, np.int64)
         out = np.zeros(len(order), bool)
-        out[order] = doc[order] > np.repeat(least, np.diff(np.append(runs, len(order))))
+        if len(order):
+            runs = np.append(0, np.flatnonzero(~equal) + 1)
+            doc = self.doc[self.row][order]
+            least = np.minimum.reduceat(doc, runs)
+            out[order] = doc > np.repeat(least, np.diff(np.append(runs, len(order))))
         return out
 
-    def spans(self, removed: np.ndarray):
-        """(document, text hash, ranges) of each row with removed windows."""
-        for at in np.split(removed, np.flatnonzero(np.diff(self.row[removed])) + 1) if len(removed) else []:
-            r = self.row[at[0]]
-            w = (self.places[r].astype(np.int64)[:, None] + self.window[at][None, :]).ravel()
-            yield int(self.doc[r]), int(self.digest[r]), merged(np.column_stack([w, w + WINDOW]))
+    def ranges(self, removed: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, text hash, first word, end) of the stretches of removed windows."""
+        at = np.flatnonzero(removed)
+        row, w = self.row[at], self.window[at]
+        new = np.append(True, (row[1:] != row[:-1]) | (w[1:] != w[:-1] + 1)) if len(at) else np.zeros(0, bool)
+        last = np.append(np.flatnonzero(new)[1:], len(at)) - 1 if len(at) else np.zeros(0, np.int64)
+        r = row[new]
+        return self.doc[r], self.digest[r], self.place[r] + w[new], self.place[r] + w[last] + WINDOW
 
     def word(self, i: int) -> bytes:
         """Bytes that stand for a word wherever it occurs."""
         return struct.pack("<H", i) if i < CODES else b"\xff\xff" + self.names[i - CODES] + b" "
 
 
-OUT = ["doc", "digest", "spans", "window"]
+def _found(doc, digest, first, end, window=None) -> pa.RecordBatch:
+    window = [None] * len(doc) if window is None else window
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc, pa.int64()), pa.array(digest, pa.int64()), pa.array(first, pa.int32()), pa.array(end, pa.int32()),
+         pa.array(window, pa.binary())], names=["doc", "digest", "first", "end", "window"])
 
 
-def _out(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows))
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                       pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], names=OUT)
+def _buckets(batches):
+    """Removed ranges, from rows sorted by bucket; a bucket that is too large gives its windows one by one."""
+    bucket, held, size, large = None, [], 0, False
 
+    def work():
+        if held:
+            block = Block(held)
+            yield _found(*block.ranges(block.smaller()))
 
-def _buckets(batches):
-    """Blocks of whole buckets from rows sorted by bucket; a bucket above the bound gives its windows one by one."""
-    keys, held, size, large = [], [], 0, None
-
-    def work(n):
-        nonlocal keys, held, size
-        block = Block(held[:n])
-        rows = [(d, h, s.astype("<i4").tobytes(), None) for d, h, s in block.spans(np.flatnonzero(block.smaller()))]
-        keys, held = keys[n:], held[n:]
-        size = sum(map(len, held))
-        if rows:
-            yield _out(rows)
-
-    def windows(payloads):
-        block = Block(payloads)
+    def windows(strings):
+        block = Block(strings)
         ids = block.ids.tolist()
-        rows = []
-        for r, w, start in zip(block.row.tolist(), block.window.tolist(), block.start.tolist()):
-            text = b"".join([block.word(i) for i in ids[start:start + WINDOW]])
-            spans = np.column_stack([block.places[r] + w, block.places[r] + w + WINDOW])
-            rows.append((int(block.doc[r]), int(block.digest[r]), spans.astype("<i4").tobytes(), text))
-        yield _out(rows)
-
-    for b in slices(batches, 4096):
-        ready, over = [], []
-        for key, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            doc, digest, places, n = struct.unpack_from(HEAD, data)
-            if n == 0:
-                ready.append((doc, digest, data[HEAD_BYTES:], None))
-            elif key == large:
-                over.append(data)
-            else:
-                keys.append(key)
-                held.append(data)
-                size += len(data)
-        if ready:
-            yield _out(ready)
-        if over:
-            yield from windows(over)
-        if size > BLOCK:
-            n = next((i for i in range(len(keys) - 1, 0, -1) if keys[i] != keys[i - 1]), 0)
-            if n:
-                yield from work(n)                    # all but the last bucket
-            if size > BLOCK:                          # which alone is too large
-                large, over, keys, held, size = keys[0], held, [], [], 0
-                for at in range(0, len(over), 4096):
-                    yield from windows(over[at:at + 4096])
-    if held:
-        yield from work(len(held))
+        for at in range(0, len(block.row), 16_384):
+            r, w = block.row[at:at + 16_384], block.window[at:at + 16_384]
+            text = [b"".join([block.word(i) for i in ids[s:s + WINDOW]]) for s in block.start[at:at + 16_384].tolist()]
+            first = block.place[r] + w
+            yield _found(block.doc[r], block.digest[r], first, first + WINDOW, text)
+
+    for b in slices(batches, 256):
+        own, strings = b.column(0).to_pylist(), b.column(1)
+        decided = b.filter(strings.is_null())
+        if decided.num_rows:
+            yield _found(*(np.asarray(decided.column(k)) for k in range(2, 6)))
+        for key, data in zip(own, strings.to_pylist()):
+            if data is None:
+                continue
+            if key != bucket:
+                yield from work()
+                bucket, held, size, large = key, [], 0, False
+            if large:
+                yield from windows([data])
+                continue
+            held.append(data)
+            size += struct.unpack_from(HEAD, data)[1]
+            if size > LARGE:
+                for some in held:
+                    yield from windows([some])
+                held, large = [], True
+    yield from work()
 
 
 def removed_ranges(docs: DataFrame) -> DataFrame:
-    """(doc, digest, spans): ranges of removed words, some for each document that has any."""
-    coded, heavy = _frequencies(docs)
-    shared = PerWorker(docs.sparkSession, Cutter, coded, heavy)
+    """(doc, digest, first, end): ranges of removed words."""
+    coded, heavy, n_windows = _frequencies(docs)
+    shared = PerWorker(docs.sparkSession, Cutter, coded, heavy, max(1, -(-n_windows // PER_BUCKET)))
 
     def cut(batches):
-        held = Combiner(shared.get())
-
-        def emit():
-            rows = list(held.rows())
-            held.clear()
-            for at in range(0, len(rows), 16_384):
-                key, data = zip(*rows[at:at + 16_384])
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(data, pa.binary())],
-                                                 names=["key", "data"])
-
-        for b in slices(batches, 32):
-            for doc, digest, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                if doc is not None and text:
-                    held.add(doc, digest, text)
-            if len(held.held) + len(held.rest) > HELD:
-                yield from emit()
-        yield from emit()
-
-    strings = map_arrow(docs.select("doc_id", "digest", "text"), cut, "key int, data binary")
-    found = map_arrow(strings.repartition("key").sortWithinPartitions("key"), _buckets,
-                      "doc bigint, digest bigint, spans binary, window binary")
+        held = shared.get()
+        held.clear()
+        for b in slices(batches):
+            rows = zip(*(b.column(k).to_pylist() for k in range(3)))
+            texts = [(doc, digest, split(text)) for doc, digest, text in rows if doc is not None]
+            held.add([t for t in texts if len(t[2]) >= WINDOW])
+            if held.n_strings > HELD:
+                yield from held.flush()
+        yield from held.flush()
+
+    strings = map_arrow(docs.select("doc_id", "digest", "text"), cut, ROWS_SCHEMA)
+    found = map_arrow(strings.repartition("bucket").sortWithinPartitions("bucket"), _buckets,
+                      "doc bigint, digest bigint, first int, end int, window binary")
     found = materialize(found, "removed")
     large = found.filter("window is not null")
     least = large.groupBy("window").agg(F.min("doc").alias("least"))
     late = large.join(least, "window").filter("doc > least")
-    return found.filter("window is null").select("doc", "digest", "spans") \
-        .unionByName(late.select("doc", "digest", "spans"))
+    names = ["doc", "digest", "first", "end"]
+    return found.filter("window is null").select(*names).unionByName(late.select(*names))
 
 
 def _kept(batches):
     for b in slices(batches):
-        n, gone, digests = [], [], []
-        for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+        n, gone, kept = [], [], []
+        for text, first, end in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
             words = split(text)
             keep = np.ones(len(words), bool)
-            for part in spans or []:
-                for first, end in np.frombuffer(part, "<i4").reshape(-1, 2).tolist():
-                    keep[first:end] = False
+            for a, z in zip(first or [], end or []):
+                keep[a:z] = False
             n.append(len(words))
             gone.append(len(words) - int(keep.sum()))
-            digests.append(b" ".join(compress(words, keep.tolist())))
+            kept.append(b" ".join(compress(words, keep.tolist()) if gone[-1] else words))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                                          pa.array(digests, pa.binary()).cast(pa.string())],
+                                          pa.array(kept, pa.binary()).cast(pa.string())],
                                          names=["doc_id", "n_words", "n_removed", "kept"])
 
 
@@ -415,9 +444,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every row's text without repeated windows, words joined by one space."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .withColumn("digest", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)))
-    spans = removed_ranges(docs).groupBy("doc", "digest").agg(F.collect_set("spans").alias("spans"))
-    joined = docs.join(spans.withColumnRenamed("doc", "doc_id"), ["doc_id", "digest"], "left")
-    return map_arrow(joined.select("doc_id", "text", "spans"), _kept,
+    ranges = removed_ranges(docs).groupBy("doc", "digest").agg(F.collect_set(F.struct("first", "end")).alias("r"))
+    joined = docs.join(ranges.withColumnRenamed("doc", "doc_id"), ["doc_id", "digest"], "left")
+    return map_arrow(joined.select("doc_id", "text", "r.first", "r.end"), _kept,
                      "doc_id bigint, n_words bigint, n_removed bigint, kept string")
 
 
