@@ -61,7 +61,7 @@ def _smallest(kept: DataFrame, seed: int, n: int) -> np.ndarray:
     """The ``n`` vectors with the smallest hashes of ``seed:id``, in order."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     rows = kept.select(key.alias("key"), "v").orderBy(F.asc_nulls_last("key"), "v").limit(n).collect()
-    return np.array([r.v for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.v for r in rows], np.int64).reshape(len(rows), len(rows[0].v) if rows else 0)
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:

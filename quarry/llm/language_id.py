@@ -13,7 +13,6 @@ in order; repeated rows score alike; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,11 @@ SAMPLE_DOCS = 20_000     # labelled documents the model is trained on, at most
 SMOOTHING = 0.5
 BLOCK = 1 << 18          # code points scored at a time
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+GRAMS = 1 << 22          # n-grams of a slice scored together, about
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 def ngram_buckets(text: str) -> list[np.ndarray]:
@@ -60,7 +63,7 @@ def train(labelled: DataFrame, bound: int = SAMPLE_DOCS) -> tuple[list[str], np.
         counts: dict[str, np.ndarray] = {}
         for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if text and LETTER.search(text):
+                if has_letter(text):
                     c = counts.setdefault(lang, np.zeros(BUCKETS + 1, np.int64))
                     c[BUCKETS] += 1      # documents
                     for h in ngram_buckets(text):
@@ -81,6 +84,21 @@ def train(labelled: DataFrame, bound: int = SAMPLE_DOCS) -> tuple[list[str], np.
     return langs, prior, np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _sparse(texts: list[str], rows: np.ndarray):
+    """The texts' n-grams as (row, bucket) entries of a sparse matrix, in row order, in parts of bounded size."""
+    row, gram, size = [], [], 0
+    for r in rows.tolist():
+        for h in ngram_buckets(texts[r]):
+            row.append(np.full(len(h), r))
+            gram.append(h)
+            size += len(h)
+            if size >= GRAMS:
+                yield np.concatenate(row), np.concatenate(gram)
+                row, gram, size = [], [], 0
+    if size:
+        yield np.concatenate(row), np.concatenate(gram)
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
     """(doc_id, lang_pred, score): most likely language and its posterior probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -88,19 +106,19 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
     def run(batches):
         langs, prior, table = shared.value
         for b in slices(batches):
-            best, score = [], []
-            for text in b.column(1).to_pylist():
-                if not langs or not text or not LETTER.search(text):
-                    best.append(UNKNOWN)
-                    score.append(0.0)
-                    continue
-                total = prior.copy()
-                for h in ngram_buckets(text):
-                    for k in range(len(langs)):
-                        total[k] += table[k][h].sum(dtype=np.float64)
-                k = int(total.argmax())
-                best.append(langs[k])
-                score.append(1 / float(np.exp(total - total[k]).sum()))
+            texts = b.column(1).to_pylist()
+            total = np.tile(prior, (len(texts), 1))
+            known = np.array([bool(langs) and has_letter(t) for t in texts], bool)
+            for row, gram in _sparse(texts, np.flatnonzero(known)):
+                # rows of ones in the columns of their n-grams, times the table
+                starts = np.flatnonzero(np.diff(row, prepend=-1))
+                for k in range(len(langs)):
+                    total[row[starts], k] += np.add.reduceat(table[k][gram], starts, dtype=np.float64)
+            best, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            if langs:
+                top = total.argmax(axis=1)
+                score = np.where(known, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
+                best = [langs[k] if some else UNKNOWN for k, some in zip(top, known)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 

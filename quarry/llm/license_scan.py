@@ -15,7 +15,12 @@ copies from left to right: a copy is a run of at most a window's shingles that
 holds enough of the template, and it ends where the template's order starts
 again and another copy follows. Of its runs the one with the highest
 containment counts, the shortest of equals. Copies do not overlap. A find
-inside a find of a longer template with no lower containment is dropped.
+inside another is dropped if that has a higher containment, or the same and a
+longer template.
+
+Templates are bodies and notices of public licenses, and one-line notices made
+by rule; a line below five words holds no shingle and is not found. They are a
+table of fixed size, built once by each worker.
 
 Defined results: null and empty texts, and texts below five words, have no
 finds; repeated rows are scanned alike; other columns are ignored; an empty
@@ -71,8 +76,100 @@ TEMPLATES = {
     "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0.",
     "CC0 line": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT warranty": """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+        SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+        CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+        IN THE SOFTWARE.""",
+    "BSD-2-Clause body": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution.""",
+    "BSD-3-Clause endorsement": """Neither the name of the copyright holder nor the names of its contributors may be used to
+        endorse or promote products derived from this software without specific prior written permission.""",
+    "BSD warranty": """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+        PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+        INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+        GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+        OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "ISC warranty": """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+        SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+        PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION
+        WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "Zlib body": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to
+        the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you
+        wrote the original software. If you use this software in a product, an acknowledgment in the product documentation
+        would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+        misrepresented as being the original software. 3. This notice may not be removed or altered from any source
+        distribution.""",
+    "GPL-2.0 notice": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+        option) any later version.""",
+    "GPL warranty": """This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even
+        the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for
+        more details.""",
+    "AGPL-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
+        your option) any later version.""",
+    "EPL-2.0 notice": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "BSL-1.0 line": "Distributed under the Boost Software License, Version 1.0.",
 }
 
+# fixed values: names of public licenses as lines use them, and the words before them
+LICENSE_NAMES = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-clause BSD license"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-clause BSD license"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU GPL version 2", "GPLv2 license"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU GPL version 3", "GPLv3 license"],
+    "LGPL": ["GNU Lesser General Public License"],
+    "AGPL-3.0": ["GNU Affero General Public License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, v. 2.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0"],
+    "ISC": ["ISC License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0"],
+}
+LICENSED = ["licensed under the", "released under the", "distributed under the", "available under the", "provided under the"]
+CC_KINDS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+            "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+SPDX = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+        "LGPL-2.1-only", "LGPL-2.1-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "EPL-2.0", "BSL-1.0", "CC0-1.0",
+        "CC-BY-4.0"]
+
+
+def line_templates() -> dict[str, str]:
+    """One-line notices by rule: every license name after every way to say that it applies, Creative Commons kinds in two
+    versions, and identifier lines that are long enough for a shingle."""
+    lines = {f"{short} line: {words} {name}": f"{words} {name}"
+             for short, names in LICENSE_NAMES.items() for name in names for words in LICENSED}
+    for kind, name in CC_KINDS.items():
+        for version in ("3.0", "4.0"):
+            lines[f"CC-{kind}-{version} line"] = f"licensed under CC {kind} {version}"
+            lines[f"CC-{kind}-{version} name"] = f"CC {kind} {version}"
+            lines[f"CC-{kind}-{version} sentence"] = \
+                f"licensed under a Creative Commons {name} {version} {'International' if version == '4.0' else 'Unported'} License"
+    return lines | {f"{name} identifier": f"SPDX-License-Identifier: {name}" for name in SPDX}
+
+
+def all_templates() -> dict[str, str]:
+    """The notices above, and the lines that are none of them word for word."""
+    words = lambda text: tuple(WORD.findall(text.encode().lower()))
+    out, seen = dict(TEMPLATES), {words(t) for t in TEMPLATES.values()}
+    for name, text in line_templates().items():
+        if words(text) not in seen and len(words(text)) >= SHINGLE:
+            seen.add(words(text))
+            out[name.replace(",", "")] = text
+    return out
+
 SHINGLE = 5
 CONTAINMENT = 0.8
 STRETCH = 1.25            # shingles of a window, times those of the template
@@ -127,6 +224,10 @@ class Matcher:
         self.hashes = WordHashes()
         self.templates = [Template(n, t, self.hashes) for n, t in templates.items()]
         self.known = np.unique(np.concatenate([t.shingles for t in self.templates]))
+        self.owners: dict[int, list[int]] = {}           # templates of each shingle
+        for k, t in enumerate(self.templates):
+            for v in t.shingles.tolist():
+                self.owners.setdefault(v, []).append(k)
 
     def _windows(self, values: np.ndarray, hot: np.ndarray, t: Template) -> list[tuple[int, int]]:
         """(start, end) of matching windows."""
@@ -200,10 +301,9 @@ class Matcher:
         if not len(hot):
             return []
         finds = []
-        for t in self.templates:
+        for k in sorted({k for v in set(values[hot].tolist()) for k in self.owners[v]}):
+            t = self.templates[k]
             own = hot[np.isin(values[hot], t.shingles)]
-            if not len(own):
-                continue
             stretches: list[list[int]] = []
             for a, z in self._windows(values, own, t):
                 if stretches and a < stretches[-1][1]:
@@ -219,7 +319,7 @@ class Matcher:
         def inside_longer(f: tuple) -> bool:
             for others in finds:
                 k = bisect.bisect_right(others, f[0], key=lambda g: g[0]) - 1
-                if k >= 0 and others[k][4] > f[4] and f[1] <= others[k][1] and others[k][3] >= f[3]:
+                if k >= 0 and f[1] <= others[k][1] and (others[k][3] > f[3] or others[k][4] > f[4] and others[k][3] == f[3]):
                     return True
             return False
 
@@ -229,7 +329,7 @@ class Matcher:
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """op10: (doc_id, n_finds, licenses, spans) of every document; spans are template:first word:end word:containment."""
-    shared = PerWorker(docs.sparkSession, Matcher, templates or TEMPLATES)
+    shared = PerWorker(docs.sparkSession, Matcher, templates or all_templates())
 
     def run(batches):
         matcher = shared.get()

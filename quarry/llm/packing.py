@@ -9,9 +9,10 @@ pieces fill a sequence each; the others are packed:
   and lengths move, no texts, and memory is bounded by the group;
 * within a group, best fit in decreasing length makes the first bins. Then
   the local search goes over the underfull bins, emptiest first, and raises
-  the sum of squared fills by moving a piece to a fuller bin, by exchanging
-  one piece for a longer one, or two pieces for one of greater length, until
-  bins become empty or nothing improves;
+  the sum of squared fills by moving a piece to another bin or by exchanging
+  one or two pieces for a shorter one there, until nothing improves or the
+  bins are as few as their lengths allow. Bins are indexed by room and piece
+  length, so each step looks at the best fits only;
 * bins of all groups that are emptier than the mean of the underfull ones are
   dealt anew and packed again, until one group holds them or a round saves
   nothing.
@@ -44,8 +45,6 @@ from quarry.session import materialize, ship_package
 GROUP = 16_384            # pieces packed together, about
 BATCH = 16_384            # pieces in one batch of the tokenizer's output
 LONG = 200_000            # characters; longer texts are tokenized in parts
-ROUNDS = 4                # passes of the local search over the underfull bins
-TRIES = 64                # fuller bins that a bin's pieces are tried against in a pass
 
 # fixed value: the byte-level pre-tokenizer's pattern
 PRE_TOKENS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -154,59 +153,82 @@ class Bins:
         self.items[b].extend(come)
         self.fill[b] += sum(x[0] for x in come) - sum(x[0] for x in gone)
 
-    def _improve(self, low: int, high: int) -> bool:
-        """Shift length from ``low`` to the fuller bin ``high`` by one move or exchange, the largest that fits."""
-        room = self.capacity - self.fill[high]
-        if room <= 0 or low == high:
-            return False
-        best, action = 0, None
+    # An exchange of a piece of length n of bin b for a longer load a is possible if a <= room(b) + n. Underfull bins
+    # are indexed by that sum, and there by n; n = 0 stands for a move.
+
+    def _enter(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        if room and self.items[b]:
+            for n in {0, *(x[0] for x in self.items[b])}:
+                self.index[room + n].setdefault(n, {})[b] = None
+                self.used |= 1 << room + n
+
+    def _leave(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        if room and self.items[b]:
+            for n in {0, *(x[0] for x in self.items[b])}:
+                here = self.index[room + n]
+                del here[n][b]
+                if not here[n]:
+                    del here[n]
+                    if not here:
+                        self.used &= ~(1 << room + n)
+
+    def _target(self, load: int, low: int) -> tuple[int, int, int] | None:
+        """(waste, bin, length it gives back) where ``load`` of bin ``low`` fits best and squared fill grows."""
+        least = self.fill[low] - load                       # the bin's fill without what it gives back must be above
+        left, key = self.used >> load, load
+        while left:
+            skip = (left & -left).bit_length() - 1
+            key += skip
+            for n in sorted(self.index[key]):
+                if n >= load:
+                    break
+                for b in self.index[key][n]:
+                    if b != low and self.fill[b] - n > least:
+                        return key - load, b, n
+            left >>= skip + 1
+            key += 1
+        return None
+
+    def _improve(self, low: int) -> bool:
+        """Shift the greatest length from ``low`` to another bin by one move, or an exchange for one or two pieces."""
         here = sorted(self.items[low], reverse=True)
-        there = sorted(self.items[high], reverse=True)
-        lengths = sorted(x[0] for x in there)
-        for k, a in enumerate(here):
-            if best < a[0] <= room:                        # move
-                best, action = a[0], ([a], [])
-            # one for one: the shortest piece there that leaves a gain within the room
-            at = bisect.bisect_left(lengths, a[0] - room)
-            if at < len(lengths) and best < a[0] - lengths[at] <= room:
-                best, action = a[0] - lengths[at], ([a], [lengths[at]])
-            # two for one
-            for c in here[k + 1:]:
-                at = bisect.bisect_left(lengths, a[0] + c[0] - room)
-                if at < len(lengths) and best < a[0] + c[0] - lengths[at] <= room:
-                    best, action = a[0] + c[0] - lengths[at], ([a, c], [lengths[at]])
-            if best == room:
-                break
-        if action is None:
-            return False
-        gone = action[0]
-        back = [next(x for x in there if x[0] == n) for n in action[1]]
-        if self.fill[high] + best < self.fill[low]:        # squared fill would fall
+        loads = {x[0]: (x,) for x in reversed(here)}
+        for k, x in enumerate(here):
+            for y in here[k + 1:]:
+                loads.setdefault(x[0] + y[0], (x, y))
+        best = None
+        for load, pieces in loads.items():
+            found = self._target(load, low) if load <= self.capacity else None
+            if found is not None and (best is None or (load - found[2], -found[0]) > best[0]):
+                best = (load - found[2], -found[0]), found[1], found[2], pieces
+        if best is None:
             return False
+        _, high, n, gone = best
+        back = [next(x for x in self.items[high] if x[0] == n)] if n else []
+        self._leave(low)
+        self._leave(high)
         self._put(low, gone, back)
         self._put(high, back, gone)
+        self._enter(low)
+        self._enter(high)
         return True
 
     def search(self) -> None:
-        """Empty the emptiest bins into fuller underfull ones while squared fill grows."""
-        for _ in range(ROUNDS):
-            under = sorted((b for b in range(len(self.items)) if 0 < self.fill[b] < self.capacity),
-                           key=lambda b: self.fill[b])
-            free = sum(self.capacity - self.fill[b] for b in under)
+        """Empty the emptiest bins into the other underfull ones until no move or exchange raises squared fill."""
+        self.index: list[dict[int, dict[int, None]]] = [{} for _ in range(self.capacity + 1)]
+        self.used = 0
+        for b in range(len(self.items)):
+            self._enter(b)
+        least = -(-sum(self.fill) // self.capacity)
+        changed = True
+        while changed and sum(map(bool, self.items)) > least:
             changed = False
-            for low in under:
-                if free - (self.capacity - self.fill[low]) < self.fill[low]:
-                    break                                  # the others have no room for what this one holds
-                targets = [b for b in reversed(under) if b != low and self.fill[b] < self.capacity][:TRIES]
-                for high in targets:
-                    while self.fill[low] and self.fill[high] >= self.fill[low] and self._improve(low, high):
-                        changed = True
-                    if not self.fill[low]:
-                        break
-                if not self.fill[low]:
-                    free -= self.capacity
-            if not changed:
-                break
+            for low in sorted((b for b in range(len(self.items)) if 0 < self.fill[b] < self.capacity),
+                              key=lambda b: self.fill[b]):
+                while 0 < self.fill[low] < self.capacity and self._improve(low):
+                    changed = True
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int) -> list[list[int]]:

@@ -87,14 +87,26 @@ def train(docs: DataFrame, bound: int = SAMPLE_DOCS) -> np.ndarray:
 
 
 def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of random-looking runs that meet no span in ``taken``."""
-    found = []
+    """Spans of random-looking runs; of a run that meets spans in ``taken`` (in order), the parts outside them."""
+    found, next_taken, covered = [], 0, 0
     for m in CANDIDATE.finditer(text):
         s = _LUT[np.frombuffer(m.group().encode(), np.uint8)]
         score = float(ratio[s[:-1], s[1:]].sum())
-        if score >= LEAST_TOTAL and score >= LEAST_MEAN * (len(s) - 1) \
-                and not any(a < m.end() and m.start() < z for a, _, z in taken):
-            found.append((m.start(), 3, m.end()))
+        if score < LEAST_TOTAL or score < LEAST_MEAN * (len(s) - 1):
+            continue
+        while next_taken < len(taken) and taken[next_taken][0] <= m.start():
+            covered = max(covered, taken[next_taken][2])
+            next_taken += 1
+        at = max(m.start(), min(covered, m.end()))
+        while next_taken < len(taken) and taken[next_taken][0] < m.end():
+            start, _, end = taken[next_taken]
+            if at < start:
+                found.append((at, 3, start))
+            covered = max(covered, end)
+            at = max(at, min(covered, m.end()))
+            next_taken += 1
+        if at < m.end():
+            found.append((at, 3, m.end()))
     return found
 
 

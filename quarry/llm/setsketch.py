@@ -298,10 +298,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each group, with all columns of ``docs``."""
-    grouped = groups(docs, percent=percent).filter("kept").select("doc_id")
+    """One document of each group, with all columns of ``docs``.
+
+    A row is known by its id and text: rows of one id with different texts are documents of their own, and rows
+    equal in both are one document, whatever their other columns hold. Of a group the smallest id stays, a null id
+    first, and of one id's texts the one of the smallest hash.
+    """
+    digest = F.xxhash64(F.col("text").cast("string"), F.lit(5))
+    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), digest.alias("digest")).alias("doc_id"), "text")
+    grouped = groups(keyed, percent=percent).filter("kept").select("doc_id")
     kept = materialize(grouped.groupBy("doc_id").agg(F.count("*").alias("c")), "kept")
-    out = docs.join(kept.select("doc_id"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    if not kept.filter("c > 1").isEmpty():     # repeated ids: equal rows are one document
+    mine = F.struct(docs["doc_id"].alias("id"), F.xxhash64(docs["text"].cast("string"), F.lit(5)).alias("digest"))
+    out = docs.join(kept.select(F.col("doc_id").alias("kept_id")), mine.eqNullSafe(F.col("kept_id")), "left_semi")
+    if not kept.filter("c > 1").isEmpty():
         out = out.dropDuplicates(["doc_id", "text"])
     return out

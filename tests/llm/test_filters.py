@@ -108,6 +108,27 @@ def test_random_strings_are_told_from_words(spark):
     assert np.mean([bool(secret_scan.random_spans(r.w, ratio, [])) for r in words]) < 0.02
 
 
+def test_a_run_around_a_base_span_is_masked_whole(spark):
+    every = np.full((secret_scan.SYMBOLS, secret_scan.SYMBOLS), 5.0)
+    run = "Qz7xWv9Kp3LmT0" + "0123456789abcdef0123" + "Xy8ZqP4rUe2WwG"
+    text = f"see {run} and password={run}== or {'f' * 16} end"
+    base = secret_scan.base_spans(text)
+    spans = secret_scan.random_spans(text, every, base)
+    covered = set().union(*(range(a, z) for a, _, z in base + spans))
+    for m in re.finditer(re.escape(run), text):
+        assert set(range(*m.span())) <= covered
+    assert all(z <= a2 or z2 <= a for a, _, z in spans for a2, _, z2 in base)
+    docs = spark.createDataFrame([(1, f"see {run} end")], "doc_id long, text string")
+    assert secret_scan.redact(docs, ratio=every).first().text.replace("[SECRET]", "") == "see  end"
+
+
+def test_many_spans_of_one_text():
+    every = np.full((secret_scan.SYMBOLS, secret_scan.SYMBOLS), 5.0)
+    text = " ".join(f"token=abcdefghijkl{i} Zx{'k' * 20}{i}" for i in range(20_000))
+    base = secret_scan.base_spans(text)
+    assert len(base) == 20_000 and len(secret_scan.random_spans(text, every, base)) >= 20_000
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a token=abcdefghijklmnop b", 26), (2, "plain", None), (3, None, 0)],
                                  "doc_id long, text string, n_chars long")
@@ -116,6 +137,28 @@ def test_redaction(spark):
     assert secret_scan.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_texts_without_letters_have_no_language(spark):
+    model = (["en", "de"], np.log([0.5, 0.5]), np.zeros((2, language_id.BUCKETS), np.float32))
+    rows = ["½ ²  12", "Ⅷ 四2", "Ⅷ", "12 %", "", None, "x", "²a"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [r.lang_pred for r in language_id.predict(docs, model).orderBy("doc_id").collect()]
+    assert got == ["und", "en", "und", "und", "und", "und", "en", "en"]
+
+
+def test_language_scores_against_brute_force(spark):
+    """Every n-gram's log-probability added one by one."""
+    rng = np.random.default_rng(7)
+    table = rng.normal(size=(3, language_id.BUCKETS)).astype(np.float32)
+    prior = np.log([0.2, 0.5, 0.3])
+    texts = ["abc", "Ein längerer Text, mit ß", "x" * 5000, "日本語 text", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language_id.predict(docs, (["a", "b", "c"], prior, table)).collect():
+        total = [p + sum(float(table[k][g]) for h in language_id.ngram_buckets(texts[r.doc_id]) for g in h)
+                 for k, p in enumerate(prior)]
+        assert r.lang_pred == "abc"[int(np.argmax(total))]
+        assert abs(r.score - 1 / sum(np.exp(t - max(total)) for t in total)) < 1e-6
+
+
 def test_language_accuracy_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = language_id.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").filter("held_out and lang is not null")

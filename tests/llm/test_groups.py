@@ -202,12 +202,52 @@ def test_vectors_of_a_large_label_lose_no_pair(spark, tmp_path, monkeypatch):
     assert got == {i: (int(i < 600), i - i % 2 if i < 600 else i, i >= 600 or i % 2 == 0) for i in range(len(x))}
 
 
+def test_passes_follow_the_label(monkeypatch):
+    """Pairs at the threshold meet in some pass, whatever the label's size and shape; clusters need more passes."""
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 64)
+    rng = np.random.default_rng(4)
+    flat = rng.standard_normal((8000, 32))
+    cone = flat * 0.35 + rng.standard_normal(32)
+    for x in (flat, cone):
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    few, many = (embedding_dedup.passes_for(flat[:n], n) for n in (500, 8000))
+    assert embedding_dedup.passes_for(flat[:60], 60) == 1
+    assert 1 < few < many < embedding_dedup.passes_for(cone, 8000)
+    a = flat[:1000]
+    b = rng.standard_normal(a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.93 * a + math.sqrt(1 - 0.93 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    x = np.concatenate([flat[:8000], b])
+    met = np.zeros(1000, bool)
+    for p in range(embedding_dedup.passes_for(x, len(x))):
+        place = np.empty(len(x), int)
+        place[np.argsort(embedding_dedup.hashes(x, p), kind="stable")] = np.arange(len(x))
+        met |= abs(place[:1000] - place[8000:]) <= 64
+    assert met.mean() >= 0.99
+
+
+def test_vectors_of_sorted_windows(spark, monkeypatch):
+    """Small windows, so that links are found over many passes and blocks of a label."""
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 32)
+    monkeypatch.setattr(embedding_dedup, "PART_BLOCKS", 4)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((1500, 24))
+    x[1000:1300] = x[:300] + rng.standard_normal((300, 24)) * 0.12
+    x[1300:1400] = x[5] + rng.standard_normal((100, 24)) * 0.05
+    rows = [(i, v.tolist(), i % 2 if i < 1000 else (i - 1000) % 2 if i < 1300 else 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows],
+                               "vec_id long, embedding array<double>, label int, root string, c int")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df).collect())
+    want, n = brute_vectors(rows)
+    assert n > 4000 and sum((got & want).values()) >= 0.99 * len(rows)
+
+
 def brute_finds(text):
     """Templates with a window that holds enough of their shingles."""
     hashes = WordHashes()
     values = license_scan.shingles(text, hashes)
     found = set()
-    for name, wording in license_scan.TEMPLATES.items():
+    for name, wording in license_scan.all_templates().items():
         t = license_scan.Template(name, wording, hashes)
         if any(len(set(values[s:s + t.window].tolist()) & set(t.shingles.tolist())) >= 0.8 * t.size
                for s in range(0, max(1, len(values)), t.stride)):
@@ -249,6 +289,18 @@ def test_license_finds_against_brute_force(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_usual_lines_are_found():
+    matcher = license_scan.Matcher(license_scan.all_templates())
+    for line, short in [("Licensed under the MIT License.", "MIT"), ("Distributed under the MIT License.", "MIT"),
+                        ("This work is licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+                        ("code is available under the BSD 3-Clause License", "BSD-3-Clause"),
+                        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+                        ("released under the GNU General Public License, version 2", "GPL-2.0")]:
+        found = matcher(f"some words before it {line} and some words after")
+        assert len(found) == 1 and found[0][2].startswith(short) and found[0][3] == 1.0, (line, found)
+    assert not matcher("the license says that software is released and distributed to the public under a name")
+
+
 def test_license_span_and_copies():
     matcher = license_scan.Matcher(license_scan.TEMPLATES)
     text = "one two released under the MIT License. three " * 3

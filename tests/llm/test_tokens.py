@@ -151,3 +151,14 @@ def test_local_search_empties_bins():
         first = packing.Bins(1024)
         first.best_fit(lengths)
         assert len(packed) <= len(first.items)
+
+
+def test_local_search_saves_bins_where_best_fit_does_not():
+    for low, high, most in ((260, 520, 1.075), (200, 700, 1.006)):
+        lengths = np.random.default_rng(0).integers(low, high + 1, 4000)
+        first = packing.Bins(1024)
+        first.best_fit(lengths)
+        packed = packing.pack_lengths(lengths, 1024)
+        assert sorted(i for b in packed for i in b) == list(range(4000))
+        assert len(packed) < 0.99 * len(first.items)
+        assert len(packed) <= most * -(-lengths.sum() // 1024)
