@@ -169,7 +169,8 @@ def _partial(table: pa.Table) -> pa.Table:
         entries = listed.values if listed.is_valid else []
         made[table["g"][k].as_py()] = dense(np.array(table["zeros"][k].as_py(), np.int64), table["width"][k].as_py(), entries)
     first, second, value = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    left, right = made.get(i, ()), made.get(j, ())       # no group may fall in a block
+    none = np.zeros((0, table["width"][0].as_py()), np.int64)
+    left, right = made.get(i, none), made.get(j, none)       # no group may fall in a block
     for a in range(len(left)):
         b = np.arange(a + 1 if i == j else 0, len(right))
         first.append(np.full(len(b), a))
