@@ -19,6 +19,7 @@ from quarry.operators import filters as FL
 from quarry.operators import index as IX
 from quarry.operators import knn as KN
 from quarry.operators import metrics as M
+from quarry.operators import neighbor_graph as NG
 from quarry.operators import norm_blocks as NB
 from quarry.operators import rerank as RR
 from quarry.operators import search as S
@@ -524,6 +525,15 @@ def q_ann_tree(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@register("ann_graph", "SELECT count(*) AS n_vectors, CAST(0.9 AS DOUBLE) AS floor, true AS reached FROM embeddings\n")
+def q_ann_graph(spark, sf):
+    """Neighbour graph of every vector by propagation, and whether it holds 0.9 of the exact neighbours."""
+    vecs = TB.vectors(spark, sf)
+    graph = NG.neighbor_graph(vecs, m=KNN_K)
+    return NG.graph_recall(vecs, graph, KNN_K).select(
+        "n_vectors", F.lit(0.9).alias("floor"), (F.col("recall") >= 0.9).alias("reached"))
+
+
 @register("knn_norm_blocks", _knn_sql(KNN_K))
 def q_knn_norm_blocks(spark, sf):
     """Exact search over blocks of descending norm, small enough here for several blocks."""
