@@ -9,6 +9,7 @@ in the output only, never inside the computation.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -512,9 +513,34 @@ def q_ann_saved(spark, sf):
     return _round_cols(tree.search(_query_vectors(spark, sf), KNN_K), {"score"})
 
 
-@register("ann_tree", "SELECT 'recall' AS metric, CAST(k AS BIGINT) AS k, CAST(0.9 AS DOUBLE) AS floor, true AS reached "
-                      "FROM (VALUES (10), (100)) AS depths(k)\n")
+@register("ann_tree", _knn_sql(KNN_K))
 def q_ann_tree(spark, sf):
+    """Trained cells, all of them probed: exhaustive search whatever the training."""
+    tree = VT.VectorTree.build(TB.vectors(spark, sf))
+    run = tree.search(_query_vectors(spark, sf), KNN_K, nprobe=tree.stats().first().cells_used,
+                      coarse_probe=len(tree.coarse))
+    return _round_cols(run, {"score"})
+
+
+@register("ann_cells_read", None)
+def q_ann_cells_read(spark, sf):
+    """(search, k, n_queries, n_cells, share): share of the cells that exact and calibrated searches read."""
+    queries = _query_vectors(spark, sf)
+    tree = VT.VectorTree.build(TB.vectors(spark, sf), calibrate=((10, 0.95), (100, 0.95)))
+    n_cells = tree.stats().first().cells_used
+    parts = []
+    for name, recall in (("exact", 1.0), ("recall 0.95", 0.95)):
+        for k in (10, 100):
+            reads = tree.search_with_reads(queries, k, recall)[1]
+            parts.append(reads.agg(F.countDistinct("qid").alias("n_queries"), F.count(F.lit(1)).alias("n")).select(
+                F.lit(name).alias("search"), F.lit(k).cast("bigint").alias("k"), "n_queries",
+                F.lit(n_cells).alias("n_cells"), F.round(F.try_divide("n", F.col("n_queries") * n_cells), 4).alias("share")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("ann_recall", "SELECT 'recall' AS metric, CAST(k AS BIGINT) AS k, CAST(0.9 AS DOUBLE) AS floor, true AS reached "
+                      "FROM (VALUES (10), (100)) AS depths(k)\n")
+def q_ann_recall(spark, sf):
     """Recall of trained cells read in calibrated numbers, against exact search: at least 0.9 at both depths."""
     tree = VT.VectorTree.build(TB.vectors(spark, sf), calibrate=((10, 0.95), (100, 0.95)))
     parts = []

@@ -20,7 +20,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_documented():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert not [n for n in catalog.REGISTRY if n not in o]
+    assert [n for n in catalog.REGISTRY if n not in o] == ["ann_cells_read"]     # counts of cells read, no SQL for them
 
 
 def _norm(v):
