@@ -11,7 +11,7 @@ search/connectivity knobs.
 The centroid table is bounded by ``n_cells``: it is collected once and shipped
 to every executor as one broadcast variable, and cell choice is a matrix
 product per Arrow batch that returns cell numbers only. A search is one
-cogroup per cell and block: a cell's vectors, in blocks of ``CELL_BLOCK`` rows,
+cogroup per cell and block: a cell's vectors, in blocks of ``CELL_BYTES`` bytes,
 meet the queries that probe it, in blocks of ``QUERY_BLOCK`` rows, in one
 matrix product that keeps k rows per query. No pair is ever a row, and a cell
 that holds a third of all vectors is many blocks.
@@ -30,9 +30,11 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from quarry.operators import metrics as M
 from quarry.operators.knn import PAIR_SCHEMA, keep_best, merged_topk, pair_kernel
+from quarry.operators.vector_tree import sampled
 from quarry.session import bounded_broadcast, materialize, scratch_path, ship_package
 
-CELL_BLOCK = 65536    # vectors of a cell in one matrix product
+CELL_BYTES = 32 << 20 # vectors of a cell in one matrix product
+SAMPLE_ROWS = 1 << 18 # vectors that k-means is trained on, at most
 QUERY_BLOCK = 4096    # queries in one matrix product
 MAX_CELLS = 1 << 16   # centroids, at most, where their number follows the rows
 
@@ -50,12 +52,12 @@ def pivot_centroids(vectors: DataFrame, n_cells: int) -> DataFrame:
 
 
 def kmeans_centroids(vectors: DataFrame, n_cells: int, iters: int = 20, seed: int = 7,
-                     sample_fraction: float | None = None) -> DataFrame:
-    """(cell_id, centroid) from MLlib k-means (k-means|| init), optionally on a sample."""
+                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(cell_id, centroid) from MLlib k-means (k-means|| init) on at most about ``sample_rows`` vectors, by a hash of the id."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    train = vectors if sample_fraction is None else vectors.sample(fraction=sample_fraction, seed=seed)
+    train = sampled(vectors, vectors.count(), sample_rows, seed)
     feats = train.select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=n_cells, maxIter=iters, seed=seed, featuresCol="features").fit(feats)
     spark = vectors.sparkSession
@@ -131,7 +133,7 @@ class VectorIndex:
 
     @classmethod
     def build(cls, vectors: DataFrame, n_cells: int | None = None, train: str = "kmeans", iters: int = 20,
-              assign_k: int = 1, seed: int = 7, sample_fraction: float | None = None,
+              assign_k: int = 1, seed: int = 7, sample_rows: int = SAMPLE_ROWS,
               path: str | None = None) -> "VectorIndex":
         """Train the cells and write centroids and assignment once, in the saved
         layout (cells partitioned by ``cell_id``): at ``path`` if given -- a
@@ -144,7 +146,7 @@ class VectorIndex:
         if train == "pivots":
             cents = pivot_centroids(vectors, n_cells)
         elif train == "kmeans":
-            cents = kmeans_centroids(vectors, n_cells, iters, seed, sample_fraction)
+            cents = kmeans_centroids(vectors, n_cells, iters, seed, sample_rows)
         else:
             raise ValueError(f"train must be 'pivots' or 'kmeans', got {train!r}")
         spark = vectors.sparkSession
@@ -165,18 +167,18 @@ class VectorIndex:
                                      self.centroids, nprobe)
                   .select("qid", "q", F.explode("cells").alias("cell_id")))
         probed = materialize(probes, "probes")
-        # at most n_cells numbers; as a filter they prune the scan to the probed cells
-        cells = [r["cell_id"] for r in probed.select("cell_id").distinct().collect()]
-        stored = self.assignment.where(F.col("cell_id").isin(cells))
+        # a filtered broadcast side: the scan reads the probed cells' files only
+        cells = bounded_broadcast(probed.select("cell_id").distinct().where("cell_id >= 0"))
         n_q = probed.groupBy("cell_id").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("qbs"))
-        n_v = stored.groupBy("cell_id").agg(F.ceil(F.count(F.lit(1)) / CELL_BLOCK).cast("int").alias("vbs"))
+        rows = F.ceil(F.sum(8 * F.size("embedding").cast("bigint")) / CELL_BYTES)
+        n_v = self.assignment.join(cells, "cell_id").groupBy("cell_id").agg(rows.cast("int").alias("vbs"))
         blocks = materialize(n_q.join(n_v, "cell_id"), "cell-blocks")        # at most one row per cell
-        blocks = bounded_broadcast(blocks)
+        blocks = bounded_broadcast(blocks.where("vbs > 0"))
         own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         q = probed.join(blocks, "cell_id").select("cell_id", "qid", F.col("q").alias("query"),
                                                   own("qid", "qbs").alias("qb"), every("vbs").alias("vb"))
-        p = stored.join(blocks, "cell_id").select("cell_id", "id", "embedding",
+        p = self.assignment.join(blocks, "cell_id").select("cell_id", "id", "embedding",
                                                            own("id", "vbs").alias("vb"), every("qbs").alias("qb"))
         keys = ["cell_id", "vb", "qb"]
         pairs = p.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(pair_kernel(k), PAIR_SCHEMA)
