@@ -50,6 +50,7 @@ SAMPLE_WORDS = 120_000    # most frequent units of the sample that training look
 POSITIVES, NEGATIVES, LANDMARKS = 1_500, 6_000, 320
 HARD_ROUNDS, HARD = 3, 2_000
 PENALTY = 1e-5
+SVM_ROWS = 1024           # examples that the SVM's sums take at a time
 THRESHOLD = 0.7           # contract: predicted toxic from this score on
 NO_UNIT = -3.0            # decision value in place of a missing unit
 TOP = 3                   # units that make a text's score
@@ -142,14 +143,19 @@ def kernel(words: list[str], landmarks: list[str]) -> tuple[np.ndarray, np.ndarr
 
 def svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Weights and offset (last) of a linear SVM with squared hinge loss, by Newton steps."""
-    x = np.hstack([z, np.ones((len(z), 1))])
-    w = np.zeros(x.shape[1])
+    w = np.zeros(z.shape[1] + 1)
     ridge = PENALTY * np.eye(len(w))
     ridge[-1, -1] = 1e-9
     for _ in range(30):
-        active = y * (x @ w) < 1
-        a = x[active] * cost[active, None]
-        new = np.linalg.solve(ridge + a.T @ x[active] / cost.sum(), a.T @ y[active] / cost.sum())
+        hess, grad = np.zeros_like(ridge), np.zeros_like(w)
+        for at in range(0, len(z), SVM_ROWS):       # sums over blocks, so that no copy of all examples is made
+            x = np.hstack([z[at:at + SVM_ROWS], np.ones((len(z[at:at + SVM_ROWS]), 1))])
+            label, weight = y[at:at + SVM_ROWS], cost[at:at + SVM_ROWS]
+            active = label * (x @ w) < 1
+            a = x[active] * weight[active, None]
+            hess += a.T @ x[active]
+            grad += a.T @ label[active]
+        new = np.linalg.solve(ridge + hess / cost.sum(), grad / cost.sum())
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
