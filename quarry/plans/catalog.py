@@ -538,16 +538,41 @@ def q_ann_cells_read(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
-@register("ann_recall", "SELECT 'recall' AS metric, CAST(k AS BIGINT) AS k, CAST(0.9 AS DOUBLE) AS floor, true AS reached "
-                      "FROM (VALUES (10), (100)) AS depths(k)\n")
+def _pivots_recall_sql() -> str:
+    return _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K), O.ivf_cte(N_CELLS, NPROBE, KNN_K)) + f"""
+, per AS (SELECT a.qid, count(k.pid) / (SELECT count(*) FROM knn k2 WHERE k2.qid = a.qid)::double AS recall
+          FROM (SELECT DISTINCT qid FROM ann) a LEFT JOIN ann x ON x.qid = a.qid
+          LEFT JOIN knn k ON k.qid = x.qid AND k.pid = x.pid GROUP BY a.qid)
+SELECT 'recall' AS metric, CAST({KNN_K} AS BIGINT) AS k, round(coalesce(avg(recall), 0.0), 6) AS value FROM per
+"""
+
+
+def _pivots_recall(spark, sf):
+    approx = _ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE)
+    return _round_cols(AN.ann_recall(approx, _knn(spark, sf), KNN_K), {"value"})
+
+
+@register("ann_recall", _pivots_recall_sql())
 def q_ann_recall(spark, sf):
+    """Recall of the inverted file against exact search, its value computed on both sides."""
+    return _pivots_recall(spark, sf)
+
+
+@register("ann_calibrated_recall", _with(O.QVEC_CTE, O.knn_cte("near10", 10), O.knn_cte("near100", 100)) + """
+SELECT 'recall' AS metric, CAST(10 AS BIGINT) AS k, count(DISTINCT qid) AS n_queries, count(*) AS n_neighbours,
+       CAST(0.9 AS DOUBLE) AS floor, true AS reached FROM near10
+UNION ALL SELECT 'recall', CAST(100 AS BIGINT), count(DISTINCT qid), count(*), CAST(0.9 AS DOUBLE), true FROM near100
+""")
+def q_ann_calibrated_recall(spark, sf):
     """Recall of trained cells read in calibrated numbers, against exact search: at least 0.9 at both depths."""
+    queries = _query_vectors(spark, sf)
     tree = VT.VectorTree.build(TB.vectors(spark, sf), calibrate=((10, 0.95), (100, 0.95)))
     parts = []
     for k in (10, 100):
-        run = tree.search(_query_vectors(spark, sf), k, recall=0.95)
-        parts.append(AN.ann_recall(run, _knn(spark, sf, k), k).select(
-            "metric", "k", F.lit(0.9).alias("floor"), (F.col("value") >= 0.9).alias("reached")))
+        exact = materialize(_knn(spark, sf, k), "exact")
+        size = exact.agg(F.countDistinct("qid").alias("n_queries"), F.count(F.lit(1)).alias("n_neighbours"))
+        parts.append(AN.ann_recall(tree.search(queries, k, recall=0.95), exact, k).crossJoin(size).select(
+            "metric", "k", "n_queries", "n_neighbours", F.lit(0.9).alias("floor"), (F.col("value") >= 0.9).alias("reached")))
     return parts[0].unionByName(parts[1])
 
 
@@ -567,15 +592,9 @@ def q_knn_norm_blocks(spark, sf):
     return _round_cols(blocks.search(_query_vectors(spark, sf), KNN_K), {"score"})
 
 
-@register("ann_pivots_recall", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K), O.ivf_cte(N_CELLS, NPROBE, KNN_K)) + f"""
-, per AS (SELECT a.qid, count(k.pid) / (SELECT count(*) FROM knn k2 WHERE k2.qid = a.qid)::double AS recall
-          FROM (SELECT DISTINCT qid FROM ann) a LEFT JOIN ann x ON x.qid = a.qid
-          LEFT JOIN knn k ON k.qid = x.qid AND k.pid = x.pid GROUP BY a.qid)
-SELECT 'recall' AS metric, CAST({KNN_K} AS BIGINT) AS k, round(coalesce(avg(recall), 0.0), 6) AS value FROM per
-""")
+@register("ann_pivots_recall", _pivots_recall_sql())
 def q_ann_pivots_recall(spark, sf):
-    approx = _ivf(spark, sf).search(_query_vectors(spark, sf), KNN_K, NPROBE)
-    return _round_cols(AN.ann_recall(approx, _knn(spark, sf), KNN_K), {"value"})
+    return _pivots_recall(spark, sf)
 
 
 @register("ann_stats", _with(O.QVEC_CTE, O.ivf_cte(N_CELLS, NPROBE, KNN_K).split("probe AS")[0]
