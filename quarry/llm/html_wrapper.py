@@ -2,9 +2,10 @@
 
 A page's token stream (tags and texts) is read into nested groups: an element
 holds its text blocks and inner elements; formatting tags are transparent, and
-missing end tags are implied. Up to ``SAMPLE`` pages of a host are aligned one
-after another. The wrapper starts as the first page; where the next page
-differs,
+missing end tags are implied. All distinct pages of a host are aligned, in
+parts of some ``PART_PAGES`` pages one after another, then the parts' wrappers
+likewise, level by level. The wrapper starts as the first page; where the next
+page differs,
 
 * unequal texts at one place become a text slot,
 * neighbouring groups of one kind become a repeated group (+),
@@ -24,7 +25,7 @@ elements keep their blocks, order and kind beside each other at that level.
 
 Defined results: null, empty and blank pages have empty text; a page without
 tags is one block; an unfinished tag at a page's end is text; pages without a url share one nameless host; repeated rows
-count once in the sample and each get a result; other columns are ignored.
+count once in the wrapper and each get a result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,13 +39,14 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import map_arrow, slices
-from quarry.session import materialize, ship_package
+from quarry.session import materialize
 
-SAMPLE = 8                    # pages of a host that its wrapper is inferred from, at most
+PART_PAGES = 64               # distinct pages of a host that one group aligns, about
+MERGED = 16                   # wrappers of parts that one group aligns
 TEMPLATE_PAGES = 4            # pages that must agree before constant text counts as template
 TEMPLATE_SHARE = 0.9          # of a layout's distinct pages that hold a template text
 CONTENT_SHARE = 0.6           # slot text that the content group must hold
@@ -515,25 +517,73 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def dump(w: Wrapper) -> str:
+    """The wrapper as JSON, all its fields kept."""
+    def plain(x: Wrapper) -> list:
+        return [x.kind, x.optional * 1 + x.repeated * 2 + x.skip * 4, x.text, x.pages, x.chars, x.links, [plain(p) for p in x.parts]]
+
+    return json.dumps(plain(w))
+
+
+def load(text: str) -> Wrapper:
+    """The wrapper that ``dump`` wrote."""
+    def made(x: list) -> Wrapper:
+        w = Wrapper(x[0])
+        w.optional, w.repeated, w.skip = bool(x[1] & 1), bool(x[1] & 2), bool(x[1] & 4)
+        w.text, w.pages, w.chars, w.links = x[2:6]
+        w.parts = [made(p) for p in x[6]]
+        return w
+
+    return made(json.loads(text))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, expression, path) of every host, from at most SAMPLE distinct pages each."""
+    """(host, expression, path) of every host, from all its distinct pages.
+
+    No group aligns more than some ``PART_PAGES`` pages or ``MERGED`` wrappers,
+    so a host of very many pages is read by many tasks. Order and parts follow
+    from the pages' hashes alone.
+    """
     keyed = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("k"), F.col("html").cast("string").alias("html")) \
         .filter("html is not null")
-    # only hashes are ranked; the sample's html is fetched afterwards
-    ranked = keyed.select("host", "k").distinct() \
-        .withColumn("rn", F.row_number().over(Window.partitionBy("host").orderBy("k"))).filter(F.col("rn") <= SAMPLE)
-    chosen = materialize(ranked.select("host", "k"), "sample-keys")
-    sample = keyed.join(chosen, ["host", "k"], "left_semi").dropDuplicates(["host", "k"])
-
-    def run(table: pa.Table) -> pa.Table:
-        order = table.sort_by("k")
-        groups = [read(h) for h in order["html"].to_pylist()]
-        wrapper = infer(groups)
-        path = json.dumps(content_path(wrapper))
-        return pa.table({"host": [order["host"][0].as_py()], "expression": [expression(wrapper)], "path": [path]})
-
-    ship_package()
-    return sample.groupBy("host").applyInArrow(run, "host string, expression string, path string")
+    sizes = materialize(keyed.select("host", "k").distinct().groupBy("host").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(float(PART_PAGES))).alias("n_parts")), "host-parts")
+    most = sizes.agg(F.max("n_parts")).first()[0] or 1
+
+    def page_wrappers(batches):
+        seen = set()          # of the task: a page that is repeated very often is read and sent once for each task
+        for b in slices(batches):
+            new = []
+            for i, key in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            b = b.take(pa.array(new, pa.int64()))
+            made = [dump(_of(read(h))) for h in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.string())], names=["host", "at", "wrapper"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        order = table.sort_by("at")
+        found, last = None, None
+        for at, w in zip(order["at"].to_pylist(), order["wrapper"].to_pylist()):
+            if at != last:
+                found, last = load(w) if found is None else align(found, load(w)), at
+        return pa.table({"host": order["host"][:1], "at": order["part"][:1], "wrapper": [dump(found)]})
+
+    def named(batches):
+        for b in slices(batches):
+            made = [load(w) for w in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([expression(w) for w in made], pa.string()),
+                                              pa.array([json.dumps(content_path(w)) for w in made], pa.string())],
+                                             names=["host", "expression", "path"])
+
+    row = "host string, at bigint, wrapper string"
+    level = map_arrow(keyed, page_wrappers, row).join(_bounded(sizes, "host"), "host") \
+        .withColumn("part", F.pmod("at", "n_parts")).drop("n_parts").groupBy("host", "part").applyInArrow(merge, row)
+    while most > 1:
+        level = level.withColumn("part", F.floor(F.col("at") / MERGED)).groupBy("host", "part").applyInArrow(merge, row)
+        most = -(-most // MERGED)
+    return map_arrow(level.select("host", "wrapper"), named, "host string, expression string, path string")
 
 
 def _bounded(small: DataFrame, *columns: str) -> DataFrame:
