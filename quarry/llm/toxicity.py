@@ -288,8 +288,8 @@ class Scorer:
         return np.array([(heapq.nlargest(TOP, [look[u] for u in f]) + none)[:TOP] for f in found]).reshape(-1, TOP)
 
 
-def _counts(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
-    """(unit, toxic documents, clean documents) of the sample's most frequent units, and the two totals."""
+def _counts(sample: DataFrame) -> DataFrame:
+    """(unit, t, c): toxic and clean documents of the sample's most frequent units."""
     def run(batches):
         for b in slices(batches):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -298,10 +298,26 @@ def _counts(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
                                                   pa.array([label] * len(found), pa.int32())], names=["unit", "toxic"])
 
     per = map_arrow(sample.select("text", "toxic"), run, "unit string, toxic int")
-    table = per.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")) \
-        .orderBy(F.desc(F.col("t") + F.col("c")), F.xxhash64("unit"), "unit").limit(SAMPLE_WORDS).toPandas()
+    return per.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")) \
+        .orderBy(F.desc(F.col("t") + F.col("c")), F.xxhash64("unit"), "unit").limit(SAMPLE_WORDS)
+
+
+def _fitted(sample: DataFrame) -> tuple[np.ndarray, float] | None:
+    """``fit_words`` of the sample, in a task: the words and their kernel take no memory of the driver."""
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    return list(zip(table["unit"], table["t"].tolist(), table["c"].tolist())), n.get(1, 0), n.get(0, 0)
+    n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
+
+    def run(batches):
+        counts = []           # SAMPLE_WORDS at most
+        for b in batches:
+            counts += zip(*(c.to_pylist() for c in b.columns))
+        model = fit_words(counts, n_toxic, n_clean)
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([model[0].tobytes()], pa.binary()), pa.array([model[1]], pa.float64())],
+                                             names=["weights", "offset"])
+
+    made = map_arrow(_counts(sample).repartition(1), run, "weights binary, offset double").collect()      # one row or none
+    return (np.frombuffer(bytes(made[0].weights), np.float32), made[0].offset) if made else None
 
 
 def curve(value: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -348,7 +364,7 @@ def _valued(docs: DataFrame, keep: list[str], scorer: PerWorker, line: np.ndarra
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> tuple[PerWorker, np.ndarray] | None:
     """Scorer and curve from texts and labels of learnable rows; None if nothing tells toxic texts apart."""
     sample = materialize(_without_copies(labelled(docs, labels, bound)), "toxic-sample")
-    model = fit_words(*_counts(sample))
+    model = _fitted(sample)
     if model is None:
         return None
     scorer = PerWorker(docs.sparkSession, Scorer, *model)
