@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators import bounded as BD
 from quarry.operators import index as IX
 from quarry.operators import search as S
 from quarry.plans import judgments as J
@@ -71,3 +72,23 @@ def test_containment_is_the_same_with_an_index(spark, tables):
     texts = spark.createDataFrame([(1, "w0 w0 w0 w0"), (2, "w1 w1"), (3, "x x x"), (4, "a gone z"), (5, ""), (6, None)], "qid bigint, text string")
     index = IX.TextIndex.build(docs, n_buckets=3)
     assert rows(J.containment_qrels(docs, texts, index=index), "qid", "pid", "rel") == rows(J.containment_qrels(docs, texts), "qid", "pid", "rel")
+
+
+@pytest.mark.parametrize("k", [1, 4, 1000])
+def test_bounded_search_sums_inside_documents(tables, k):
+    docs, queries = tables
+    some = queries.unionByName(queries.where("qid = 1")).unionByName(queries.limit(0).union(
+        queries.sparkSession.createDataFrame([(7, "w2 w3 w38 w37 x"), (7, "w2 w3 w38 w37 x")], "qid bigint, text string")))
+    index = IX.TextIndex.build(docs, n_buckets=3)
+    bounded = BD.BoundedIndex.build(index, n_blocks=8)
+    run = bounded.search(some, k=k)
+    assert "Generate" not in run._jdf.queryExecution().toString()
+    for rare in (BD.RARE, 0.01):
+        assert rows(bounded.search(some, k=k, rare=rare), *RUN) == rows(S.bm25_search(IX.build_postings(docs), some, k=k), *RUN)
+
+
+def test_bounds_of_packed_documents_are_those_of_postings(tables):
+    docs, _ = tables
+    index = IX.TextIndex.build(docs, n_buckets=3)
+    want = index.postings.groupBy("term", BD.doc_block(8).alias("block")).agg(F.max("impact_q").alias("most"), F.first("df").alias("df"))
+    assert rows(BD.BoundedIndex.build(index, n_blocks=8).bounds, "term", "block", "most", "df") == rows(want, "term", "block", "most", "df")
