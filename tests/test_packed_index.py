@@ -92,3 +92,9 @@ def test_bounds_of_packed_documents_are_those_of_postings(tables):
     index = IX.TextIndex.build(docs, n_buckets=3)
     want = index.postings.groupBy("term", BD.doc_block(8).alias("block")).agg(F.max("impact_q").alias("most"), F.first("df").alias("df"))
     assert rows(BD.BoundedIndex.build(index, n_blocks=8).bounds, "term", "block", "most", "df") == rows(want, "term", "block", "most", "df")
+
+
+def test_bounded_search_for_terms_that_no_document_holds(tables):
+    docs, queries = tables
+    bounded = BD.BoundedIndex.build(IX.TextIndex.build(docs, n_buckets=3), n_blocks=8)
+    assert bounded.search(queries.where("qid = 3"), k=5).count() == 0
