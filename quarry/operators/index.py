@@ -18,7 +18,7 @@ Plan shape (what Catalyst gets):
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -181,6 +181,7 @@ class TextIndex:
     stats: DataFrame         # (n_docs, total_len, avg_len)
     params: dict
     packed: DataFrame | None = None   # the counts with one row for each document, if no id comes twice
+    known: dict = field(default_factory=dict)   # document frequencies of the last batch looked up in ``packed``
 
     @classmethod
     def build(cls, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -243,6 +244,9 @@ class TextIndex:
             if self.params.get("loaded"):
                 return self.dfreq.select("term", "df").join(bounded_broadcast(terms.select("term").distinct()), "term")
             return doc_freq(self.postings_of(terms))
+        if self.known.keys() >= set(wanted.to_pylist()):
+            held = [(w, self.known[w]) for w in wanted.to_pylist() if self.known[w]]
+            return self.tf.sparkSession.createDataFrame(held, "term string, df bigint")
         names = self.tf.sparkSession.createDataFrame(list(enumerate(wanted.to_pylist())), "t int, term string")
         return PK.term_counts(self.packed, wanted).join(F.broadcast(names), "t").select("term", "df")
 
@@ -273,7 +277,8 @@ class TextIndex:
         dfreq = self.dfreq if self.params.get("loaded") else None
         return bm25_search_counts(self.tf, dfreq, self.stats, queries, k=k, mode=mode,
                                   k1=self.params["k1"], b=self.params["b"],
-                                  term_buckets=self.params.get("term_buckets"), packed=self.packed, **kw)
+                                  term_buckets=self.params.get("term_buckets"), packed=self.packed,
+                                  known=self.known, **kw)
 
     def save(self, path: str, n_buckets: int | None = None, term_buckets: int = 16) -> None:
         """Write a document-partitioned index.

@@ -28,6 +28,7 @@ BLOCK_QUERY_BYTES = 8 << 20    # of (query, term) rows that are numbered for sum
 BLOCK_CELLS = 1 << 19          # (document, query) sums held at a time
 BLOCK_PAIRS = 1 << 20          # (posting, query) pairs held at a time
 KEPT_ROWS = 1 << 21            # rows of running best documents that a task may hold
+SCORE_CELLS = 1 << 21          # (query, score) counts that find each query's score at k before rows are sorted
 
 
 def query_terms(queries: DataFrame, id_col: str = "qid", text_col: str = "text") -> DataFrame:
@@ -125,7 +126,8 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame | None, stats: DataFrame,
                        text_col: str = "text", extra_keys: list[str] | None = None,
                        broadcast_bytes: int | None = BROADCAST_BYTES,
                        k1: float = T.BM25_K1, b: float = T.BM25_B,
-                       term_buckets: int | None = None, packed: DataFrame | None = None) -> DataFrame:
+                       term_buckets: int | None = None, packed: DataFrame | None = None,
+                       known: dict[str, int] | None = None) -> DataFrame:
     """Same run as ``bm25_search``, over per-document term counts.
 
     ``tf`` (term, doc_id, doc_len, tf[, term_bucket]), ``dfreq`` (term, df),
@@ -139,6 +141,7 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame | None, stats: DataFrame,
     dynamic partition pruning reads only the buckets of the batch's terms.
     ``packed``: the same counts with one row for each document, no id twice;
     a batch of bounded size is then looked up and summed inside these rows.
+    ``known``: see ``term_weights``.
     """
     _check(mode, k)
     keys = list(extra_keys or [])
@@ -153,7 +156,7 @@ def bm25_search_counts(tf: DataFrame, dfreq: DataFrame | None, stats: DataFrame,
     if small and dfreq is None and dict(tf.dtypes)["doc_id"] == "bigint":     # a lexicon prunes the scan by the aggregate's plan
         numbered = _numbered(qt, min(broadcast_bytes, BLOCK_QUERY_BYTES))
         if numbered is not None and packed is not None:
-            return _ranked(_packed_scores(packed, stats, numbered, k, mode, k1, b), k, mode, keys, id_col)
+            return _ranked(_packed_scores(packed, stats, numbered, k, mode, k1, b, known), k, mode, keys, id_col)
         if numbered is not None:
             return _ranked(_block_scores(tf, dfreq, stats, numbered, join_keys, k, mode, k1, b), k, mode, keys, id_col)
     # df of the batch's terms only; out-of-lexicon terms drop out here (a
@@ -214,13 +217,14 @@ def _named(hits: DataFrame, numbered: DataFrame) -> DataFrame:
     return hits.join(F.broadcast(numbered.select("q", "qid", "n_terms").distinct()), "q").drop("q")
 
 
-def _packed_scores(packed: DataFrame, stats: DataFrame, numbered: DataFrame, k: int, mode: str, k1: float, b: float) -> DataFrame:
+def _packed_scores(packed: DataFrame, stats: DataFrame, numbered: DataFrame, k: int, mode: str, k1: float, b: float,
+                   known: dict[str, int] | None = None) -> DataFrame:
     """As ``_block_scores``, from rows of whole documents: the batch's terms are looked up in each Arrow batch."""
     pairs = numbered.select("q", "t", "n_terms", "term").toPandas().sort_values("t")       # a bounded batch
     if pairs.empty:
         return _no_scores(numbered)
     wanted = pa.array(pairs.drop_duplicates("t")["term"], pa.string())
-    idf, avg_len = term_weights(packed, stats, wanted)
+    idf, avg_len = term_weights(packed, stats, wanted, known)
     asks = _Asks(pairs, k, mode)
 
     def blocks(whole: pa.RecordBatch):
@@ -231,21 +235,29 @@ def _packed_scores(packed: DataFrame, stats: DataFrame, numbered: DataFrame, k:
     return _named(map_bounded(packed.select("doc_id", "doc_len", "terms", "tfs"), asks.kernel(blocks), HITS), numbered)
 
 
-def term_weights(packed: DataFrame, stats: DataFrame, wanted: pa.Array) -> tuple[np.ndarray, float | None]:
-    """The idf of each wanted term (0 for one that no document holds) and the mean length."""
-    one = stats.first()
-    counted = PK.term_counts(packed, wanted).select("t", T.idf(F.lit(one["n_docs"]), "df").alias("w")).toPandas()
+def term_weights(packed: DataFrame, stats: DataFrame, wanted: pa.Array,
+                 known: dict[str, int] | None = None) -> tuple[np.ndarray, float | None]:
+    """The idf of each wanted term (0 for one that no document holds) and the mean length.
+
+    ``known``: document frequencies counted before over the same rows; those of another batch are counted and take their place.
+    """
+    one, terms, known = stats.first(), wanted.to_pylist(), {} if known is None else known
+    if not known.keys() >= set(terms):
+        counted = PK.term_counts(packed, wanted).toPandas()
+        known.clear()
+        known.update(dict.fromkeys(terms, 0) | {terms[t]: int(n) for t, n in zip(counted["t"], counted["df"])})
+    held = stats.sparkSession.createDataFrame([(t, known[w]) for t, w in enumerate(terms) if known[w]], "t int, df bigint")
+    weights = held.select("t", T.idf(F.lit(one["n_docs"]), "df").alias("w")).toPandas()
     idf = np.zeros(len(wanted))
-    idf[counted["t"].to_numpy(np.int64)] = counted["w"]
+    idf[weights["t"].to_numpy(np.int64)] = weights["w"]
     return idf, one["avg_len"]
 
 
 def weighed(whole: pa.RecordBatch, wanted: pa.Array, idf: np.ndarray, avg_len: float | None, k1: float,
             b: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, term number, quantised weight) of the wanted postings in packed rows, by row."""
-    at, t = PK.found(whole.column(2), wanted)
-    doc = PK.document_of(whole.column(2))[at]
-    tf = whole.column(3).flatten().to_numpy(zero_copy_only=False)[at]
+    doc, at, t = PK.found(whole.column(2), wanted)
+    tf = PK.counts_at(whole.column(3), at).to_numpy(zero_copy_only=False)
     length = whole.column(1).to_numpy(zero_copy_only=False)[doc]
     return doc, t, PK.impacts(idf[t], tf, length, avg_len, k1, b, T.IMPACT_MAX, T.IMPACT_LEVELS)
 
@@ -298,6 +310,13 @@ class _Asks:
 
     def best(self, some: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
         """The k first rows of each query in the order of the run, and each query's score at k (-1: fewer)."""
+        width = int(some[3].max(initial=0)) + 1
+        if self.n_queries * width <= SCORE_CELLS:
+            held = np.bincount(some[0] * width + some[3], minlength=self.n_queries * width).reshape(-1, width)
+            reach = np.cumsum(held[:, ::-1], axis=1) >= self.k           # by falling score
+            bar = np.where(reach[:, -1], width - 1 - reach.argmax(axis=1), 0)
+            able = some[3] >= bar[some[0]]                               # ties at the bar are sorted by id
+            some = [c[able] for c in some]
         key = some[0] * (int(some[3].max(initial=0)) + 1) - some[3]      # by query, then falling score
         order = np.lexsort((some[1], key) if some[2].all() else (some[1], some[2], key))       # null ids first
         some = [c[order] for c in some]

@@ -65,9 +65,10 @@ def judgment_sets(spark: SparkSession, sf: str) -> DataFrame:
     """(eval_set, qid, pid, rel) for the three sets."""
     docs, queries = TB.passages(spark, sf), TB.keyword_queries(spark, sf)
     index = IX.TextIndex.build(docs)
+    # before the containment test, which takes the queries' document frequencies from it; written once, with few rows
+    kw_pool = materialize(index.search(queries, k=POOL), "keyword-pool")
     # written once: every set refers to the containment pairs (five times)
     contain = materialize(J.containment_qrels(docs, queries, index=index), "containment")
-    kw_pool = index.search(queries, k=POOL)
     vec_pool = KN.knn_exact(TB.vectors(spark, sf), query_vectors(spark, sf), POOL)
     labels = TB.labels(spark, sf)
     return _union([
