@@ -471,8 +471,7 @@ def _knn(spark, sf, k=KNN_K):
 
 
 def _subset_run(spark, sf, k=RERANK_K):
-    docs = FL.subset_by_ids(TB.passages(spark, sf), TB.vectors(spark, sf), "doc_id", "id")
-    return IX.TextIndex.build(docs).search(TB.keyword_queries(spark, sf), k=k)
+    return IX.TextIndex.build(PL.saved_subset_passages(spark, sf)).search(TB.keyword_queries(spark, sf), k=k)
 
 
 @register("knn_exact", _with(O.QVEC_CTE, O.knn_cte("knn", KNN_K))
