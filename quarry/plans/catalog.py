@@ -192,16 +192,16 @@ def _contain(spark, sf, index=None):
     return J.containment_qrels(TB.passages(spark, sf), TB.keyword_queries(spark, sf), index=index)
 
 
-def _judged_run(spark, sf):
-    """(run, judgments), both written: one index serves the run and the containment test."""
+def _judged_run(spark, sf, run=None):
+    """(run, judgments), both written: one index serves the run and the containment test. ``run``: a written run."""
     index = IX.TextIndex.build(TB.passages(spark, sf))
-    run = _run(spark, sf, index=index)
+    run = run if run is not None else _run(spark, sf, index=index)
     contain = materialize(_contain(spark, sf, index), "containment")
     return run, materialize(J.graded_qrels(contain, run, TB.labels(spark, sf), POOL), "judgments")
 
 
-def _graded(spark, sf):
-    return _judged_run(spark, sf)[1]
+def _graded(spark, sf, run=None):
+    return _judged_run(spark, sf, run)[1]
 
 
 def _sql_base() -> list[str]:
